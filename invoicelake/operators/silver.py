@@ -9,10 +9,8 @@ from invoicelake import contract
 
 def silver_header(parsed: DataFrame, sections: tuple[str, ...] | None = None) -> DataFrame:
     """Parsed messages -> invoice rows; `sections` keeps the columns of some sections only."""
-    return parsed.select(
-        *(F.col(f"data.{path}").alias(name) for path, name in contract.header_columns(sections)),
-        *contract.LINEAGE,
-    )
+    columns = [f"data.{path} AS {name}" for path, name in contract.header_columns(sections)]
+    return parsed.selectExpr(*columns, *contract.LINEAGE)
 
 
 def silver_item(parsed: DataFrame) -> DataFrame:

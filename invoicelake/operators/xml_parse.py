@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from invoicelake import contract
 from invoicelake.functions.text import (
-    basename, is_integer, read_float, read_int, remove_first, strip, text_or_null, utc_seconds,
+    basename, blank_to_null, is_integer, literal, read_float, read_int, remove_first, strip,
+    utc_seconds,
 )
 from invoicelake.operators.barrier import evaluate_once
 
@@ -18,10 +19,10 @@ INVALID_ITEM_NUMBER = "invalid_item_number"
 
 _PREFIX = r"(?:[\w.-]+:)?"
 _DECLARATION = r"^\x{FEFF}?<\?xml\s[^>]*\?>"
-_DECLARED_ENCODING = r"^(?:\xEF\xBB\xBF)?<\?xml\s[^>]*?\sencoding\s*=\s*[\"']([\w.-]+)[\"']"
-_ROOT_NAME = rf"^(?:\s++|<\?.*?\?>|<!--.*?-->)*<{_PREFIX}([\w.-]+)"
+_DECLARED_ENCODING = r"^(?:\xEF\xBB\xBF)?<\?xml\s[^>]*?\sencoding\s*=\s*[\x22']([\w.-]+)[\x22']"
+_ROOT_NAME = rf"(?s)^(?:\s++|<\?.*?\?>|<!--.*?-->)*<{_PREFIX}([\w.-]+)"
 _COMMENT = r"(?s)<!--.*?-->"
-_NAMESPACE_BOUND = rf"=\s*[\"']{contract.NAMESPACE.replace('.', '[.]')}[\"']"
+_NAMESPACE_BOUND = rf"=\s*[\x22']{contract.NAMESPACE.replace('.', '[.]')}[\x22']"
 
 _UTF8_NAMES = ("", "utf-8", "utf8", "us-ascii", "ascii")
 _LATIN1_NAMES = ("iso-8859-1", "iso8859-1", "latin1", "latin-1")
@@ -35,28 +36,27 @@ _WINDOWS_TO = bytes(_WINDOWS_CODES).decode("cp1252")
 _WRAPPER = "invoice-file"
 
 
-def parse_invoices(files: DataFrame, now: Column | None = None) -> DataFrame:
+def parse_invoices(files: DataFrame, now: str = "current_timestamp()") -> DataFrame:
     """(path, content) -> (path, source_file, error, document).
 
     `error` is null and `document` filled for a readable file; otherwise `error` names the
-    reason and `document` is null. `now` is the ingestion time (default: the query's).
+    reason and `document` is null. `now` is the ingestion time, a SQL expression.
     """
-    texts = evaluate_once(
-        files, "path", text=_decode(F.col("content")), encoding=_declared_encoding(F.col("content"))
+    texts = files.selectExpr(
+        "path",
+        f"{_DECLARED} AS encoding",
+        f"regexp_replace({_DECODED}, {literal(_DECLARATION)}, '') AS body",
     )
-    body = F.regexp_replace("text", _DECLARATION, "")
-    parsed = evaluate_once(
-        texts.withColumn("body", body), "path", "encoding", "body",
-        xml=_from_xml(F.concat(F.lit(f"<{_WRAPPER}>"), "body", F.lit(f"</{_WRAPPER}>"))),
-    )
-    parsed = parsed.withColumn("broken", _text_error()).withColumn(
-        "invoices", F.when(F.col("broken").isNull() & _namespace_bound(), _invoices())
-    )
-    return _documents(parsed, F.current_timestamp() if now is None else now)
+    wrapped = F.expr(f"concat('<{_WRAPPER}>', body, '</{_WRAPPER}>')")
+    parsed = evaluate_once(texts, "path", "encoding", "body", xml=_from_xml(wrapped))
+    parsed = evaluate_once(parsed, "path", broken=_TEXT_ERROR, invoices=_invoices())
+    return _documents(parsed, now)
 
 
 def good_documents(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("error").isNull()).select("source_file", "document")
+    """The documents of the readable files, each built once whatever is done with it later."""
+    good = parsed.where(F.col("error").isNull())
+    return evaluate_once(good, "source_file", document="document")
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:
@@ -71,20 +71,37 @@ def ingest_summary(parsed: DataFrame) -> DataFrame:
     )
 
 
-def _declared_encoding(content: Column) -> Column:
-    start = F.decode(F.substring(content, 1, 256), "ISO-8859-1")
-    return F.lower(F.regexp_extract(start, _DECLARED_ENCODING, 1))
+def _one_of(c: str, names: tuple[str, ...]) -> str:
+    return f"{c} IN ({', '.join(map(literal, names))})"
 
 
-def _decode(content: Column) -> Column:
-    """Text of a file by its declared encoding; null if unknown or not valid in it."""
-    declared = _declared_encoding(content)
-    latin1 = F.decode(content, "ISO-8859-1")
-    return (
-        F.when(declared.isin(*_UTF8_NAMES), F.try_validate_utf8(content.cast("string")))
-        .when(declared.isin(*_LATIN1_NAMES), latin1)
-        .when(declared.isin(*_WINDOWS_NAMES), F.translate(latin1, _WINDOWS_FROM, _WINDOWS_TO))
-    )
+_DECLARED = (
+    f"lower(regexp_extract(decode(substring(content, 1, 256), 'ISO-8859-1'), "
+    f"{literal(_DECLARED_ENCODING)}, 1))"
+)
+
+# Text of a file by its declared encoding; null if unknown or not valid in it.
+_DECODED = f"""CASE
+    WHEN {_one_of(_DECLARED, _UTF8_NAMES)} THEN try_validate_utf8(CAST(content AS STRING))
+    WHEN {_one_of(_DECLARED, _LATIN1_NAMES)} THEN decode(content, 'ISO-8859-1')
+    WHEN {_one_of(_DECLARED, _WINDOWS_NAMES)} THEN
+        translate(decode(content, 'ISO-8859-1'), {literal(_WINDOWS_FROM)}, {literal(_WINDOWS_TO)})
+    END"""
+
+# Why a file's text cannot be read, null if it can. Spark's parser stops at the end of the first
+# element, so a second root or text beside the root must be looked for: exactly one element may
+# stand in the wrapper, and nothing else.
+_TEXT_ERROR = f"""CASE
+    WHEN NOT {_one_of("encoding", (*_UTF8_NAMES, *_LATIN1_NAMES, *_WINDOWS_NAMES))}
+        THEN '{UNSUPPORTED_ENCODING}'
+    WHEN body IS NULL THEN '{INVALID_ENCODING}'
+    WHEN xml IS NULL OR xml.corrupt IS NOT NULL
+        OR coalesce(size(xml.nfeProc), 0) + coalesce(size(xml.NFe), 0) + coalesce(size(xml.other), 0) <> 1
+        OR {strip("xml.beside")} <> ''
+        OR NOT body RLIKE '^[ \\t\\r\\n]*<'
+        OR contains(body, '{_WRAPPER}')
+        THEN '{MALFORMED_XML}'
+    END"""
 
 
 def _file_schema() -> T.StructType:
@@ -109,44 +126,17 @@ def _from_xml(text: Column) -> Column:
     })
 
 
-def _count(c: Column) -> Column:
-    return F.coalesce(F.size(c), F.lit(0))
-
-
-def _text_error() -> Column:
-    """Why the file's text cannot be read, null if it can.
+def _invoices() -> Column:
+    """The root's invoice nodes (NFe and protNFe), wherever in the document they stand.
 
-    Spark's parser stops at the end of the first element, so a second root or text beside the
-    root must be looked for: exactly one element may stand in the wrapper, and nothing else.
+    Null if the document does not name the invoice namespace: none of its elements is an
+    invoice's then.
     """
-    xml = F.col("xml")
-    roots = _count(xml.nfeProc) + _count(xml.NFe) + _count(xml.other)
-    known = F.col("encoding").isin(*_UTF8_NAMES, *_LATIN1_NAMES, *_WINDOWS_NAMES)
-    return (
-        F.when(~known, UNSUPPORTED_ENCODING)
-        .when(F.col("body").isNull(), INVALID_ENCODING)
-        .when(
-            xml.isNull() | xml.corrupt.isNotNull() | (roots != 1)
-            | text_or_null(xml.beside).isNotNull()
-            | ~strip(F.col("body")).startswith("<")
-            | F.contains("body", F.lit(_WRAPPER)),
-            MALFORMED_XML,
-        )
-    )
-
-
-def _namespace_bound() -> Column:
-    """Whether the document names the invoice namespace; without it no element is an invoice's."""
-    return F.col("body").rlike(_NAMESPACE_BOUND)
-
-
-def _invoices() -> Column:
-    """The root's invoice nodes (NFe and protNFe), wherever in the document they stand."""
-    xml = F.col("xml")
-    nodes = contract.xml_schema()
-    bare = F.struct(xml.NFe.alias("NFe"), F.lit(None).cast(nodes["protNFe"].dataType).alias("protNFe"))
-    direct = F.when(xml.NFe.isNotNull(), bare).otherwise(F.get(xml.nfeProc, F.lit(0)))
-    return F.when(xml.other.isNotNull(), _nested_invoices()).otherwise(direct)
+    protocol = contract.xml_schema()["protNFe"].dataType.simpleString()
+    bare = f"named_struct('NFe', xml.NFe, 'protNFe', CAST(NULL AS {protocol}))"
+    direct = F.expr(f"if(xml.NFe IS NOT NULL, {bare}, get(xml.nfeProc, 0))")
+    found = F.when(F.expr("xml.other IS NULL"), direct).otherwise(_nested_invoices())
+    return F.when(F.expr(f"body RLIKE {literal(_NAMESPACE_BOUND)}"), found)
 
 
 def _nested_invoices() -> Column:
@@ -155,112 +145,113 @@ def _nested_invoices() -> Column:
     An invoice element that is itself the root does not count. Only documents with a foreign
     root come here.
     """
-    body = F.col("body")
-    text = F.regexp_replace(body, _COMMENT, "")
+    text = f"regexp_replace(body, {literal(_COMMENT)}, '')"
 
-    def elements(name: str) -> Column:
+    def elements(name: str) -> str:
         pattern = rf"(?s)<({_PREFIX}{name})(?:\s[^>]*)?(?:(?<=/)>|(?<!/)>.*?</\1\s*>)"
-        return F.array_join(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), "")
+        return f"array_join(regexp_extract_all({text}, {literal(pattern)}, 0), '')"
 
-    is_root = F.regexp_extract(body, rf"(?s){_ROOT_NAME}", 1).isin("infNFe", "protNFe")
-    inner = F.concat(
-        F.lit(f"<{_WRAPPER}><nfeProc><NFe>"), elements("infNFe"), F.lit("</NFe>"),
-        elements("protNFe"), F.lit(f"</nfeProc></{_WRAPPER}>"),
+    inner = F.expr(
+        f"concat('<{_WRAPPER}><nfeProc><NFe>', {elements('infNFe')}, '</NFe>', "
+        f"{elements('protNFe')}, '</nfeProc></{_WRAPPER}>')"
+    )
+    mentioned = literal(rf"<{_PREFIX}(infNFe|protNFe)\b")
+    is_root = f"regexp_extract(body, {literal(_ROOT_NAME)}, 1) IN ('infNFe', 'protNFe')"
+    return F.when(
+        F.expr(f"body RLIKE {mentioned} AND NOT {is_root}"), F.get(_from_xml(inner).nfeProc, F.lit(0))
     )
-    found = body.rlike(rf"<{_PREFIX}(infNFe|protNFe)\b")
-    return F.when(found & ~is_root, F.get(_from_xml(inner).nfeProc, F.lit(0)))
 
 
-def _children(parents: Column, path: str) -> Column:
+def _children(parents: str, path: str) -> str:
     """All elements at `path` below an array of elements, in document order."""
     for name in path.split("/"):
-        parents = F.flatten(F.filter(parents[name], lambda a: a.isNotNull()))
+        parents = f"flatten(filter({parents}.{name}, e -> e IS NOT NULL))"
     return parents
 
 
-def _first(elements: Column) -> Column:
-    return F.get(elements, F.lit(0))
+def _first(elements: str) -> str:
+    return f"get({elements}, 0)"
 
 
-def _leaf(node: Column, path: str) -> Column:
-    """Text of the first element at `path` below `node`, null if missing or blank."""
+def _leaf(node: str, path: str) -> str:
+    """Stripped text of the first element at `path` below `node`."""
     parent, _, name = path.rpartition("/")
-    if name.startswith("@"):
-        return node["_" + name[1:]]
-    if not parent:
-        return text_or_null(_first(node[name]))
-    return text_or_null(_first(_children(node[parent], name)))
-
-
-_READERS = {"string": lambda c: c, "double": read_float, "int": read_int}
-
-
-def _field(node: Column, field: contract.Field) -> Column:
-    if field.name == "documento":
-        value = F.coalesce(*(_leaf(node, kind) for kind in contract.TAXPAYER_DOCUMENTS))
-    elif field.name == "tipo_documento":
-        value = F.coalesce(*(
-            F.when(_leaf(node, kind).isNotNull(), kind) for kind in contract.TAXPAYER_DOCUMENTS
-        ))
-    else:
-        value = _READERS[field.type](_leaf(node, field.xml))
-    return value.alias(field.name)
-
-
-def _item(det: Column) -> Column:
-    """One invoice line; only the first `prod` and `imposto` of a line count."""
-    first_of = {
-        name: _first(det[name]) for name in ("prod", "imposto")
-    }
-    fields = []
-    for field in contract.ITEMS.fields:
-        parent, _, name = field.xml.rpartition("/")
-        node = first_of.get(parent, det)
-        fields.append(_field(node, field._replace(xml=name)))
-    return F.struct(*fields)
-
-
-def _documents(parsed: DataFrame, now: Column) -> DataFrame:
-    inf = F.col("inf")
-    nodes = parsed.select(
-        "path", "broken", basename(F.col("path")).alias("source_file"),
-        _children(F.col("invoices.NFe"), "infNFe").alias("inf"),
-        F.col("invoices.protNFe").alias("protNFe"),
-    ).select(
+    return strip(_first(_children(f"{node}.{parent}", name) if parent else f"{node}.{name}"))
+
+
+# From stripped text; a blank one is none.
+_READERS = {"string": blank_to_null, "double": read_float, "int": read_int}
+
+
+def _section_texts(s: contract.Section) -> str:
+    """A section's texts, stripped, under the contract's names or those of taxpayer documents."""
+    texts = {f.name: _leaf(s.name, f.xml) for f in s.fields if f.xml}
+    if s.name == "protocolo":
+        texts["chNFe"] = _leaf(s.name, "chNFe")
+    if any(f.name == "documento" for f in s.fields):
+        texts |= {kind: _leaf(s.name, kind) for kind in contract.TAXPAYER_DOCUMENTS}
+    return _record(texts)
+
+
+def _section(s: contract.Section) -> str:
+    values = {}
+    for f in s.fields:
+        if f.name == "documento":
+            kinds = [blank_to_null(f"{s.name}.{kind}") for kind in contract.TAXPAYER_DOCUMENTS]
+            values[f.name] = f"coalesce({', '.join(kinds)})"
+        elif f.name == "tipo_documento":
+            cases = [f"WHEN {s.name}.{kind} <> '' THEN '{kind}'" for kind in contract.TAXPAYER_DOCUMENTS]
+            values[f.name] = f"CASE {' '.join(cases)} END"
+        else:
+            values[f.name] = _READERS[f.type](f"{s.name}.{f.name}")
+    return _record(values)
+
+
+def _items() -> str:
+    """Contract lines of the array `det`; of a line's `prod` and `imposto` the first counts."""
+    texts, values = {}, {}
+    for f in contract.ITEMS.fields:
+        parent, _, name = f.xml.rpartition("/")
+        text = _first(f"{_first(f'd.{parent}')}.{name}") if parent else f"d._{name[1:]}"
+        texts[f.name] = strip(text)
+        values[f.name] = _READERS[f.type](f"t.{f.name}")
+    return f"transform(transform(det, d -> {_record(texts)}), t -> {_record(values)})"
+
+
+def _record(values: dict[str, str]) -> str:
+    return f"named_struct({', '.join(f'{literal(k)}, {v}' for k, v in values.items())})"
+
+
+def _documents(parsed: DataFrame, now: str) -> DataFrame:
+    nodes = parsed.selectExpr(
+        "path", "broken", f"{basename('path')} AS source_file",
+        f"{_children('invoices.NFe', 'infNFe')} AS inf", "invoices.protNFe AS protNFe",
+    ).selectExpr(
         "path", "broken", "source_file",
-        _first(inf)["_Id"].alias("id"),
-        _children(inf, "det").alias("det"),
+        f"{_first('inf')}._Id AS id",
+        f"{_children('inf', 'det')} AS det",
         *(
-            _first(_children(
-                inf if s.node.startswith("infNFe") else F.col("protNFe"),
-                s.node.partition("/")[2],
-            )).alias(s.name)
+            f"{_first(_children(root, path))} AS {s.name}"
             for s in contract.SECTIONS
+            for root, path in [(s.node.partition("/")[0].replace("infNFe", "inf"), s.node.partition("/")[2])]
         ),
     )
-    key = F.coalesce(
-        _leaf(F.col("protocolo"), "chNFe"),
-        F.when(F.col("id") != "", remove_first(F.col("id"), "NFe")),
-    )
-    bad_number = F.exists(
-        "det", lambda det: (F.coalesce(det["_nItem"], F.lit("")) != "") & ~is_integer(det["_nItem"])
+    number = "coalesce(d._nItem, '')"
+    error = f"""coalesce(broken, if(
+        exists(det, d -> {number} <> '' AND NOT {is_integer(strip(number))}),
+        '{INVALID_ITEM_NUMBER}', NULL))"""
+    texts = nodes.selectExpr(
+        "path", "source_file", f"{error} AS error", "id", "det",
+        *(f"{_section_texts(s)} AS {s.name}" for s in contract.SECTIONS),
     )
-    error = F.coalesce(F.col("broken"), F.when(bad_number, INVALID_ITEM_NUMBER))
-    document = F.struct(
-        F.col("source_file"),
-        utc_seconds(now).alias("ingestion_ts"),
-        key.alias("chave_nfe"),
-        *(
-            F.struct(*(_field(F.col(s.name), f) for f in s.fields)).alias(s.name)
-            for s in contract.SECTIONS
-        ),
-        F.coalesce(F.transform("det", _item), F.array().cast(_items_type())).alias("itens"),
-    )
-    return nodes.select("path", "source_file", error.alias("error"), document.alias("document")).select(
-        "path", "source_file", "error",
-        F.when(F.col("error").isNull(), F.col("document")).alias("document"),
+    fallback = f"if(id <> '', {remove_first('id', 'NFe')}, NULL)"
+    document = _record({
+        "source_file": "source_file",
+        "ingestion_ts": utc_seconds(now),
+        "chave_nfe": f"coalesce({blank_to_null('protocolo.chNFe')}, {fallback})",
+        **{s.name: _section(s) for s in contract.SECTIONS},
+        "itens": f"coalesce({_items()}, array())",
+    })
+    return texts.selectExpr(
+        "path", "source_file", "error", f"if(error IS NULL, {document}, NULL) AS document"
     )
-
-
-def _items_type() -> T.ArrayType:
-    return T.ArrayType(contract.struct_of(contract.ITEMS.fields))

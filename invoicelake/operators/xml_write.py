@@ -2,69 +2,58 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, functions as F
-
 from invoicelake import contract
+from invoicelake.functions.text import literal
 
 # Money has two decimal places in the layout, quantities and unit prices more.
 _SCALES = {"quantidade_comercial": 4, "valor_unitario_comercial": 4}
 
 
-def invoice_xml(document: Column, sections: tuple[str, ...] | None = None) -> Column:
-    """The document as an `nfeProc` text; only `sections` are written. Null fields are left out."""
-    tree: dict = {}
-
-    def put(path: str, value: Column) -> None:
-        *parents, leaf = path.split("/")
-        node = tree
-        for name in parents:
-            node = node.setdefault(name, {})
-        node["_" + leaf[1:] if leaf.startswith("@") else leaf] = value
+def invoice_xml(document: str, sections: tuple[str, ...] | None = None) -> str:
+    """The document as an `nfeProc` text (a SQL expression); only `sections` are written.
 
-    put("@xmlns", F.lit(contract.NAMESPACE))
-    put("NFe/infNFe/@Id", F.concat(F.lit("NFe"), document["chave_nfe"]))
+    Null fields are left out.
+    """
+    paths = {"@xmlns": literal(contract.NAMESPACE)}
+    paths["NFe/infNFe/@Id"] = f"concat('NFe', {document}.chave_nfe)"
     for s in contract.SECTIONS:
         if sections is None or s.name in sections:
             node = s.node if s.node.startswith("protNFe") else "NFe/" + s.node
-            for path, value in _section_values(document[s.name], s).items():
-                put(f"{node}/{path}", value)
+            for path, value in _values(f"{document}.{s.name}", s).items():
+                paths[f"{node}/{path}"] = value
     if sections is None or "itens" in sections:
-        put("NFe/infNFe/det", F.transform(document["itens"], _struct_of(contract.ITEMS)))
+        line = _nested(_values("i", contract.ITEMS))
+        paths["NFe/infNFe/det"] = f"transform({document}.itens, i -> {line})"
     if sections is None or "protocolo" in sections:
-        put("protNFe/infProt/chNFe", document["chave_nfe"])
-    return F.to_xml(_nested(tree), {"rowTag": "nfeProc", "indent": ""})
+        paths["protNFe/infProt/chNFe"] = f"{document}.chave_nfe"
+    return f"to_xml({_nested(paths)}, map('rowTag', 'nfeProc', 'indent', ''))"
 
 
-def _section_values(node: Column, s: contract.Section) -> dict[str, Column]:
+def _values(node: str, s: contract.Section) -> dict[str, str]:
     values = {}
     for f in s.fields:
         if f.name == "documento":
             for kind in contract.TAXPAYER_DOCUMENTS:
-                values[kind] = F.when(node["tipo_documento"] == kind, node["documento"])
+                values[kind] = f"if({node}.tipo_documento = '{kind}', {node}.documento, NULL)"
         elif f.xml:
-            scale = _SCALES.get(f.name, 2)
-            value = node[f.name]
-            values[f.xml] = value.cast(f"decimal(18,{scale})") if f.type == "double" else value
+            value = f"{node}.{f.name}"
+            if f.type == "double":
+                value = f"CAST({value} AS DECIMAL(18,{_SCALES.get(f.name, 2)}))"
+            values[f.xml] = value
     return values
 
 
-def _struct_of(s: contract.Section) -> Callable[[Column], Column]:
-    def build(node: Column) -> Column:
-        tree: dict = {}
-        for path, value in _section_values(node, s).items():
-            *parents, leaf = path.split("/")
-            at = tree
-            for name in parents:
-                at = at.setdefault(name, {})
-            at["_" + leaf[1:] if leaf.startswith("@") else leaf] = value
-        return _nested(tree)
-
-    return build
-
-
-def _nested(tree: dict) -> Column:
-    return F.struct(*(
-        (_nested(v) if isinstance(v, dict) else v).alias(k) for k, v in tree.items()
-    ))
+def _nested(paths: dict[str, str]) -> str:
+    """`named_struct` text with the values at their paths."""
+    children: dict[str, dict[str, str] | str] = {}
+    for path, value in paths.items():
+        head, _, rest = path.partition("/")
+        name = "_" + head[1:] if head.startswith("@") else head
+        if rest:
+            children.setdefault(name, {})[rest] = value
+        else:
+            children[name] = value
+    fields = (
+        f"{literal(name)}, {_nested(v) if isinstance(v, dict) else v}" for name, v in children.items()
+    )
+    return f"named_struct({', '.join(fields)})"

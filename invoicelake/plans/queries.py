@@ -170,7 +170,7 @@ def _xml_files(
     documents = order_documents(spark, sf_dir, sections, **options)
     texts = documents.select(
         F.concat(F.lit("orders/"), "source_file").alias("path"),
-        invoice_xml(F.col("document"), sections).alias("xml"),
+        F.expr(invoice_xml("document", sections)).alias("xml"),
         *(
             (F.col("document.header.natureza_operacao").alias("priority"),
              F.col("document.header.tipo_nota").alias("status"))

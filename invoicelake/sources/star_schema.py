@@ -45,8 +45,8 @@ def order_documents(
         spark, sf_dir, "orders",
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority",
     )
-    parts: dict[str, Column] = {}
-    continuations = None
+    parts: dict[str, str] = {}
+    per_order, continuations = None, None
     if want("itens"):
         bought = table(
             spark, sf_dir, "lineitem",
@@ -56,33 +56,39 @@ def order_documents(
         oversized = _oversized_orders(docs, bought, lines_per_invoice)
         goods = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_retailprice")
         per_order, continuations = _order_lines(bought, goods, oversized)
-        docs = docs.join(per_order, docs.o_orderkey == per_order.l_orderkey, "left")
-        parts["itens"] = F.coalesce(F.col("itens"), F.array().cast(_items_type()))
+        parts["itens"] = "coalesce(itens, array())"
     elif want("emitente") or (want("totais") and line_totals):
         bought = table(
             spark, sf_dir, "lineitem",
             "l_orderkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax",
         )
         per_order = bought.groupBy("l_orderkey").agg(*_line_totals())
-        docs = docs.join(per_order, docs.o_orderkey == per_order.l_orderkey, "left")
 
-    if want("header"):
-        parts["header"] = _header()
     if want("destinatario"):
         docs = docs.join(_customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"), "left")
-        parts["destinatario"] = _recipient()
+        parts["destinatario"] = _RECIPIENT
     if want("emitente"):
-        docs = docs.join(_suppliers(spark, sf_dir), F.col("suppkey") == F.col("s_suppkey"), "left")
-        parts["emitente"] = _issuer()
+        per_order = per_order.join(
+            _suppliers(spark, sf_dir), F.col("suppkey") == F.col("s_suppkey"), "left"
+        )
+        parts["emitente"] = _ISSUER
+    if per_order is not None:
+        docs = docs.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    if want("header"):
+        parts["header"] = _HEADER
     if want("totais"):
-        parts["totais"] = _totals(docs.columns)
+        parts["totais"] = _INVOICE_TOTAL if per_order is None else _TOTALS
     if want("protocolo"):
-        parts["protocolo"] = _protocol()
+        parts["protocolo"] = _PROTOCOL
+    # Writing and reading a document costs far more than moving its row, so the rows are spread
+    # by order first: the joins before may have left few partitions, or a big customer's in one.
+    # Where the last join already was by order, Spark leaves this shuffle out.
+    docs = docs.repartition("o_orderkey")
 
-    documents = docs.select(*_document(F.col("o_orderkey"), parts, sections))
+    documents = docs.selectExpr(*_document("o_orderkey", parts, sections))
     if continuations is not None:
-        documents = documents.unionByName(continuations.select(
-            *_document(F.col("l_orderkey"), {"itens": F.col("itens")}, sections)
+        documents = documents.unionByName(continuations.selectExpr(
+            *_document("l_orderkey", {"itens": "itens"}, sections)
         ))
     return documents
 
@@ -135,10 +141,12 @@ def _order_lines(
     lines: DataFrame, goods: DataFrame, oversized: DataFrame | None
 ) -> tuple[DataFrame, DataFrame | None]:
     """Per order its totals and the lines of its first invoice; and the continuations, if any."""
-    collected = F.sort_array(F.collect_list(_item())).alias("itens")
+    collected = F.sort_array(F.collect_list(F.expr(_ITEM))).alias("itens")
     if oversized is None:
         named = lines.join(goods, F.col("l_partkey") == F.col("p_partkey"))
-        return named.groupBy("l_orderkey").agg(*_line_totals(), collected), None
+        # An order's lines lie far apart, so collecting them before the shuffle gains nothing.
+        spread = named.repartition("l_orderkey")
+        return spread.groupBy("l_orderkey").agg(*_line_totals(), collected), None
     # A line's number in the scan spreads the lines of an oversized order evenly over its
     # invoices; it is the same when a lost task is run again.
     numbered = lines.withColumn("line_id", F.monotonically_increasing_id())
@@ -154,38 +162,35 @@ def _order_lines(
     return totals.join(first, "l_orderkey", "left"), invoices.where("invoice > 0")
 
 
-def _money(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("decimal(18,2)")
+_PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
 
 
-def _share(rate: str) -> Column:
+def _share(rate: str) -> str:
     """A line's tax or discount in cents, rounded half up."""
-    return F.round(_money("l_extendedprice") * F.col(rate).cast("decimal(6,4)"), 2)
+    return f"CAST(round({_PRICE} * CAST({rate} AS DECIMAL(6,4)), 2) AS DECIMAL(18,2))"
 
 
 def _line_totals() -> list[Column]:
     return [
         F.min("l_suppkey").alias("suppkey"),
-        F.sum(_money("l_extendedprice")).cast("double").alias("sum_price"),
-        F.sum(_share("l_tax")).cast("double").alias("sum_tax"),
-        F.sum(_share("l_discount")).cast("double").alias("sum_discount"),
+        F.expr(f"CAST(sum({_PRICE}) AS DOUBLE) AS sum_price"),
+        F.expr(f"CAST(sum({_share('l_tax')}) AS DOUBLE) AS sum_tax"),
+        F.expr(f"CAST(sum({_share('l_discount')}) AS DOUBLE) AS sum_discount"),
     ]
 
 
-def _item() -> Column:
-    return F.struct(
-        F.col("l_linenumber").alias("n_item"),
-        F.col("l_partkey").cast("string").alias("codigo_produto"),
-        F.col("p_name").alias("descricao_produto"),
-        F.lpad(F.col("l_partkey").cast("string"), 8, "0").alias("ncm"),
-        F.lit("5102").alias("cfop"),
-        F.lit("UN").alias("unidade_comercial"),
-        F.col("l_quantity").alias("quantidade_comercial"),
-        F.col("p_retailprice").alias("valor_unitario_comercial"),
-        F.col("l_extendedprice").alias("valor_produto"),
-        _share("l_discount").cast("double").alias("valor_desconto"),
-        _share("l_tax").cast("double").alias("valor_total_tributos_item"),
-    )
+_ITEM = f"""struct(
+    l_linenumber AS n_item,
+    CAST(l_partkey AS STRING) AS codigo_produto,
+    p_name AS descricao_produto,
+    lpad(CAST(l_partkey AS STRING), 8, '0') AS ncm,
+    '5102' AS cfop,
+    'UN' AS unidade_comercial,
+    l_quantity AS quantidade_comercial,
+    p_retailprice AS valor_unitario_comercial,
+    l_extendedprice AS valor_produto,
+    CAST({_share('l_discount')} AS DOUBLE) AS valor_desconto,
+    CAST({_share('l_tax')} AS DOUBLE) AS valor_total_tributos_item)"""
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,78 +208,65 @@ def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suppliers.join(states, F.col("s_nationkey") == F.col("s_statekey"), "left")
 
 
-def _header() -> Column:
-    issued = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
-    return F.struct(
-        F.col("o_orderkey").cast("string").alias("numero_nota"),
-        F.lit("1").alias("serie"),
-        F.concat(issued, F.lit("-03:00")).alias("data_emissao"),
-        F.lit(None).cast("string").alias("data_saida_entrada"),
-        F.col("o_orderpriority").alias("natureza_operacao"),
-        F.col("o_orderstatus").alias("tipo_nota"),
-        F.lit("1").alias("finalidade"),
-    )
-
-
-def _recipient() -> Column:
-    return F.struct(
-        F.lpad(F.col("c_custkey").cast("string"), 11, "0").alias("documento"),
-        F.when(F.col("c_custkey").isNotNull(), "CPF").alias("tipo_documento"),
-        F.col("c_name").alias("nome"),
-        F.col("c_mktsegment").alias("municipio"),
-        F.col("c_state").alias("uf"),
-        F.lit(None).cast("string").alias("email"),
-    )
-
-
-def _issuer() -> Column:
-    return F.struct(
-        F.lpad(F.col("s_suppkey").cast("string"), 14, "0").alias("documento"),
-        F.when(F.col("s_suppkey").isNotNull(), "CNPJ").alias("tipo_documento"),
-        F.col("s_name").alias("nome"),
-        F.lit(None).cast("string").alias("fantasia"),
-        F.lit(None).cast("string").alias("municipio"),
-        F.col("s_state").alias("uf"),
-    )
-
-
-def _totals(columns: list[str]) -> Column:
-    def line_total(name: str) -> Column:
-        return F.col(name) if name in columns else F.lit(None).cast("double")
-
-    return F.struct(
-        line_total("sum_price").alias("valor_produtos"),
-        F.col("o_totalprice").alias("valor_nota"),
-        line_total("sum_tax").alias("valor_total_tributos"),
-        line_total("sum_discount").alias("valor_desconto"),
-        F.lit(0.0).alias("valor_frete"),
-    )
-
-
-def _protocol() -> Column:
-    return F.struct(
-        F.lpad(F.col("o_orderkey").cast("string"), 15, "0").alias("numero_protocolo"),
-        F.lit("100").alias("status_codigo"),
-        F.lit("Autorizado").alias("status_motivo"),
-        F.lit(None).cast("string").alias("data_recebimento"),
-    )
-
-
-def _items_type():
-    return contract.document_schema(("itens",))["itens"].dataType
+_HEADER = """struct(
+    CAST(o_orderkey AS STRING) AS numero_nota,
+    '1' AS serie,
+    concat(date_format(o_orderdate, "yyyy-MM-dd'T'HH:mm:ss"), '-03:00') AS data_emissao,
+    CAST(NULL AS STRING) AS data_saida_entrada,
+    o_orderpriority AS natureza_operacao,
+    o_orderstatus AS tipo_nota,
+    '1' AS finalidade)"""
+
+_RECIPIENT = """struct(
+    lpad(CAST(c_custkey AS STRING), 11, '0') AS documento,
+    if(c_custkey IS NOT NULL, 'CPF', NULL) AS tipo_documento,
+    c_name AS nome,
+    c_mktsegment AS municipio,
+    c_state AS uf,
+    CAST(NULL AS STRING) AS email)"""
+
+_ISSUER = """struct(
+    lpad(CAST(s_suppkey AS STRING), 14, '0') AS documento,
+    if(s_suppkey IS NOT NULL, 'CNPJ', NULL) AS tipo_documento,
+    s_name AS nome,
+    CAST(NULL AS STRING) AS fantasia,
+    CAST(NULL AS STRING) AS municipio,
+    s_state AS uf)"""
+
+_TOTALS = """struct(
+    sum_price AS valor_produtos,
+    o_totalprice AS valor_nota,
+    sum_tax AS valor_total_tributos,
+    sum_discount AS valor_desconto,
+    0.0D AS valor_frete)"""
+
+_INVOICE_TOTAL = """struct(
+    CAST(NULL AS DOUBLE) AS valor_produtos,
+    o_totalprice AS valor_nota,
+    CAST(NULL AS DOUBLE) AS valor_total_tributos,
+    CAST(NULL AS DOUBLE) AS valor_desconto,
+    0.0D AS valor_frete)"""
+
+_PROTOCOL = """struct(
+    lpad(CAST(o_orderkey AS STRING), 15, '0') AS numero_protocolo,
+    '100' AS status_codigo,
+    'Autorizado' AS status_motivo,
+    CAST(NULL AS STRING) AS data_recebimento)"""
 
 
 def _document(
-    key: Column, parts: dict[str, Column], sections: tuple[str, ...] | None
-) -> list[Column]:
-    source_file = F.concat(F.lit("nfe_"), key.cast("string"), F.lit(".xml"))
-    identity = {
+    key: str, parts: dict[str, str], sections: tuple[str, ...] | None
+) -> list[str]:
+    """Columns source_file and document, as SQL; sections without a part are missing (null)."""
+    source_file = f"concat('nfe_', CAST({key} AS STRING), '.xml')"
+    values = {
         "source_file": source_file,
-        "ingestion_ts": F.lit("2024-01-01T00:00:00Z"),
-        "chave_nfe": key.cast("string"),
+        "ingestion_ts": "'2024-01-01T00:00:00Z'",
+        "chave_nfe": f"CAST({key} AS STRING)",
+        **parts,
     }
-    fields = []
-    for field in contract.document_schema(sections).fields:
-        value = identity.get(field.name, parts.get(field.name, F.lit(None)))
-        fields.append(value.cast(field.dataType).alias(field.name))
-    return [source_file.alias("source_file"), F.struct(*fields).alias("document")]
+    fields = [
+        f"{values.get(f.name, f'CAST(NULL AS {f.dataType.simpleString()})')} AS {f.name}"
+        for f in contract.document_schema(sections).fields
+    ]
+    return [f"{source_file} AS source_file", f"struct({', '.join(fields)}) AS document"]
