@@ -4,18 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_EXACT = "decimal(28,10)"
+# Below this many units a double holds every multiple of a unit apart from its neighbours.
+_UNITS_MAX = 2**52
 
 
-def exact_sum(c: Column) -> Column:
+def exact_sum(column: str, places: int = 2) -> Column:
     """Sum of a double column that does not depend on the order of the rows.
 
-    Adding doubles gives other last digits for every other partitioning or task retry, so the
-    values are added as decimals and only the total becomes a double. Groups that hold a value
-    a decimal cannot (NaN, infinities, 1e18 and beyond) keep the plain double sum.
+    Adding doubles gives other last digits for every other partitioning or task retry. Values
+    with at most `places` decimal places, which is nearly all, are therefore added as whole
+    units in a BIGINT, the others as decimals, and only the total becomes a double. A group
+    with a value that fits neither (NaN, infinities, 1e16 and beyond) or with a total beyond
+    BIGINT keeps the plain double sum.
     """
-    exact = c.try_cast(_EXACT)
-    plain = F.sum(c)
-    return F.when(
-        F.coalesce(F.bool_or(c.isNotNull() & exact.isNull()), F.lit(False)), plain
-    ).otherwise(F.coalesce(F.try_sum(exact).cast("double"), plain))
+    units = f"try_cast(rint({column} * {10**places}) AS BIGINT)"
+    fits = f"abs({units}) < {_UNITS_MAX} AND {units} / {10**places}D = {column}"
+    whole = f"CASE WHEN {fits} THEN {units} END"
+    rest = f"CASE WHEN {fits} THEN NULL ELSE try_cast({column} AS DECIMAL(26,10)) END"
+    neither = f"{column} IS NOT NULL AND {whole} IS NULL AND {rest} IS NULL"
+    one_unit = f"CAST('{10**-places:.{places}f}' AS DECIMAL({places + 1},{places}))"
+    total = (
+        f"CAST(coalesce(try_sum({whole}) * {one_unit}, 0) "
+        f"+ coalesce(try_sum({rest}), 0) AS DOUBLE)"
+    )
+    exact = (
+        f"NOT max({neither}) AND (try_sum({whole}) IS NOT NULL OR max({whole}) IS NULL) "
+        f"AND (try_sum({rest}) IS NOT NULL OR max({rest}) IS NULL) AND count({column}) > 0"
+    )
+    return F.expr(f"if({exact}, {total}, sum({column}))")

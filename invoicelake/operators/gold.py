@@ -14,30 +14,30 @@ TOP = 10
 def per_issuer(header: DataFrame) -> DataFrame:
     return header.groupBy(*ISSUER).agg(
         F.count("*").alias("qtd_notas"),
-        exact_sum(F.col("valor_nota")).alias("valor_total_notas"),
-        exact_sum(F.col("valor_produtos")).alias("valor_total_produtos"),
-        exact_sum(F.col("valor_total_tributos")).alias("valor_total_tributos"),
+        exact_sum("valor_nota").alias("valor_total_notas"),
+        exact_sum("valor_produtos").alias("valor_total_produtos"),
+        exact_sum("valor_total_tributos").alias("valor_total_tributos"),
     )
 
 
 def taxes_per_issuer(header: DataFrame) -> DataFrame:
     return header.groupBy(*ISSUER).agg(
-        exact_sum(F.col("valor_total_tributos")).alias("total_tributos")
+        exact_sum("valor_total_tributos").alias("total_tributos")
     )
 
 
 def per_recipient_state(header: DataFrame) -> DataFrame:
     return header.groupBy("dest_uf").agg(
         F.count("*").alias("qtd_notas"),
-        exact_sum(F.col("valor_nota")).alias("valor_total_notas"),
+        exact_sum("valor_nota").alias("valor_total_notas"),
     )
 
 
 def per_product(items: DataFrame) -> DataFrame:
     """Value and quantity of every product, the common input of both rankings."""
     return items.groupBy(*PRODUCT).agg(
-        exact_sum(F.col("valor_produto")).alias("valor_total"),
-        exact_sum(F.col("quantidade_comercial")).alias("quantidade_total"),
+        exact_sum("valor_produto").alias("valor_total"),
+        exact_sum("quantidade_comercial", places=4).alias("quantidade_total"),
     )
 
 

@@ -162,20 +162,21 @@ def _order_lines(
     return totals.join(first, "l_orderkey", "left"), invoices.where("invoice > 0")
 
 
-_PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
+_CENTS = "CAST(rint(l_extendedprice * 100) AS BIGINT)"
 
 
 def _share(rate: str) -> str:
-    """A line's tax or discount in cents, rounded half up."""
-    return f"CAST(round({_PRICE} * CAST({rate} AS DECIMAL(6,4)), 2) AS DECIMAL(18,2))"
+    """A line's tax or discount in cents, rounded half up (away from zero)."""
+    millionths = f"{_CENTS} * CAST(rint({rate} * 10000) AS BIGINT)"
+    return f"(({millionths} + if(l_extendedprice < 0, -5000, 5000)) DIV 10000)"
 
 
 def _line_totals() -> list[Column]:
     return [
         F.min("l_suppkey").alias("suppkey"),
-        F.expr(f"CAST(sum({_PRICE}) AS DOUBLE) AS sum_price"),
-        F.expr(f"CAST(sum({_share('l_tax')}) AS DOUBLE) AS sum_tax"),
-        F.expr(f"CAST(sum({_share('l_discount')}) AS DOUBLE) AS sum_discount"),
+        F.expr(f"sum({_CENTS}) / 100 AS sum_price"),
+        F.expr(f"sum({_share('l_tax')}) / 100 AS sum_tax"),
+        F.expr(f"sum({_share('l_discount')}) / 100 AS sum_discount"),
     ]
 
 
@@ -189,8 +190,8 @@ _ITEM = f"""struct(
     l_quantity AS quantidade_comercial,
     p_retailprice AS valor_unitario_comercial,
     l_extendedprice AS valor_produto,
-    CAST({_share('l_discount')} AS DOUBLE) AS valor_desconto,
-    CAST({_share('l_tax')} AS DOUBLE) AS valor_total_tributos_item)"""
+    {_share('l_discount')} / 100 AS valor_desconto,
+    {_share('l_tax')} / 100 AS valor_total_tributos_item)"""
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
