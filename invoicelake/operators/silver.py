@@ -23,20 +23,3 @@ def silver_item(parsed: DataFrame) -> DataFrame:
         *(f"item.{name}" for name in contract.item_columns()),
         *contract.LINEAGE,
     )
-
-
-def latest_by_key(header: DataFrame) -> DataFrame:
-    """Invoices without replays: of every access key the message that came last.
-
-    An aggregate, not a window, so that replays of one key are combined before the shuffle.
-    Invoices without a key are all kept.
-    """
-    columns = header.columns
-    arrival = F.struct("kafka_timestamp", "partition", "offset")
-    keyed = (
-        header.where(F.col("chave_nfe").isNotNull())
-        .groupBy("chave_nfe")
-        .agg(F.max_by(F.struct(*columns), arrival).alias("row"))
-        .select("row.*")
-    )
-    return keyed.unionByName(header.where(F.col("chave_nfe").isNull()))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
 from invoicelake.contract import MESSAGE_LOG_SCHEMA
@@ -12,29 +12,33 @@ from invoicelake.contract import MESSAGE_LOG_SCHEMA
 
 @dataclass(frozen=True)
 class KafkaTopic:
-    """A topic on a Kafka cluster; needs Spark's Kafka connector on the class path."""
+    """A topic on a Kafka cluster; needs Spark's Kafka connector on the class path.
+
+    A topic partition is by itself one task, however large. `min_partitions` lets Spark cut the
+    larger ones into offset ranges; it defaults to the session's number of shuffle partitions.
+    """
 
     topic: str
     bootstrap_servers: str = "kafka:9092"
+    min_partitions: int | None = None
+
+    def read_options(self, spark: SparkSession) -> dict[str, str]:
+        return {
+            "kafka.bootstrap.servers": self.bootstrap_servers,
+            "subscribe": self.topic,
+            "startingOffsets": "earliest",
+            "minPartitions": str(
+                self.min_partitions or spark.conf.get("spark.sql.shuffle.partitions")
+            ),
+        }
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return (
-            spark.read.format("kafka")
-            .option("kafka.bootstrap.servers", self.bootstrap_servers)
-            .option("subscribe", self.topic)
-            .option("startingOffsets", "earliest")
-            .option("endingOffsets", "latest")
-            .load()
-        )
+        """All messages from the topic's beginning to its end at the time of the read."""
+        options = self.read_options(spark)
+        return spark.read.format("kafka").options(**options, endingOffsets="latest").load()
 
     def read_stream(self, spark: SparkSession) -> DataFrame:
-        return (
-            spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", self.bootstrap_servers)
-            .option("subscribe", self.topic)
-            .option("startingOffsets", "earliest")
-            .load()
-        )
+        return spark.readStream.format("kafka").options(**self.read_options(spark)).load()
 
     def write(self, messages: DataFrame) -> None:
         """Publish (key, value) rows from the executors; the broker assigns offsets."""
@@ -51,7 +55,7 @@ class KafkaTopic:
 class MessageLog:
     """A topic kept as Parquet files with the columns of Spark's Kafka source.
 
-    Messages of one key share a partition. Offsets are unique and grow from one publish to the
+    Topics lie in folders of their own, so reading one does not touch the others. Messages of one key share a partition. Offsets are unique and grow from one publish to the
     next; like a compacted topic's, they may have gaps.
     """
 
@@ -66,11 +70,14 @@ class MessageLog:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
             log = spark.createDataFrame([], MESSAGE_LOG_SCHEMA)
-        return log.where(F.col("topic") == self.topic)
+        return self._messages(log)
 
     def read_stream(self, spark: SparkSession) -> DataFrame:
-        log = spark.readStream.schema(MESSAGE_LOG_SCHEMA).parquet(self.path)
-        return log.where(F.col("topic") == self.topic)
+        return self._messages(spark.readStream.schema(MESSAGE_LOG_SCHEMA).parquet(self.path))
+
+    def _messages(self, log: DataFrame) -> DataFrame:
+        columns = T.StructType.fromDDL(MESSAGE_LOG_SCHEMA).names
+        return log.where(F.col("topic") == self.topic).select(*columns)
 
     def write(self, messages: DataFrame) -> None:
         spark = messages.sparkSession
@@ -86,5 +93,6 @@ class MessageLog:
                 F.col("value").cast("binary").alias("value"),
             )
             .write.mode("append")
+            .partitionBy("topic")
             .parquet(self.path)
         )

@@ -151,11 +151,27 @@ def test_message_log(spark, log):
     read = log.read(spark)
     assert read.dtypes == spark.createDataFrame([], contract.MESSAGE_LOG_SCHEMA).dtypes
     assert (read.count(), read.select("offset").distinct().count()) == (100, 100)
+    assert MessageLog(log.path, "20240101").read(spark).isEmpty()
     assert read.groupBy("key").agg(F.countDistinct("partition").alias("n")).where("n > 1").isEmpty()
     first, second = [r.o for r in read.groupBy("timestamp").agg(F.max("offset").alias("o")).orderBy("timestamp").collect()]
     assert first < second
 
 
+def test_topic_names_that_look_like_numbers(spark, log):
+    numbered = MessageLog(log.path, "007")
+    numbered.write(spark.sql("SELECT 'k' AS key, 'v' AS value"))
+    log.write(spark.sql("SELECT 'k' AS key, 'w' AS value"))
+    assert [(r.topic, bytes(r.value)) for r in numbered.read(spark).collect()] == [("007", b"v")]
+
+
+def test_kafka_reads_a_bounded_batch_in_many_tasks(spark):
+    assert KafkaTopic("t", "h:1").read_options(spark) == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest",
+        "minPartitions": "4",
+    }
+    assert KafkaTopic("t", "h:1", 64).read_options(spark)["minPartitions"] == "64"
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         KafkaTopic("t").read(spark)
