@@ -120,10 +120,6 @@ MESSAGE_LOG_SCHEMA = (
 _TYPES = {"string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType()}
 
 
-def section(name: str) -> Section:
-    return next(s for s in (*SECTIONS, ITEMS) if s.name == name)
-
-
 def struct_of(fields: tuple[Field, ...]) -> T.StructType:
     return T.StructType([T.StructField(f.name, _TYPES[f.type]) for f in fields])
 
@@ -131,7 +127,7 @@ def struct_of(fields: tuple[Field, ...]) -> T.StructType:
 def document_schema(sections: tuple[str, ...] | None = None) -> T.StructType:
     """Schema of a document; `sections` narrows it to what a reader needs (identity is always in)."""
     out = [T.StructField(f.name, _TYPES[f.type]) for f in IDENTITY]
-    out += [T.StructField(s.name, struct_of(s.fields)) for s in SECTIONS if _wanted(s, sections)]
+    out += [T.StructField(s.name, struct_of(s.fields)) for s in sections_of(sections)]
     if _wanted(ITEMS, sections):
         out.append(T.StructField(ITEMS.name, T.ArrayType(struct_of(ITEMS.fields))))
     return T.StructType(out)
@@ -144,9 +140,8 @@ def _wanted(s: Section, sections: tuple[str, ...] | None) -> bool:
 def header_columns(sections: tuple[str, ...] | None = None) -> list[tuple[str, str]]:
     """(path inside the document, silver header column) in table order, identity first."""
     out = [(name, name) for name in ("chave_nfe", "source_file", "ingestion_ts")]
-    for s in SECTIONS:
-        if _wanted(s, sections):
-            out += [(f"{s.name}.{f.name}", s.prefix + f.name) for f in s.fields]
+    for s in sections_of(sections):
+        out += [(f"{s.name}.{f.name}", s.prefix + f.name) for f in s.fields]
     return out
 
 
@@ -170,12 +165,21 @@ def _element_schema(paths: list[str]) -> T.StructType:
     return T.StructType(out)
 
 
-def xml_schema() -> T.StructType:
-    """Schema of the elements that can stand at or directly below a document's root."""
-    paths = ["NFe/infNFe/@Id", "protNFe/infProt/chNFe"]
+def xml_schema(sections: tuple[str, ...] | None = None) -> T.StructType:
+    """Schema of the elements that can stand at or directly below a document's root.
+
+    What identifies an invoice and its line numbers are always in.
+    """
+    paths = ["NFe/infNFe/@Id", "NFe/infNFe/det/@nItem", "protNFe/infProt/chNFe"]
     for s in (*SECTIONS, ITEMS):
-        node = s.node if s.node.startswith("protNFe") else "NFe/" + s.node
-        paths += [f"{node}/{f.xml}" for f in s.fields if f.xml]
-        if any(f.name == "tipo_documento" for f in s.fields):
-            paths += [f"{node}/{kind}" for kind in TAXPAYER_DOCUMENTS]
-    return _element_schema(paths)
+        if _wanted(s, sections):
+            node = s.node if s.node.startswith("protNFe") else "NFe/" + s.node
+            paths += [f"{node}/{f.xml}" for f in s.fields if f.xml]
+            if any(f.name == "tipo_documento" for f in s.fields):
+                paths += [f"{node}/{kind}" for kind in TAXPAYER_DOCUMENTS]
+    return _element_schema(list(dict.fromkeys(paths)))
+
+
+def sections_of(names: tuple[str, ...] | None) -> tuple[Section, ...]:
+    """The named one-per-invoice sections, all without names."""
+    return tuple(s for s in SECTIONS if _wanted(s, names))

@@ -22,35 +22,50 @@ _DECLARATION = r"^\x{FEFF}?<\?xml\s[^>]*\?>"
 _DECLARED_ENCODING = r"^(?:\xEF\xBB\xBF)?<\?xml\s[^>]*?\sencoding\s*=\s*[\x22']([\w.-]+)[\x22']"
 _ROOT_NAME = rf"(?s)^(?:\s++|<\?.*?\?>|<!--.*?-->)*<{_PREFIX}([\w.-]+)"
 _COMMENT = r"(?s)<!--.*?-->"
+_NOT_MARKUP = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 _NAMESPACE_BOUND = rf"=\s*[\x22']{contract.NAMESPACE.replace('.', '[.]')}[\x22']"
 
-_UTF8_NAMES = ("", "utf-8", "utf8", "us-ascii", "ascii")
+_UTF8_NAMES = ("", "utf-8", "utf8")
+_ASCII_NAMES = ("us-ascii", "ascii")
 _LATIN1_NAMES = ("iso-8859-1", "iso8859-1", "latin1", "latin-1")
 _WINDOWS_NAMES = ("windows-1252", "cp1252")
 # Windows-1252 is Latin-1 but for these code points, which Latin-1 gives to control characters.
 _WINDOWS_CODES = [i for i in range(0x80, 0xA0) if bytes([i]).decode("cp1252", "ignore")]
 _WINDOWS_FROM = "".join(map(chr, _WINDOWS_CODES))
 _WINDOWS_TO = bytes(_WINDOWS_CODES).decode("cp1252")
+# UTF-16 is told by its byte order mark, never by a declaration (those are read in lower case).
+# Spark's decoder fails the job on half a surrogate pair, so the bytes, as hex digits, are
+# searched for one first.
+_UTF16 = "UTF-16"
+_BYTE_ORDER_MARKS = ("FEFF", "FFFE")
+_HALF_PAIRS = (
+    "^(?:.{4})*?(?:D[89AB]..(?!D[C-F])|(?<!D[89AB]..)D[C-F])",
+    "^(?:.{4})*?(?:..D[89AB](?!..D[C-F])|(?<!..D[89AB])..D[C-F])",
+)
 
 # The text is parsed as the content of this element, which shows what stands beside the root.
 _WRAPPER = "invoice-file"
 
 
-def parse_invoices(files: DataFrame, now: str = "current_timestamp()") -> DataFrame:
+def parse_invoices(
+    files: DataFrame,
+    now: str = "current_timestamp()",
+    sections: tuple[str, ...] | None = None,
+) -> DataFrame:
     """(path, content) -> (path, source_file, error, document).
 
     `error` is null and `document` filled for a readable file; otherwise `error` names the
-    reason and `document` is null. `now` is the ingestion time, a SQL expression.
+    reason and `document` is null. `now` is the ingestion time, a SQL expression. `sections`
+    limits the documents to what the caller reads; the files are checked in full all the same.
     """
-    texts = files.selectExpr(
-        "path",
-        f"{_DECLARED} AS encoding",
-        f"regexp_replace({_DECODED}, {literal(_DECLARATION)}, '') AS body",
+    nodes = contract.xml_schema(sections)
+    texts = files.selectExpr("path", "content", f"{_DECLARED} AS encoding").selectExpr(
+        "path", "encoding", f"regexp_replace({_DECODED}, {literal(_DECLARATION)}, '') AS body"
     )
     wrapped = F.expr(f"concat('<{_WRAPPER}>', body, '</{_WRAPPER}>')")
-    parsed = evaluate_once(texts, "path", "encoding", "body", xml=_from_xml(wrapped))
-    parsed = evaluate_once(parsed, "path", broken=_TEXT_ERROR, invoices=_invoices())
-    return _documents(parsed, now)
+    parsed = evaluate_once(texts, "path", "encoding", "body", xml=_from_xml(wrapped, nodes))
+    parsed = evaluate_once(parsed, "path", broken=_TEXT_ERROR, invoices=_invoices(nodes))
+    return _documents(parsed, now, sections)
 
 
 def good_documents(parsed: DataFrame) -> DataFrame:
@@ -75,38 +90,49 @@ def _one_of(c: str, names: tuple[str, ...]) -> str:
     return f"{c} IN ({', '.join(map(literal, names))})"
 
 
-_DECLARED = (
-    f"lower(regexp_extract(decode(substring(content, 1, 256), 'ISO-8859-1'), "
-    f"{literal(_DECLARED_ENCODING)}, 1))"
-)
+_START = "hex(substring(content, 1, 2))"
+_DECLARED = f"""if({_one_of(_START, _BYTE_ORDER_MARKS)}, '{_UTF16}', lower(regexp_extract(
+    decode(substring(content, 1, 256), 'ISO-8859-1'), {literal(_DECLARED_ENCODING)}, 1)))"""
+_KNOWN_ENCODINGS = (*_UTF8_NAMES, *_ASCII_NAMES, *_LATIN1_NAMES, *_WINDOWS_NAMES, _UTF16)
 
-# Text of a file by its declared encoding; null if unknown or not valid in it.
+# Text of a file by its encoding; null if the encoding is unknown or the bytes not valid in it.
+_UTF8_TEXT = "try_validate_utf8(CAST(content AS STRING))"
 _DECODED = f"""CASE
-    WHEN {_one_of(_DECLARED, _UTF8_NAMES)} THEN try_validate_utf8(CAST(content AS STRING))
-    WHEN {_one_of(_DECLARED, _LATIN1_NAMES)} THEN decode(content, 'ISO-8859-1')
-    WHEN {_one_of(_DECLARED, _WINDOWS_NAMES)} THEN
+    WHEN {_one_of("encoding", _UTF8_NAMES)} THEN {_UTF8_TEXT}
+    WHEN {_one_of("encoding", _LATIN1_NAMES)} THEN decode(content, 'ISO-8859-1')
+    WHEN {_one_of("encoding", _WINDOWS_NAMES)} THEN
         translate(decode(content, 'ISO-8859-1'), {literal(_WINDOWS_FROM)}, {literal(_WINDOWS_TO)})
+    WHEN {_one_of("encoding", _ASCII_NAMES)} THEN
+        if(octet_length(content) = char_length({_UTF8_TEXT}), {_UTF8_TEXT}, NULL)
+    WHEN encoding = '{_UTF16}' AND octet_length(content) % 2 = 0 AND NOT hex(content) RLIKE
+        if({_START} = '{_BYTE_ORDER_MARKS[0]}', '{_HALF_PAIRS[0]}', '{_HALF_PAIRS[1]}')
+        THEN decode(content, 'UTF-16')
     END"""
 
+# Whether a prefix is used but nowhere declared; Spark's parser takes no notice of prefixes.
+_MARKUP = f"regexp_replace(body, {literal(_NOT_MARKUP)}, '')"
+_UNBOUND_PREFIX = f"""body RLIKE '<[\\\\w.-]+:' AND size(array_except(
+    regexp_extract_all({_MARKUP}, {literal(r"<([\w.-]+):")}, 1),
+    array_append(regexp_extract_all({_MARKUP}, {literal(r"xmlns:([\w.-]+)\s*=")}, 1), 'xml'))) > 0"""
+
 # Why a file's text cannot be read, null if it can. Spark's parser stops at the end of the first
 # element, so a second root or text beside the root must be looked for: exactly one element may
 # stand in the wrapper, and nothing else.
 _TEXT_ERROR = f"""CASE
-    WHEN NOT {_one_of("encoding", (*_UTF8_NAMES, *_LATIN1_NAMES, *_WINDOWS_NAMES))}
-        THEN '{UNSUPPORTED_ENCODING}'
+    WHEN NOT {_one_of("encoding", _KNOWN_ENCODINGS)} THEN '{UNSUPPORTED_ENCODING}'
     WHEN body IS NULL THEN '{INVALID_ENCODING}'
     WHEN xml IS NULL OR xml.corrupt IS NOT NULL
         OR coalesce(size(xml.nfeProc), 0) + coalesce(size(xml.NFe), 0) + coalesce(size(xml.other), 0) <> 1
         OR {strip("xml.beside")} <> ''
         OR NOT body RLIKE '^[ \\t\\r\\n]*<'
         OR contains(body, '{_WRAPPER}')
+        OR {_UNBOUND_PREFIX}
         THEN '{MALFORMED_XML}'
     END"""
 
 
-def _file_schema() -> T.StructType:
+def _file_schema(nodes: T.StructType) -> T.StructType:
     """What can stand in a file: an invoice with or without its envelope, or anything else."""
-    nodes = contract.xml_schema()
     return T.StructType([
         T.StructField("nfeProc", T.ArrayType(nodes)),
         T.StructField("NFe", nodes["NFe"].dataType),
@@ -116,8 +142,8 @@ def _file_schema() -> T.StructType:
     ])
 
 
-def _from_xml(text: Column) -> Column:
-    return F.from_xml(text, _file_schema(), {
+def _from_xml(text: Column, nodes: T.StructType) -> Column:
+    return F.from_xml(text, _file_schema(nodes), {
         "ignoreNamespace": "true",
         "ignoreSurroundingSpaces": "false",
         "wildcardColName": "other",
@@ -126,20 +152,20 @@ def _from_xml(text: Column) -> Column:
     })
 
 
-def _invoices() -> Column:
+def _invoices(nodes: T.StructType) -> Column:
     """The root's invoice nodes (NFe and protNFe), wherever in the document they stand.
 
     Null if the document does not name the invoice namespace: none of its elements is an
     invoice's then.
     """
-    protocol = contract.xml_schema()["protNFe"].dataType.simpleString()
+    protocol = nodes["protNFe"].dataType.simpleString()
     bare = f"named_struct('NFe', xml.NFe, 'protNFe', CAST(NULL AS {protocol}))"
     direct = F.expr(f"if(xml.NFe IS NOT NULL, {bare}, get(xml.nfeProc, 0))")
-    found = F.when(F.expr("xml.other IS NULL"), direct).otherwise(_nested_invoices())
+    found = F.when(F.expr("xml.other IS NULL"), direct).otherwise(_nested_invoices(nodes))
     return F.when(F.expr(f"body RLIKE {literal(_NAMESPACE_BOUND)}"), found)
 
 
-def _nested_invoices() -> Column:
+def _nested_invoices(nodes: T.StructType) -> Column:
     """Invoice nodes below another root: cut out of the text and parsed on their own.
 
     An invoice element that is itself the root does not count. Only documents with a foreign
@@ -157,9 +183,8 @@ def _nested_invoices() -> Column:
     )
     mentioned = literal(rf"<{_PREFIX}(infNFe|protNFe)\b")
     is_root = f"regexp_extract(body, {literal(_ROOT_NAME)}, 1) IN ('infNFe', 'protNFe')"
-    return F.when(
-        F.expr(f"body RLIKE {mentioned} AND NOT {is_root}"), F.get(_from_xml(inner).nfeProc, F.lit(0))
-    )
+    found = F.expr(f"body RLIKE {mentioned} AND NOT {is_root}")
+    return F.when(found, F.get(_from_xml(inner, nodes).nfeProc, F.lit(0)))
 
 
 def _children(parents: str, path: str) -> str:
@@ -186,8 +211,6 @@ _READERS = {"string": blank_to_null, "double": read_float, "int": read_int}
 def _section_texts(s: contract.Section) -> str:
     """A section's texts, stripped, under the contract's names or those of taxpayer documents."""
     texts = {f.name: _leaf(s.name, f.xml) for f in s.fields if f.xml}
-    if s.name == "protocolo":
-        texts["chNFe"] = _leaf(s.name, "chNFe")
     if any(f.name == "documento" for f in s.fields):
         texts |= {kind: _leaf(s.name, kind) for kind in contract.TAXPAYER_DOCUMENTS}
     return _record(texts)
@@ -222,19 +245,17 @@ def _record(values: dict[str, str]) -> str:
     return f"named_struct({', '.join(f'{literal(k)}, {v}' for k, v in values.items())})"
 
 
-def _documents(parsed: DataFrame, now: str) -> DataFrame:
+def _documents(parsed: DataFrame, now: str, sections: tuple[str, ...] | None) -> DataFrame:
+    wanted = contract.sections_of(sections)
     nodes = parsed.selectExpr(
         "path", "broken", f"{basename('path')} AS source_file",
-        f"{_children('invoices.NFe', 'infNFe')} AS inf", "invoices.protNFe AS protNFe",
+        f"{_children('invoices.NFe', 'infNFe')} AS infNFe", "invoices.protNFe AS protNFe",
     ).selectExpr(
         "path", "broken", "source_file",
-        f"{_first('inf')}._Id AS id",
-        f"{_children('inf', 'det')} AS det",
-        *(
-            f"{_first(_children(root, path))} AS {s.name}"
-            for s in contract.SECTIONS
-            for root, path in [(s.node.partition("/")[0].replace("infNFe", "inf"), s.node.partition("/")[2])]
-        ),
+        f"{_first('infNFe')}._Id AS id",
+        f"{_first(_children('protNFe', 'infProt'))} AS protocol",
+        f"{_children('infNFe', 'det')} AS det",
+        *(f"{_first(_children(*s.node.split('/', 1)))} AS {s.name}" for s in wanted),
     )
     number = "coalesce(d._nItem, '')"
     error = f"""coalesce(broken, if(
@@ -242,16 +263,18 @@ def _documents(parsed: DataFrame, now: str) -> DataFrame:
         '{INVALID_ITEM_NUMBER}', NULL))"""
     texts = nodes.selectExpr(
         "path", "source_file", f"{error} AS error", "id", "det",
-        *(f"{_section_texts(s)} AS {s.name}" for s in contract.SECTIONS),
+        f"{_leaf('protocol', 'chNFe')} AS key",
+        *(f"{_section_texts(s)} AS {s.name}" for s in wanted),
     )
     fallback = f"if(id <> '', {remove_first('id', 'NFe')}, NULL)"
-    document = _record({
+    fields = {
         "source_file": "source_file",
         "ingestion_ts": utc_seconds(now),
-        "chave_nfe": f"coalesce({blank_to_null('protocolo.chNFe')}, {fallback})",
-        **{s.name: _section(s) for s in contract.SECTIONS},
-        "itens": f"coalesce({_items()}, array())",
-    })
+        "chave_nfe": f"coalesce({blank_to_null('key')}, {fallback})",
+        **{s.name: _section(s) for s in wanted},
+    }
+    if sections is None or contract.ITEMS.name in sections:
+        fields[contract.ITEMS.name] = f"coalesce({_items()}, array())"
     return texts.selectExpr(
-        "path", "source_file", "error", f"if(error IS NULL, {document}, NULL) AS document"
+        "path", "source_file", "error", f"if(error IS NULL, {_record(fields)}, NULL) AS document"
     )

@@ -16,11 +16,10 @@ def invoice_xml(document: str, sections: tuple[str, ...] | None = None) -> str:
     """
     paths = {"@xmlns": literal(contract.NAMESPACE)}
     paths["NFe/infNFe/@Id"] = f"concat('NFe', {document}.chave_nfe)"
-    for s in contract.SECTIONS:
-        if sections is None or s.name in sections:
-            node = s.node if s.node.startswith("protNFe") else "NFe/" + s.node
-            for path, value in _values(f"{document}.{s.name}", s).items():
-                paths[f"{node}/{path}"] = value
+    for s in contract.sections_of(sections):
+        node = s.node if s.node.startswith("protNFe") else "NFe/" + s.node
+        for path, value in _values(f"{document}.{s.name}", s).items():
+            paths[f"{node}/{path}"] = value
     if sections is None or "itens" in sections:
         line = _nested(_values("i", contract.ITEMS))
         paths["NFe/infNFe/det"] = f"transform({document}.itens, i -> {line})"

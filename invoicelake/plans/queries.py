@@ -182,7 +182,7 @@ def _xml_files(
 
 def q_source_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = limit_files(_xml_files(spark, sf_dir, ("header", "protocolo")), SOURCE_LIMIT)
-    return parse_invoices(files).select(
+    return parse_invoices(files, sections=("header",)).select(
         "path",
         F.col("document.chave_nfe").alias("chave_nfe"),
         F.col("document.header.data_emissao").alias("data_emissao"),
@@ -208,7 +208,8 @@ def _as_found(xml: Column) -> Column:
 
 def q_xml_parse_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections = ("header", "emitente", "destinatario", "totais", "protocolo")
-    parsed = good_documents(parse_invoices(_xml_files(spark, sf_dir, sections, _as_found)))
+    files = _xml_files(spark, sf_dir, sections, _as_found)
+    parsed = good_documents(parse_invoices(files, sections=sections))
     data = parsed.select(
         F.col("document").alias("data"),
         *(F.lit(None).alias(name) for name in ("topic", *_VOLATILE) if name != "ingestion_ts"),
@@ -217,7 +218,8 @@ def q_xml_parse_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_xml_parse_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = good_documents(parse_invoices(_xml_files(spark, sf_dir, ("itens",))))
+    files = _xml_files(spark, sf_dir, ("itens",))
+    parsed = good_documents(parse_invoices(files, sections=("itens",)))
     data = parsed.select(
         F.col("document").alias("data"),
         *(F.lit(None).alias(name) for name in ("topic", *_VOLATILE) if name != "ingestion_ts"),
@@ -247,7 +249,7 @@ def _recipient_documents(xml: Column) -> Column:
 
 def q_xml_document_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _xml_files(spark, sf_dir, ("header", "destinatario"), _recipient_documents)
-    return parse_invoices(files).select(
+    return parse_invoices(files, sections=("destinatario",)).select(
         "source_file",
         F.col("document.destinatario.documento").alias("dest_documento"),
         F.col("document.destinatario.tipo_documento").alias("dest_tipo_documento"),
@@ -272,7 +274,7 @@ def _access_keys(xml: Column) -> Column:
 
 def q_xml_access_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _xml_files(spark, sf_dir, ("header", "protocolo"), _access_keys)
-    keys = encode_messages(good_documents(parse_invoices(files)))
+    keys = encode_messages(good_documents(parse_invoices(files, sections=())))
     return keys.select(
         F.col("key").alias("message_key"),
         F.get_json_object("value", "$.chave_nfe").alias("chave_nfe"),
@@ -292,7 +294,7 @@ def _damaged(xml: Column) -> Column:
 
 
 def _parsed_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_invoices(_xml_files(spark, sf_dir, ("header", "itens"), _damaged))
+    return parse_invoices(_xml_files(spark, sf_dir, ("header", "itens"), _damaged), sections=())
 
 
 def q_xml_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,12 +49,12 @@ def parse(spark):
     """Parse {name: text or bytes} in one job; returns {name: row of (error, document)}."""
     from invoicelake.operators.xml_parse import parse_invoices
 
-    def run(documents, now="timestamp'2024-05-06 07:08:09.5Z'"):
+    def run(documents, now="timestamp'2024-05-06 07:08:09.5Z'", sections=None):
         rows = [
             (f"file:/in/{name}", text.encode() if isinstance(text, str) else text)
             for name, text in documents.items()
         ]
         files = spark.createDataFrame(rows, "path string, content binary")
-        return {row.source_file: row for row in parse_invoices(files, now).collect()}
+        return {row.source_file: row for row in parse_invoices(files, now, sections).collect()}
 
     return run

@@ -32,6 +32,9 @@ GOOD = {
     "bom": b"\xef\xbb\xbf" + ('<?xml version="1.0" encoding="utf-8"?>' + invoice(ide="<natOp>é</natOp>")).encode(),
     "latin1": ('<?xml version="1.0" encoding="ISO-8859-1"?>' + invoice(ide="<natOp>ação</natOp>")).encode("latin-1"),
     "windows": ('<?xml version="1.0" encoding="windows-1252"?>' + invoice(ide="<natOp>5€ ação</natOp>")).encode("cp1252"),
+    "ascii": b'<?xml version="1.0" encoding="US-ASCII"?>' + invoice().encode(),
+    "utf16": ('<?xml version="1.0" encoding="UTF-16"?>' + invoice(ide="<natOp>ação \U0001f600</natOp>")).encode("utf-16"),
+    "utf16_be": b"\xfe\xff" + invoice(ide="<natOp>ação \U0001f600</natOp>").encode("utf-16-be"),
     "no_protocol": invoice(key=None, id_='Id="NFe42"'),
     "empty_key": invoice(key="<chNFe/>", id_='Id="NFe1NFe2"'),
     "blank_key": invoice(key="<chNFe> </chNFe>", id_='Id="9"'),
@@ -66,6 +69,7 @@ GOOD = {
     "batch": f'<enviNFe xmlns="{NS}"><idLote>1</idLote><NFe><infNFe Id="NFeA"><ide><nNF>1</nNF></ide>{det()}</infNFe></NFe>'
              f'<NFe><infNFe Id="NFeB"/></NFe></enviNFe>',
     "unrelated": "<a><b/></a>",
+    "prefix_in_text": invoice(ide="<nNF><![CDATA[<x:y>]]></nNF>") + "<!-- <x:y> -->",
     "comments_around": "<!-- a -->\n" + invoice() + "\n<!-- b -->\n<?pi x?>\n",
     "address_split": invoice(emit="<emit><enderEmit><UF>SP</UF></enderEmit><enderEmit><xMun>M</xMun></enderEmit></emit>"),
     "sub dir/x 1.xml": invoice(),
@@ -115,6 +119,7 @@ def test_all_fields(good):
 
 @pytest.mark.parametrize("name, text", [
     ("bom", "é"), ("latin1", "ação"), ("windows", "5€ ação"),
+    ("utf16", "ação \U0001f600"), ("utf16_be", "ação \U0001f600"),
 ])
 def test_encodings(good, name, text):
     assert good[name].header.natureza_operacao == text
@@ -188,6 +193,19 @@ def test_roots(good):
     assert good["deep_prefixed"].header.numero_nota == "6"
 
 
+@pytest.mark.parametrize("sections", [(), ("totais",), ("destinatario", "itens"), ("protocolo",)])
+def test_sections_narrow_the_documents_only(parse, sections):
+    documents = {k: v for docs in (GOOD, *BAD.values()) for k, v in docs.items()}
+    full, narrow = parse(documents), parse(documents, sections=sections)
+    kept = ["source_file", "ingestion_ts", "chave_nfe", *sections]
+    for name, row in full.items():
+        assert narrow[name].error == row.error
+        if row.document:
+            assert sorted(narrow[name].document.asDict()) == sorted(kept)
+            for field in kept:
+                assert repr(narrow[name].document[field]) == repr(row.document[field])
+
+
 def test_source_file_is_the_base_name(good):
     assert good["x 1.xml"].source_file == "x 1.xml"
 
@@ -200,14 +218,22 @@ BAD = {
         "two_roots": invoice() + invoice(), "ampersand": invoice(ide="<nNF>a & b</nNF>"),
         "late_declaration": " " + '<?xml version="1.0"?>' + invoice(),
         "entities": '<!DOCTYPE a [<!ENTITY e "x">]>' + invoice(ide="<nNF>&e;</nNF>"),
+        "unbound_prefix": invoice().replace("infNFe", "n:infNFe"),
         "wrapper": "</invoice-file><invoice-file>" + invoice(),
     },
     "invalid_item_number": {
         "letter": invoice(det=det('nItem="x"')), "decimal": invoice(det=det('nItem="5.7"')),
         "blank_number": invoice(det=det('nItem=" "')), "second": invoice(det=det() + det('nItem="x"')),
     },
-    "invalid_encoding": {"utf8": invoice(ide="<nNF>é</nNF>").encode("latin-1")},
+    "invalid_encoding": {
+        "utf8": invoice(ide="<nNF>é</nNF>").encode("latin-1"),
+        "not_ascii": ('<?xml version="1.0" encoding="ascii"?>' + invoice(ide="<nNF>é</nNF>")).encode(),
+        "odd_utf16": invoice().encode("utf-16") + b"x",
+        "high_half": invoice(ide="<nNF>\ud83d</nNF>").encode("utf-16", "surrogatepass"),
+        "low_half": b"\xfe\xff" + invoice(ide="<nNF>\ude00</nNF>").encode("utf-16-be", "surrogatepass"),
+    },
     "unsupported_encoding": {
+        "not_utf16": b'<?xml version="1.0" encoding="UTF-16"?><a/>',
         "ebcdic": b'<?xml version="1.0" encoding="cp500"?><a/>',
     },
 }
