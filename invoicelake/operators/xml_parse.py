@@ -111,7 +111,7 @@ _DECODED = f"""CASE
 
 # Whether a prefix is used but nowhere declared; Spark's parser takes no notice of prefixes.
 _MARKUP = f"regexp_replace(body, {literal(_NOT_MARKUP)}, '')"
-_UNBOUND_PREFIX = f"""body RLIKE '<[\\\\w.-]+:' AND size(array_except(
+_UNBOUND_PREFIX = f"""body RLIKE '<[\\\\w.-]+:' AND array_size(array_except(
     regexp_extract_all({_MARKUP}, {literal(r"<([\w.-]+):")}, 1),
     array_append(regexp_extract_all({_MARKUP}, {literal(r"xmlns:([\w.-]+)\s*=")}, 1), 'xml'))) > 0"""
 
@@ -122,7 +122,7 @@ _TEXT_ERROR = f"""CASE
     WHEN NOT {_one_of("encoding", _KNOWN_ENCODINGS)} THEN '{UNSUPPORTED_ENCODING}'
     WHEN body IS NULL THEN '{INVALID_ENCODING}'
     WHEN xml IS NULL OR xml.corrupt IS NOT NULL
-        OR coalesce(size(xml.nfeProc), 0) + coalesce(size(xml.NFe), 0) + coalesce(size(xml.other), 0) <> 1
+        OR coalesce(array_size(xml.nfeProc), 0) + coalesce(array_size(xml.NFe), 0) + coalesce(array_size(xml.other), 0) <> 1
         OR {strip("xml.beside")} <> ''
         OR NOT body RLIKE '^[ \\t\\r\\n]*<'
         OR contains(body, '{_WRAPPER}')

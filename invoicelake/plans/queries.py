@@ -147,7 +147,7 @@ def q_layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = bronze.select(data.alias("data")).agg(
         F.count("*").alias("bronze_nfe_json"),
         F.count("data").alias("silver_nfe_header"),
-        F.coalesce(F.sum(F.greatest(F.size("data.itens"), F.lit(0))), F.lit(0))
+        F.coalesce(F.sum(F.array_size("data.itens")), F.lit(0))
         .cast("bigint").alias("silver_nfe_item"),
     )
     return counts.unpivot([], counts.columns, "layer", "row_count")

@@ -212,7 +212,7 @@ def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 _HEADER = """struct(
     CAST(o_orderkey AS STRING) AS numero_nota,
     '1' AS serie,
-    concat(date_format(o_orderdate, "yyyy-MM-dd'T'HH:mm:ss"), '-03:00') AS data_emissao,
+    concat(replace(left(CAST(o_orderdate AS STRING), 19), ' ', 'T'), '-03:00') AS data_emissao,
     CAST(NULL AS STRING) AS data_saida_entrada,
     o_orderpriority AS natureza_operacao,
     o_orderstatus AS tipo_nota,

@@ -48,6 +48,20 @@ def test_query(spark, name):
     assert_same(entry.queries()[name](spark, SF_DIR), database(SF_DIR), entry.oracle_sql()[name])
 
 
+@needs_tables
+@pytest.mark.parametrize("name", ["xml_parse_header", "xml_quarantine", "json_parse_malformed", "layer_row_counts"])
+def test_query_under_other_settings(spark, name):
+    changed = {"spark.sql.ansi.enabled": "false", "spark.sql.session.timeZone": "America/Sao_Paulo"}
+    before = {key: spark.conf.get(key) for key in changed}
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        assert_same(entry.queries()[name](spark, SF_DIR), database(SF_DIR), entry.oracle_sql()[name])
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 @pytest.fixture(scope="module")
 def skewed(tmp_path_factory):
     """The tables with a third of all lines on one order, of orders on one customer, and copies."""

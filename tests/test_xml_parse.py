@@ -244,3 +244,20 @@ def test_unreadable_files(parse):
     rows = parse({name: text for docs in BAD.values() for name, text in docs.items()})
     assert {name: r.error for name, r in rows.items()} == expected
     assert all(r.document is None for r in rows.values())
+
+
+def test_session_settings_do_not_matter(spark, parse):
+    documents = {k: v for docs in (GOOD, *BAD.values()) for k, v in docs.items()}
+    expected = parse(documents)
+    changed = {
+        "spark.sql.ansi.enabled": "false", "spark.sql.session.timeZone": "America/Sao_Paulo",
+        "spark.sql.adaptive.enabled": "false", "spark.sql.codegen.wholeStage": "false",
+    }
+    before = {name: spark.conf.get(name) for name in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        assert repr(parse(documents)) == repr(expected)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
