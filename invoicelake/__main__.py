@@ -1,4 +1,4 @@
-"""Command line for spark-submit: `publish`, `layers`, `analytics`, `run`."""
+"""Command line for spark-submit: `publish`, `layers`, `analytics`, `run`, `inspect`."""
 
 from __future__ import annotations
 
@@ -7,7 +7,9 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from invoicelake import contract
 from invoicelake.plans import jobs
+from invoicelake.plans.tables import list_tables, preview, row_counts
 from invoicelake.sources.messages import KafkaTopic, MessageLog
 
 # Failed files named in the summary; all of them are in the quarantine DataFrame.
@@ -16,7 +18,7 @@ SHOWN_FAILURES = 100
 
 def arguments(argv: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="invoicelake", description=__doc__)
-    parser.add_argument("job", choices=("publish", "layers", "analytics", "run"))
+    parser.add_argument("job", choices=("publish", "layers", "analytics", "run", "inspect"))
     parser.add_argument("--topic", help="topic to publish to and to read from")
     parser.add_argument("--bootstrap-servers", default="kafka:9092")
     parser.add_argument("--log-path", help="keep the topic as Parquet files here instead of in Kafka")
@@ -26,7 +28,7 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--master", help="Spark master; left to spark-submit by default")
     parser.add_argument("--strict", action="store_true", help="drop unreadable messages")
     args = parser.parse_args(argv)
-    if args.job != "analytics" and not args.topic:
+    if args.job in ("publish", "layers", "run") and not args.topic:
         parser.error("--topic is required")
     if args.job in ("publish", "run") and not args.xml_dir:
         parser.error("--xml-dir is required")
@@ -35,6 +37,19 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     return args
 
 
+def inspect(spark: SparkSession, db: str) -> None:
+    """Print the tables there are, the size of the first layers and some rows of the results."""
+    found = list_tables(spark, db)
+    print(*found, sep="\n")
+    counted = tuple(t for t in (contract.BRONZE, contract.SILVER_HEADER, contract.SILVER_ITEM) if t in found)
+    if counted:
+        row_counts(spark, db, counted).show(truncate=False)
+    for table in found:
+        if table not in counted:
+            print(table)
+            preview(spark, db, table).show(truncate=False)
+
+
 def main(argv: list[str]) -> int:
     args = arguments(argv)
     builder = SparkSession.builder.appName(f"invoicelake-{args.job}")
@@ -56,6 +71,8 @@ def main(argv: list[str]) -> int:
                 print(f"no message in {args.topic}")
         if args.job == "analytics":
             rows = jobs.build_analytics(spark, args.db)
+        if args.job == "inspect":
+            inspect(spark, args.db)
     except jobs.NothingToPublish as nothing:
         print(nothing, file=sys.stderr)
         return 1

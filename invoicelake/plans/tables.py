@@ -37,6 +37,11 @@ def row_counts(spark: SparkSession, db: str, tables: tuple[str, ...]) -> DataFra
     return out
 
 
+def preview(spark: SparkSession, db: str, table: str, rows: int = 20) -> DataFrame:
+    """Some rows of a table; only as many of its files are read as it takes."""
+    return spark.table(f"{db}.{table}").limit(rows)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written once and read back, for results that several jobs need.
 

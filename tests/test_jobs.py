@@ -207,11 +207,14 @@ def test_command_line(spark, xml_dir, tmp_path, db, capsys):
     assert main(["run", "--xml-dir", xml_dir, *common]) == 0
     assert main(["layers", *common]) == 0
     assert main(["analytics", "--db", db]) == 0
+    assert main(["inspect", "--db", db]) == 0
     out = capsys.readouterr().out
     assert "published: 3, failed: 1" in out
     assert "broken.xml: malformed_xml" in out
     assert f"{db}.silver_nfe_item: 3" in out
     assert f"{db}.analytics_05_tributos_emitente: 1" in out
+    assert "|silver_nfe_item  |3" in out
+    assert "|P             |p                |3.3" in out
     (tmp_path / "none").mkdir()
     assert main(["publish", "--xml-dir", str(tmp_path / "none"), *common]) == 1
 
