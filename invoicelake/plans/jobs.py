@@ -13,7 +13,7 @@ from invoicelake.operators.silver import silver_header, silver_item
 from invoicelake.operators.xml_parse import good_documents, parse_invoices, quarantine
 from invoicelake.plans.tables import create_database, overwrite_table, staged
 from invoicelake.sources.messages import KafkaTopic, MessageLog
-from invoicelake.sources.xml_files import xml_files
+from invoicelake.sources.xml_files import packed_small_files, xml_files
 
 Topic = KafkaTopic | MessageLog
 
@@ -43,7 +43,8 @@ def publish(
     files = xml_files(spark, xml_dir, limit)
     if files.select("path").isEmpty():
         raise NothingToPublish(f"no XML file in {xml_dir}")
-    parsed = staged(parse_invoices(files), f"parsed_{topic.topic}")
+    with packed_small_files(spark):
+        parsed = staged(parse_invoices(files), f"parsed_{topic.topic}")
     counts = parsed.agg(F.count("*").alias("files"), F.count("error").alias("failed")).first()
     summary = PublishSummary(counts.files - counts.failed, counts.failed, quarantine(parsed))
     if summary.published == 0:

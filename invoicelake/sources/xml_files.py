@@ -2,17 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Up to this many files a limited read lists them by name, so that only they are opened.
 PRUNED_READ_MAX = 10_000
 
+# Spark counts each file as at least this many bytes when it packs files into tasks. Its default
+# of 4 MB suits big files and gives a task some thirty; of invoices a task can take thousands.
+_OPEN_COST = "spark.sql.files.openCostInBytes"
+_DEFAULT_OPEN_COSTS = ("4194304", "4194304b", "4MB")
+INVOICE_OPEN_COST = "64k"
+
+
+@contextmanager
+def packed_small_files(spark: SparkSession) -> Iterator[None]:
+    """Read XML files in here with thousands of them per task; a setting of the user's own stays."""
+    before = spark.conf.get(_OPEN_COST)
+    if before not in _DEFAULT_OPEN_COSTS:
+        yield
+        return
+    spark.conf.set(_OPEN_COST, INVOICE_OPEN_COST)
+    try:
+        yield
+    finally:
+        spark.conf.set(_OPEN_COST, before)
+
 
 def xml_files(spark: SparkSession, xml_dir: str, limit: int | None = None) -> DataFrame:
     """All `*.xml` files below `xml_dir`; with `limit`, the first ones in path order.
 
-    Spark packs small files into tasks by `spark.sql.files.maxPartitionBytes` and
-    `spark.sql.files.openCostInBytes`; nothing is repartitioned here.
+    Spark packs the files into tasks, see `packed_small_files`; nothing is repartitioned here.
     """
     files = (
         spark.read.format("binaryFile")

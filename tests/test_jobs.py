@@ -12,7 +12,7 @@ from invoicelake.__main__ import arguments, main
 from invoicelake.plans import jobs
 from invoicelake.plans.tables import list_tables, overwrite_table, row_counts, staged
 from invoicelake.sources.messages import KafkaTopic, MessageLog
-from invoicelake.sources.xml_files import limit_files, xml_files
+from invoicelake.sources.xml_files import limit_files, packed_small_files, xml_files
 from invoicelake.streaming.bronze import update_layers
 
 _names = itertools.count()
@@ -74,6 +74,24 @@ def test_limited_read_opens_only_the_wanted_files(spark, xml_dir):
     assert scan.metrics().apply("numFiles").value() == 2
 
 
+def test_small_files_share_tasks(spark, tmp_path):
+    for i in range(200):
+        write(tmp_path / f"{i:03}.xml", invoice())
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+    apart = xml_files(spark, str(tmp_path)).rdd.getNumPartitions()
+    with packed_small_files(spark):
+        packed = xml_files(spark, str(tmp_path)).rdd.getNumPartitions()
+    assert packed <= spark.sparkContext.defaultParallelism + 1 < apart
+    assert spark.conf.get(key) == before
+    try:
+        spark.conf.set(key, "1m")
+        with packed_small_files(spark):
+            assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_negative_limit(spark, xml_dir):
     with pytest.raises(ValueError):
         xml_files(spark, xml_dir, -1)
