@@ -81,9 +81,10 @@ def order_documents(
     if want("protocolo"):
         parts["protocolo"] = _PROTOCOL
     # Writing and reading a document costs far more than moving its row, so the rows are spread
-    # by order first: the joins before may have left few partitions, or a big customer's in one.
-    # Where the last join already was by order, Spark leaves this shuffle out.
-    docs = docs.repartition("o_orderkey")
+    # first: the joins before may have left few partitions, or a big customer's in one. By order
+    # this shuffle is left out where the last join was by order, too; otherwise the rows go round,
+    # so that copies of an order do not meet either.
+    docs = docs.hint("rebalance") if per_order is None else docs.repartition("o_orderkey")
 
     documents = docs.selectExpr(*_document("o_orderkey", parts, sections))
     if continuations is not None:
@@ -130,7 +131,7 @@ def _oversized_orders(orders: DataFrame, lines: DataFrame, limit: int) -> DataFr
     sizes = lines.groupBy("l_orderkey").agg(F.count("*").alias("n")).where(F.col("n") > limit)
     oversized = sizes.select(
         "l_orderkey", F.ceil(F.col("n") / F.lit(limit)).alias("invoices")
-    ).join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    ).join(orders.select(F.col("o_orderkey").alias("l_orderkey")).distinct(), "l_orderkey", "left_semi")
     found = sizes.limit(BROADCAST_ORDERS_MAX + 1).count()
     if found == 0:
         return None

@@ -3,7 +3,8 @@
 The batch job reads the topic from its beginning each time. Here the same projection runs over
 the same source as a stream that stops when it has caught up; its checkpoint remembers the
 offsets and the file sink commits each micro-batch once, so a lost executor or a repeated run
-neither loses nor repeats a message.
+neither loses nor repeats a message. A database is filled either this way or by the batch job,
+which would replace the bronze table the stream appends to.
 """
 
 from __future__ import annotations

@@ -64,7 +64,8 @@ def test_query_under_other_settings(spark, name):
 
 @pytest.fixture(scope="module")
 def skewed(tmp_path_factory):
-    """The tables with a third of all lines on one order, of orders on one customer, and copies."""
+    """The tables with a third of all lines on one order, a third of orders on one customer, and
+    many copies of one line and of one order."""
     folder = tmp_path_factory.mktemp("skewed")
     con = database(SF_DIR)
     hot = "CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_orderkey END"
@@ -74,6 +75,7 @@ def skewed(tmp_path_factory):
     ) TO '{folder}/lineitem.parquet' (FORMAT parquet)""")
     con.execute(f"""COPY (
         SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS o_custkey) FROM orders
+        UNION ALL SELECT o.* FROM (SELECT * FROM orders WHERE o_orderkey = 5) o, range(700)
     ) TO '{folder}/orders.parquet' (FORMAT parquet)""")
     for name in TABLES:
         if name not in ("lineitem", "orders"):
@@ -98,8 +100,11 @@ def test_no_document_grows_with_its_order(spark, skewed, monkeypatch, broadcast_
     assert max(r.n for r in sizes) < 1.6 * limit
     con = database(skewed)
     expected = con.execute("""
-        SELECT CAST(o_orderkey AS VARCHAR), count(l_orderkey), greatest(1, ceil(count(l_orderkey) / 100.0))
-        FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey""").fetchall()
+        SELECT CAST(o_orderkey AS VARCHAR), copies * n, copies * greatest(1, ceil(n / 100.0))
+        FROM (SELECT o_orderkey, count(*) AS copies FROM orders GROUP BY o_orderkey)
+        JOIN (SELECT o_orderkey, count(l_orderkey) AS n
+              FROM (SELECT DISTINCT o_orderkey FROM orders) LEFT JOIN lineitem ON o_orderkey = l_orderkey
+              GROUP BY o_orderkey) USING (o_orderkey)""").fetchall()
     lines, invoices = {}, {}
     for r in sizes:
         lines[r.key] = lines.get(r.key, 0) + r.n
