@@ -10,8 +10,8 @@ _CONTINUATIONS = f"""
     continuation AS (
         SELECT l_orderkey, unnest(range(1, CAST(ceil(n / {LINES_PER_INVOICE}.0) AS BIGINT))) AS invoice
         FROM (SELECT l_orderkey, count(*) AS n FROM lineitem
-              WHERE l_orderkey IN (SELECT o_orderkey FROM orders)
               GROUP BY l_orderkey HAVING count(*) > {LINES_PER_INVOICE})
+        JOIN orders ON o_orderkey = l_orderkey
     )"""
 
 _PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"

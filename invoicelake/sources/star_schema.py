@@ -123,15 +123,17 @@ def events_as_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oversized_orders(orders: DataFrame, lines: DataFrame, limit: int) -> DataFrame | None:
-    """Orders that need more than one invoice, with their number of invoices; None if there are none.
+    """Orders that need more than one invoice, with the number of their invoices and of their
+    rows in `orders`; None if there are none.
 
     One pass over the key column, combined before the shuffle. The result is broadcast only if
     it was counted to be small.
     """
     sizes = lines.groupBy("l_orderkey").agg(F.count("*").alias("n")).where(F.col("n") > limit)
-    oversized = sizes.select(
-        "l_orderkey", F.ceil(F.col("n") / F.lit(limit)).alias("invoices")
-    ).join(orders.select(F.col("o_orderkey").alias("l_orderkey")).distinct(), "l_orderkey", "left_semi")
+    copies = orders.groupBy(F.col("o_orderkey").alias("l_orderkey")).agg(F.count("*").alias("copies"))
+    oversized = sizes.join(copies, "l_orderkey").select(
+        "l_orderkey", F.ceil(F.col("n") / F.lit(limit)).alias("invoices"), "copies"
+    )
     found = sizes.limit(BROADCAST_ORDERS_MAX + 1).count()
     if found == 0:
         return None
@@ -142,25 +144,35 @@ def _order_lines(
     lines: DataFrame, goods: DataFrame, oversized: DataFrame | None
 ) -> tuple[DataFrame, DataFrame | None]:
     """Per order its totals and the lines of its first invoice; and the continuations, if any."""
-    collected = F.sort_array(F.collect_list(F.expr(_ITEM))).alias("itens")
+    known = F.when(F.col("p_partkey").isNotNull(), F.expr(_ITEM))
+    collected = F.sort_array(F.collect_list(known)).alias("itens")
+    part = F.col("l_partkey") == F.col("p_partkey")
     if oversized is None:
-        named = lines.join(goods, F.col("l_partkey") == F.col("p_partkey"))
         # An order's lines lie far apart, so collecting them before the shuffle gains nothing.
-        spread = named.repartition("l_orderkey")
+        spread = lines.join(goods, part, "left").repartition("l_orderkey")
         return spread.groupBy("l_orderkey").agg(*_line_totals(), collected), None
     # A line's number in the scan spreads the lines of an oversized order evenly over its
     # invoices; it is the same when a lost task is run again.
     numbered = lines.withColumn("line_id", F.monotonically_increasing_id())
-    named = numbered.join(oversized, "l_orderkey", "left").withColumn(
-        "invoice", F.coalesce(F.pmod(F.xxhash64("line_id"), F.col("invoices")), F.lit(0).cast("bigint"))
-    ).join(goods, F.col("l_partkey") == F.col("p_partkey"))
+    invoice = F.coalesce(F.pmod(F.xxhash64("line_id"), F.col("invoices")), F.lit(0).cast("bigint"))
+    named = (
+        numbered.join(oversized, "l_orderkey", "left")
+        .withColumn("invoice", invoice)
+        .join(goods, part, "left")
+    )
     # Spread by order and invoice, not by order alone, which the joins' partitioning would allow.
     invoices = (
         named.repartition("l_orderkey", "invoice").groupBy("l_orderkey", "invoice").agg(collected)
     )
     totals = lines.groupBy("l_orderkey").agg(*_line_totals())
     first = invoices.where("invoice = 0").select("l_orderkey", "itens")
-    return totals.join(first, "l_orderkey", "left"), invoices.where("invoice > 0")
+    # An order that stands in its table more than once has all its invoices as often.
+    continuations = (
+        invoices.where("invoice > 0")
+        .join(oversized, "l_orderkey")
+        .select("l_orderkey", "itens", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
+    )
+    return totals.join(first, "l_orderkey", "left"), continuations
 
 
 _CENTS = "CAST(rint(l_extendedprice * 100) AS BIGINT)"
