@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from invoicelake.llm import quality
 from invoicelake.llm.decontaminate import decontaminate
+from invoicelake.llm.labelled import fold
 from invoicelake.llm.line_rules import quality_rules
 from invoicelake.llm.mixing import mix
+from invoicelake.llm.near_duplicates import near_duplicates
 from invoicelake.llm.sharding import shard_rows
 from invoicelake.llm.shared import utf8_size
+from invoicelake.llm.toxicity import labelled_model, scored
 
 SHARDS = 40
 ROW_BYTES = 16  # what a row costs besides its text
@@ -37,6 +41,15 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality.labelled_model(docs, labels)
+    return quality.scored(docs.select("doc_id", "text"), model).select(
+        "doc_id", (fold() == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -55,10 +68,27 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return scored(docs.select("doc_id", "text"), labelled_model(docs, labels)).select(
+        "doc_id", (fold() == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return near_duplicates(docs, shingle=2).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_sharding": op3_sharding,
         "op4_mixing": op4_mixing,
+        "op5_quality": op5_quality,
         "op7_quality_rules": op7_quality_rules,
         "op8_decontamination": op8_decontamination,
+        "op9_toxicity": op9_toxicity,
+        "op10_near_duplicates": op10_near_duplicates,
     }
