@@ -25,10 +25,8 @@ class PhraseRule:
 
 
 def phrase_words(text: Column) -> Column:
-    """Words in ASCII lower case; none for null."""
-    return F.coalesce(
-        F.regexp_extract_all(lower_ascii(text), F.lit(ALNUM_WORD), F.lit(0)), F.array()
-    )
+    """Words as they stand; none for null. A word is compared in ASCII lower case."""
+    return F.coalesce(F.regexp_extract_all(text, F.lit(ALNUM_WORD), F.lit(0)), F.array())
 
 
 def _document(key: str) -> Column:
@@ -47,7 +45,8 @@ def phrases(items: DataFrame, rule: PhraseRule, item_key: str = "item_id") -> Da
     """(_phrase, _items): each different phrase with the items it comes from."""
     cut = evaluate_once(
         items.filter(F.col(item_key).isNotNull()),
-        _item=F.col(item_key).cast("string"), _words=phrase_words(F.col("text")),
+        _item=F.col(item_key).cast("string"),
+        _words=F.transform(phrase_words(F.col("text")), lower_ascii),
     )
     n = F.size("_words")
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), n - rule.window + 1))
@@ -66,7 +65,8 @@ def rarest_terms(docs: DataFrame, wanted: DataFrame, rule: PhraseRule, key: str)
     term_rows = wanted.select("_phrase", F.posexplode("_phrase").alias("_offset", "_term"))
     vocabulary = stored(term_rows.select("_term").distinct())
     counts = stored(
-        _with_words(docs, key).select(F.explode("_words").alias("_term"))
+        _with_words(docs, key).select(F.explode("_words").alias("_word"))
+        .select(lower_ascii(F.col("_word")).alias("_term"))
         .join(vocabulary, "_term", "left_semi")
         .groupBy("_term").agg(F.count("*").alias("_count"))
     )
@@ -85,7 +85,8 @@ def rarest_terms(docs: DataFrame, wanted: DataFrame, rule: PhraseRule, key: str)
 def posting_index(docs: DataFrame, terms: DataFrame, key: str) -> DataFrame:
     """The stored index: (_term, _doc, _at) of the given terms in all documents."""
     return stored(
-        _with_words(docs, key).select("_doc", F.posexplode("_words").alias("_at", "_term"))
+        _with_words(docs, key).select("_doc", F.posexplode("_words").alias("_at", "_word"))
+        .select("_doc", "_at", lower_ascii(F.col("_word")).alias("_term"))
         .join(terms, "_term", "left_semi")
     )
 
@@ -151,8 +152,8 @@ def decontaminate(
         _words=phrase_words(F.col("text")),
     )
     # The text decides: terms between the intersected ones are compared here.
-    sure = F.sort_array(F.filter("_found", lambda c: F.slice(
-        "_words", c["_start"] + 1, F.size(c["_phrase"])) == c["_phrase"]))
+    sure = F.sort_array(F.filter("_found", lambda c: F.transform(F.slice(
+        "_words", c["_start"] + 1, F.size(c["_phrase"])), lower_ascii) == c["_phrase"]))
     checked = evaluate_once(
         joined, *docs.columns, n_words=F.size("_words").cast("long"),
         _sure=F.when(F.col("_found").isNotNull(), sure),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # The characters that separate words in the contracts.
 BLANKS = r"\x20\x09-\x0D"
 WORD = rf"[^{BLANKS}]+"
-ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ALNUM_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -42,9 +42,12 @@ def words(text: Column) -> Column:
 
 
 def lower_ascii(text: Column) -> Column:
-    """A-Z in lower case and all else as it is; texts of ASCII alone take the faster way."""
+    """A-Z in lower case and all else as it is; only few texts need the slow translation."""
     ascii_only = F.octet_length(text) == F.char_length(text)
-    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    return (
+        F.when(ascii_only, F.lower(text)).when(F.lower(text) == text, text)
+        .otherwise(F.translate(text, UPPER, LOWER))
+    )
 
 
 def utf8_size(text: Column) -> Column:
