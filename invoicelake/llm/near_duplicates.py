@@ -11,7 +11,9 @@ Equal sets are one node. Under a key with few nodes all pairs are candidates. Un
 nodes are first compared with one node of the key, then with another, and links found so far are
 gathered into components; only nodes that are still in different components are then compared in
 pairs. So a large group of near copies costs some comparisons per member, and no pair is left out
-whose link could still matter. Candidates within the distance are confirmed on the full sets.
+whose link could still matter. Candidates within the distance must also be within
+`SKETCH_DISTANCE` in a second signature of `SKETCH` slots (exceeded at similarity 0.8 with
+probability 1e-5), and are then confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -30,16 +32,17 @@ from invoicelake.llm.shared import named_apart, stored
 SLOTS, CHUNK = 80, 5
 CHUNKS = SLOTS // CHUNK
 DISTANCE = 2 * CHUNKS - 1
+SKETCH, SKETCH_DISTANCE = 256, 80  # slots of a second, longer signature, and its distance
 FEW = 8  # nodes under a key of which all pairs are compared at once
 
-_ORDERS = mixed(np.arange(1, SLOTS + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
+_ORDERS = mixed(np.arange(1, SLOTS + SKETCH + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """The 8-bit slots of a set that is not empty; long sets are taken in blocks."""
-    least = np.full(SLOTS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(shingles), 4096):
-        block = shingles[at : at + 4096]
+    """The 8-bit slots of both signatures of a set that is not empty, worked on in blocks."""
+    least = np.full(SLOTS + SKETCH, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(shingles), 1024):
+        block = shingles[at : at + 1024]
         np.minimum(least, (_ORDERS[:, None] * block[None, :]).min(axis=1), out=least)
     return (mixed(least) & np.uint64(255)).astype(np.uint8)
 
@@ -47,28 +50,34 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 def _signed(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, prints, slots, starts = [], [], [], [0]
+            counts, prints, slots = [], [], [np.empty((0, SLOTS + SKETCH), np.uint8)]
             for shingles in shingle_sets(batch.column("text"), size):
                 counts.append(len(shingles))
                 if len(shingles):
                     prints.append(blake2b(shingles.tobytes(), digest_size=16).digest())
-                    slots.append(signature(shingles).view(np.int64))
+                    slots.append(signature(shingles)[None, :])
                 else:
                     prints.append(None)
-                starts.append(len(slots) * (SLOTS // 8))
-            values = np.concatenate(slots) if slots else np.empty(0, np.int64)
+            slots, filled = np.concatenate(slots), np.minimum(1, counts)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column("th"), pa.array(counts, pa.int64()),
                     pa.array(prints, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values)),
+                    _longs(slots[:, :SLOTS], filled), _longs(slots[:, SLOTS:], filled),
                 ],
-                names=["id", "th", "n", "print", "sig"],
+                names=["id", "th", "n", "print", "sig", "sketch"],
             )
 
     return run
 
 
+def _longs(slots: np.ndarray, filled: np.ndarray) -> pa.Array:
+    """Eight slots to a long; one list for each row that is filled, none for the others."""
+    starts = np.concatenate([[0], np.cumsum(filled)]) * (slots.shape[1] // 8)
+    values = np.ascontiguousarray(slots).view(np.int64).ravel()
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values))
+
+
 def _chunk_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         nodes = batch.column("node").to_numpy()
@@ -86,10 +95,10 @@ def _chunk_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def distance(a: Column, b: Column) -> Column:
+def distance(a: Column, b: Column, slots: int) -> Column:
     """The number of slots in which two signatures differ."""
     total = F.lit(0)
-    for i in range(SLOTS // 8):
+    for i in range(slots // 8):
         x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
         for shift in (4, 2, 1):
             x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
@@ -132,9 +141,14 @@ class _Links:
         """Pairs whose sizes and signatures allow a link."""
         side = lambda s: self.nodes.select(
             F.col("node").alias(s), F.col("sig").alias(f"sig_{s}"), F.col("n").alias(f"n_{s}"))
-        return pairs.join(side("a"), "a").join(side("b"), "b").filter(
+        near = pairs.join(side("a"), "a").join(side("b"), "b").filter(
             (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
-            & (distance(F.col("sig_a"), F.col("sig_b")) <= DISTANCE)
+            & (distance(F.col("sig_a"), F.col("sig_b"), SLOTS) <= DISTANCE)
+        ).select("a", "b")
+        longer = lambda s: self.nodes.select(
+            F.col("node").alias(s), F.col("sketch").alias(f"sketch_{s}"))
+        return near.join(longer("a"), "a").join(longer("b"), "b").filter(
+            distance(F.col("sketch_a"), F.col("sketch_b"), SKETCH) <= SKETCH_DISTANCE
         ).select("a", "b")
 
     def _with_sets(self, pairs: DataFrame) -> None:
@@ -172,19 +186,19 @@ def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
         T.StructField("id", docs.schema["id"].dataType), T.StructField("th", T.LongType()),
         T.StructField("n", T.LongType()), T.StructField("print", T.BinaryType()),
         T.StructField("sig", T.ArrayType(T.LongType())),
+        T.StructField("sketch", T.ArrayType(T.LongType())),
     ]))
     rows = stored(signed)
     # Stored with their numbers, so that a repeated task cannot number nodes anew.
     nodes = stored(
         rows.filter("n > 0").groupBy("print").agg(
-            F.first("sig").alias("sig"), F.first("n").alias("n"),
+            F.first("sig").alias("sig"), F.first("sketch").alias("sketch"), F.first("n").alias("n"),
             F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "th")).alias("rep"),
         ).withColumn("node", F.monotonically_increasing_id())
     )
     keys = nodes.select("node", "sig").mapInArrow(_chunk_keys, "node bigint, key bigint")
     shared_keys = keys.groupBy("key").agg(
-        F.count("*").alias("members"), F.min("node").alias("first"),
-        F.min_by("node", F.xxhash64("node", "key")).alias("other"),
+        F.count("*").alias("members"), F.min("node").alias("first")
     ).filter("members > 1")
     busy = stored(keys.join(shared_keys, "key"))
     links = _Links(docs, nodes, size, percent)
@@ -201,8 +215,9 @@ def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
     roots = components(edges)
     if not many.isEmpty():
         placed = _in_components(many, roots)
+        others = many.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("other"))
         again = _in_components(
-            placed.withColumnsRenamed({"root": "node_root"}), roots, of="other"
+            placed.withColumnsRenamed({"root": "node_root"}).join(others, "key"), roots, of="other"
         ).filter("node_root <> root").select(
             F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         roots = _grown(roots, links.among(again))
@@ -236,16 +251,18 @@ def _still_apart(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
         F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
     rows = stored(
         placed.join(open_keys, "key", "left_semi").select("key", "node", "root")
-        .join(nodes.select("node", "sig", "n"), "node")
+        .join(nodes.select("node", "sig", "sketch", "n"), "node")
     )
     side = lambda s: rows.select(
         "key", F.col("node").alias(s), F.col("root").alias(f"root_{s}"),
-        F.col("sig").alias(f"sig_{s}"), F.col("n").alias(f"n_{s}"))
+        F.col("sig").alias(f"sig_{s}"), F.col("sketch").alias(f"sketch_{s}"),
+        F.col("n").alias(f"n_{s}"))
     a, b = side("a"), side("b")
     close = (
         (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
         & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        & (distance(F.col("sig_a"), F.col("sig_b")) <= DISTANCE)
+        & (distance(F.col("sig_a"), F.col("sig_b"), SLOTS) <= DISTANCE)
+        & (distance(F.col("sketch_a"), F.col("sketch_b"), SKETCH) <= SKETCH_DISTANCE)
     )
     return a.join(b, close).select("a", "b").distinct()
 
