@@ -63,7 +63,7 @@ def _signed(size: int):
                 [
                     batch.column(0), batch.column("th"), pa.array(counts, pa.int64()),
                     pa.array(prints, pa.binary()),
-                    _longs(slots[:, :SLOTS], filled), _longs(slots[:, SLOTS:], filled),
+                    _longs(slots[:, :SLOTS], filled, CHUNK), _longs(slots[:, SLOTS:], filled, 8),
                 ],
                 names=["id", "th", "n", "print", "sig", "sketch"],
             )
@@ -71,17 +71,20 @@ def _signed(size: int):
     return run
 
 
-def _longs(slots: np.ndarray, filled: np.ndarray) -> pa.Array:
-    """Eight slots to a long; one list for each row that is filled, none for the others."""
-    starts = np.concatenate([[0], np.cumsum(filled)]) * (slots.shape[1] // 8)
-    values = np.ascontiguousarray(slots).view(np.int64).ravel()
-    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values))
+def _longs(slots: np.ndarray, filled: np.ndarray, wide: int) -> pa.Array:
+    """`wide` slots to a long; one list of longs for each row that is filled, else an empty one."""
+    longs = slots.shape[1] // wide
+    padded = np.zeros((len(slots), longs, 8), dtype=np.uint8)
+    padded[:, :, :wide] = slots.reshape(len(slots), longs, wide)
+    starts = np.concatenate([[0], np.cumsum(filled)]) * longs
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(padded.view(np.int64).ravel()))
 
 
 def _chunk_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         nodes = batch.column("node").to_numpy()
-        slots = batch.column("sig").flatten().to_numpy().view(np.uint8).reshape(len(nodes), SLOTS)
+        slots = batch.column("sig").flatten().to_numpy().view(np.uint8)
+        slots = slots.reshape(len(nodes), CHUNKS, 8)[:, :, :CHUNK].reshape(len(nodes), SLOTS)
         keys = np.empty((len(nodes), SLOTS), dtype=np.int64)
         for at in range(SLOTS):
             first = at - at % CHUNK
@@ -95,17 +98,35 @@ def _chunk_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def distance(a: Column, b: Column, slots: int) -> Column:
-    """The number of slots in which two signatures differ."""
+def differing(a: Column, b: Column) -> Column:
+    """The number of slots in which two longs of slots differ."""
+    x = a.bitwiseXOR(b)
+    for shift in (4, 2, 1):
+        x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+    return F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+
+
+def distance(a: Column, b: Column) -> Column:
+    """The number of slots in which two first signatures differ, spelled out for generated code."""
     total = F.lit(0)
-    for i in range(slots // 8):
-        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
-        for shift in (4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+    for chunk in range(CHUNKS):
+        total = total + differing(F.get(a, F.lit(chunk)), F.get(b, F.lit(chunk)))
     return total
 
 
+def sketch_distance(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, differing), F.lit(0), lambda total, x: total + x)
+
+
+def first_meeting(key: Column, a: Column, b: Column) -> Column:
+    """Whether `key` is the first of the keys that two signatures share."""
+    slot = F.shiftright(key, 32).cast("int")
+    chunk = F.floor(slot / CHUNK).cast("int")
+    earlier = F.zip_with(F.slice(a, 1, chunk), F.slice(b, 1, chunk), lambda x, y: differing(x, y) > 1)
+    own = differing(F.get(a, chunk), F.get(b, chunk))
+    return F.forall(earlier, lambda apart: apart) & ((own == 1) | (slot % CHUNK == 0))
+
+
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,12 +164,12 @@ class _Links:
             F.col("node").alias(s), F.col("sig").alias(f"sig_{s}"), F.col("n").alias(f"n_{s}"))
         near = pairs.join(side("a"), "a").join(side("b"), "b").filter(
             (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
-            & (distance(F.col("sig_a"), F.col("sig_b"), SLOTS) <= DISTANCE)
+            & (distance(F.col("sig_a"), F.col("sig_b")) <= DISTANCE)
         ).select("a", "b")
         longer = lambda s: self.nodes.select(
             F.col("node").alias(s), F.col("sketch").alias(f"sketch_{s}"))
         return near.join(longer("a"), "a").join(longer("b"), "b").filter(
-            distance(F.col("sketch_a"), F.col("sketch_b"), SKETCH) <= SKETCH_DISTANCE
+            sketch_distance(F.col("sketch_a"), F.col("sketch_b")) <= SKETCH_DISTANCE
         ).select("a", "b")
 
     def _with_sets(self, pairs: DataFrame) -> None:
@@ -245,7 +266,7 @@ def _still_apart(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
     """Pairs under a key whose nodes are in different components and close enough to be linked.
 
     Keys all of whose nodes are in one component are done; distances are taken inside the join, so
-    only close pairs leave it.
+    only close pairs leave it, each under the first of the keys that its nodes share.
     """
     open_keys = placed.groupBy("key").agg(
         F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
@@ -261,10 +282,11 @@ def _still_apart(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
     close = (
         (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
         & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        & (distance(F.col("sig_a"), F.col("sig_b"), SLOTS) <= DISTANCE)
-        & (distance(F.col("sketch_a"), F.col("sketch_b"), SKETCH) <= SKETCH_DISTANCE)
+        & (distance(F.col("sig_a"), F.col("sig_b")) <= DISTANCE)
+        & (sketch_distance(F.col("sketch_a"), F.col("sketch_b")) <= SKETCH_DISTANCE)
+        & first_meeting(a["key"], F.col("sig_a"), F.col("sig_b"))
     )
-    return a.join(b, close).select("a", "b").distinct()
+    return a.join(b, close).select("a", "b")
 
 
 def near_duplicates(
