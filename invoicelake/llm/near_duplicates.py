@@ -122,9 +122,13 @@ def first_meeting(key: Column, a: Column, b: Column) -> Column:
     """Whether `key` is the first of the keys that two signatures share."""
     slot = F.shiftright(key, 32).cast("int")
     chunk = F.floor(slot / CHUNK).cast("int")
-    earlier = F.zip_with(F.slice(a, 1, chunk), F.slice(b, 1, chunk), lambda x, y: differing(x, y) > 1)
+    shared = F.lit(0)  # a bit for each chunk that differs in one slot at most
+    for c in range(CHUNKS):
+        near = differing(F.get(a, F.lit(c)), F.get(b, F.lit(c))) <= 1
+        shared = shared.bitwiseOR(F.when(near, F.lit(1 << c)).otherwise(F.lit(0)))
     own = differing(F.get(a, chunk), F.get(b, chunk))
-    return F.forall(earlier, lambda apart: apart) & ((own == 1) | (slot % CHUNK == 0))
+    return (shared.bitwiseAND(-shared) == F.call_function("shiftleft", F.lit(1), chunk)) & (
+        (own == 1) | (slot % CHUNK == 0))
 
 
 def _sets(size: int):
@@ -138,6 +142,17 @@ def _sets(size: int):
     return run
 
 
+def _each_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.frombuffer(s.as_buffer(), dtype=np.int64) for s in batch.column("shingles")]
+        for at in range(0, len(sets), 1000):  # some 1000 sets at a time
+            part = sets[at : at + 1000]
+            nodes = batch.column("node").to_numpy()[at : at + 1000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(nodes, [len(s) for s in part])), pa.array(np.concatenate(part))],
+                names=["node", "shingle"])
+
+
 def _confirmed(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,8 +187,8 @@ class _Links:
             sketch_distance(F.col("sketch_a"), F.col("sketch_b")) <= SKETCH_DISTANCE
         ).select("a", "b")
 
-    def _with_sets(self, pairs: DataFrame) -> None:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    def _with_sets(self, wanted: DataFrame) -> None:
+        """Fetches the sets of the nodes that are still missing."""
         if self.sets is not None:
             wanted = wanted.join(self.sets, "node", "left_anti")
         wanted = stored(wanted.join(self.nodes, "node").select("node", "rep"))
@@ -190,7 +205,7 @@ class _Links:
 
     def among(self, pairs: DataFrame) -> DataFrame:
         near = stored(self._near(pairs))
-        self._with_sets(near)
+        self._with_sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         if self.sets is None:
             return near
         side = lambda s: self.sets.select(
@@ -201,6 +216,21 @@ class _Links:
         )
 
 
+    def shared_sizes(self, members: DataFrame) -> DataFrame:
+        """(node, shared): how many shingles of a node also stand in another of `members` (node)."""
+        self._with_sets(members)
+        if self.sets is None:
+            return members.withColumn("shared", F.lit(0).cast("long"))
+        return (
+            self.sets.join(members, "node", "left_semi")
+            .mapInArrow(_each_shingle, "node bigint, shingle bigint")
+            .groupBy("shingle").agg(F.count("*").alias("nodes"), F.min("node").alias("node"))
+            .filter("nodes = 1").groupBy("node").agg(F.count("*").alias("private"))
+            .join(members, "node", "right").join(self.nodes.select("node", "n"), "node")
+            .select("node", (F.col("n") - F.coalesce("private", F.lit(0))).alias("shared"))
+        )
+
+
 def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(id, th, n, root) of every row; root is null where there is no shingle."""
     signed = docs.mapInArrow(_signed(size), T.StructType([
@@ -242,7 +272,7 @@ def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
         ).filter("node_root <> root").select(
             F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         roots = _grown(roots, links.among(again))
-        roots = _grown(roots, links.among(_still_apart(_in_components(many, roots), nodes, percent)))
+        roots = _grown(roots, links.among(_still_apart(_in_components(many, roots), links)))
     members = nodes.join(roots, "node", "left").select(
         "print", F.coalesce("root", "node").alias("root"))
     return rows.select("id", "th", "n", "print").join(members, "print", "left").drop("print")
@@ -262,29 +292,41 @@ def _grown(roots: DataFrame, more: DataFrame) -> DataFrame:
         roots.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))))
 
 
-def _still_apart(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _open(placed: DataFrame) -> DataFrame:
+    """The rows of the keys whose nodes are in more than one component."""
+    keys = placed.groupBy("key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
+    return placed.join(keys, "key", "left_semi")
+
+
+def _still_apart(placed: DataFrame, links: _Links) -> DataFrame:
     """Pairs under a key whose nodes are in different components and close enough to be linked.
 
-    Keys all of whose nodes are in one component are done; distances are taken inside the join, so
-    only close pairs leave it, each under the first of the keys that its nodes share.
+    Keys all of whose nodes are in one component are done. Shingles that a node has for itself
+    among all nodes of the open keys bound what it can have in common with any of them: by this
+    alone most copies that are too far apart leave. Distances are taken inside the join, so only
+    close pairs come out of it, each under the first of the keys that its nodes share.
     """
-    open_keys = placed.groupBy("key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
-    rows = stored(
-        placed.join(open_keys, "key", "left_semi").select("key", "node", "root")
-        .join(nodes.select("node", "sig", "sketch", "n"), "node")
-    )
+    percent = links.percent
+    undecided = stored(_open(placed).select("key", "node", "root"))
+    sizes = stored(links.shared_sizes(undecided.select("node").distinct()))
+    rows = stored(_open(
+        undecided.join(sizes, "node").join(links.nodes.select("node", "sig", "sketch", "n"), "node")
+        .filter(100 * F.col("shared") >= percent * F.col("n"))
+    ))
     side = lambda s: rows.select(
         "key", F.col("node").alias(s), F.col("root").alias(f"root_{s}"),
         F.col("sig").alias(f"sig_{s}"), F.col("sketch").alias(f"sketch_{s}"),
-        F.col("n").alias(f"n_{s}"))
+        F.col("n").alias(f"n_{s}"), F.col("shared").alias(f"shared_{s}"))
     a, b = side("a"), side("b")
+    common = F.least("shared_a", "shared_b")
     close = (
         (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
         & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+        & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))
         & (distance(F.col("sig_a"), F.col("sig_b")) <= DISTANCE)
-        & (sketch_distance(F.col("sketch_a"), F.col("sketch_b")) <= SKETCH_DISTANCE)
         & first_meeting(a["key"], F.col("sig_a"), F.col("sig_b"))
+        & (sketch_distance(F.col("sketch_a"), F.col("sketch_b")) <= SKETCH_DISTANCE)
     )
     return a.join(b, close).select("a", "b")
 
