@@ -14,6 +14,7 @@ from invoicelake.llm.mixing import mix
 from invoicelake.llm.near_duplicates import near_duplicates
 from invoicelake.llm.sharding import shard_rows
 from invoicelake.llm.shared import utf8_size
+from invoicelake.llm.suffix_dedup import suffix_dedup
 from invoicelake.llm.toxicity import labelled_model, scored
 
 SHARDS = 40
@@ -24,6 +25,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        "kept_sha256")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select(
         "doc_id", (utf8_size(F.col("text")) + ROW_BYTES).alias("size"),
@@ -84,6 +91,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op3_sharding": op3_sharding,
         "op4_mixing": op4_mixing,
         "op5_quality": op5_quality,
