@@ -148,9 +148,53 @@ FROM doc_words LEFT JOIN hit USING (rid) LEFT JOIN items_hit USING (rid)
 """
 
 
+def _number(text: str, most: int) -> str:
+    return f"(('0x' || substr(md5({text}), 1, 6))::INT % {most})"
+
+
+OP6 = rf"""
+WITH hosted AS (
+    SELECT row_number() OVER () AS rid, page_id, url,
+           DATE '2024-01-01' + {_number("'fetch ' || page_id", 366)} AS fetched,
+           nullif(lower(rtrim(regexp_extract(url,
+               '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '.')), '') AS host
+    FROM pages
+),
+asked AS (
+    SELECT rid, i, array_to_string(parts[i:], '.') AS domain
+    FROM (SELECT rid, string_split(host, '.') AS parts,
+                 unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM hosted)
+),
+turns AS (
+    SELECT domain, unnest(range(0, 4)) AS turn FROM (SELECT DISTINCT domain FROM asked WHERE i <= 2)
+),
+entries AS (
+    SELECT DISTINCT domain, turn % 2 = 0 AS listed,
+           DATE '2024-01-01' + {_number("domain || ' ' || turn", 366)} AS dated,
+           'list' || {_number("'why ' || domain || ' ' || turn", 3)} AS reason
+    FROM turns WHERE {_number("'has ' || domain || ' ' || turn", 3)} = 0
+),
+spans AS (
+    SELECT *, lead(dated) OVER (PARTITION BY domain ORDER BY dated, listed, reason) AS valid_to
+    FROM entries
+),
+hits AS (
+    SELECT a.rid, a.domain, s.reason,
+           row_number() OVER (PARTITION BY a.rid ORDER BY length(a.domain) DESC) AS place,
+           count(*) OVER (PARTITION BY a.rid) AS n_active
+    FROM asked AS a JOIN hosted AS h USING (rid) JOIN spans AS s ON a.domain = s.domain
+    WHERE listed AND fetched >= dated AND (valid_to IS NULL OR fetched < valid_to)
+)
+SELECT page_id, url, host, fetched, coalesce(n_active, 0)::BIGINT AS n_active, domain, reason,
+       n_active IS NOT NULL AS blocked
+FROM hosted LEFT JOIN (SELECT * FROM hits WHERE place = 1) USING (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_mixing": OP4,
+        "op6_url_filter": OP6,
         "op7_quality_rules": OP7,
         "op8_decontamination": OP8,
     }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from invoicelake.llm import quality
 from invoicelake.llm.decontaminate import decontaminate
 from invoicelake.llm.labelled import fold
+from invoicelake.llm.line_dedup import line_dedup
 from invoicelake.llm.line_rules import quality_rules
 from invoicelake.llm.mixing import mix
 from invoicelake.llm.near_duplicates import near_duplicates
@@ -16,6 +17,7 @@ from invoicelake.llm.sharding import shard_rows
 from invoicelake.llm.shared import utf8_size
 from invoicelake.llm.suffix_dedup import suffix_dedup
 from invoicelake.llm.toxicity import labelled_model, scored
+from invoicelake.llm.url_filter import domains_of, host_of, judged
 
 SHARDS = 40
 ROW_BYTES = 16  # what a row costs besides its text
@@ -31,6 +33,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept_sha256")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_linked", "n_links", "n_removed")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select(
         "doc_id", (utf8_size(F.col("text")) + ROW_BYTES).alias("size"),
@@ -57,6 +64,31 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _number(text, most: int):
+    """A number below `most` drawn from a text by its md5."""
+    return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("int") % most
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages have no fetch time and come with no list; both are drawn from the tables' own values.
+
+    Every page was fetched on some day of 2024. Every domain above one of the hosts has up to four
+    entries in that year, putting it on the list and taking it off.
+    """
+    pages = _table(spark, sf_dir, "pages")
+    day = lambda x: F.date_add(F.lit("2024-01-01").cast("date"), _number(x, 366))
+    captures = pages.select(
+        "page_id", "url", day(F.concat(F.lit("fetch "), F.col("page_id"))).alias("fetched"))
+    domains = pages.select(
+        F.explode(F.slice(domains_of(host_of(F.col("url"))), 1, 2)).alias("domain")).distinct()
+    turns = domains.select("domain", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("turn"))
+    seed = F.concat_ws(" ", "domain", "turn")
+    entries = turns.filter(_number(F.concat(F.lit("has "), seed), 3) == 0).select(
+        "domain", (F.col("turn") % 2 == 0).alias("listed"), day(seed).alias("dated"),
+        F.concat(F.lit("list"), _number(F.concat(F.lit("why "), seed), 3)).alias("reason"))
+    return judged(captures, entries)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -92,9 +124,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
+        "op2_line_dedup": op2_line_dedup,
         "op3_sharding": op3_sharding,
         "op4_mixing": op4_mixing,
         "op5_quality": op5_quality,
+        "op6_url_filter": op6_url_filter,
         "op7_quality_rules": op7_quality_rules,
         "op8_decontamination": op8_decontamination,
         "op9_toxicity": op9_toxicity,
