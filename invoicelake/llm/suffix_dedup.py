@@ -155,7 +155,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     state = (as_gram | _next(as_gram)).astype(np.int8)
     state[as_span | _next(as_span)] = 2
     run = np.cumsum(~as_gram)
-    edge = (run == run[0]) | (run == run[-1])
+    # What the bucket could not settle, and one of each set of equal families as their partner.
+    edge = ((run == run[0]) | (run == run[-1])) & ((state < 2) | ~as_span)
     out = table.append_column("state", pa.array(state)).append_column(
         "shown", pa.array(~as_span)  # one of equal families stands for all
     ).append_column("edge", pa.array(edge))
@@ -177,12 +178,13 @@ def _repeated_families(docs: DataFrame, length: int) -> DataFrame:
             ]))
     )
     inner = compared.filter("NOT edge").drop("edge")
-    edges = compared.filter("edge").drop("edge", "state")
+    edges = compared.filter("edge").drop("edge").withColumnRenamed("state", "found")
     spans = edges.groupBy("lead", "gram", "span").agg(F.count("*").alias("_same"))
     grams = spans.groupBy("lead", "gram").agg(F.sum("_same").alias("_all"))
-    across = edges.join(spans, ["lead", "gram", "span"]).join(grams, ["lead", "gram"]).filter(
-        "_all > 1"
-    ).withColumn("state", F.when(F.col("_same") > 1, 2).otherwise(1).cast("byte"))
+    across = edges.join(spans, ["lead", "gram", "span"]).join(grams, ["lead", "gram"]).withColumn(
+        "state", F.when((F.col("found") == 2) | (F.col("_same") > 1), 2)
+        .when((F.col("found") == 1) | (F.col("_all") > 1), 1).otherwise(0).cast("byte")
+    ).filter("state > 0")
     return stored(inner.unionByName(across.select(*inner.columns)))
 
 
@@ -237,7 +239,8 @@ def multikey_groups(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray
 
 def _equal_strings(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Runs of repeated strings (hash null), and single strings of edge runs with their hash."""
+        """Runs of repeated strings (hash null); of edge runs the strings that are still alone, and
+        one of each set of equal ones as their partner, with their hash."""
         table = _bucket(batches)
         if table is None:
             return
@@ -258,7 +261,8 @@ def _equal_strings(length: int):
             family = np.repeat(np.arange(end - begin), n[part])
             inside = np.arange(len(family)) - np.repeat(np.cumsum(n[part]) - n[part], n[part])
             at = starts[family] + inside
-            again = multikey_groups(data, at, length) >= 0
+            group = multikey_groups(data, at, length)
+            again = group >= 0
             edge = ((run_of[part] == run_of[0]) | (run_of[part] == run_of[-1]))[family]
             place = first[part][family] + inside
             # Consecutive repeated strings of a family are one interval.
@@ -267,20 +271,23 @@ def _equal_strings(length: int):
             closes = again.copy()
             closes[:-1] &= ~again[1:] | (family[1:] != family[:-1])
             o, c = np.flatnonzero(opens), np.flatnonzero(closes)
-            yield _strings(docs, begin + family[o], place[o], place[c] + length, None)
-            e = np.flatnonzero(edge)
-            yield _strings(docs, begin + family[e], place[e], place[e] + length,
-                           span_hashes(data, at[e], at[e] + length).view(np.int64))
+            yield _strings(docs, begin + family[o], place[o], place[c] + length, None, False)
+            partners = np.unique(group, return_index=True)[1]
+            partners = partners[edge[partners] & again[partners]]
+            for e, alone in ((np.flatnonzero(edge & ~again), True), (partners, False)):
+                yield _strings(docs, begin + family[e], place[e], place[e] + length,
+                               span_hashes(data, at[e], at[e] + length).view(np.int64), alone)
             begin = end
 
     return run
 
 
-def _strings(docs, rows, begin, end, hashes) -> pa.RecordBatch:
+def _strings(docs, rows, begin, end, hashes, alone: bool) -> pa.RecordBatch:
     hashed = pa.nulls(len(rows), pa.int64()) if hashes is None else pa.array(hashes, pa.int64())
     return pa.RecordBatch.from_arrays(
         [docs.take(pa.array(rows, pa.int64())), pa.array(begin, pa.int64()),
-         pa.array(end, pa.int64()), hashed], names=["_doc", "begin", "end", "hash"])
+         pa.array(end, pa.int64()), hashed, pa.array(np.full(len(rows), alone))],
+        names=["_doc", "begin", "end", "hash", "alone"])
 
 
 def repeated_intervals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -299,9 +306,9 @@ def repeated_intervals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     order = ["lead", "gram", "bytes", "_doc", "first"]
     strings = stored(
         with_bytes.repartitionByRange(*order).sortWithinPartitions(*order)
-        .mapInArrow(_equal_strings(length), f"_doc {_DOC}, begin bigint, end bigint, hash bigint"))
+        .mapInArrow(_equal_strings(length), f"_doc {_DOC}, begin bigint, end bigint, hash bigint, alone boolean"))
     singles = strings.filter("hash IS NOT NULL")
-    across = singles.join(
+    across = singles.filter("alone").join(
         singles.groupBy("hash").agg(F.count("*").alias("_times")).filter("_times > 1"), "hash",
         "left_semi")
     columns = ["_doc", "begin", "end"]
