@@ -9,12 +9,14 @@ from pyspark.sql import SparkSession
 
 from invoicelake import contract
 from invoicelake.plans import jobs
-from invoicelake.plans.tables import list_tables, preview, row_counts
+from invoicelake.plans.tables import TABLE_PATH, list_tables, open_tables, preview, row_counts
 from invoicelake.sources.messages import KafkaTopic, MessageLog
 
-# Failed files named in the summary; all of them are in the quarantine DataFrame.
+# Failed files named on the screen; all of them are in the quarantine folder.
 SHOWN_FAILURES = 100
 
+TABLES = (*contract.LAYER_TABLES, *contract.ANALYTICS_TABLES)
+
 
 def arguments(argv: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="invoicelake", description=__doc__)
@@ -25,6 +27,8 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--xml-dir", help="folder with the invoice XML files")
     parser.add_argument("--limit", type=int, help="publish only the first files in path order")
     parser.add_argument("--db", default="nfe", help="database of the layer tables")
+    parser.add_argument("--table-path", help="shared folder of the tables, for a catalog that ends with the process")
+    parser.add_argument("--quarantine-path", help="folder for the full list of unreadable files")
     parser.add_argument("--master", help="Spark master; left to spark-submit by default")
     parser.add_argument("--strict", action="store_true", help="drop unreadable messages")
     args = parser.parse_args(argv)
@@ -59,10 +63,19 @@ def main(argv: list[str]) -> int:
     else:
         topic = KafkaTopic(args.topic, args.bootstrap_servers)
     rows: dict[str, int] = {}
+    if args.table_path:
+        spark.conf.set(TABLE_PATH, args.table_path)
+    if args.job != "publish":
+        open_tables(spark, args.db, TABLES)
     try:
         if args.job in ("publish", "run"):
             summary = jobs.publish(spark, args.xml_dir, topic, args.limit)
             print(f"published: {summary.published}, failed: {summary.failed}")
+            if summary.failed and args.quarantine_path:
+                summary.quarantine.write.mode("append").parquet(args.quarantine_path)
+                print(f"all failures: {args.quarantine_path}")
+            if summary.failed > SHOWN_FAILURES:
+                print(f"the first {SHOWN_FAILURES} of {summary.failed} failures:")
             for failed in summary.quarantine.orderBy("path").limit(SHOWN_FAILURES).collect():
                 print(f"  {failed.path}: {failed.error}")
         if args.job in ("layers", "run"):

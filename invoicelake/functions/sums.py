@@ -13,19 +13,20 @@ def exact_sum(column: str, places: int = 2) -> Column:
 
     Adding doubles gives other last digits for every other partitioning or task retry. Values
     with at most `places` decimal places, which is nearly all, are therefore added as whole
-    units in a BIGINT, the others as decimals, and only the total becomes a double. A group
-    with a value that fits neither (NaN, infinities, 1e16 and beyond) or with a total beyond
-    BIGINT keeps the plain double sum.
+    units in a BIGINT, others that a decimal of 18 places holds unchanged as such decimals, and
+    only the totals become doubles. A group with a value that fits neither (NaN, infinities, 1e20,
+    1e-20) or with a total beyond either type keeps the plain double sum.
     """
     units = f"try_cast(rint({column} * {10**places}) AS BIGINT)"
     fits = f"abs({units}) < {_UNITS_MAX} AND {units} / {10**places}D = {column}"
     whole = f"CASE WHEN {fits} THEN {units} END"
-    rest = f"CASE WHEN {fits} THEN NULL ELSE try_cast({column} AS DECIMAL(26,10)) END"
+    decimal = f"try_cast({column} AS DECIMAL(38,18))"
+    rest = f"CASE WHEN {fits} THEN NULL WHEN CAST({decimal} AS DOUBLE) = {column} THEN {decimal} END"
     neither = f"{column} IS NOT NULL AND {whole} IS NULL AND {rest} IS NULL"
     one_unit = f"CAST('{10**-places:.{places}f}' AS DECIMAL({places + 1},{places}))"
     total = (
-        f"CAST(coalesce(try_sum({whole}) * {one_unit}, 0) "
-        f"+ coalesce(try_sum({rest}), 0) AS DOUBLE)"
+        f"(CAST(coalesce(try_sum({whole}) * {one_unit}, 0) AS DOUBLE) "
+        f"+ CAST(coalesce(try_sum({rest}), 0) AS DOUBLE))"
     )
     exact = (
         f"NOT max({neither}) AND (try_sum({whole}) IS NOT NULL OR max({whole}) IS NULL) "

@@ -10,9 +10,11 @@ from __future__ import annotations
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 _ASCII_WHITESPACE = "".join(c for c in WHITESPACE if c.isascii())
 
-_NUMBER = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
+# No pattern repeats a group: Java's matcher calls itself once per turn, and long texts would end it.
+_NUMBER = r"^[+-]?(?:[0-9_]++(?:\.[0-9_]*+)?|\.[0-9_]++)(?:[eE][+-]?[0-9_]++)?$"
 _NON_FINITE = r"^[+-]?(inf|infinity|nan)$"
-_INTEGER = r"^[+-]?\d+(_\d+)*$"
+_INTEGER = r"^[+-]?[0-9_]++$"
+_STRAY_UNDERSCORE = r"(?:^|[^0-9])_|_(?:[^0-9]|$)"  # one that does not stand between digits
 
 
 def literal(text: str) -> str:
@@ -32,13 +34,18 @@ def blank_to_null(stripped: str) -> str:
     return f"if({stripped} = '', NULL, {stripped})"
 
 
+def _underscores_fit(stripped: str) -> str:
+    return f"NOT (contains({stripped}, '_') AND {stripped} RLIKE {literal(_STRAY_UNDERSCORE)})"
+
+
 def read_float(stripped: str) -> str:
     """Number in stripped text as Python's float() reads it, null where float() would fail.
 
     The pattern keeps out what a Spark cast accepts beyond that (`1d`, `0x1p3`).
     """
     return f"""CASE
-        WHEN {stripped} RLIKE {literal(_NUMBER)} THEN try_cast(replace({stripped}, '_', '') AS DOUBLE)
+        WHEN {stripped} RLIKE {literal(_NUMBER)} AND {_underscores_fit(stripped)}
+            THEN try_cast(replace({stripped}, '_', '') AS DOUBLE)
         WHEN lower({stripped}) RLIKE {literal(_NON_FINITE)} THEN
             CASE WHEN endswith(lower({stripped}), 'nan') THEN double('NaN')
                  WHEN startswith({stripped}, '-') THEN double('-Infinity')
@@ -47,7 +54,7 @@ def read_float(stripped: str) -> str:
 
 
 def is_integer(stripped: str) -> str:
-    return f"{stripped} RLIKE {literal(_INTEGER)}"
+    return f"({stripped} RLIKE {literal(_INTEGER)} AND {_underscores_fit(stripped)})"
 
 
 def read_int(stripped: str) -> str:

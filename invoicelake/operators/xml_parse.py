@@ -20,7 +20,8 @@ INVALID_ITEM_NUMBER = "invalid_item_number"
 _PREFIX = r"(?:[\w.-]+:)?"
 _DECLARATION = r"^\x{FEFF}?<\?xml\s[^>]*\?>"
 _DECLARED_ENCODING = r"^(?:\xEF\xBB\xBF)?<\?xml\s[^>]*?\sencoding\s*=\s*[\x22']([\w.-]+)[\x22']"
-_ROOT_NAME = rf"(?s)^(?:\s++|<\?.*?\?>|<!--.*?-->)*<{_PREFIX}([\w.-]+)"
+_PROLOG_PARTS = r"(?s)<\?.*?\?>|<!--.*?-->"
+_ROOT_NAME = rf"^\s*+<{_PREFIX}([\w.-]+)"
 _COMMENT = r"(?s)<!--.*?-->"
 _NOT_MARKUP = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 _NAMESPACE_BOUND = rf"=\s*[\x22']{contract.NAMESPACE.replace('.', '[.]')}[\x22']"
@@ -44,7 +45,8 @@ _HALF_PAIRS = (
 )
 
 # The text is parsed as the content of this element, which shows what stands beside the root.
-_WRAPPER = "invoice-file"
+# Its name is one that no text holds by chance.
+_WRAPPER = "invoice-file-5d1c0f7be2a94c38"
 
 
 def parse_invoices(
@@ -92,7 +94,7 @@ def _one_of(c: str, names: tuple[str, ...]) -> str:
 
 _START = "hex(substring(content, 1, 2))"
 _DECLARED = f"""if({_one_of(_START, _BYTE_ORDER_MARKS)}, '{_UTF16}', lower(regexp_extract(
-    decode(substring(content, 1, 256), 'ISO-8859-1'), {literal(_DECLARED_ENCODING)}, 1)))"""
+    decode(substring(content, 1, instr(CAST(content AS STRING), '?>') + 4), 'ISO-8859-1'), {literal(_DECLARED_ENCODING)}, 1)))"""
 _KNOWN_ENCODINGS = (*_UTF8_NAMES, *_ASCII_NAMES, *_LATIN1_NAMES, *_WINDOWS_NAMES, _UTF16)
 
 # Text of a file by its encoding; null if the encoding is unknown or the bytes not valid in it.
@@ -182,7 +184,8 @@ def _nested_invoices(nodes: T.StructType) -> Column:
         f"{elements('protNFe')}, '</nfeProc></{_WRAPPER}>')"
     )
     mentioned = literal(rf"<{_PREFIX}(infNFe|protNFe)\b")
-    is_root = f"regexp_extract(body, {literal(_ROOT_NAME)}, 1) IN ('infNFe', 'protNFe')"
+    is_root = f"regexp_extract(regexp_replace(body, {literal(_PROLOG_PARTS)}, ''), "
+    is_root += f"{literal(_ROOT_NAME)}, 1) IN ('infNFe', 'protNFe')"
     found = F.expr(f"body RLIKE {mentioned} AND NOT {is_root}")
     return F.when(found, F.get(_from_xml(inner, nodes).nfeProc, F.lit(0)))
 

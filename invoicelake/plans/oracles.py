@@ -79,7 +79,7 @@ _ITEM = f"""
     l_extendedprice AS valor_produto, CAST({_DISCOUNT} AS DOUBLE) AS valor_desconto,
     CAST({_TAX} AS DOUBLE) AS valor_total_tributos_item"""
 
-_LINES = "FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey"
+_LINES = "FROM orders JOIN lineitem ON o_orderkey = l_orderkey LEFT JOIN part ON l_partkey = p_partkey"
 
 _DAMAGE = f"""
     SELECT 'orders/' || {_FILE} AS path, {_FILE} AS source_file,

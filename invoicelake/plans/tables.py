@@ -2,20 +2,47 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+# Session setting: a shared folder for the tables, where the catalog does not outlive the process.
+TABLE_PATH = "spark.invoicelake.tablePath"
+
 
 def create_database(spark: SparkSession, db: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
 
 
+def _table_folder(spark: SparkSession, name: str) -> str | None:
+    folder = spark.conf.get(TABLE_PATH, None)
+    return f"{folder.rstrip('/')}/{name.replace('.', '/')}" if folder else None
+
+
+def open_tables(spark: SparkSession, db: str, tables: tuple[str, ...]) -> None:
+    """Make tables that an earlier process left in the table folder known to this catalog."""
+    create_database(spark, db)
+    for table in tables:
+        folder = _table_folder(spark, f"{db}.{table}")
+        if folder is None or spark.catalog.tableExists(f"{db}.{table}"):
+            continue
+        try:
+            spark.read.parquet(folder)
+        except AnalysisException:  # never written
+            continue
+        spark.sql(f"CREATE TABLE {db}.{table} USING parquet LOCATION '{folder}'")
+
+
 def overwrite_table(df: DataFrame, name: str) -> int:
-    """Replace a managed Parquet table; returns the rows written, counted while writing."""
+    """Replace a Parquet table; returns the rows written, counted while writing.
+
+    The catalog manages the table unless the session names a table folder (TABLE_PATH).
+    """
     written = Observation()
-    (
-        df.observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite").format("parquet").saveAsTable(name)
-    )
+    folder = _table_folder(df.sparkSession, name)
+    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    (writer.option("path", folder) if folder else writer).format("parquet").saveAsTable(name)
     return written.get["rows"]
 
 
@@ -45,13 +72,14 @@ def preview(spark: SparkSession, db: str, table: str, rows: int = 20) -> DataFra
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written once and read back, for results that several jobs need.
 
-    The copy lies in the cluster's shared checkpoint folder, so it survives lost executors, and
-    is replaced by the next run under the same name. Readers get only the columns they use.
+    The copy lies in the cluster's shared checkpoint folder, so it survives lost executors. Every
+    call has a folder of its own: runs at the same time, or one after the other, do not meet.
+    Readers get only the columns they use.
     """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or (
         spark.conf.get("spark.sql.warehouse.dir") + "/_staging"
     )
-    path = f"{folder}/invoicelake/{name}"
-    df.write.mode("overwrite").parquet(path)
+    path = f"{folder}/invoicelake/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

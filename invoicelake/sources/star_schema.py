@@ -144,8 +144,8 @@ def _order_lines(
     lines: DataFrame, goods: DataFrame, oversized: DataFrame | None
 ) -> tuple[DataFrame, DataFrame | None]:
     """Per order its totals and the lines of its first invoice; and the continuations, if any."""
-    known = F.when(F.col("p_partkey").isNotNull(), F.expr(_ITEM))
-    collected = F.sort_array(F.collect_list(known)).alias("itens")
+    # A line whose part is unknown is a line without name and list price.
+    collected = F.sort_array(F.collect_list(F.expr(_ITEM))).alias("itens")
     part = F.col("l_partkey") == F.col("p_partkey")
     if oversized is None:
         # An order's lines lie far apart, so collecting them before the shuffle gains nothing.
