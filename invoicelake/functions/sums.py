@@ -24,10 +24,12 @@ def exact_sum(column: str, places: int = 2) -> Column:
     rest = f"CASE WHEN {fits} THEN NULL WHEN CAST({decimal} AS DOUBLE) = {column} THEN {decimal} END"
     neither = f"{column} IS NOT NULL AND {whole} IS NULL AND {rest} IS NULL"
     one_unit = f"CAST('{10**-places:.{places}f}' AS DECIMAL({places + 1},{places}))"
-    total = (
-        f"(CAST(coalesce(try_sum({whole}) * {one_unit}, 0) AS DOUBLE) "
-        f"+ CAST(coalesce(try_sum({rest}), 0) AS DOUBLE))"
-    )
+    units_total = f"try_sum({whole}) * {one_unit}"
+    both = f"try_add(try_cast({units_total} AS DECIMAL(38,18)), try_sum({rest}))"
+    total = f"""CASE
+        WHEN max({whole}) IS NULL THEN CAST(try_sum({rest}) AS DOUBLE)
+        WHEN max({rest}) IS NULL THEN CAST({units_total} AS DOUBLE)
+        ELSE coalesce(CAST({both} AS DOUBLE), sum({column})) END"""
     exact = (
         f"NOT max({neither}) AND (try_sum({whole}) IS NOT NULL OR max({whole}) IS NULL) "
         f"AND (try_sum({rest}) IS NOT NULL OR max({rest}) IS NULL) AND count({column}) > 0"

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from invoicelake.plans import queries as registered
 from conftest import invoice
 from invoicelake import contract
 from invoicelake.operators import gold
@@ -92,12 +92,12 @@ def test_ranking_needs_no_full_sort(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registered.queries()))
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
 def test_no_query_plans_a_cross_join_or_single_partition(spark, name, threshold):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        plan = physical(entry.queries()[name](spark, SF_DIR))
+        plan = physical(registered.queries()[name](spark, SF_DIR))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|Python|LocalTableScan|BatchEvalPython", plan)

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from invoicelake.plans import oracles, queries as registered
 from invoicelake.sources import star_schema
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -39,13 +40,13 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registered.queries()) == set(oracles.oracle_sql())
 
 
 @needs_tables
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registered.queries()))
 def test_query(spark, name):
-    assert_same(entry.queries()[name](spark, SF_DIR), database(SF_DIR), entry.oracle_sql()[name])
+    assert_same(registered.queries()[name](spark, SF_DIR), database(SF_DIR), oracles.oracle_sql()[name])
 
 
 @needs_tables
@@ -56,7 +57,7 @@ def test_query_under_other_settings(spark, name):
     try:
         for key, value in changed.items():
             spark.conf.set(key, value)
-        assert_same(entry.queries()[name](spark, SF_DIR), database(SF_DIR), entry.oracle_sql()[name])
+        assert_same(registered.queries()[name](spark, SF_DIR), database(SF_DIR), oracles.oracle_sql()[name])
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
@@ -88,9 +89,9 @@ def skewed(tmp_path_factory):
 
 
 @needs_tables
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registered.queries()))
 def test_query_on_skewed_tables(spark, skewed, name):
-    assert_same(entry.queries()[name](spark, skewed), database(skewed), entry.oracle_sql()[name])
+    assert_same(registered.queries()[name](spark, skewed), database(skewed), oracles.oracle_sql()[name])
 
 
 @needs_tables
