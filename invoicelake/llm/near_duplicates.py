@@ -13,7 +13,9 @@ gathered into components; only nodes that are still in different components are
 pairs. So a large group of near copies costs some comparisons per member, and no pair is left out
 whose link could still matter. Candidates within the distance must also be within
 `SKETCH_DISTANCE` in a second signature of `SKETCH` slots (exceeded at similarity 0.8 with
-probability 1e-5), and are then confirmed on the full sets.
+probability 1e-5), and are then confirmed on the full sets. Before that they must pass an exact
+bound: each shingle of a set flips one of `PARITIES` bits, so two sets differ in at least as many
+shingles as their bits differ. It leaves no link out and stops most pairs of texts of usual length.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ SLOTS, CHUNK = 80, 5
 CHUNKS = SLOTS // CHUNK
 DISTANCE = 2 * CHUNKS - 1
 SKETCH, SKETCH_DISTANCE = 256, 80  # slots of a second, longer signature, and its distance
+PARITIES = 1024  # bits that a set's shingles flip
 FEW = 8  # nodes under a key of which all pairs are compared at once
 
 _ORDERS = mixed(np.arange(1, SLOTS + SKETCH + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
@@ -47,15 +50,23 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (mixed(least) & np.uint64(255)).astype(np.uint8)
 
 
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls on each bit, as PARITIES / 8 bytes."""
+    place = (shingles & np.uint64(PARITIES - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=PARITIES) & 1).astype(bool))
+
+
 def _signed(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, prints, slots = [], [], [np.empty((0, SLOTS + SKETCH), np.uint8)]
+            bits = [np.empty((0, PARITIES // 8), np.uint8)]
             for shingles in shingle_sets(batch.column("text"), size):
                 counts.append(len(shingles))
                 if len(shingles):
                     prints.append(blake2b(shingles.tobytes(), digest_size=16).digest())
                     slots.append(signature(shingles)[None, :])
+                    bits.append(parity_bits(shingles)[None, :])
                 else:
                     prints.append(None)
             slots, filled = np.concatenate(slots), np.minimum(1, counts)
@@ -64,8 +75,9 @@ def _signed(size: int):
                     batch.column(0), batch.column("th"), pa.array(counts, pa.int64()),
                     pa.array(prints, pa.binary()),
                     _longs(slots[:, :SLOTS], filled, CHUNK), _longs(slots[:, SLOTS:], filled, 8),
+                    _longs(np.concatenate(bits), filled, 8),
                 ],
-                names=["id", "th", "n", "print", "sig", "sketch"],
+                names=["id", "th", "n", "print", "sig", "sketch", "parity"],
             )
 
     return run
@@ -118,6 +130,14 @@ def sketch_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, differing), F.lit(0), lambda total, x: total + x)
 
 
+def may_be_linked(percent: int, n_a: Column, n_b: Column, a: Column, b: Column) -> Column:
+    """Whether the sizes and parity bits of two sets leave them a similarity of `percent`."""
+    differ = F.lit(0)
+    for at in range(PARITIES // 64):
+        differ = differ + F.bit_count(F.get(a, F.lit(at)).bitwiseXOR(F.get(b, F.lit(at))))
+    return (100 - percent) * (n_a + n_b) >= (100 + percent) * differ
+
+
 def first_meeting(key: Column, a: Column, b: Column) -> Column:
     """Whether `key` is the first of the keys that two signatures share."""
     slot = F.shiftright(key, 32).cast("int")
@@ -176,10 +196,12 @@ class _Links:
     def _near(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes and signatures allow a link."""
         side = lambda s: self.nodes.select(
-            F.col("node").alias(s), F.col("sig").alias(f"sig_{s}"), F.col("n").alias(f"n_{s}"))
+            F.col("node").alias(s), F.col("sig").alias(f"sig_{s}"), F.col("n").alias(f"n_{s}"),
+            F.col("parity").alias(f"parity_{s}"))
         near = pairs.join(side("a"), "a").join(side("b"), "b").filter(
             (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
             & (distance(F.col("sig_a"), F.col("sig_b")) <= DISTANCE)
+            & may_be_linked(self.percent, *map(F.col, ("n_a", "n_b", "parity_a", "parity_b")))
         ).select("a", "b")
         longer = lambda s: self.nodes.select(
             F.col("node").alias(s), F.col("sketch").alias(f"sketch_{s}"))
@@ -204,7 +226,12 @@ class _Links:
         self.sets = found if self.sets is None else self.sets.unionByName(found)
 
     def among(self, pairs: DataFrame) -> DataFrame:
-        near = stored(self._near(pairs))
+        """The links among pairs of any kind."""
+        return self.confirmed(self._near(pairs))
+
+    def confirmed(self, near: DataFrame) -> DataFrame:
+        """The links among pairs whose sizes and signatures have been compared."""
+        near = stored(near)
         self._with_sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         if self.sets is None:
             return near
@@ -238,12 +265,14 @@ def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
         T.StructField("n", T.LongType()), T.StructField("print", T.BinaryType()),
         T.StructField("sig", T.ArrayType(T.LongType())),
         T.StructField("sketch", T.ArrayType(T.LongType())),
+        T.StructField("parity", T.ArrayType(T.LongType())),
     ]))
     rows = stored(signed)
     # Stored with their numbers, so that a repeated task cannot number nodes anew.
     nodes = stored(
         rows.filter("n > 0").groupBy("print").agg(
-            F.first("sig").alias("sig"), F.first("sketch").alias("sketch"), F.first("n").alias("n"),
+            F.first("sig").alias("sig"), F.first("sketch").alias("sketch"),
+            F.first("parity").alias("parity"), F.first("n").alias("n"),
             F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "th")).alias("rep"),
         ).withColumn("node", F.monotonically_increasing_id())
     )
@@ -272,7 +301,7 @@ def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
         ).filter("node_root <> root").select(
             F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         roots = _grown(roots, links.among(again))
-        roots = _grown(roots, links.among(_still_apart(_in_components(many, roots), links)))
+        roots = _grown(roots, links.confirmed(_still_apart(_in_components(many, roots), links)))
     members = nodes.join(roots, "node", "left").select(
         "print", F.coalesce("root", "node").alias("root"))
     return rows.select("id", "th", "n", "print").join(members, "print", "left").drop("print")
@@ -304,26 +333,29 @@ def _still_apart(placed: DataFrame, links: _Links) -> DataFrame:
 
     Keys all of whose nodes are in one component are done. Shingles that a node has for itself
     among all nodes of the open keys bound what it can have in common with any of them: by this
-    alone most copies that are too far apart leave. Distances are taken inside the join, so only
-    close pairs come out of it, each under the first of the keys that its nodes share.
+    alone most copies that are too far apart leave. Bits and distances are compared inside the join,
+    so only close pairs come out of it, each under the first of the keys that its nodes share.
     """
     percent = links.percent
     undecided = stored(_open(placed).select("key", "node", "root"))
     sizes = stored(links.shared_sizes(undecided.select("node").distinct()))
     rows = stored(_open(
-        undecided.join(sizes, "node").join(links.nodes.select("node", "sig", "sketch", "n"), "node")
+        undecided.join(sizes, "node")
+        .join(links.nodes.select("node", "sig", "sketch", "parity", "n"), "node")
         .filter(100 * F.col("shared") >= percent * F.col("n"))
     ))
     side = lambda s: rows.select(
         "key", F.col("node").alias(s), F.col("root").alias(f"root_{s}"),
         F.col("sig").alias(f"sig_{s}"), F.col("sketch").alias(f"sketch_{s}"),
-        F.col("n").alias(f"n_{s}"), F.col("shared").alias(f"shared_{s}"))
+        F.col("parity").alias(f"parity_{s}"), F.col("n").alias(f"n_{s}"),
+        F.col("shared").alias(f"shared_{s}"))
     a, b = side("a"), side("b")
     common = F.least("shared_a", "shared_b")
     close = (
         (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
         & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
         & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))
+        & may_be_linked(percent, *map(F.col, ("n_a", "n_b", "parity_a", "parity_b")))
         & (distance(F.col("sig_a"), F.col("sig_b")) <= DISTANCE)
         & first_meeting(a["key"], F.col("sig_a"), F.col("sig_b"))
         & (sketch_distance(F.col("sketch_a"), F.col("sketch_b")) <= SKETCH_DISTANCE)

@@ -6,6 +6,7 @@ import random
 import re
 from hashlib import sha256
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +18,9 @@ from invoicelake.llm.graph import components  # noqa: E402
 from invoicelake.llm.line_dedup import line_dedup, within  # noqa: E402
 from invoicelake.llm.line_rules import LineRule, quality_rules, without_frequent_lines  # noqa: E402
 from invoicelake.llm.mixing import mix, mixed_documents  # noqa: E402
-from invoicelake.llm.near_duplicates import near_duplicates, without_near_duplicates  # noqa: E402
+from invoicelake.llm.near_duplicates import (  # noqa: E402
+    near_duplicates, parity_bits, without_near_duplicates,
+)
 from invoicelake.llm.suffix_dedup import suffix_dedup  # noqa: E402
 from invoicelake.llm.url_filter import judged  # noqa: E402
 
@@ -115,6 +118,16 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert {r.component_id for r in found.collect()} == {0}
 
 
+def test_parity_bits_never_count_more_than_the_difference():
+    rng = np.random.default_rng(4)
+    for common, own in ((0, 0), (0, 1), (1, 0), (100, 11), (100, 30), (5000, 700)):
+        every = rng.integers(0, 2**63, common + 2 * own, dtype=np.uint64)
+        a, b = every[: common + own], np.concatenate([every[:common], every[common + own :]])
+        bits = np.unpackbits(parity_bits(a) ^ parity_bits(b)).sum()
+        assert bits <= len(np.setxor1d(a, b))
+        assert bits > 0 or own == 0
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a bigint, b bigint")
     roots = {r.node: r.root for r in components(edges).collect()}
