@@ -294,7 +294,9 @@ def _damaged(xml: Column) -> Column:
 
 
 def _parsed_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_invoices(_xml_files(spark, sf_dir, ("header", "itens"), _damaged), sections=())
+    # Of the lines only the numbers are checked.
+    files = _xml_files(spark, sf_dir, ("header", "itens"), _damaged, part_names=False)
+    return parse_invoices(files, sections=())
 
 
 def q_xml_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,12 +31,14 @@ def order_documents(
     sf_dir: str,
     sections: tuple[str, ...] | None = None,
     line_totals: bool = True,
+    part_names: bool = True,
     lines_per_invoice: int = LINES_PER_INVOICE,
 ) -> DataFrame:
     """(source_file, document), one per order and continuation.
 
     Only tables behind the wanted `sections` are read; the others are missing in the documents.
-    Without `line_totals`, so are the totals that need the lines.
+    Without `line_totals`, so are the totals that need the lines; without `part_names`, so are the
+    names and list prices of the lines.
     """
     def want(*names: str) -> bool:
         return sections is None or any(name in sections for name in names)
@@ -54,7 +56,9 @@ def order_documents(
             "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         )
         oversized = _oversized_orders(docs, bought, lines_per_invoice)
-        goods = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_retailprice")
+        goods = None
+        if part_names:
+            goods = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_retailprice")
         per_order, continuations = _order_lines(bought, goods, oversized)
         parts["itens"] = "coalesce(itens, array())"
     elif want("emitente") or (want("totais") and line_totals):
@@ -141,24 +145,21 @@ def _oversized_orders(orders: DataFrame, lines: DataFrame, limit: int) -> DataFr
 
 
 def _order_lines(
-    lines: DataFrame, goods: DataFrame, oversized: DataFrame | None
+    lines: DataFrame, goods: DataFrame | None, oversized: DataFrame | None
 ) -> tuple[DataFrame, DataFrame | None]:
     """Per order its totals and the lines of its first invoice; and the continuations, if any."""
     # A line whose part is unknown is a line without name and list price.
     collected = F.sort_array(F.collect_list(F.expr(_ITEM))).alias("itens")
-    part = F.col("l_partkey") == F.col("p_partkey")
     if oversized is None:
         # An order's lines lie far apart, so collecting them before the shuffle gains nothing.
-        spread = lines.join(goods, part, "left").repartition("l_orderkey")
+        spread = _with_part(lines, goods).repartition("l_orderkey")
         return spread.groupBy("l_orderkey").agg(*_line_totals(), collected), None
     # A line's number in the scan spreads the lines of an oversized order evenly over its
     # invoices; it is the same when a lost task is run again.
     numbered = lines.withColumn("line_id", F.monotonically_increasing_id())
     invoice = F.coalesce(F.pmod(F.xxhash64("line_id"), F.col("invoices")), F.lit(0).cast("bigint"))
-    named = (
-        numbered.join(oversized, "l_orderkey", "left")
-        .withColumn("invoice", invoice)
-        .join(goods, part, "left")
+    named = _with_part(
+        numbered.join(oversized, "l_orderkey", "left").withColumn("invoice", invoice), goods
     )
     # Spread by order and invoice, not by order alone, which the joins' partitioning would allow.
     invoices = (
@@ -175,6 +176,15 @@ def _order_lines(
     return totals.join(first, "l_orderkey", "left"), continuations
 
 
+def _with_part(lines: DataFrame, goods: DataFrame | None) -> DataFrame:
+    """Lines with the name and list price of their part, null without `goods`."""
+    if goods is None:
+        return lines.selectExpr(
+            "*", "CAST(NULL AS STRING) AS p_name", "CAST(NULL AS DOUBLE) AS p_retailprice"
+        )
+    return lines.join(goods, F.col("l_partkey") == F.col("p_partkey"), "left")
+
+
 _CENTS = "CAST(rint(l_extendedprice * 100) AS BIGINT)"
 
 

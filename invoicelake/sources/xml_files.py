@@ -7,9 +7,6 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Up to this many files a limited read lists them by name, so that only they are opened.
-PRUNED_READ_MAX = 10_000
-
 # Spark counts each file as at least this many bytes when it packs files into tasks. Its default
 # of 4 MB suits big files and gives a task some thirty; of invoices a task can take thousands.
 _OPEN_COST = "spark.sql.files.openCostInBytes"
@@ -44,12 +41,12 @@ def xml_files(spark: SparkSession, xml_dir: str, limit: int | None = None) -> Da
     )
     if not limit:
         return files.select("path", "content")
-    if limit <= PRUNED_READ_MAX:
-        # A predicate on _metadata prunes the file listing, so no other file is read.
-        wanted = first_paths(files.select("path", F.col("_metadata.file_path").alias("url")), limit)
-        urls = [row.url for row in wanted.select("url").collect()]
-        return files.where(F.col("_metadata.file_path").isin(urls)).select("path", "content")
-    return limit_files(files.select("path", "content"), limit)
+    # The last of the wanted files marks the end of both orders, that of the paths and that of
+    # their encoded form. A predicate on _metadata prunes the listing, so files behind it stay shut.
+    url = F.col("_metadata.file_path")
+    last = first_paths(files.select("path", url.alias("url")), limit).agg(
+        F.max("path").alias("path"), F.max("url").alias("url")).first()
+    return files.where((url <= last.url) & (F.col("path") <= last.path)).select("path", "content")
 
 
 def first_paths(files: DataFrame, limit: int) -> DataFrame:

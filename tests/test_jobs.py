@@ -59,12 +59,21 @@ def test_xml_files(spark, xml_dir):
 
 
 @pytest.mark.parametrize("limit", [None, 0, 1, 3, 9])
-def test_limit(spark, xml_dir, limit, monkeypatch):
+def test_limit(spark, xml_dir, limit):
     expected = ["a.xml", "broken.xml", "n[1].xml", "x 1.xml"][: limit or None]
     assert names(xml_files(spark, xml_dir, limit)) == expected
     assert names(limit_files(xml_files(spark, xml_dir), limit)) == expected
-    monkeypatch.setattr("invoicelake.sources.xml_files.PRUNED_READ_MAX", 0)
-    assert names(xml_files(spark, xml_dir, limit)) == expected
+
+
+def test_limit_goes_by_path_and_not_by_its_encoded_form(spark, tmp_path):
+    for name in ("a!.xml", "a b.xml", "a-.xml"):
+        (tmp_path / name).write_text("<x/>")
+    assert names(xml_files(spark, str(tmp_path), 1)) == ["a b.xml"]
+    assert names(xml_files(spark, str(tmp_path), 2)) == ["a b.xml", "a!.xml"]
+
+
+def test_limit_of_an_empty_folder(spark, tmp_path):
+    assert xml_files(spark, str(tmp_path), 2).count() == 0
 
 
 def test_limited_read_opens_only_the_wanted_files(spark, xml_dir):
