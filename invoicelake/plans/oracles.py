@@ -111,13 +111,10 @@ def oracle_sql() -> dict[str, str]:
             FROM orders ORDER BY path LIMIT {SOURCE_LIMIT}""",
         "publish_messages": f"""
             WITH {_LINE_TOTALS}, {_CONTINUATIONS}
-            SELECT {_KEY} AS message_key, {_FILE} AS source_file, {_KEY} AS chave_nfe,
-                   c_name AS dest_nome, o_totalprice AS valor_nota, sum_price AS valor_produtos,
-                   TRUE AS has_item_list
-            FROM orders {_RECIPIENT} LEFT JOIN line_totals ON o_orderkey = l_orderkey
-            UNION ALL
-            SELECT CAST(l_orderkey AS VARCHAR), 'nfe_' || CAST(l_orderkey AS VARCHAR) || '.xml',
-                   CAST(l_orderkey AS VARCHAR), NULL, NULL, NULL, TRUE
+            SELECT {_KEY} AS message_key, {_header()} FROM orders {_RECIPIENT} {_ISSUER}
+            UNION ALL BY NAME
+            SELECT CAST(l_orderkey AS VARCHAR) AS message_key, CAST(l_orderkey AS VARCHAR) AS chave_nfe,
+                   'nfe_' || CAST(l_orderkey AS VARCHAR) || '.xml' AS source_file
             FROM continuation""",
         "bronze_messages": """
             SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition,

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from invoicelake import contract
 from invoicelake.contract import NAMESPACE
 from invoicelake.operators import gold
 from invoicelake.operators.messages import bronze_messages, encode_messages, parse_messages
@@ -47,20 +48,14 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_publish_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every invoice field of every message; `silver_item` shows the lines of the same messages."""
     messages = encode_messages(order_documents(spark, sf_dir))
     bronze = bronze_messages(messages.select(
         F.lit(TOPIC).alias("topic"), F.lit(0).alias("partition"), F.lit(0).alias("offset"),
         F.current_timestamp().alias("timestamp"), "key", "value",
     ))
-    return parse_messages(bronze).select(
-        "message_key",
-        F.col("data.source_file").alias("source_file"),
-        F.col("data.chave_nfe").alias("chave_nfe"),
-        F.col("data.destinatario.nome").alias("dest_nome"),
-        F.col("data.totais.valor_nota").alias("valor_nota"),
-        F.col("data.totais.valor_produtos").alias("valor_produtos"),
-        F.col("data.itens").isNotNull().alias("has_item_list"),
-    )
+    fields = [F.col(f"data.{path}").alias(name) for path, name in contract.header_columns()]
+    return parse_messages(bronze).select("message_key", *fields).drop("ingestion_ts")
 
 
 def q_bronze_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
