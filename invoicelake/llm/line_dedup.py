@@ -30,18 +30,21 @@ def segment(length: np.ndarray, i: int, errors: int) -> tuple[np.ndarray, np.nda
     return i * size + np.maximum(0, i - longer), size + (i >= longer)
 
 
-def _keys(errors: int, min_bytes: int):
+def _keys(errors: int, min_bytes: int, probe: bool):
+    """The keys under which a line is indexed or, with `probe`, looks for others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = batch.column("line").to_numpy()
+            lines = batch.column("node").to_numpy()
             for row, data, starts in text_slices(batch.column("text")):
                 length = np.diff(starts)
                 some = np.flatnonzero(length >= min_bytes)
                 begin, length, line = starts[some], length[some], lines[row + some]
                 out = []
                 for i in range(errors + 1):
-                    at, size = segment(length, i, errors)
-                    out.append(_rows(data, begin + at, size, length, i, line, False))
+                    if not probe:
+                        at, size = segment(length, i, errors)
+                        out.append(_rows(data, begin + at, size, length, i, line))
+                        continue
                     for less in range(errors + 1):
                         # Places that leave errors enough before and behind the segment.
                         low, high = max(-i, less - (errors - i)), min(i, less + errors - i)
@@ -51,18 +54,18 @@ def _keys(errors: int, min_bytes: int):
                             fits = (place >= 0) & (place + size <= length) & (
                                 length - less >= min_bytes)
                             out.append(_rows(data, (begin + place)[fits], size[fits],
-                                             (length - less)[fits], i, line[fits], True))
+                                             (length - less)[fits], i, line[fits]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c)) for c in zip(*out)],
-                    names=["key", "line", "probe"])
+                    names=["key", "node"])
 
     return run
 
 
-def _rows(data, begin, size, length, i, line, probe):
+def _rows(data, begin, size, length, i, line):
     salt = mixed(length.astype(np.uint64) * np.uint64(64) + np.uint64(i))
     key = mixed(span_hashes(data, begin, begin + size) ^ salt)
-    return key.view(np.int64), line, np.full(len(line), probe)
+    return key.view(np.int64), line
 
 
 def within(pairs: list[tuple[bytes, bytes]], errors: int) -> np.ndarray:
@@ -117,18 +120,20 @@ def _verified(errors: int):
 
 def line_links(docs: DataFrame, errors: int = ERRORS, min_bytes: int = MIN_BYTES) -> DataFrame:
     """(a, b): hashes of different lines within `errors` edits of each other."""
-    lines = _lines(docs).select("line", "text")
-    keys = stored(lines.mapInArrow(
-        _keys(errors, min_bytes), "key bigint, line bigint, probe boolean").distinct())
-    index = keys.filter("NOT probe").select("key", F.col("line").alias("a"))
-    met = index.join(keys.filter("probe").select("key", F.col("line").alias("b")), "key").filter(
-        "a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = stored(met.distinct())
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
-    texts = stored(lines.join(wanted, "line", "left_semi").dropDuplicates(["line"]))
-    side = lambda s: texts.select(F.col("line").alias(s), F.col("text").alias(f"t{s}"))
-    return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(
-        _verified(errors), "a bigint, b bigint"))
+    # Each line once, before its keys are made; stored with its number, which is short and which a
+    # repeated task cannot change.
+    lines = stored(
+        _lines(docs).select("line", "text").filter(F.octet_length("text") >= min_bytes)
+        .dropDuplicates(["line"]).withColumn("node", F.monotonically_increasing_id()))
+    keys = lambda probe, name: lines.select("node", "text").mapInArrow(
+        _keys(errors, min_bytes, probe), "key bigint, node bigint").withColumnRenamed("node", name)
+    met = keys(False, "x").join(keys(True, "y"), "key").filter("x <> y")
+    pairs = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    side = lambda node, name: lines.select(
+        F.col("node").alias(node), F.col("line").alias(name), F.col("text").alias(f"t{name}"))
+    return stored(
+        pairs.join(side("x", "a"), "x").join(side("y", "b"), "y").select("a", "b", "ta", "tb")
+        .mapInArrow(_verified(errors), "a bigint, b bigint"))
 
 
 def _lines(docs: DataFrame, *keep: str) -> DataFrame:
