@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from invoicelake.llm.byte_words import mixed, shingle_sets
 from invoicelake.llm.graph import components
-from invoicelake.llm.shared import named_apart, stored
+from invoicelake.llm.shared import bucketed, named_apart, stored
 
 SLOTS, CHUNK = 80, 5
 CHUNKS = SLOTS // CHUNK
@@ -187,13 +187,12 @@ def _confirmed(percent: int):
 
 
 class _Links:
-    """Confirms candidate pairs of nodes; keeps the full sets of the nodes that it has met."""
+    """Confirms candidate pairs of nodes, on full sets that are fetched once."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> None:
         self.docs, self.nodes, self.size, self.percent = docs, nodes, size, percent
-        self.sets: DataFrame | None = None
 
-    def _near(self, pairs: DataFrame) -> DataFrame:
+    def near(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes and signatures allow a link."""
         side = lambda s: self.nodes.select(
             F.col("node").alias(s), F.col("sig").alias(f"sig_{s}"), F.col("n").alias(f"n_{s}"),
@@ -205,36 +204,29 @@ class _Links:
         ).select("a", "b")
         longer = lambda s: self.nodes.select(
             F.col("node").alias(s), F.col("sketch").alias(f"sketch_{s}"))
-        return near.join(longer("a"), "a").join(longer("b"), "b").filter(
+        return stored(near.join(longer("a"), "a").join(longer("b"), "b").filter(
             sketch_distance(F.col("sketch_a"), F.col("sketch_b")) <= SKETCH_DISTANCE
-        ).select("a", "b")
+        ).select("a", "b"))
 
-    def _with_sets(self, wanted: DataFrame) -> None:
-        """Fetches the sets of the nodes that are still missing."""
-        if self.sets is not None:
-            wanted = wanted.join(self.sets, "node", "left_anti")
-        wanted = stored(wanted.join(self.nodes, "node").select("node", "rep"))
-        if wanted.isEmpty():
-            return
-        found = stored(
-            self.docs.join(
-                wanted.select("node", F.col("rep.id").alias("_id"), F.col("rep.th").alias("_th")),
-                F.expr("th = _th AND id <=> _id"),
-            ).dropDuplicates(["node"]).select("node", "text")
-            .mapInArrow(_sets(self.size), "node bigint, shingles binary")
-        )
-        self.sets = found if self.sets is None else self.sets.unionByName(found)
+    def fetch(self, wanted: DataFrame) -> None:
+        """Makes the sets of the nodes in `wanted` (node), the only ones that pairs may name later.
 
-    def among(self, pairs: DataFrame) -> DataFrame:
-        """The links among pairs of any kind."""
-        return self.confirmed(self._near(pairs))
+        The texts are moved for this, so it is done once; the sets are kept in buckets of their
+        node, so that no later join moves them. The wanted rows grow with the corpus: never broadcast.
+        """
+        reps = wanted.distinct().join(self.nodes, "node").select(
+            "node", F.col("rep.id").alias("_id"), F.col("rep.th").alias("_th"))
+        self.sets, self.table = bucketed(
+            self.docs.join(reps.hint("merge"), F.expr("th = _th AND id <=> _id"))
+            .dropDuplicates(["node"]).select("node", "text")
+            .mapInArrow(_sets(self.size), "node bigint, shingles binary"), "node")
+
+    def close(self) -> None:
+        """Forgets the table of the sets; all that was asked of it is stored by now."""
+        self.nodes.sparkSession.sql(f"DROP TABLE {self.table}")
 
     def confirmed(self, near: DataFrame) -> DataFrame:
         """The links among pairs whose sizes and signatures have been compared."""
-        near = stored(near)
-        self._with_sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        if self.sets is None:
-            return near
         side = lambda s: self.sets.select(
             F.col("node").alias(s), F.col("shingles").alias(f"s{s}"))
         return stored(
@@ -242,12 +234,8 @@ class _Links:
             .mapInArrow(_confirmed(self.percent), "a bigint, b bigint")
         )
 
-
     def shared_sizes(self, members: DataFrame) -> DataFrame:
         """(node, shared): how many shingles of a node also stand in another of `members` (node)."""
-        self._with_sets(members)
-        if self.sets is None:
-            return members.withColumn("shared", F.lit(0).cast("long"))
         return (
             self.sets.join(members, "node", "left_semi")
             .mapInArrow(_each_shingle, "node bigint, shingle bigint")
@@ -276,12 +264,16 @@ def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
             F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "th")).alias("rep"),
         ).withColumn("node", F.monotonically_increasing_id())
     )
-    keys = nodes.select("node", "sig").mapInArrow(_chunk_keys, "node bigint, key bigint")
+    # Counted and joined in the partitions of one shuffle.
+    keys = nodes.select("node", "sig").mapInArrow(
+        _chunk_keys, "node bigint, key bigint").repartition("key")
     shared_keys = keys.groupBy("key").agg(
         F.count("*").alias("members"), F.min("node").alias("first")
     ).filter("members > 1")
     busy = stored(keys.join(shared_keys, "key"))
-    links = _Links(docs, nodes, size, percent)
+    # Signatures are moved once; after that only those of nodes that share a key.
+    met = stored(nodes.join(busy.select("node").distinct(), "node", "left_semi"))
+    links = _Links(docs, met, size, percent)
 
     few = busy.filter(F.col("members") <= FEW).groupBy("key").agg(
         F.sort_array(F.collect_list("node")).alias("all"))
@@ -291,8 +283,10 @@ def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
     ))).alias("p")).select("p.*")
     many = busy.filter(F.col("members") > FEW)
     stars = many.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    edges = links.among(few_pairs.unionByName(stars).distinct())
-    roots = components(edges)
+    near = links.near(few_pairs.unionByName(stars).distinct())
+    links.fetch(near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(
+        many.select("node")))
+    roots = components(links.confirmed(near))
     if not many.isEmpty():
         placed = _in_components(many, roots)
         others = many.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("other"))
@@ -300,8 +294,10 @@ def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
             placed.withColumnsRenamed({"root": "node_root"}).join(others, "key"), roots, of="other"
         ).filter("node_root <> root").select(
             F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        roots = _grown(roots, links.among(again))
-        roots = _grown(roots, links.confirmed(_still_apart(_in_components(many, roots), links)))
+        roots = _grown(roots, links.confirmed(links.near(again)))
+        roots = _grown(roots, links.confirmed(
+            stored(_still_apart(_in_components(many, roots), links))))
+    links.close()
     members = nodes.join(roots, "node", "left").select(
         "print", F.coalesce("root", "node").alias("root"))
     return rows.select("id", "th", "n", "print").join(members, "print", "left").drop("print")

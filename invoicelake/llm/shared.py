@@ -36,6 +36,19 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """`df` written to the shared folder in buckets of `key`, and the name of its table.
+
+    Joins on `key` then move only the other side. The caller drops the table when it is used up.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return spark.table(name), name
+
+
 def words(text: Column) -> Column:
     """The words between blanks; none for null."""
     return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array())
