@@ -2,6 +2,8 @@
 
 import itertools
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -246,6 +248,31 @@ def test_command_line(spark, xml_dir, tmp_path, db, capsys):
     assert main(["publish", "--xml-dir", str(tmp_path / "none"), *common]) == 1
 
 
+def test_command_line_in_separate_processes(xml_dir, tmp_path):
+    """Each job finds the tables of the ones before it through the table folder alone."""
+    settings = {"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2",
+                "spark.checkpoint.dir": str(tmp_path / "shared")}
+    conf = " ".join(f"--conf {k}={v}" for k, v in settings.items())
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = os.environ | {"PYTHONPATH": root, "PYSPARK_SUBMIT_ARGS": f"{conf} pyspark-shell"}
+
+    def run(*argv):
+        done = subprocess.run(
+            [sys.executable, "-m", "invoicelake", *argv, "--master", "local[2]", "--table-path", str(tmp_path / "tables")],
+            cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+        assert done.returncode == 0, done.stderr[-2000:]
+        return done.stdout
+
+    topic = ["--topic", "t", "--log-path", str(tmp_path / "cli")]
+    counted = [line for line in run("run", "--xml-dir", xml_dir, *topic).splitlines() if line.startswith("nfe.")]
+    assert "nfe.silver_nfe_item: 3" in counted
+    assert run("layers", *topic).splitlines() == counted
+    analytics = run("analytics")
+    assert "nfe.analytics_05_tributos_emitente: 1" in analytics
+    assert run("analytics") == analytics
+    assert "|silver_nfe_item  |3" in run("inspect")
+
+
 @pytest.mark.parametrize("argv", [
     ["publish", "--topic", "t"], ["layers"], ["publish", "--topic", "t", "--xml-dir", "d", "--limit", "-1"],
 ])
