@@ -4,7 +4,8 @@ Two lines within edit distance t: if one is cut into t + 1 segments, one segment
 the other, near its own place. Every line is indexed by its segments under its length; it probes the
 index of every length from its own down to t less with the substrings that may match there, at places
 that leave enough errors for the rest. Lines that meet are verified by a bit-parallel automaton on
-the band of 2 t + 1 diagonals. Distances are in bytes of UTF-8.
+the band of 2 t + 1 diagonals. Distances are in characters (code points), and lines of every length
+take part: a line of t characters or less has empty segments, which match everywhere.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from invoicelake.llm.graph import components
 from invoicelake.llm.shared import BLANKS, named_apart, stored
 
 ERRORS = 2
-MIN_BYTES = 40  # shorter lines are only compared for equality
 
 
 def segment(length: np.ndarray, i: int, errors: int) -> tuple[np.ndarray, np.ndarray]:
@@ -30,20 +30,28 @@ def segment(length: np.ndarray, i: int, errors: int) -> tuple[np.ndarray, np.nda
     return i * size + np.maximum(0, i - longer), size + (i >= longer)
 
 
-def _keys(errors: int, min_bytes: int, probe: bool):
+def character_starts(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte of each character, and the end; first character of each row, and the end)."""
+    first = (data & 0xC0) != 0x80
+    first[starts[starts < len(data)]] = True
+    at = np.append(np.flatnonzero(first), len(data))
+    return at, np.searchsorted(at, starts)
+
+
+def _keys(errors: int, probe: bool):
     """The keys under which a line is indexed or, with `probe`, looks for others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lines = batch.column("node").to_numpy()
             for row, data, starts in text_slices(batch.column("text")):
-                length = np.diff(starts)
-                some = np.flatnonzero(length >= min_bytes)
-                begin, length, line = starts[some], length[some], lines[row + some]
+                chars, starts = character_starts(data, starts)
+                begin, length = starts[:-1], np.diff(starts)
+                line = lines[row : row + len(length)]
                 out = []
                 for i in range(errors + 1):
                     if not probe:
                         at, size = segment(length, i, errors)
-                        out.append(_rows(data, begin + at, size, length, i, line))
+                        out.append(_rows(data, chars, begin + at, size, length, i, line))
                         continue
                     for less in range(errors + 1):
                         # Places that leave errors enough before and behind the segment.
@@ -51,9 +59,8 @@ def _keys(errors: int, min_bytes: int, probe: bool):
                         aim, size = segment(length - less, i, errors)
                         for shift in range(low, high + 1):
                             place = aim + shift
-                            fits = (place >= 0) & (place + size <= length) & (
-                                length - less >= min_bytes)
-                            out.append(_rows(data, (begin + place)[fits], size[fits],
+                            fits = (place >= 0) & (place + size <= length) & (length > less)
+                            out.append(_rows(data, chars, (begin + place)[fits], size[fits],
                                              (length - less)[fits], i, line[fits]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c)) for c in zip(*out)],
@@ -62,32 +69,39 @@ def _keys(errors: int, min_bytes: int, probe: bool):
     return run
 
 
-def _rows(data, begin, size, length, i, line):
+def _rows(data, chars, begin, size, length, i, line):
     salt = mixed(length.astype(np.uint64) * np.uint64(64) + np.uint64(i))
-    key = mixed(span_hashes(data, begin, begin + size) ^ salt)
+    key = mixed(span_hashes(data, chars[begin], chars[begin + size]) ^ salt)
     return key.view(np.int64), line
 
 
+def _characters(text: bytes) -> np.ndarray:
+    if text.isascii():
+        return np.frombuffer(text, np.uint8)
+    points = text.decode("utf-8", "surrogateescape").encode("utf-32-le", "surrogatepass")
+    return np.frombuffer(points, np.int32)
+
+
 def within(pairs: list[tuple[bytes, bytes]], errors: int) -> np.ndarray:
-    """Whether each pair is within `errors` edits.
+    """Whether each pair of UTF-8 texts is within `errors` edits of characters.
 
     Bit d of a state says that the text read so far matches the other one up to d - errors more
-    bytes; there is a state for each number of errors, and all pairs take a step together.
+    characters; there is a state for each number of errors, and all pairs take a step together.
     """
     out = np.zeros(len(pairs), dtype=bool)
     order = sorted(range(len(pairs)), key=lambda k: len(pairs[k][1]))
     for at in range(0, len(order), 512):
         some = order[at : at + 512]
-        steps = max(len(pairs[k][1]) for k in some)
-        a = np.zeros((len(some), steps + 3 * errors + 1), dtype=np.int16) - 1
-        b = np.zeros((len(some), steps), dtype=np.int16) - 2
-        for r, k in enumerate(some):
-            x, y = pairs[k]
+        read = [(_characters(pairs[k][0]), _characters(pairs[k][1])) for k in some]
+        steps = max(len(y) for _, y in read)
+        a = np.zeros((len(some), steps + 3 * errors + 1), dtype=np.int32) - 1
+        b = np.zeros((len(some), steps), dtype=np.int32) - 2
+        for r, (x, y) in enumerate(read):
             x = x[: steps + 2 * errors]
-            a[r, errors : errors + len(x)] = np.frombuffer(x, np.uint8)
-            b[r, : len(y)] = np.frombuffer(y, np.uint8)
-        gap = np.array([len(pairs[k][0]) - len(pairs[k][1]) for k in some])
-        ends = np.array([len(pairs[k][1]) for k in some])
+            a[r, errors : errors + len(x)] = x
+            b[r, : len(y)] = y
+        gap = np.array([len(x) - len(y) for x, y in read])
+        ends = np.array([len(y) for _, y in read])
         mask = (1 << (2 * errors + 1)) - 1
         states = [np.full(len(some), ((1 << (e + 1)) - 1) << errors, np.int64) for e in range(errors + 1)]
         good = (ends == 0) & (np.abs(gap) <= errors)
@@ -118,15 +132,15 @@ def _verified(errors: int):
     return run
 
 
-def line_links(docs: DataFrame, errors: int = ERRORS, min_bytes: int = MIN_BYTES) -> DataFrame:
+def line_links(docs: DataFrame, errors: int = ERRORS) -> DataFrame:
     """(a, b): hashes of different lines within `errors` edits of each other."""
     # Each line once, before its keys are made; stored with its number, which is short and which a
     # repeated task cannot change.
     lines = stored(
-        _lines(docs).select("line", "text").filter(F.octet_length("text") >= min_bytes)
-        .dropDuplicates(["line"]).withColumn("node", F.monotonically_increasing_id()))
+        _lines(docs).select("line", "text").dropDuplicates(["line"])
+        .withColumn("node", F.monotonically_increasing_id()))
     keys = lambda probe, name: lines.select("node", "text").mapInArrow(
-        _keys(errors, min_bytes, probe), "key bigint, node bigint").withColumnRenamed("node", name)
+        _keys(errors, probe), "key bigint, node bigint").withColumnRenamed("node", name)
     met = keys(False, "x").join(keys(True, "y"), "key").filter("x <> y")
     pairs = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     side = lambda node, name: lines.select(
@@ -142,13 +156,11 @@ def _lines(docs: DataFrame, *keep: str) -> DataFrame:
         F.col("text").rlike(f"[^{BLANKS}]")).withColumn("line", F.xxhash64("text"))
 
 
-def line_dedup(
-    docs: DataFrame, errors: int = ERRORS, min_bytes: int = MIN_BYTES, key: str = "doc_id"
-) -> DataFrame:
+def line_dedup(docs: DataFrame, errors: int = ERRORS, key: str = "doc_id") -> DataFrame:
     """(key, n_lines, n_linked, n_links, n_removed, lines): one row per different row of `docs`.
 
-    Lines are classed by equality and, from `min_bytes` bytes on, by edit distance up to `errors`,
-    over any number of steps. Of `n_lines` with a word, `n_linked` have a different near copy,
+    Lines are classed by edit distance up to `errors` characters, whatever their length, over any
+    number of steps. Of `n_lines` with a word, `n_linked` have a different near copy,
     `n_links` counts these near copies, and `n_removed` are not the first of their class (first by
     key, null last, then text hash and place). `lines` has (at, line, class, kept) of each line.
     Null and empty texts have no lines; repeated rows count once. An empty table gives an empty
@@ -156,7 +168,7 @@ def line_dedup(
     """
     named_apart(docs, key, "text")
     slim = docs.select(F.col(key).alias("id"), "text", F.xxhash64("text").alias("th"))
-    links = line_links(slim, errors, min_bytes)
+    links = line_links(slim, errors)
     roots = components(links)
     degrees = links.select(F.explode(F.array("a", "b")).alias("line")).groupBy("line").agg(
         F.count("*").alias("links"))

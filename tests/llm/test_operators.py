@@ -15,7 +15,7 @@ pytest.importorskip("invoicelake.llm")
 from invoicelake.llm import quality, sharding, toxicity  # noqa: E402
 from invoicelake.llm.decontaminate import decontaminate, find_phrases  # noqa: E402
 from invoicelake.llm.graph import components  # noqa: E402
-from invoicelake.llm.line_dedup import line_dedup, within  # noqa: E402
+from invoicelake.llm.line_dedup import line_dedup, line_links, within  # noqa: E402
 from invoicelake.llm.line_rules import LineRule, quality_rules, without_frequent_lines  # noqa: E402
 from invoicelake.llm.mixing import mix, mixed_documents  # noqa: E402
 from invoicelake.llm.near_duplicates import (  # noqa: E402
@@ -164,6 +164,37 @@ def test_edit_distance():
         assert list(within(pairs, errors)) == [plain(a, b) <= errors for a, b in pairs]
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_line_links_against_all_pairs(spark):
+    rng = random.Random(6)
+    lines = {"".join(rng.choices("ab’字🙂", k=rng.randint(1, 9))) for _ in range(60)}
+    for n in (1, 2, 3, 6, 20, 39, 40, 41, 60):
+        base = "".join(rng.choices("abcdé’", k=n))
+        for _ in range(6):
+            copy = list(base)
+            for _ in range(rng.randint(0, 3)):
+                at = rng.randrange(len(copy) + 1)
+                copy[at : at + rng.randint(0, 1)] = rng.choices("ab’字🙂", k=rng.randint(0, 1))
+            lines.add("".join(copy))
+    lines = sorted(lines - {""})
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string").repartition(3)
+    texts = {r.line: r.text for r in table.select("text", F.xxhash64("text").alias("line")).collect()}
+    for errors in (1, 2):
+        got = sorted(tuple(sorted((texts[r.a], texts[r.b]))) for r in line_links(table, errors).collect())
+        assert got == [(a, b) for a in lines for b in lines if a < b and edits(a, b) <= errors]
+    found = {r.doc_id: r.n_links for r in line_dedup(table).collect()}
+    assert found == {i: sum(a != b and edits(a, b) <= 2 for b in lines) for i, a in enumerate(lines)}
+
+
 def test_shards_differ_by_one_and_follow_the_ring(spark, docs, nothing):
     table = spark.range(1003).withColumn("payload", F.col("id") * 2)
     got = sharding.shard_rows(table, ["id"], 7).collect()
