@@ -1,8 +1,9 @@
 """URL filter by a temporal list join.
 
 A list is a history of dated entries that add or remove a domain. Each entry is valid from its date to
-the next entry of the same domain, so the history becomes disjoint validity intervals. A capture is
-held against the intervals of its host and of all parent domains that contain its fetch time.
+the next entry of the same domain on the same list, so the history of a list becomes disjoint validity
+intervals; those of several lists may overlap. A capture is held against the intervals of its host and
+of all parent domains that contain its fetch time.
 """
 
 from __future__ import annotations
@@ -30,16 +31,19 @@ def domains_of(host: Column) -> Column:
 
 
 def validity(entries: DataFrame) -> DataFrame:
-    """(domain, reason, valid_from, valid_to) from (domain, listed, dated, reason).
+    """(domain, reason, valid_from, valid_to) from (domain, listed, dated, reason) and maybe `list`.
 
+    Entries with a column `list` are the histories of several lists, each by itself (null is a list
+    too): none takes off what another one named. Without it all are one list, whatever their reason.
     `listed` false takes the domain off. Of entries of one domain and date, removals come first and
     reasons in order, so the last one counts. An open interval ends never (null). Entries without
     domain or date are left out.
     """
-    of_domain = Window.partitionBy("domain").orderBy(
+    history = [c for c in ("domain", "list") if c in entries.columns]
+    in_history = Window.partitionBy(*history).orderBy(
         "dated", F.col("listed").asc(), F.col("reason").asc_nulls_first())
     known = entries.filter("domain IS NOT NULL AND dated IS NOT NULL AND listed IS NOT NULL")
-    spans = known.distinct().withColumn("valid_to", F.lead("dated").over(of_domain))
+    spans = known.select(*history, "listed", "dated", "reason").distinct().withColumn("valid_to", F.lead("dated").over(in_history))
     return spans.filter("listed AND (valid_to IS NULL OR valid_to > dated)").select(
         "domain", "reason", F.col("dated").alias("valid_from"), "valid_to")
 
@@ -47,7 +51,8 @@ def validity(entries: DataFrame) -> DataFrame:
 def judged(captures: DataFrame, entries: DataFrame, key: str = "page_id") -> DataFrame:
     """(key, url, host, fetched, n_active, domain, reason, blocked) of captures (key, url, fetched).
 
-    `domain` and `reason` are those of the longest listed domain; captures without host or fetch
+    `n_active` counts the listings that hold, one for each list and domain. `domain` is the longest of
+    them and `reason` that of its latest listing, the last in order of several. Captures without host or fetch
     time, and hosts that no entry names, are not blocked. Repeated rows are answered once each. An
     empty list blocks nothing. Other columns are not read.
     """
@@ -55,12 +60,13 @@ def judged(captures: DataFrame, entries: DataFrame, key: str = "page_id") -> Dat
     rows = captures.groupBy(key, "url", "fetched").agg(F.count("*").alias("_rows")).withColumn(
         "host", host_of(F.col("url")))
     asked = rows.select(key, "url", "fetched", F.explode(domains_of(F.col("host"))).alias("domain"))
-    # Intervals of one domain are disjoint: a capture meets one of them at most for each domain.
+    # Intervals of one list are disjoint: a capture meets one of them at most for each domain.
     hits = asked.join(validity(entries), "domain").filter(
         "fetched >= valid_from AND (valid_to IS NULL OR fetched < valid_to)")
     best = hits.groupBy(key, "url", "fetched").agg(
         F.count("*").alias("n_active"),
-        F.max(F.struct(F.length("domain").alias("size"), "domain", "reason")).alias("best"))
+        F.max(F.struct(F.length("domain").alias("size"), "domain", "valid_from", "reason"))
+        .alias("best"))
     found = rows.alias("r").join(
         best.alias("b"),
         F.expr(f"r.`{key}` <=> b.`{key}` AND r.url = b.url AND r.fetched = b.fetched"), "left")

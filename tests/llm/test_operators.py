@@ -301,6 +301,31 @@ def test_url_filter(spark):
     assert judged(captures, entries.limit(0)).filter("blocked").count() == 0
 
 
+def test_url_filter_keeps_lists_apart(spark):
+    days = [f"2024-{m:02}-15" for m in range(1, 13)]
+    captures = spark.createDataFrame(
+        [(i, "https://www.a.bad.example/", d) for i, d in enumerate(days)], "page_id bigint, url string, fetched string",
+    ).withColumn("fetched", F.to_date("fetched"))
+    history = [
+        ("list0", "bad.example", True, "2024-02-01", "spam"), ("list1", "bad.example", True, "2024-03-01", "ads"),
+        ("list1", "bad.example", False, "2024-04-01", "ads"), (None, "bad.example", True, "2024-06-01", "none"),
+        ("list0", "bad.example", False, "2024-08-01", "spam"), (None, "bad.example", False, "2024-09-01", None),
+        ("list1", "example", True, "2024-08-01", "tld"), ("list2", "example", True, "2024-11-01", "top"),
+    ]
+    entries = spark.createDataFrame(history, "list string, domain string, listed boolean, dated string, reason string")
+    entries = entries.withColumn("dated", F.to_date("dated"))
+    want = []
+    for i, day in enumerate(days):
+        now = {}
+        for name, domain, listed, dated, reason in sorted(history, key=lambda e: e[3]):
+            if dated <= day:
+                now[name, domain] = (len(domain), dated, reason) if listed else None
+        active = [x for x in now.values() if x]
+        want.append((i, len(active), max(active)[2] if active else None))
+    got = sorted((r.page_id, r.n_active, r.reason) for r in judged(captures, entries).collect())
+    assert got == want and [n for _, n, _ in got] == [0, 1, 2, 1, 1, 2, 2, 2, 1, 1, 2, 2]
+
+
 def test_classifiers_learn_and_score_every_row(spark, docs, nothing):
     rng = random.Random(2)
     texts, labels = [], []
