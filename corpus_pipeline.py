@@ -35,8 +35,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sources at their target weights: documents repeated, left out or, at the cut, shortened."""
-    return mixed_documents(docs)
+    """The sources near their target weights: whole documents, repeated or left out."""
+    return mixed_documents(docs, whole=True)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,7 +67,8 @@ def mix(
     Added columns: `size` (words of the text, 0 for null), `source_size` and `target` (of the
     row's source), `copies` (whole copies that the mix takes), `part` (words that it takes of one
     more copy; at most one row of a source has a part between 0 and its size) and `taken` (words in
-    all). A source's `taken` add up to its target, rounded down, unless it has no words.
+    all). A source's `taken` add up to its target, rounded down, unless it has no words. Rows without
+    words have no copies, in whatever source.
 
     Within a source rows come in an order drawn from `seed`, `key` and the text; equal rows are
     interchangeable, so reruns agree. A null source is a source of its own, and last; a null key or
@@ -111,7 +112,8 @@ def mix(
         .withColumn("_part", part.cast("long"))
         .select(
             *docs.columns, "size", "source_size", "target",
-            (F.col("_epochs") + whole.cast("long")).alias("copies"),
+            F.when(F.col("size") > 0, F.col("_epochs") + whole.cast("long"))
+            .otherwise(F.lit(0).cast("long")).alias("copies"),
             F.when(whole, F.lit(0).cast("long")).otherwise(F.col("_part")).alias("part"),
             (F.col("_epochs") * F.col("size") + F.col("_part")).alias("taken"),
         )
@@ -130,13 +132,18 @@ def first_words(text: Column, count: Column) -> Column:
 
 
 def mixed_documents(
-    docs: DataFrame, rule: MixRule = MixRule(), seed: int = 42, key: str = "doc_id"
+    docs: DataFrame, rule: MixRule = MixRule(), seed: int = 42, key: str = "doc_id",
+    whole: bool = False,
 ) -> DataFrame:
     """The documents of the mix: each as often as it is taken, the last of a source cut short.
 
-    Documents without words are not part of a mix; the columns are those of `docs`.
+    With `whole` that last one is not cut but taken whole, so a source exceeds its target by less
+    than one document. Documents without words are not part of a mix; the columns are those of `docs`.
     """
     mixed = mix(docs, rule, seed, key)
+    if whole:
+        mixed = mixed.withColumn("copies", F.col("copies") + (F.col("part") > 0).cast("long")).withColumn(
+            "part", F.lit(0).cast("long"))
     texts = F.array_repeat(F.col("text"), F.col("copies").cast("int"))
     cut = F.when(
         F.col("part") > 0, F.array(first_words(F.col("text"), F.col("part").cast("int")))

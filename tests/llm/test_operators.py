@@ -248,6 +248,19 @@ def test_mix_meets_its_targets(docs, nothing):
     assert mix(nothing).count() == 0 and mixed_documents(nothing).count() == 0
 
 
+def test_mix_of_whole_documents(spark, docs, rows):
+    blank = [(200 + i, t, "en", f"s{i % 3}", 0, 0, "b") for i, t in enumerate([None, "", " \n"] * 3)]
+    table = docs.unionByName(spark.createDataFrame(blank, SCHEMA))
+    planned = mix(table).collect()
+    assert any(0 < r.part < r.size for r in planned) and any(r.taken > r.size for r in planned)
+    want = sorted([(r.doc_id, r.text) for r in planned for _ in range(r.copies + (r.part > 0)) if r.size], key=repr)
+    got = sorted([(r.doc_id, r.text) for r in mixed_documents(table, whole=True).collect()], key=repr)
+    assert got == want and {t for _, t in got} <= {r[1] for r in rows}
+    # Documents without words are in no source's mix, cut or not.
+    assert not any(r.copies for r in planned if not r.size)
+    assert not [r for r in mixed_documents(table).collect() if not (r.text or "").strip()]
+
+
 def test_quality_rules(spark, docs, nothing):
     footer = "all rights reserved"
     table = spark.createDataFrame(
