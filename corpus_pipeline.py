@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from invoicelake.llm.decontaminate import decontaminate
 from invoicelake.llm.mixing import mixed_documents
@@ -29,8 +29,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no passage of the benchmark stands."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    """Documents in which no passage of the benchmark stands, of items without an id neither."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").withColumn(
+        "item_id", F.coalesce(F.col("item_id").cast("string"), F.lit("")))
     return decontaminate(docs, items).filter("NOT contaminated").select(*docs.columns)
 
 

@@ -29,6 +29,18 @@ def test_query_equals_sql(spark, name):
         assert con.sql(f"SELECT {columns} FROM {a} EXCEPT ALL SELECT {columns} FROM {b}").fetchall() == []
 
 
+def test_items_without_id_contaminate(spark, tmp_path):
+    passage = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame(
+        [(None, passage), (1, "tiny"), (2, None), (None, None)], "item_id bigint, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(
+        [(1, f"so {passage} so"), (2, "a tiny one"), (3, passage[4:]), (4, None), (None, passage)],
+        "doc_id bigint, text string")
+    left = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [3, 4]
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     counts = [docs.count()]
