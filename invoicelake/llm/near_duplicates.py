@@ -11,10 +11,8 @@ Equal sets are one node. Under a key with few nodes all pairs are candidates. Un
 nodes are first compared with one node of the key, then with another, and links found so far are
 gathered into components; only nodes that are still in different components are then compared in
 pairs. So a large group of near copies costs some comparisons per member, and no pair is left out
-whose link could still matter. Candidates within the distance must also be within
-`SKETCH_DISTANCE` in a second signature of `SKETCH` slots (exceeded at similarity 0.8 with
-probability 1e-5), and are then confirmed on the full sets. Before that they must pass an exact
-bound: each shingle of a set flips one of `PARITIES` bits, so two sets differ in at least as many
+whose link could still matter. Candidates within the distance are confirmed on the full sets. Before
+that they must pass an exact bound: each shingle of a set flips one of `PARITIES` bits, so two sets differ in at least as many
 shingles as their bits differ. It leaves no link out and stops most pairs of texts of usual length.
 """
 
@@ -34,16 +32,15 @@ from invoicelake.llm.shared import bucketed, named_apart, stored
 SLOTS, CHUNK = 80, 5
 CHUNKS = SLOTS // CHUNK
 DISTANCE = 2 * CHUNKS - 1
-SKETCH, SKETCH_DISTANCE = 256, 80  # slots of a second, longer signature, and its distance
 PARITIES = 1024  # bits that a set's shingles flip
 FEW = 8  # nodes under a key of which all pairs are compared at once
 
-_ORDERS = mixed(np.arange(1, SLOTS + SKETCH + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
+_ORDERS = mixed(np.arange(1, SLOTS + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """The 8-bit slots of both signatures of a set that is not empty, worked on in blocks."""
-    least = np.full(SLOTS + SKETCH, np.iinfo(np.uint64).max, dtype=np.uint64)
+    """The 8-bit slots of the signature of a set that is not empty, worked on in blocks."""
+    least = np.full(SLOTS, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(shingles), 1024):
         block = shingles[at : at + 1024]
         np.minimum(least, (_ORDERS[:, None] * block[None, :]).min(axis=1), out=least)
@@ -59,7 +56,7 @@ def parity_bits(shingles: np.ndarray) -> np.ndarray:
 def _signed(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, prints, slots = [], [], [np.empty((0, SLOTS + SKETCH), np.uint8)]
+            counts, prints, slots = [], [], [np.empty((0, SLOTS), np.uint8)]
             bits = [np.empty((0, PARITIES // 8), np.uint8)]
             for shingles in shingle_sets(batch.column("text"), size):
                 counts.append(len(shingles))
@@ -74,10 +71,9 @@ def _signed(size: int):
                 [
                     batch.column(0), batch.column("th"), pa.array(counts, pa.int64()),
                     pa.array(prints, pa.binary()),
-                    _longs(slots[:, :SLOTS], filled, CHUNK), _longs(slots[:, SLOTS:], filled, 8),
-                    _longs(np.concatenate(bits), filled, 8),
+                    _longs(slots, filled, CHUNK), _longs(np.concatenate(bits), filled, 8),
                 ],
-                names=["id", "th", "n", "print", "sig", "sketch", "parity"],
+                names=["id", "th", "n", "print", "sig", "parity"],
             )
 
     return run
@@ -119,17 +115,13 @@ def differing(a: Column, b: Column) -> Column:
 
 
 def distance(a: Column, b: Column) -> Column:
-    """The number of slots in which two first signatures differ, spelled out for generated code."""
+    """The number of slots in which two signatures differ, spelled out for generated code."""
     total = F.lit(0)
     for chunk in range(CHUNKS):
         total = total + differing(F.get(a, F.lit(chunk)), F.get(b, F.lit(chunk)))
     return total
 
 
-def sketch_distance(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, differing), F.lit(0), lambda total, x: total + x)
-
-
 def may_be_linked(percent: int, n_a: Column, n_b: Column, a: Column, b: Column) -> Column:
     """Whether the sizes and parity bits of two sets leave them a similarity of `percent`."""
     differ = F.lit(0)
@@ -197,15 +189,10 @@ class _Links:
         side = lambda s: self.nodes.select(
             F.col("node").alias(s), F.col("sig").alias(f"sig_{s}"), F.col("n").alias(f"n_{s}"),
             F.col("parity").alias(f"parity_{s}"))
-        near = pairs.join(side("a"), "a").join(side("b"), "b").filter(
+        return stored(pairs.join(side("a"), "a").join(side("b"), "b").filter(
             (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
             & (distance(F.col("sig_a"), F.col("sig_b")) <= DISTANCE)
             & may_be_linked(self.percent, *map(F.col, ("n_a", "n_b", "parity_a", "parity_b")))
-        ).select("a", "b")
-        longer = lambda s: self.nodes.select(
-            F.col("node").alias(s), F.col("sketch").alias(f"sketch_{s}"))
-        return stored(near.join(longer("a"), "a").join(longer("b"), "b").filter(
-            sketch_distance(F.col("sketch_a"), F.col("sketch_b")) <= SKETCH_DISTANCE
         ).select("a", "b"))
 
     def fetch(self, wanted: DataFrame) -> None:
@@ -252,15 +239,13 @@ def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
         T.StructField("id", docs.schema["id"].dataType), T.StructField("th", T.LongType()),
         T.StructField("n", T.LongType()), T.StructField("print", T.BinaryType()),
         T.StructField("sig", T.ArrayType(T.LongType())),
-        T.StructField("sketch", T.ArrayType(T.LongType())),
         T.StructField("parity", T.ArrayType(T.LongType())),
     ]))
     rows = stored(signed)
     # Stored with their numbers, so that a repeated task cannot number nodes anew.
     nodes = stored(
         rows.filter("n > 0").groupBy("print").agg(
-            F.first("sig").alias("sig"), F.first("sketch").alias("sketch"),
-            F.first("parity").alias("parity"), F.first("n").alias("n"),
+            F.first("sig").alias("sig"), F.first("parity").alias("parity"), F.first("n").alias("n"),
             F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "th")).alias("rep"),
         ).withColumn("node", F.monotonically_increasing_id())
     )
@@ -337,13 +322,12 @@ def _still_apart(placed: DataFrame, links: _Links) -> DataFrame:
     sizes = stored(links.shared_sizes(undecided.select("node").distinct()))
     rows = stored(_open(
         undecided.join(sizes, "node")
-        .join(links.nodes.select("node", "sig", "sketch", "parity", "n"), "node")
+        .join(links.nodes.select("node", "sig", "parity", "n"), "node")
         .filter(100 * F.col("shared") >= percent * F.col("n"))
     ))
     side = lambda s: rows.select(
         "key", F.col("node").alias(s), F.col("root").alias(f"root_{s}"),
-        F.col("sig").alias(f"sig_{s}"), F.col("sketch").alias(f"sketch_{s}"),
-        F.col("parity").alias(f"parity_{s}"), F.col("n").alias(f"n_{s}"),
+        F.col("sig").alias(f"sig_{s}"), F.col("parity").alias(f"parity_{s}"), F.col("n").alias(f"n_{s}"),
         F.col("shared").alias(f"shared_{s}"))
     a, b = side("a"), side("b")
     common = F.least("shared_a", "shared_b")
@@ -354,7 +338,6 @@ def _still_apart(placed: DataFrame, links: _Links) -> DataFrame:
         & may_be_linked(percent, *map(F.col, ("n_a", "n_b", "parity_a", "parity_b")))
         & (distance(F.col("sig_a"), F.col("sig_b")) <= DISTANCE)
         & first_meeting(a["key"], F.col("sig_a"), F.col("sig_b"))
-        & (sketch_distance(F.col("sketch_a"), F.col("sketch_b")) <= SKETCH_DISTANCE)
     )
     return a.join(b, close).select("a", "b")
 

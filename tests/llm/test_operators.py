@@ -7,19 +7,21 @@ import re
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 pytest.importorskip("invoicelake.llm")
 
 from invoicelake.llm import quality, sharding, toxicity  # noqa: E402
+from invoicelake.llm.byte_words import shingle_sets  # noqa: E402
 from invoicelake.llm.decontaminate import decontaminate, find_phrases  # noqa: E402
 from invoicelake.llm.graph import components  # noqa: E402
 from invoicelake.llm.line_dedup import line_dedup, line_links, within  # noqa: E402
 from invoicelake.llm.line_rules import LineRule, quality_rules, without_frequent_lines  # noqa: E402
 from invoicelake.llm.mixing import mix, mixed_documents  # noqa: E402
 from invoicelake.llm.near_duplicates import (  # noqa: E402
-    near_duplicates, parity_bits, without_near_duplicates,
+    DISTANCE, SLOTS, near_duplicates, parity_bits, signature, without_near_duplicates,
 )
 from invoicelake.llm.suffix_dedup import suffix_dedup  # noqa: E402
 from invoicelake.llm.url_filter import judged  # noqa: E402
@@ -118,6 +120,19 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert {r.component_id for r in found.collect()} == {0}
 
 
+def test_pairs_that_signatures_let_meet_are_all_confirmed(spark):
+    texts = []
+    for i in range(40):  # pairs at similarity 2/3
+        names = [f"p{i}w{j}" for j in range(120)]
+        texts += [" ".join(names[:100]), " ".join(names[20:])]
+    slots = [signature(s)[:SLOTS] for s in shingle_sets(pa.array(texts), 1)]
+    meet = [int((a != b).sum()) <= DISTANCE for a, b in zip(slots[::2], slots[1::2])]
+    assert sum(meet) > 20
+    found = near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), 1, 60)
+    roots = {r.doc_id: r.component_id for r in found.collect()}
+    assert [roots[2 * i + 1] == 2 * i for i in range(40)] == meet
+
+
 def test_parity_bits_never_count_more_than_the_difference():
     rng = np.random.default_rng(4)
     for common, own in ((0, 0), (0, 1), (1, 0), (100, 11), (100, 30), (5000, 700)):
