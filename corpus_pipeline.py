@@ -53,7 +53,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("sharding", sharding),
 ]
 
-# A trained classifier and a hash ring are beyond SQL; tests hold the stages to plain versions.
+# A trained classifier and a hash ring are beyond SQL. Tests hold the rows of mixing to a plan of `mix`;
+# of the other stages they compare columns, falling row counts and a few documents.
 ORACLE_SQL: str | None = None
 
 

@@ -133,6 +133,31 @@ def test_pairs_that_signatures_let_meet_are_all_confirmed(spark):
     assert [roots[2 * i + 1] == 2 * i for i in range(40)] == meet
 
 
+def test_keys_of_many_nodes_in_several_components_against_all_pairs(spark):
+    rng = random.Random(12)
+    sets = []
+    for i in range(5):  # groups alike in 0.75, their members in over 0.9
+        group = [f"w{j}" for j in range(180)] + [f"g{i}w{j}" for j in range(30)]
+        sets += [frozenset(group[:-3] + [f"x{i}y{k}z{j}" for j in range(rng.randint(1, 3))]) for k in range(5)]
+    group = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 100 * len(a & b) >= 80 * len(a | b):
+                group = [group[j] if g == group[i] else g for g in group]
+    want = [group.index(g) for g in group]
+    texts = [" ".join(sorted(s)) for s in sets]
+    keys = {}
+    for i, s in enumerate(shingle_sets(pa.array(texts), 1)):
+        slots = signature(s)[:SLOTS]
+        for at in range(SLOTS):
+            first = at - at % 5
+            rest = tuple(slots[k] for k in range(first, first + 5) if k != at)
+            keys.setdefault((at, rest), []).append(want[i])
+    assert len(set(want)) == 5 and any(len(k) > 8 and len(set(k)) > 1 for k in keys.values())
+    found = near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), 1)
+    assert [r.component_id for r in sorted(found.collect())] == want
+
+
 def test_parity_bits_never_count_more_than_the_difference():
     rng = np.random.default_rng(4)
     for common, own in ((0, 0), (0, 1), (1, 0), (100, 11), (100, 30), (5000, 700)):
