@@ -190,6 +190,126 @@ SELECT page_id, url, host, fetched, coalesce(n_active, 0)::BIGINT AS n_active, d
 FROM hosted LEFT JOIN (SELECT * FROM hits WHERE place = 1) USING (rid)
 """
 
+# The states of a fold over a conversation's rows: the least cost (10 digits), audit and repaired lines with
+# nothing yet, a system turn, a user turn and a whole pair before. Control characters separate the parts.
+_ADD = "printf('%010d', substr({x}, 1, 10)::BIGINT + {cost}) || substr({x}, 11, instr({x}, chr(1)) - 11) || '{edit}' || substr({x}, instr({x}, chr(1)))"
+
+
+def _add(x: str, cost: str, edit: str, line: str | None = None) -> str:
+    added = _ADD.format(x=x, cost=cost, edit=edit)
+    return added if line is None else f"{added} || chr(2) || {line}"
+
+
+def _turn(x: str, role: str) -> str:
+    """Keep or rerole row `r` to a role after state `x`."""
+    word = {"u": "user", "a": "assistant"}[role]
+    kept = _add(x, "r.extra", "K", "r.role || ':' || r.text")
+    changed = _add(x, "r.extra + 1", "R", f"'{word}:' || r.text")
+    return f"CASE WHEN r.must_go THEN NULL ELSE least(CASE WHEN r.initial = '{role}' THEN {kept} END, {changed}) END"
+
+
+_FIRST = _add("s.p0", "r.extra", "K", "r.role || ':' || r.text")
+_READ = f"""{{
+    'p0': {_add('s.p0', '2', 'D')},
+    'p1': least({_add('s.p1', '2', 'D')},
+                CASE WHEN NOT r.must_go AND r.initial = 's' THEN {_FIRST} END),
+    'p2': least({_add('s.p2', '2', 'D')}, {', '.join(_turn(f's.{p}', 'u') for p in ('p0', 'p1', 'p3'))}),
+    'p3': least({_add('s.p3', '2', 'D')}, {_turn('s.p2', 'a')})
+}}"""
+
+
+def _inserted(p: str) -> str:
+    return _add(f"x.{p}", "5", "I", "'user:'")
+
+
+# crc32 of ASCII text, by its table of 256 numbers.
+CRC_TABLE = """
+crc_table AS (
+    SELECT list(list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                            lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT)
+                                              ELSE c >> 1 END) ORDER BY n) AS tab
+    FROM range(256) AS t(n)
+)
+"""
+
+
+def crc(text: str) -> str:
+    return f"""xor(4294967295::BIGINT, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda x: ord(x)::BIGINT)),
+        lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"""
+
+
+_ROW_ID = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+
+OP11 = f"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+damaged AS (
+    SELECT conv_id, turn, crc % 20 AS damage,
+           CASE WHEN crc % 20 = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+           CASE crc % 20 WHEN 1 THEN '' WHEN 2 THEN translate(coalesce(text, ' '), '.!?', '')
+                ELSE coalesce(text, ' ') END AS text
+    FROM (SELECT *, {crc(_ROW_ID)} AS crc FROM conversations, crc_table)
+),
+kept AS (
+    SELECT conv_id, turn, role, text FROM damaged WHERE damage <> 0
+    UNION ALL SELECT conv_id, turn, role, text FROM damaged WHERE damage = 3
+),
+ordered AS (
+    SELECT *, row_number() OVER w AS n, left(role, 1) AS initial,
+           lag(left(role, 1)) OVER w || left(role, 1) AS pair,
+           NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS is_blank,
+           NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') AS cut
+    FROM kept WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text))
+),
+placed AS (
+    SELECT *, n > min(n) OVER (PARTITION BY conv_id, role, text) AS again FROM ordered
+),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+           count(*) FILTER (is_blank) AS blank, count(*) FILTER (again AND NOT is_blank) AS duplicate,
+           count(*) FILTER (cut AND NOT again AND NOT is_blank) AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n_rows
+    FROM placed GROUP BY conv_id
+),
+steps AS (
+    SELECT conv_id, 0::BIGINT AS n,
+           {{'p0': '0000000000' || chr(1), 'p1': NULL::VARCHAR,
+             'p2': '0000000005I' || chr(1) || chr(2) || 'user:',
+             'p3': '0000000010II' || chr(1) || chr(2) || 'user:' || chr(2) || 'assistant:'}} AS s
+    FROM counts
+    UNION ALL
+    SELECT conv_id, n, {{'p0': p0, 'p1': p1, 'p2': p2, 'p3': least(p3, {_add('p2', '5', 'I', "'assistant:'")})}}
+    FROM (SELECT conv_id, n, x.p0 AS p0, x.p1 AS p1, x.p3 AS p3,
+                 least(x.p2, {_inserted('p0')}, {_inserted('p1')}, {_inserted('p3')}) AS p2
+          FROM (SELECT b.conv_id, r.n, {_READ} AS x
+                FROM steps AS b JOIN (
+                    SELECT *, is_blank OR again AS must_go, CASE WHEN cut THEN 5 ELSE 0 END AS extra
+                    FROM placed) AS r
+                ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.n = b.n + 1))
+),
+done AS (
+    SELECT c.*, least(s.p0, s.p3) AS best
+    FROM steps AS t JOIN counts AS c
+    ON t.conv_id IS NOT DISTINCT FROM c.conv_id AND t.n = c.n_rows
+)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(substr(best, 1, 10)::BIGINT, 0) AS cost,
+       coalesce(substr(best, 11, instr(best, chr(1)) - 11), '') AS audit,
+       sha256(coalesce(replace(substr(best, instr(best, chr(1)) + 2), chr(2), chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS a
+LEFT JOIN done AS b ON a.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
+OP12 = r"""
+WITH keyed AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY body) AS group_size,
+       row_number() OVER w = 1 AS kept, sha256(body) AS text_sha256
+FROM keyed WINDOW w AS (PARTITION BY body ORDER BY doc_id NULLS LAST)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -197,4 +317,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_url_filter": OP6,
         "op7_quality_rules": OP7,
         "op8_decontamination": OP8,
+        "op11_conversation_repair": OP11,
+        "op12_exact_dedup": OP12,
     }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from invoicelake.llm import quality
+from invoicelake.llm.conversation_repair import repair, with_digests
 from invoicelake.llm.decontaminate import decontaminate
+from invoicelake.llm.exact_dedup import exact_duplicates
 from invoicelake.llm.labelled import fold
 from invoicelake.llm.line_dedup import line_dedup
 from invoicelake.llm.line_rules import quality_rules
@@ -121,6 +123,31 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, repaired after a damage that the hash of a row's id and turn decides."""
+    space = F.lit(" ")
+    damage = F.crc32(F.concat(
+        F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"),
+        F.coalesce(F.col("turn").cast("string"), space))) % 20
+    rows = _table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.coalesce("role", space).alias("role"),
+        F.coalesce("text", space).alias("text"), damage.alias("damage"),
+    ).select(
+        "conv_id", "turn", F.when(F.col("damage") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("damage") == 1, "").when(F.col("damage") == 2, F.translate("text", ".!?", ""))
+        .otherwise(F.col("text")).alias("text"),
+        F.when(F.col("damage") == 0, 0).when(F.col("damage") == 3, 2).otherwise(1).alias("copies"),
+    )
+    return with_digests(*repair(rows, F.col("copies")))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lower half of the ids is the history, in which the documents of the upper half are looked up."""
+    docs = _table(spark, sf_dir, "documents")
+    middle = docs.agg(F.floor((F.min("doc_id") + F.max("doc_id")) / 2).cast("long")).first()[0]
+    return exact_duplicates(docs, F.col("doc_id") <= F.lit(middle)).drop("in_history")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
@@ -133,4 +160,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_toxicity": op9_toxicity,
         "op10_near_duplicates": op10_near_duplicates,
+        "op11_conversation_repair": op11_conversation_repair,
+        "op12_exact_dedup": op12_exact_dedup,
     }
