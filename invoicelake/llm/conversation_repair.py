@@ -143,7 +143,7 @@ def _faults(rows: DataFrame) -> DataFrame:
     return stored(thin)
 
 
-def _rows_in_order(thin: DataFrame) -> DataFrame:
+def _rows_in_order(thin: DataFrame, block: int) -> DataFrame:
     """The distinct rows with their number in the conversation and the letters of their copies."""
     there = thin.filter("copies > 0")
     place = F.struct(F.col("turn").isNotNull(), "turn")
@@ -158,7 +158,7 @@ def _rows_in_order(thin: DataFrame) -> DataFrame:
         F.col("cut"), F.upper(letter)).otherwise(letter)
     more = F.col("copies") - 1
     return numbered(seen, "conv", ["turn", "role", "digest"], "number").select(
-        "*", F.floor((F.col("number") - 1) / BLOCK).alias("block"),
+        "*", F.floor((F.col("number") - 1) / block).alias("block"),
         F.concat(first, F.expr("repeat('d', int(copies - 1))")).alias("symbols"),
         F.expr("repeat(if(substring(role, 1, 1) IN ('s', 'u', 'a'), substring(role, 1, 1), 'x'), int(copies))")
         .alias("initials"),
@@ -284,11 +284,13 @@ def _roles(edits: str, initials: str, role: str) -> str:
     return "".join(out)
 
 
-def _unfolded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _unfolded(
+    batches: Iterator[pa.RecordBatch], rows_of_block: int
+) -> Iterator[pa.RecordBatch]:
     """A row for each turn of the repaired conversations, without its text."""
     for batch in batches:
         for block in batch.to_pylist():
-            number, left, out = block["block"] * BLOCK, 0, []
+            number, left, out = block["block"] * rows_of_block, 0, []
             copies = iter(block["copies"])
             for i, (edit, role) in enumerate(zip(block["edits"], block["roles"])):
                 if edit != INSERT:
@@ -303,7 +305,9 @@ def _unfolded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     [dict(zip(_TURN.names, row)) for row in out], _TURN)
 
 
-def repair(rows: DataFrame, copies: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def repair(
+    rows: DataFrame, copies: Column | None = None, block: int = BLOCK
+) -> tuple[DataFrame, DataFrame]:
     """Repairs all conversations of `rows` (conv_id, turn, role, text); returns two tables.
 
     Conversations: (conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit), one row for
@@ -324,10 +328,10 @@ def repair(rows: DataFrame, copies: Column | None = None) -> tuple[DataFrame, Da
         (F.lit(1) if copies is None else copies).cast("bigint").alias("copies"),
     )
     thin = _faults(known)
-    in_order = stored(_rows_in_order(thin))
+    in_order = stored(_rows_in_order(thin, block))
     blocks = _blocks(in_order).repartition("conv").sortWithinPartitions("conv", "block")
     results = stored(blocks.mapInArrow(_joined, _RESULT_FIELDS))
-    return _conversations(thin, results), _turns(known, in_order, results)
+    return _conversations(thin, results), _turns(known, in_order, results, block)
 
 
 def _conversations(thin: DataFrame, results: DataFrame) -> DataFrame:
@@ -339,9 +343,12 @@ def _conversations(thin: DataFrame, results: DataFrame) -> DataFrame:
     )
 
 
-def _turns(known: DataFrame, in_order: DataFrame, results: DataFrame) -> DataFrame:
+def _turns(
+    known: DataFrame, in_order: DataFrame, results: DataFrame, block: int
+) -> DataFrame:
     edits = results.filter("block IS NOT NULL").select(
-        "conv", "block", "edits", "roles", "copies").mapInArrow(_unfolded, _TURN_FIELDS)
+        "conv", "block", "edits", "roles", "copies").mapInArrow(
+        lambda batches: _unfolded(batches, block), _TURN_FIELDS)
     a, b = edits.alias("a"), in_order.select("conv", "number", "turn", "role", "digest").alias("b")
     of_row = F.col("a.conv").eqNullSafe(F.col("b.conv")) & (F.col("a.number") == F.col("b.number"))
     placed = a.join(b, of_row, "left").select("a.*", "b.turn", "b.role", "b.digest")

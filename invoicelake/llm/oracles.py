@@ -310,6 +310,59 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
 FROM keyed WINDOW w AS (PARTITION BY body ORDER BY doc_id NULLS LAST)
 """
 
+OP13 = f"""
+WITH {CRC_TABLE.strip()},
+own AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+               sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS n
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+members AS (
+    SELECT a.conv_id, head, first, least(head, coalesce(b.length, 0)) AS taken
+    FROM (SELECT conv_id, conv_id - conv_id % 100 AS first, {crc("conv_id::VARCHAR")} % 6 AS head
+          FROM (SELECT DISTINCT conv_id FROM own), crc_table) AS a
+    LEFT JOIN (SELECT conv_id, count(*) AS length FROM own GROUP BY conv_id) AS b ON a.first = b.conv_id
+),
+rebuilt AS (
+    SELECT m.conv_id, n AS depth, role, text FROM members AS m JOIN own AS o
+    ON o.conv_id = m.first AND n <= head
+    UNION ALL
+    SELECT m.conv_id, n - head + taken, role, text FROM members AS m JOIN own AS o
+    ON o.conv_id = m.conv_id AND n > head
+),
+walked AS (
+    SELECT conv_id, depth, length(text) AS chars,
+           string_agg(md5(length(role) || ':' || role || text), '') OVER (
+               PARTITION BY conv_id ORDER BY depth) AS path
+    FROM rebuilt
+    UNION ALL SELECT conv_id, 0, 0, '' FROM members
+),
+lasts AS (SELECT conv_id, max(path) AS path FROM walked GROUP BY conv_id),
+nodes AS (
+    SELECT path, max(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars
+    FROM walked GROUP BY path
+),
+children AS (SELECT left(path, length(path) - 32) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+above AS (
+    SELECT left(path, 32 * unnest(range(depth + 1))) AS path, n_children = 0 AS leaf,
+           (n_convs - 1) * chars AS saved FROM counted
+),
+totals AS (
+    SELECT path, count(*) FILTER (leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+    FROM above GROUP BY path
+),
+ends AS (
+    SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+    FROM lasts GROUP BY path
+)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens,
+       coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM counted AS c JOIN totals USING (path) LEFT JOIN ends USING (path)
+LEFT JOIN nodes AS p ON c.depth > 0 AND p.path = left(c.path, length(c.path) - 32)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -319,4 +372,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_decontamination": OP8,
         "op11_conversation_repair": OP11,
         "op12_exact_dedup": OP12,
+        "op13_prefix_trie": OP13,
     }

@@ -15,8 +15,9 @@ from invoicelake.llm.line_dedup import line_dedup
 from invoicelake.llm.line_rules import quality_rules
 from invoicelake.llm.mixing import mix
 from invoicelake.llm.near_duplicates import near_duplicates
+from invoicelake.llm.prefix_trie import ordered_turns, prefix_trie
 from invoicelake.llm.sharding import shard_rows
-from invoicelake.llm.shared import utf8_size
+from invoicelake.llm.shared import stored, utf8_size
 from invoicelake.llm.suffix_dedup import suffix_dedup
 from invoicelake.llm.toxicity import labelled_model, scored
 from invoicelake.llm.url_filter import domains_of, host_of, judged
@@ -148,6 +149,24 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(docs, F.col("doc_id") <= F.lit(middle)).drop("in_history")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation begins with the first turns of the one that opens its hundred."""
+    own = ordered_turns(_table(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string")) % 6  # turns taken from there, five at most
+    lengths = own.groupBy("conv_id").agg(F.max("number").alias("length"))
+    first = F.col("conv_id") - F.col("conv_id") % 100
+    members = stored(lengths.withColumn("head", head).withColumn("first", first).join(
+        lengths.select(F.col("conv_id").alias("first"), F.col("length").alias("there")), "first", "left"
+    ).select("conv_id", "head", "first",
+             F.least("head", F.coalesce("there", F.lit(0))).alias("taken")))
+    heads = own.filter("number <= 5").withColumnRenamed("conv_id", "first").join(
+        members, "first").filter("number <= head").select(
+        "conv_id", F.col("number").alias("depth"), "mark", "chars")
+    rests = own.join(members, "conv_id").filter("number > head").select(
+        "conv_id", (F.col("number") - F.col("head") + F.col("taken")).alias("depth"), "mark", "chars")
+    return prefix_trie(heads.unionByName(rests), members.select("conv_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
@@ -162,4 +181,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_near_duplicates": op10_near_duplicates,
         "op11_conversation_repair": op11_conversation_repair,
         "op12_exact_dedup": op12_exact_dedup,
+        "op13_prefix_trie": op13_prefix_trie,
     }
