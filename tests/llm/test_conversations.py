@@ -1,0 +1,238 @@
+"""Conversation repair, the prefix trie and exact duplicates against plain versions of the same rules."""
+
+from __future__ import annotations
+
+import heapq
+import random
+import re
+from collections import defaultdict
+from hashlib import sha256
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+pytest.importorskip("invoicelake.llm")
+
+from invoicelake.llm import conversation_repair, prefix_trie as trie  # noqa: E402
+from invoicelake.llm.conversation_repair import STACKS, parse, repair, with_digests  # noqa: E402
+from invoicelake.llm.exact_dedup import build_levels, exact_duplicates, find_slots  # noqa: E402
+from invoicelake.llm.ordered import numbered, ordered_sha256  # noqa: E402
+
+TURNS = "conv_id bigint, turn bigint, role string, text string, number int, block string, path string, a int, digest string"
+BLANK = " \t\n\v\f\r"
+LEGAL = re.compile(r"(s?(ua)+)?\Z")
+PREFIX = re.compile(r"(s?(ua)*u?)?\Z")
+
+
+def cheapest(symbols: str, insert: int = 5) -> tuple[int, str, str]:
+    """(cost, audit, roles) by a search over all outputs, without the parser's tables."""
+    heap, seen = [(0, "", "", 0)], set()
+    while heap:
+        cost, audit, roles, at = heapq.heappop(heap)
+        if (roles, at) in seen:
+            continue
+        seen.add((roles, at))
+        if at == len(symbols) and LEGAL.match(roles):
+            return cost, audit, roles
+        steps = [(insert, "I", r, 0) for r in "ua"] if len(roles) < 2 * len(symbols) + 2 else []
+        if at < len(symbols):
+            row = symbols[at]
+            extra = 5 * (row != row.lower())
+            steps.append((2, "D", "", 1))
+            if row != "d":
+                steps += [(extra, "K", row.lower(), 1), *((1 + extra, "R", r, 1) for r in "ua")]
+        for add, edit, role, rows in steps:
+            if PREFIX.match(roles + role):
+                heapq.heappush(heap, (cost + add, audit + edit, roles + role, at + rows))
+    raise AssertionError("no legal order of roles")
+
+
+@pytest.mark.parametrize("insert", [5, 1])
+def test_parser_against_search(monkeypatch, insert):
+    monkeypatch.setitem(conversation_repair.RULE_COST, "I", insert)
+    rng = random.Random(insert)
+    cases = ["", "u", "a", "s", "su", "d", "x", "ssua", "uuaa", "UaA"]
+    for symbols in cases + ["".join(rng.choices("suaxdSUAX", k=rng.randint(1, 6))) for _ in range(300)]:
+        tops = parse(symbols, STACKS[0], True)
+        best = min(v for stack, v in tops.items() if stack[0] in (0, 3, 4))
+        assert best == cheapest(symbols, insert)[:2], symbols
+
+
+def plain_repair(rows: list[tuple]) -> dict:
+    by_conv = defaultdict(list)
+    for conv, turn, role, text in rows:
+        by_conv[conv].append((turn, " " if role is None else role, " " if text is None else text))
+    out = {}
+    for conv, turns in by_conv.items():
+        turns.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), sha256(r[2].encode()).digest()))
+        seen, symbols, faults = set(), "", defaultdict(int)
+        for _, role, text in turns:
+            initial = role[:1] if role[:1] in ("s", "u", "a") else "x"
+            fault = None
+            if not text.strip(BLANK):
+                fault = "blank"
+            elif (role, text) in seen:
+                fault = "duplicate"
+            elif text.rstrip(BLANK)[-1] not in ".!?":
+                fault = "truncated"
+            seen.add((role, text))
+            faults[fault] += 1
+            symbols += {None: initial, "truncated": initial.upper()}.get(fault, "d")
+        cost, audit, roles = cheapest(symbols)
+        lines, row, nth = [], 0, 0
+        for edit in audit:
+            if edit != "D":
+                name = {"u": "user", "a": "assistant"}.get(roles[nth])
+                lines.append(f"{name}:" if edit == "I" else
+                             f"{turns[row][1] if edit == 'K' else name}:{turns[row][2]}")
+                nth += 1
+            row += edit != "I"
+        known = [t for t, _, _ in turns if t is not None]
+        pairs = [a[1][:1] + b[1][:1] for a, b in zip(turns, turns[1:])]
+        out[conv] = (
+            max(known) - min(known) + 1 - len(set(known)) if known else 0, faults["blank"],
+            faults["duplicate"], faults["truncated"], sum(p not in ("su", "ua", "au") for p in pairs),
+            cost, audit, sha256("\n".join(lines).encode()).hexdigest(),
+        )
+    return out
+
+
+@pytest.fixture(scope="module")
+def turns():
+    rng = random.Random(8)
+    texts = ["Yes.", "No!", "so", "", " \t", "Why? ", "a.\n b", "Ünë…", "x" * 2_500_000 + ".", None, "end.\r\n"]
+    roles = ["user", "assistant", "user", "assistant", "system", "other", "", None, "User", "unknown"]
+    out = []
+    for conv in [None, -7, *range(12)]:
+        for turn in range(rng.randint(1, 6)):
+            out.append((conv, rng.choice([turn, turn, turn * 2, None]), rng.choice(roles),
+                        rng.choice(texts[:8] if turn else texts)))
+    out += [(20, t, ("user", "assistant")[t % 2], f"Turn {t}.") for t in range(9)]
+    out += [(21, 4, "user", "same."), (21, 4, "user", "same."), (21, 5, "user", "same.")]
+    return out
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, 9, "b", "p", 1, "d") for r in rows], TURNS).repartition(3)
+
+
+@pytest.mark.parametrize("block", [2, 2048])
+def test_repair_against_search(spark, turns, block):
+    tables = repair(table(spark, turns), block=block)
+    got = {r[0]: tuple(r[1:]) for r in with_digests(*tables).collect()}
+    assert got == plain_repair(turns)
+    edits = defaultdict(list)
+    for r in tables[1].orderBy("place").collect():
+        edits[r.conv_id].append(r.edit)
+    for conv, row in got.items():
+        assert "".join(edits[conv]) == row[6].replace("D", "")
+
+
+def test_repair_of_rows_that_stand_several_times(spark, turns):
+    copies = [(i, i % 3) for i in range(len(turns))]
+    rows = [(*r, n) for r, (_, n) in zip(turns, copies)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, copies int")
+    got = {r[0]: tuple(r[1:]) for r in with_digests(*repair(df, F.col("copies"), block=2)).collect()}
+    want = plain_repair([r[:4] for r in rows for _ in range(r[4])])
+    nothing = (0, 0, 0, 0, 0, 0, "", sha256(b"").hexdigest())
+    assert got == {r[0]: want.get(r[0], nothing) for r in rows}
+
+
+def test_repair_of_nothing(spark):
+    done, left = repair(table(spark, []))
+    assert with_digests(done, left).count() == 0 and left.count() == 0
+
+
+def plain_trie(own: dict[int, list[tuple[str, str]]]) -> list[tuple]:
+    members = defaultdict(list)
+    for conv, said in own.items():
+        for d in range(len(said) + 1):
+            members[tuple(said[:d])].append(conv)
+    kids = defaultdict(int)
+    for path in members:
+        if path:
+            kids[path[:-1]] += 1
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for path, convs in members.items():
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += path not in kids
+            saved[path[:d]] += (len(convs) - 1) * (len(path[-1][1]) if path else 0)
+    return [
+        (min(convs), len(path), min(members[path[:-1]]) if path else None, len(convs), kids.get(path, 0),
+         leaves[path], saved[path],
+         sha256(",".join(map(str, sorted(c for c in convs if len(own[c]) == len(path)))).encode()).hexdigest())
+        for path, convs in members.items()
+    ]
+
+
+@pytest.mark.parametrize("band", [2, 3, 32])
+def test_trie_against_plain_one(spark, monkeypatch, band):
+    monkeypatch.setattr(trie, "BAND", band)
+    rng = random.Random(band)
+    said = [("user", "hi"), ("user", "hi "), ("assistant", ""), ("", "Üé"), ("user:", "x"), ("user", ":x")]
+    own = {c: rng.choices(said[: rng.randint(1, 6)], k=rng.randint(0, 7)) for c in range(-3, 60)}
+    own |= {c: [said[0]] * 30 for c in range(60, 70)} | {70: [said[0]] * 29 + [said[1]], 71: []}
+    rows = [(c, t, *turn) for c, list_ in own.items() for t, turn in enumerate(list_)]
+    rows += [(None, 1, "user", "of no conversation"), (80, None, None, None), (80, 2, "user", "y" * 2_500_000)]
+    own[80] = [("", ""), ("user", "y" * 2_500_000)]
+    turns = trie.ordered_turns(table(spark, rows)).withColumnRenamed("number", "depth")
+    everyone = spark.createDataFrame([(c,) for c in own], "conv_id bigint")
+    got = sorted((tuple(r) for r in trie.prefix_trie(turns, everyone).collect()), key=repr)
+    assert got == sorted(plain_trie(own), key=repr)
+
+
+def test_trie_of_nothing(spark):
+    turns = trie.ordered_turns(table(spark, [])).withColumnRenamed("number", "depth")
+    assert trie.prefix_trie(turns, turns.select("conv_id")).count() == 0
+    one = spark.createDataFrame([(5,)], "conv_id bigint")
+    assert [tuple(r)[:7] for r in trie.prefix_trie(turns, one).collect()] == [(5, 0, None, 1, 0, 1, 0)]
+
+
+def test_numbers_and_digests_of_groups_over_many_ranges(spark):
+    rows = [(g, i % 50, f"{g}-{i % 50}") for g in (None, 1, 2) for i in range(300 if g == 1 else 3)]
+    df = spark.createDataFrame(rows, "g int, o int, t string").repartition(5)
+    got = defaultdict(list)
+    for r in numbered(df, "g", ["o"], "n").collect():
+        got[r.g].append((r.n, r.o))
+    for g, pairs in got.items():
+        want = sorted(o for g_, o, _ in rows if g_ == g)
+        assert [o for _, o in sorted(pairs)] == want and sorted(n for n, _ in pairs) == list(range(1, len(want) + 1))
+    digests = {r.g: r.d for r in ordered_sha256(df, ["g"], ["o"], "t", "|", "d").collect()}
+    for g in (None, 1, 2):
+        texts = [t for _, t in sorted((o, t) for g_, o, t in rows if g_ == g)]
+        assert digests[g] == sha256("|".join(texts).encode()).hexdigest()
+
+
+def test_minimal_perfect_hash():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 5000):
+        numbers = rng.integers(0, 2**64, (n, 4), dtype=np.uint64)
+        levels, slots = build_levels(numbers)
+        assert sorted(slots) == list(range(n))
+        assert (find_slots(levels, numbers) == slots).all()
+        others = find_slots(levels, rng.integers(0, 2**64, (100, 4), dtype=np.uint64))
+        assert ((others >= -1) & (others < max(n, 1))).all()
+
+
+@pytest.mark.parametrize("history", ["doc_id < 8", "false", "true", "CAST(NULL AS boolean)", "doc_id % 2 = 0"])
+def test_exact_duplicates(spark, history):
+    rng = random.Random(1)
+    texts = ["a b", "a  b", "a\tb", "a b ", " ", "", None, "ab", "z " * 1_200_000, "é x", "é x"]
+    rows = [(i, rng.choice(texts), "x", 1) for i in range(16)]
+    rows += [(None, "a b", "x", 1), (None, "only null", "x", 1), (None, "only null", "x", 1), rows[2], rows[2]]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, digest string, bucket int").repartition(4)
+    got = exact_duplicates(df, F.expr(history)).drop("in_history").collect()
+    groups = defaultdict(list)
+    for r in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", r[1] or "")].append(r[0])
+    want = []
+    for body, ids in groups.items():
+        ids.sort(key=lambda i: (i is None, i))
+        want += [(i, ids[0], len(ids), at == 0, sha256(body.encode()).hexdigest()) for at, i in enumerate(ids)]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_exact_duplicates_of_nothing(spark):
+    df = spark.createDataFrame([], "doc_id bigint, text string")
+    assert exact_duplicates(df, F.lit(True)).count() == 0

@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no tables her
 @pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "pages"):
+    for table in ("documents", "benchmark", "pages", "conversations"):
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     got = queries.queries()[name](spark, SF_DIR).toArrow()
     con.register("got", got)
