@@ -180,6 +180,24 @@ def xml_schema(sections: tuple[str, ...] | None = None) -> T.StructType:
     return _element_schema(list(dict.fromkeys(paths)))
 
 
+def xml_names() -> tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...]]:
+    """Names of the elements with children, of those with text, and of the attributes, each once."""
+    nodes, leaves, attributes = [], [], []
+
+    def collect(schema: T.StructType) -> None:
+        for field in schema:
+            if field.name.startswith("_"):
+                attributes.append(field.name[1:])
+            elif isinstance(field.dataType.elementType, T.StructType):
+                nodes.append(field.name)
+                collect(field.dataType.elementType)
+            else:
+                leaves.append(field.name)
+
+    collect(xml_schema())
+    return tuple(tuple(dict.fromkeys(names)) for names in (["nfeProc", *nodes], leaves, attributes))
+
+
 def sections_of(names: tuple[str, ...] | None) -> tuple[Section, ...]:
     """The named one-per-invoice sections, all without names."""
     return tuple(s for s in SECTIONS if _wanted(s, names))

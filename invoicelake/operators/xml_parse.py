@@ -10,6 +10,7 @@ from invoicelake.functions.text import (
     utc_seconds,
 )
 from invoicelake.operators.barrier import evaluate_once
+from invoicelake.operators.xml_canonical import PLAIN, rewritten
 
 # Reasons a document goes to quarantine.
 UNSUPPORTED_ENCODING = "unsupported_encoding"
@@ -17,14 +18,8 @@ INVALID_ENCODING = "invalid_encoding"
 MALFORMED_XML = "malformed_xml"
 INVALID_ITEM_NUMBER = "invalid_item_number"
 
-_PREFIX = r"(?:[\w.-]+:)?"
 _DECLARATION = r"^\x{FEFF}?<\?xml\s[^>]*\?>"
 _DECLARED_ENCODING = r"^(?:\xEF\xBB\xBF)?<\?xml\s[^>]*?\sencoding\s*=\s*[\x22']([\w.-]+)[\x22']"
-_PROLOG_PARTS = r"(?s)<\?.*?\?>|<!--.*?-->"
-_ROOT_NAME = rf"^\s*+<{_PREFIX}([\w.-]+)"
-_COMMENT = r"(?s)<!--.*?-->"
-_NOT_MARKUP = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
-_NAMESPACE_BOUND = rf"=\s*[\x22']{contract.NAMESPACE.replace('.', '[.]')}[\x22']"
 
 _UTF8_NAMES = ("", "utf-8", "utf8")
 _ASCII_NAMES = ("us-ascii", "ascii")
@@ -47,6 +42,7 @@ _HALF_PAIRS = (
 # The text is parsed as the content of this element, which shows what stands beside the root.
 # Its name is one that no text holds by chance.
 _WRAPPER = "invoice-file-5d1c0f7be2a94c38"
+_PLAIN = f"coalesce({PLAIN} AND NOT contains(body, '{_WRAPPER}'), false)"
 
 
 def parse_invoices(
@@ -64,8 +60,16 @@ def parse_invoices(
     texts = files.selectExpr("path", "content", f"{_DECLARED} AS encoding").selectExpr(
         "path", "encoding", f"regexp_replace({_DECODED}, {literal(_DECLARATION)}, '') AS body"
     )
-    wrapped = F.expr(f"concat('<{_WRAPPER}>', body, '</{_WRAPPER}>')")
-    parsed = evaluate_once(texts, "path", "encoding", "body", xml=_from_xml(wrapped, nodes))
+    checked = evaluate_once(texts, "path", "encoding", body="body")
+    checked = evaluate_once(checked, "path", "encoding", "body", plain=_PLAIN)
+    usual = checked.select(
+        "path", "encoding", F.col("body").isNull().alias("undecoded"),
+        F.when(F.col("plain"), F.col("body")).otherwise(
+            rewritten(F.col("body"), F.col("plain"))).alias("usual"),
+    )
+    wrapped = F.expr(f"concat('<{_WRAPPER}>', usual, '</{_WRAPPER}>')")
+    parsed = evaluate_once(
+        usual, "path", "encoding", "undecoded", "usual", xml=_from_xml(wrapped, nodes))
     parsed = evaluate_once(parsed, "path", broken=_TEXT_ERROR, invoices=_invoices(nodes))
     return _documents(parsed, now, sections)
 
@@ -111,24 +115,15 @@ _DECODED = f"""CASE
         THEN decode(content, 'UTF-16')
     END"""
 
-# Whether a prefix is used but nowhere declared; Spark's parser takes no notice of prefixes.
-_MARKUP = f"regexp_replace(body, {literal(_NOT_MARKUP)}, '')"
-_UNBOUND_PREFIX = f"""body RLIKE '<[\\\\w.-]+:' AND array_size(array_except(
-    regexp_extract_all({_MARKUP}, {literal(r"<([\w.-]+):")}, 1),
-    array_append(regexp_extract_all({_MARKUP}, {literal(r"xmlns:([\w.-]+)\s*=")}, 1), 'xml'))) > 0"""
-
 # Why a file's text cannot be read, null if it can. Spark's parser stops at the end of the first
 # element, so a second root or text beside the root must be looked for: exactly one element may
 # stand in the wrapper, and nothing else.
 _TEXT_ERROR = f"""CASE
     WHEN NOT {_one_of("encoding", _KNOWN_ENCODINGS)} THEN '{UNSUPPORTED_ENCODING}'
-    WHEN body IS NULL THEN '{INVALID_ENCODING}'
-    WHEN xml IS NULL OR xml.corrupt IS NOT NULL
+    WHEN undecoded THEN '{INVALID_ENCODING}'
+    WHEN usual IS NULL OR xml IS NULL OR xml.corrupt IS NOT NULL
         OR coalesce(array_size(xml.nfeProc), 0) + coalesce(array_size(xml.NFe), 0) + coalesce(array_size(xml.other), 0) <> 1
         OR {strip("xml.beside")} <> ''
-        OR NOT body RLIKE '^[ \\t\\r\\n]*<'
-        OR contains(body, '{_WRAPPER}')
-        OR {_UNBOUND_PREFIX}
         THEN '{MALFORMED_XML}'
     END"""
 
@@ -155,39 +150,10 @@ def _from_xml(text: Column, nodes: T.StructType) -> Column:
 
 
 def _invoices(nodes: T.StructType) -> Column:
-    """The root's invoice nodes (NFe and protNFe), wherever in the document they stand.
-
-    Null if the document does not name the invoice namespace: none of its elements is an
-    invoice's then.
-    """
+    """The root's invoice nodes (NFe and protNFe)."""
     protocol = nodes["protNFe"].dataType.simpleString()
     bare = f"named_struct('NFe', xml.NFe, 'protNFe', CAST(NULL AS {protocol}))"
-    direct = F.expr(f"if(xml.NFe IS NOT NULL, {bare}, get(xml.nfeProc, 0))")
-    found = F.when(F.expr("xml.other IS NULL"), direct).otherwise(_nested_invoices(nodes))
-    return F.when(F.expr(f"body RLIKE {literal(_NAMESPACE_BOUND)}"), found)
-
-
-def _nested_invoices(nodes: T.StructType) -> Column:
-    """Invoice nodes below another root: cut out of the text and parsed on their own.
-
-    An invoice element that is itself the root does not count. Only documents with a foreign
-    root come here.
-    """
-    text = f"regexp_replace(body, {literal(_COMMENT)}, '')"
-
-    def elements(name: str) -> str:
-        pattern = rf"(?s)<({_PREFIX}{name})(?:\s[^>]*)?(?:(?<=/)>|(?<!/)>.*?</\1\s*>)"
-        return f"array_join(regexp_extract_all({text}, {literal(pattern)}, 0), '')"
-
-    inner = F.expr(
-        f"concat('<{_WRAPPER}><nfeProc><NFe>', {elements('infNFe')}, '</NFe>', "
-        f"{elements('protNFe')}, '</nfeProc></{_WRAPPER}>')"
-    )
-    mentioned = literal(rf"<{_PREFIX}(infNFe|protNFe)\b")
-    is_root = f"regexp_extract(regexp_replace(body, {literal(_PROLOG_PARTS)}, ''), "
-    is_root += f"{literal(_ROOT_NAME)}, 1) IN ('infNFe', 'protNFe')"
-    found = F.expr(f"body RLIKE {mentioned} AND NOT {is_root}")
-    return F.when(found, F.get(_from_xml(inner, nodes).nfeProc, F.lit(0)))
+    return F.expr(f"if(xml.NFe IS NOT NULL, {bare}, get(xml.nfeProc, 0))")
 
 
 def _children(parents: str, path: str) -> str:

@@ -186,7 +186,8 @@ def q_source_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _as_found(xml: Column) -> Column:
     """Issued orders with envelope and declaration, finished ones as a bare invoice without
-    protocol, pending ones with prefixed tags inside a foreign envelope."""
+    protocol, pending ones in unusual forms: inside a lot, without the element around the invoice, with
+    quoted markup and elements of other names, and with prefixed tags inside a foreign envelope."""
     bare = F.replace(
         F.regexp_extract(xml, "(?s)<NFe>.*</NFe>", 0),
         F.lit("<NFe>"), F.lit(f'<NFe xmlns="{NAMESPACE}">'),
@@ -194,8 +195,18 @@ def _as_found(xml: Column) -> Column:
     prefixed = F.regexp_replace(
         F.replace(xml, F.lit(" xmlns="), F.lit(" xmlns:n=")), r"<(/?)(\w)", "<$1n:$2"
     )
+    in_lot = F.replace(F.replace(xml, F.lit("<NFe>"), F.lit("<lote><NFe>")), F.lit("</NFe>"), F.lit("</NFe></lote>"))
+    direct = F.replace(F.replace(xml, F.lit("<NFe>"), F.lit("")), F.lit("</NFe>"), F.lit(""))
+    quoted = F.replace(xml, F.lit("<ide>"), F.lit(
+        "<obs><![CDATA[<infNFe><ide><nNF>0</nNF></ide></infNFe>]]></obs>"
+        '<ide><nnf>0</nnf><x:serie xmlns:x="urn:x">0</x:serie>'))
+    unusual = (
+        F.when(F.col("priority") == "1-URGENT", in_lot).when(F.col("priority") == "2-HIGH", direct)
+        .when(F.col("priority") == "3-MEDIUM", quoted)
+    )
     return (
         F.when(F.col("status") == "F", bare)
+        .when((F.col("status") == "P") & unusual.isNotNull(), unusual)
         .when(F.col("status") == "P", F.concat(F.lit("<envio><lote>"), prefixed, F.lit("</lote></envio>")))
         .otherwise(F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n'), xml))
     )

@@ -5,6 +5,7 @@ import math
 import pytest
 
 from conftest import NS, invoice
+from invoicelake.operators.xml_canonical import PLAIN
 
 DET = '<det nItem="1"><prod><cProd>P1</cProd><xProd>Um</xProd><vProd>{}</vProd></prod></det>'
 
@@ -206,6 +207,71 @@ def test_sections_narrow_the_documents_only(parse, sections):
                 assert repr(narrow[name].document[field]) == repr(row.document[field])
 
 
+INF = "<infNFe Id='NFe5'><ide><nNF>5</nNF></ide><det nItem='2'><prod><cProd>P</cProd></prod></det></infNFe>"
+UNUSUAL = {
+    # Below another element of a known root, or without the element that usually holds it.
+    "lot": f'<nfeProc xmlns="{NS}"><lote><NFe>{INF}</NFe></lote></nfeProc>',
+    "direct": f'<nfeProc xmlns="{NS}">{INF}</nfeProc>',
+    "nested_root": f'<NFe xmlns="{NS}"><a><b><c>{INF}</c></b></a></NFe>',
+    "protocol_below": f'<nfeProc xmlns="{NS}"><NFe>{INF}</NFe><ret><protNFe><infProt><chNFe>K5</chNFe></infProt></protNFe></ret></nfeProc>',
+    "one_in_another": f'<NFe xmlns="{NS}"><infNFe Id="NFe7"><x>{INF}</x><ide><nNF>7</nNF></ide></infNFe></NFe>',
+    # Quoted markup is text.
+    "cdata": f'<env xmlns="urn:e"><nota><![CDATA[<NFe xmlns="{NS}"><infNFe Id="NFeBAD"><ide><nNF>66</nNF></ide></infNFe></NFe>]]></nota></env>',
+    "cdata_beside": invoice(ide="<nNF>5</nNF>", extra=f'<obs><![CDATA[<infNFe><ide><nNF>66</nNF></ide></infNFe>]]></obs>'),
+    "comment": f'<a><!-- <NFe xmlns="{NS}">{INF}</NFe> --></a>',
+    # Names belong to a namespace and are exact.
+    "other_first": invoice(ide='<x:nNF xmlns:x="urn:o">5</x:nNF><nNF>8</nNF>'),
+    "other_default": invoice(ide='<nNF xmlns="urn:o">5</nNF><nNF>8</nNF>'),
+    "other_parent": invoice(ide='<nNF>8</nNF>', extra='<emit xmlns="urn:o"><xNome>no</xNome></emit>'),
+    "case": invoice(ide="<nnf>5</nnf><serie>1</serie>"),
+    "case_parent": f'<nfeProc xmlns="{NS}"><NFe><INFNFE><ide><nNF>5</nNF></ide></INFNFE></NFe></nfeProc>',
+    "rebound": f'<n:a xmlns:n="urn:a"><n:b xmlns:n="{NS}"><n:infNFe Id="NFe1"><n:ide><n:nNF>1</n:nNF></n:ide></n:infNFe></n:b><n:infNFe Id="NFe2"/></n:a>',
+    "two_prefixes": f'<p:NFe xmlns:p="{NS}" xmlns:q="{NS}"><q:infNFe Id="NFe3"><p:ide><q:nNF>3</q:nNF></p:ide></q:infNFe></p:NFe>',
+    "attribute_of_other": invoice(id_='x:Id="NFe9" xmlns:x="urn:o"', key=None),
+    # Text up to the first child.
+    "mixed": invoice(ide="<nNF>1<k/>2</nNF><serie>3<k>4</k></serie><natOp><k/>5</natOp>"),
+    "mixed_comment": invoice(ide="<nNF>1<!-- k -->2<k/>3</nNF>"),
+    "greater_in_attribute": f'<nfeProc xmlns="{NS}"><NFe a="x>y"><infNFe b=\'">\' Id="NFe4"><ide><nNF>4</nNF></ide></infNFe></NFe></nfeProc>',
+    "signed": f'<nfeProc versao="4.00" xmlns="{NS}"><NFe xmlns="{NS}"><infNFe Id="NFe6"><ide><nNF>6</nNF></ide></infNFe>'
+              '<Signature xmlns="http://www.w3.org/2000/09/xmldsig#"><SignedInfo/></Signature></NFe></nfeProc>',
+}
+
+
+def test_unusual_files(parse):
+    rows = parse(UNUSUAL)
+    assert {name: r.error for name, r in rows.items() if r.error} == {}
+    docs = {name: r.document for name, r in rows.items()}
+    numbers = {name: d.header.numero_nota for name, d in docs.items()}
+    assert numbers == {
+        "lot": "5", "direct": "5", "nested_root": "5", "protocol_below": "5", "one_in_another": "7",
+        "cdata": None, "cdata_beside": "5", "comment": None, "other_first": "8", "other_default": "8",
+        "other_parent": "8", "case": None, "case_parent": None, "rebound": "1", "two_prefixes": "3",
+        "attribute_of_other": "1", "mixed": "1", "mixed_comment": "12", "greater_in_attribute": "4",
+        "signed": "6",
+    }
+    assert {n: docs[n].chave_nfe for n in ("lot", "direct", "protocol_below", "cdata", "attribute_of_other")} == {
+        "lot": "5", "direct": "5", "protocol_below": "K5", "cdata": None, "attribute_of_other": None}
+    assert [len(docs[n].itens) for n in ("lot", "direct", "nested_root", "one_in_another", "cdata")] == [1, 1, 1, 1, 0]
+    assert docs["lot"].itens[0].n_item == 2 and docs["case"].header.serie == "1"
+    assert docs["other_parent"].emitente.nome is None
+    assert (docs["mixed"].header.serie, docs["mixed"].header.natureza_operacao) == ("3", None)
+
+
+def test_usual_files_stay_in_the_jvm(spark):
+    usual = [GOOD["full"], invoice(), UNUSUAL["signed"], GOOD["bare_root"]]
+    texts = spark.createDataFrame([(t,) for t in usual + [UNUSUAL["lot"], UNUSUAL["mixed"], "<a", ""]], "body string")
+    assert [r.plain for r in texts.selectExpr(f"{PLAIN} AS plain").collect()] == [True] * 4 + [False] * 4
+
+
+@pytest.mark.parametrize("name", [n for n in GOOD if isinstance(GOOD[n], str) and not GOOD[n].startswith("<?")])
+def test_rewriting_changes_no_value(parse, name):
+    """Files that are read as they are give the same document when they are rewritten."""
+    forced = f"<!-- rewritten -->{GOOD[name]}"
+    got = parse({"a": GOOD[name], "b": forced})
+    strip = lambda d: {k: repr(v) for k, v in d.asDict().items() if k != "source_file"}
+    assert strip(got["a"].document) == strip(got["b"].document)
+
+
 def test_source_file_is_the_base_name(good):
     assert good["x 1.xml"].source_file == "x 1.xml"
 
