@@ -6,6 +6,8 @@ expression per document is built in a fraction of the time that a Column per ope
 
 from __future__ import annotations
 
+import unicodedata
+
 # Every character Python's str.strip removes; Spark's own trim removes only the plain space.
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 _ASCII_WHITESPACE = "".join(c for c in WHITESPACE if c.isascii())
@@ -16,6 +18,10 @@ _NON_FINITE = r"^[+-]?(inf|infinity|nan)$"
 _INTEGER = r"^[+-]?[0-9_]++$"
 _STRAY_UNDERSCORE = r"(?:^|[^0-9])_|_(?:[^0-9]|$)"  # one that does not stand between digits
 
+# Decimal digits of all scripts but ASCII, and the ASCII digits that they stand for.
+_OTHER_DIGITS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isdecimal())
+_AS_DIGITS = "".join(str(unicodedata.decimal(c)) for c in _OTHER_DIGITS)
+
 
 def literal(text: str) -> str:
     """SQL string literal."""
@@ -30,6 +36,14 @@ def strip(c: str) -> str:
     )
 
 
+def number_text(c: str) -> str:
+    """Stripped text with the digits of all scripts in ASCII, as Python's float() and int() read them."""
+    return (
+        f"if(octet_length({c}) = char_length({c}), btrim({c}, {literal(_ASCII_WHITESPACE)}), "
+        f"translate(btrim({c}, {literal(WHITESPACE)}), {literal(_OTHER_DIGITS)}, {literal(_AS_DIGITS)}))"
+    )
+
+
 def blank_to_null(stripped: str) -> str:
     return f"if({stripped} = '', NULL, {stripped})"
 

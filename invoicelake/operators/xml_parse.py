@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from invoicelake import contract
 from invoicelake.functions.text import (
-    basename, blank_to_null, is_integer, literal, read_float, read_int, remove_first, strip,
-    utc_seconds,
+    basename, blank_to_null, is_integer, literal, number_text, read_float, read_int, remove_first,
+    strip, utc_seconds,
 )
 from invoicelake.operators.barrier import evaluate_once
 from invoicelake.operators.xml_canonical import PLAIN, rewritten
@@ -167,19 +167,20 @@ def _first(elements: str) -> str:
     return f"get({elements}, 0)"
 
 
-def _leaf(node: str, path: str) -> str:
+def _leaf(node: str, path: str, kind: str = "string") -> str:
     """Stripped text of the first element at `path` below `node`."""
     parent, _, name = path.rpartition("/")
-    return strip(_first(_children(f"{node}.{parent}", name) if parent else f"{node}.{name}"))
+    return _TEXTS[kind](_first(_children(f"{node}.{parent}", name) if parent else f"{node}.{name}"))
 
 
+_TEXTS = {"string": strip, "double": number_text, "int": number_text}
 # From stripped text; a blank one is none.
 _READERS = {"string": blank_to_null, "double": read_float, "int": read_int}
 
 
 def _section_texts(s: contract.Section) -> str:
     """A section's texts, stripped, under the contract's names or those of taxpayer documents."""
-    texts = {f.name: _leaf(s.name, f.xml) for f in s.fields if f.xml}
+    texts = {f.name: _leaf(s.name, f.xml, f.type) for f in s.fields if f.xml}
     if any(f.name == "documento" for f in s.fields):
         texts |= {kind: _leaf(s.name, kind) for kind in contract.TAXPAYER_DOCUMENTS}
     return _record(texts)
@@ -205,7 +206,7 @@ def _items() -> str:
     for f in contract.ITEMS.fields:
         parent, _, name = f.xml.rpartition("/")
         text = _first(f"{_first(f'd.{parent}')}.{name}") if parent else f"d._{name[1:]}"
-        texts[f.name] = strip(text)
+        texts[f.name] = _TEXTS[f.type](text)
         values[f.name] = _READERS[f.type](f"t.{f.name}")
     return f"transform(transform(det, d -> {_record(texts)}), t -> {_record(values)})"
 
@@ -228,7 +229,7 @@ def _documents(parsed: DataFrame, now: str, sections: tuple[str, ...] | None) ->
     )
     number = "coalesce(d._nItem, '')"
     error = f"""coalesce(broken, if(
-        exists(det, d -> {number} <> '' AND NOT {is_integer(strip(number))}),
+        exists(det, d -> {number} <> '' AND NOT {is_integer(number_text(number))}),
         '{INVALID_ITEM_NUMBER}', NULL))"""
     texts = nodes.selectExpr(
         "path", "source_file", f"{error} AS error", "id", "det",

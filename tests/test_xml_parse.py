@@ -168,6 +168,27 @@ def test_numbers(good):
     assert values[6:] == [math.inf, -math.inf, 2.0, 10.0, 0.5, 7.0, None, math.inf, 3.0]
 
 
+def test_digits_of_all_scripts(parse):
+    texts = ["１２.５", "٣٤", " \u3000𝟙𝟚e２ ", "１_０", "²", "१२,५", "x１", "-๕"]
+    numbers = ["１２", " ٣ ", "²"]
+    rows = parse({
+        "values": invoice(det="".join(DET.format(t) for t in texts), total="<total><ICMSTot><vNF>７</vNF></ICMSTot></total>"),
+        **{f"n{i}": invoice(det=det(f'nItem="{n}"')) for i, n in enumerate(numbers)},
+    })
+
+    def read(text):
+        try:
+            return float(text)
+        except ValueError:
+            return None
+
+    values = rows["values"].document
+    assert [i.valor_produto for i in values.itens] == [read(t) for t in texts]
+    assert values.totais.valor_nota == 7.0
+    assert [rows[f"n{i}"].document.itens[0].n_item for i in (0, 1)] == [12, 3]
+    assert rows["n2"].error == "invalid_item_number"
+
+
 def test_item_numbers(good):
     assert [i.n_item for i in good["item_numbers"].itens] == [None, None, 5, 7, None, 10]
 
