@@ -30,6 +30,11 @@ _OTHER_NAMESPACE = rf"xmlns(?!=\x22{contract.NAMESPACE}\x22)(?!=\x22{SIGNATURE_N
 _OTHER_SIGNATURE = rf"(?<!<Signature )xmlns=\x22{SIGNATURE_NAMESPACE}\x22"
 # The name of every start tag; if a child follows, with all that stands before the child.
 _NAMES = r"<([\w.:-]++(?:(?:\s[^<>]*+)?(?<!/)>[^<]*+(?=<[^/]))?)"
+# Among those names but for the contract's: a prefixed one, a leaf with a child, one that differs by case.
+_CONTRACT, _LEAF = "|".join(NODES + LEAVES), "|".join(LEAVES)
+_UNUSUAL_NAMES = (
+    rf"<(?:[\w.-]*+:|(?:{_LEAF})[\s>]|(?!(?:{_CONTRACT})[\s>])(?i:{_CONTRACT})(?:[\s<>]|$))"
+)
 
 
 def _again(name: str) -> str:
@@ -52,14 +57,9 @@ PLAIN = f"""(
     AND {_again('NFe')} = 1 AND {_again('infNFe')} = 1
     AND ({_again('protNFe')} = 0
          OR {_again('protNFe')} = 1 AND body RLIKE '</NFe>\\s*+<protNFe[\\s/>]')
-    AND NOT exists(
-        transform(
-            array_except(regexp_extract_all(body, {literal(_NAMES)}, 1), {_array(NODES + LEAVES)}),
-            tag -> struct(regexp_extract(tag, '^[^\\\\s>]+', 0) AS name, contains(tag, '>') AS parent)),
-        tag -> contains(tag.name, ':') OR if(
-            array_contains({_array(NODES + LEAVES)}, tag.name),
-            tag.parent AND array_contains({_array(LEAVES)}, tag.name),
-            array_contains({_array(tuple(n.lower() for n in NODES + LEAVES))}, lower(tag.name)))))"""
+    AND NOT concat('<', array_join(
+        array_except(regexp_extract_all(body, {literal(_NAMES)}, 1), {_array(NODES + LEAVES)}),
+        '<')) RLIKE {literal(_UNUSUAL_NAMES)})"""
 
 
 class _Usual:

@@ -5,13 +5,13 @@ from __future__ import annotations
 from invoicelake.plans.queries import SOURCE_LIMIT
 from invoicelake.sources.star_schema import LINES_PER_INVOICE, TOPIC
 
-# Invoices beyond the first of an order with more lines than one invoice holds.
-_CONTINUATIONS = f"""
-    continuation AS (
-        SELECT l_orderkey, unnest(range(1, CAST(ceil(n / {LINES_PER_INVOICE}.0) AS BIGINT))) AS invoice
-        FROM (SELECT l_orderkey, count(*) AS n FROM lineitem
-              GROUP BY l_orderkey HAVING count(*) > {LINES_PER_INVOICE})
-        JOIN orders ON o_orderkey = l_orderkey
+# One row for each invoice: an order continues on further ones when one does not hold its lines.
+_INVOICES = f"""
+    invoices AS (
+        SELECT orders.*, unnest(range(CAST(greatest(1, ceil(coalesce(n, 0) / {LINES_PER_INVOICE}.0)) AS BIGINT)))
+                   AS invoice
+        FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey)
+        ON o_orderkey = l_orderkey
     )"""
 
 _PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
@@ -40,6 +40,10 @@ _KEY = "CAST(o_orderkey AS VARCHAR)"
 _FILE = f"'nfe_' || {_KEY} || '.xml'"
 
 
+def _first(value: str) -> str:
+    """Totals of an order stand on its first invoice."""
+    return f"CASE WHEN invoice = 0 THEN {value} END"
+
 
 def _sum(column: str) -> str:
     """Exact sum; all amounts and quantities of the tables have at most two decimal places."""
@@ -62,8 +66,8 @@ def _header(protocol: str = "TRUE") -> str:
     CASE WHEN c_custkey IS NOT NULL THEN 'CPF' END AS dest_tipo_documento,
     c_name AS dest_nome, c_mktsegment AS dest_municipio, cn.n_name AS dest_uf,
     CAST(NULL AS VARCHAR) AS dest_email,
-    sum_price AS valor_produtos, o_totalprice AS valor_nota, sum_tax AS valor_total_tributos,
-    sum_discount AS valor_desconto, CAST(0 AS DOUBLE) AS valor_frete,
+    {_first('sum_price')} AS valor_produtos, {_first('o_totalprice')} AS valor_nota,
+    {_first('sum_tax')} AS valor_total_tributos, {_first('sum_discount')} AS valor_desconto, CAST(0 AS DOUBLE) AS valor_frete,
     CASE WHEN {protocol} THEN lpad({_KEY}, 15, '0') END AS numero_protocolo,
     CASE WHEN {protocol} THEN '100' END AS status_codigo,
     CASE WHEN {protocol} THEN 'Autorizado' END AS status_motivo,
@@ -90,7 +94,7 @@ _DAMAGE = f"""
                    CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem) THEN 'invalid_item_number' END
                WHEN '4-NOT SPECIFIED' THEN 'malformed_xml'
            END AS error
-    FROM orders"""
+    FROM invoices"""
 
 
 def _ranking(column: str, total: str) -> str:
@@ -104,18 +108,25 @@ def _ranking(column: str, total: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return {name: _with_invoices(sql) for name, sql in _sql().items()}
+
+
+def _with_invoices(sql: str) -> str:
+    """The query after the invoices, which most queries are about."""
+    sql = sql.strip()
+    rest = f", {sql.removeprefix('WITH ')}" if sql.startswith("WITH ") else f"\n{sql}"
+    return f"WITH {_INVOICES.strip()}{rest}"
+
+
+def _sql() -> dict[str, str]:
     return {
         "source_limit": f"""
             SELECT 'orders/' || {_FILE} AS path, {_KEY} AS chave_nfe,
                    strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '-03:00' AS data_emissao
-            FROM orders ORDER BY path LIMIT {SOURCE_LIMIT}""",
+            FROM invoices ORDER BY path LIMIT {SOURCE_LIMIT}""",
         "publish_messages": f"""
-            WITH {_LINE_TOTALS}, {_CONTINUATIONS}
-            SELECT {_KEY} AS message_key, {_header()} FROM orders {_RECIPIENT} {_ISSUER}
-            UNION ALL BY NAME
-            SELECT CAST(l_orderkey AS VARCHAR) AS message_key, CAST(l_orderkey AS VARCHAR) AS chave_nfe,
-                   'nfe_' || CAST(l_orderkey AS VARCHAR) || '.xml' AS source_file
-            FROM continuation""",
+            WITH {_LINE_TOTALS}
+            SELECT {_KEY} AS message_key, {_header()} FROM invoices {_RECIPIENT} {_ISSUER}""",
         "bronze_messages": """
             SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
                    event_id AS "offset", ts AS kafka_timestamp,
@@ -128,37 +139,37 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN o_orderpriority <> '2-HIGH' THEN {_KEY} END AS chave_nfe,
                    CASE WHEN o_orderpriority <> '2-HIGH' THEN cn.n_name END AS dest_uf,
                    CASE WHEN o_orderpriority NOT IN ('2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED')
-                        THEN o_totalprice END AS valor_nota,
+                        THEN {_first('o_totalprice')} END AS valor_nota,
                    CASE WHEN o_orderpriority NOT IN ('2-HIGH', '3-MEDIUM')
                         THEN CAST(0 AS DOUBLE) END AS valor_frete
-            FROM orders {_RECIPIENT}
+            FROM invoices {_RECIPIENT}
             WHERE o_orderpriority <> '1-URGENT'""",
         "silver_header": f"""
             WITH {_LINE_TOTALS}
-            SELECT {_header()}, '{TOPIC}' AS topic FROM orders {_RECIPIENT} {_ISSUER}""",
+            SELECT {_header()}, '{TOPIC}' AS topic FROM invoices {_RECIPIENT} {_ISSUER}""",
         "silver_item": f"""
             SELECT {_ITEM}, '{TOPIC}' AS topic {_LINES}""",
         "gold_por_emitente": f"""
             WITH {_LINE_TOTALS}
             SELECT lpad(CAST(s_suppkey AS VARCHAR), 14, '0') AS emit_documento, s_name AS emit_nome,
-                   count(*) AS qtd_notas, {_sum('o_totalprice')} AS valor_total_notas,
-                   {_sum('sum_price')} AS valor_total_produtos,
-                   {_sum('sum_tax')} AS valor_total_tributos
-            FROM orders {_ISSUER} GROUP BY 1, 2""",
+                   count(*) AS qtd_notas, {_sum(_first('o_totalprice'))} AS valor_total_notas,
+                   {_sum(_first('sum_price'))} AS valor_total_produtos,
+                   {_sum(_first('sum_tax'))} AS valor_total_tributos
+            FROM invoices {_ISSUER} GROUP BY 1, 2""",
         "gold_por_uf_destino": f"""
             SELECT cn.n_name AS dest_uf, count(*) AS qtd_notas,
-                   {_sum('o_totalprice')} AS valor_total_notas
-            FROM orders {_RECIPIENT} GROUP BY 1""",
+                   {_sum(_first('o_totalprice'))} AS valor_total_notas
+            FROM invoices {_RECIPIENT} GROUP BY 1""",
         "gold_top_produtos_valor": _ranking("l_extendedprice", "valor_total"),
         "gold_top_produtos_quantidade": _ranking("l_quantity", "quantidade_total"),
         "analytics_tributos_emitente": f"""
             WITH {_LINE_TOTALS}
             SELECT lpad(CAST(s_suppkey AS VARCHAR), 14, '0') AS emit_documento, s_name AS emit_nome,
-                   {_sum('sum_tax')} AS total_tributos
-            FROM orders {_ISSUER} GROUP BY 1, 2""",
+                   {_sum(_first('sum_tax'))} AS total_tributos
+            FROM invoices {_ISSUER} GROUP BY 1, 2""",
         "xml_parse_header": f"""
             WITH {_LINE_TOTALS}
-            SELECT {_header("o_orderstatus <> 'F'")} FROM orders {_RECIPIENT} {_ISSUER}""",
+            SELECT {_header("o_orderstatus <> 'F'")} FROM invoices {_RECIPIENT} {_ISSUER}""",
         "xml_parse_items": f"SELECT {_ITEM} {_LINES}",
         "xml_document_id": f"""
             SELECT {_FILE} AS source_file,
@@ -169,7 +180,7 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'CNPJ'
                         WHEN o_orderpriority = '3-MEDIUM' THEN NULL
                         ELSE 'CPF' END AS dest_tipo_documento
-            FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
+            FROM invoices LEFT JOIN customer ON o_custkey = c_custkey""",
         "xml_access_key": f"""
             SELECT coalesce(chave_nfe, source_file) AS message_key, chave_nfe
             FROM (SELECT {_FILE} AS source_file,
@@ -177,18 +188,12 @@ def oracle_sql() -> dict[str, str]:
                              WHEN '3-MEDIUM' THEN '7NFe' || {_KEY}
                              WHEN '4-NOT SPECIFIED' THEN NULL
                              ELSE {_KEY} END AS chave_nfe
-                  FROM orders)""",
+                  FROM invoices)""",
         "xml_quarantine": f"SELECT * FROM ({_DAMAGE}) WHERE error IS NOT NULL",
         "ingest_summary": f"""
-            WITH {_CONTINUATIONS}
-            SELECT success, count(*) AS files
-            FROM (SELECT error IS NULL AS success FROM ({_DAMAGE})
-                  UNION ALL SELECT TRUE FROM continuation)
-            GROUP BY success""",
+            SELECT error IS NULL AS success, count(*) AS files FROM ({_DAMAGE}) GROUP BY success""",
         "layer_row_counts": f"""
-            WITH {_CONTINUATIONS},
-            invoices AS (SELECT (SELECT count(*) FROM orders) + (SELECT count(*) FROM continuation) AS n)
-            SELECT 'bronze_nfe_json' AS layer, n AS row_count FROM invoices
-            UNION ALL SELECT 'silver_nfe_header', n FROM invoices
+            SELECT 'bronze_nfe_json' AS layer, count(*) AS row_count FROM invoices
+            UNION ALL SELECT 'silver_nfe_header', count(*) FROM invoices
             UNION ALL SELECT 'silver_nfe_item', (SELECT count(*) {_LINES})""",
     }

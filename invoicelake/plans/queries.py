@@ -136,16 +136,18 @@ def q_analytics_tributos_emitente(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def q_layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the first three layers, counted in one pass over the messages."""
+    """Rows of the first three layers, each counted behind its own operator."""
     bronze = bronze_messages(as_messages(order_documents(spark, sf_dir, ("itens",))))
-    data = F.from_json("payload_json", "itens array<struct<n_item int>>")
-    counts = bronze.select(data.alias("data")).agg(
-        F.count("*").alias("bronze_nfe_json"),
-        F.count("data").alias("silver_nfe_header"),
-        F.coalesce(F.sum(F.array_size("data.itens")), F.lit(0))
-        .cast("bigint").alias("silver_nfe_item"),
-    )
-    return counts.unpivot([], counts.columns, "layer", "row_count")
+    layers = {
+        contract.BRONZE: bronze,
+        contract.SILVER_HEADER: silver_header(parse_messages(bronze, ()), ()),
+        contract.SILVER_ITEM: silver_item(parse_messages(bronze, ("itens",))),
+    }
+    counts = [
+        rows.agg(F.lit(name).alias("layer"), F.count("*").alias("row_count"))
+        for name, rows in layers.items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
 # -- XML -----------------------------------------------------------------------------------
@@ -160,7 +162,7 @@ def _xml_files(
 ) -> DataFrame:
     """Order documents as XML files (path, content), their text changed by `shape`.
 
-    `shape` may use the columns `priority` and `status` of the order, null on continuations.
+    `shape` may use the columns `priority` and `status` of the order.
     """
     documents = order_documents(spark, sf_dir, sections, **options)
     texts = documents.select(
@@ -300,8 +302,7 @@ def _damaged(xml: Column) -> Column:
 
 
 def _parsed_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Of the lines only the numbers are checked.
-    files = _xml_files(spark, sf_dir, ("header", "itens"), _damaged, part_names=False)
+    files = _xml_files(spark, sf_dir, ("header", "itens"), _damaged)
     return parse_invoices(files, sections=())
 
 

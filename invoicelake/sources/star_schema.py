@@ -2,13 +2,13 @@
 
 An order is an invoice, its customer the recipient, its lowest-numbered supplier the issuer and
 its lines the invoice lines. The invoice layout allows a limited number of lines; an order with
-more continues on further invoices that carry the access key and lines only, so no single
-document grows with the data.
+more continues on further invoices, so no single document grows with the data. All invoices of an order
+name its header, issuer, recipient and access key; its totals stand on the first one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from invoicelake import contract
 from invoicelake.operators.messages import encode_messages
@@ -16,9 +16,6 @@ from invoicelake.operators.messages import encode_messages
 # Fixed value: the most lines an invoice may hold.
 LINES_PER_INVOICE = 990
 
-# Up to this many oversized orders are broadcast to their lines; more are joined by shuffle.
-BROADCAST_ORDERS_MAX = 100_000
-
 TOPIC = "orders"
 
 
@@ -31,14 +28,13 @@ def order_documents(
     sf_dir: str,
     sections: tuple[str, ...] | None = None,
     line_totals: bool = True,
-    part_names: bool = True,
     lines_per_invoice: int = LINES_PER_INVOICE,
 ) -> DataFrame:
-    """(source_file, document), one per order and continuation.
+    """(source_file, document), one per invoice; the same invoices whatever is read of them.
 
-    Only tables behind the wanted `sections` are read; the others are missing in the documents.
-    Without `line_totals`, so are the totals that need the lines; without `part_names`, so are the
-    names and list prices of the lines.
+    Only tables behind the wanted `sections` are read, and of the lines at least the order's key; the
+    other sections are missing in the documents. Without `line_totals`, so are the totals that
+    need the lines.
     """
     def want(*names: str) -> bool:
         return sections is None or any(name in sections for name in names)
@@ -47,27 +43,12 @@ def order_documents(
         spark, sf_dir, "orders",
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority",
     )
+    summed = want("emitente") or (want("totais") and line_totals)
+    lines = _lines(spark, sf_dir, summed, want("itens"))
+    # Only the lines' numbers need the counts of each scan partition.
+    cells = _cells(lines, summed) if want("itens") else None
+    per_order = _per_order(lines, summed) if cells is None else _merged(cells, summed)
     parts: dict[str, str] = {}
-    per_order, continuations = None, None
-    if want("itens"):
-        bought = table(
-            spark, sf_dir, "lineitem",
-            "l_orderkey", "l_suppkey", "l_linenumber", "l_partkey",
-            "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-        )
-        oversized = _oversized_orders(docs, bought, lines_per_invoice)
-        goods = None
-        if part_names:
-            goods = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_retailprice")
-        per_order, continuations = _order_lines(bought, goods, oversized)
-        parts["itens"] = "coalesce(itens, array())"
-    elif want("emitente") or (want("totais") and line_totals):
-        bought = table(
-            spark, sf_dir, "lineitem",
-            "l_orderkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax",
-        )
-        per_order = bought.groupBy("l_orderkey").agg(*_line_totals())
-
     if want("destinatario"):
         docs = docs.join(_customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"), "left")
         parts["destinatario"] = _RECIPIENT
@@ -76,26 +57,26 @@ def order_documents(
             _suppliers(spark, sf_dir), F.col("suppkey") == F.col("s_suppkey"), "left"
         )
         parts["emitente"] = _ISSUER
-    if per_order is not None:
-        docs = docs.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    # Writing and reading a document costs far more than moving its row, so the rows are spread
+    # by order, which costs nothing where the join was by order. The invoices of an order follow.
+    invoices = F.greatest(F.ceil(F.col("n_lines") / F.lit(lines_per_invoice)), F.lit(1))
+    docs = docs.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop(
+        "l_orderkey").repartition("o_orderkey").withColumn(
+        "invoice", F.explode(F.sequence(F.lit(0), F.coalesce(invoices, F.lit(1)).cast("int") - 1)))
+    if want("itens"):
+        goods = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_retailprice")
+        collected = _invoice_lines(lines, cells, goods, lines_per_invoice).alias("i")
+        of_invoice = (F.col("o_orderkey") == F.col("i.l_orderkey")) & (
+            F.col("d.invoice") == F.col("i.invoice"))
+        docs = docs.alias("d").join(collected, of_invoice, "left").select("d.*", "i.itens")
+        parts["itens"] = "coalesce(itens, array())"
     if want("header"):
         parts["header"] = _HEADER
     if want("totais"):
-        parts["totais"] = _INVOICE_TOTAL if per_order is None else _TOTALS
+        parts["totais"] = _TOTALS if summed else _INVOICE_TOTAL
     if want("protocolo"):
         parts["protocolo"] = _PROTOCOL
-    # Writing and reading a document costs far more than moving its row, so the rows are spread
-    # first: the joins before may have left few partitions, or a big customer's in one. By order
-    # this shuffle is left out where the last join was by order, too; otherwise the rows go round,
-    # so that copies of an order do not meet either.
-    docs = docs.hint("rebalance") if per_order is None else docs.repartition("o_orderkey")
-
-    documents = docs.selectExpr(*_document("o_orderkey", parts, sections))
-    if continuations is not None:
-        documents = documents.unionByName(continuations.selectExpr(
-            *_document("l_orderkey", {"itens": "itens"}, sections)
-        ))
-    return documents
+    return docs.selectExpr(*_document("o_orderkey", parts, sections))
 
 
 def as_messages(documents: DataFrame) -> DataFrame:
@@ -126,63 +107,61 @@ def events_as_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _oversized_orders(orders: DataFrame, lines: DataFrame, limit: int) -> DataFrame | None:
-    """Orders that need more than one invoice, with the number of their invoices and of their
-    rows in `orders`; None if there are none.
+def _lines(spark: SparkSession, sf_dir: str, summed: bool, listed: bool) -> DataFrame:
+    """Lines of orders with the columns that are read, their scan partition and place in it.
 
-    One pass over the key column, combined before the shuffle. The result is broadcast only if
-    it was counted to be small.
+    Both are the same whenever a task over the same files is run again.
     """
-    sizes = lines.groupBy("l_orderkey").agg(F.count("*").alias("n")).where(F.col("n") > limit)
-    copies = orders.groupBy(F.col("o_orderkey").alias("l_orderkey")).agg(F.count("*").alias("copies"))
-    oversized = sizes.join(copies, "l_orderkey").select(
-        "l_orderkey", F.ceil(F.col("n") / F.lit(limit)).alias("invoices"), "copies"
-    )
-    found = sizes.limit(BROADCAST_ORDERS_MAX + 1).count()
-    if found == 0:
-        return None
-    return F.broadcast(oversized) if found <= BROADCAST_ORDERS_MAX else oversized
-
-
-def _order_lines(
-    lines: DataFrame, goods: DataFrame | None, oversized: DataFrame | None
-) -> tuple[DataFrame, DataFrame | None]:
-    """Per order its totals and the lines of its first invoice; and the continuations, if any."""
-    # A line whose part is unknown is a line without name and list price.
-    collected = F.sort_array(F.collect_list(F.expr(_ITEM))).alias("itens")
-    if oversized is None:
-        # An order's lines lie far apart, so collecting them before the shuffle gains nothing.
-        spread = _with_part(lines, goods).repartition("l_orderkey")
-        return spread.groupBy("l_orderkey").agg(*_line_totals(), collected), None
-    # A line's number in the scan spreads the lines of an oversized order evenly over its
-    # invoices; it is the same when a lost task is run again.
-    numbered = lines.withColumn("line_id", F.monotonically_increasing_id())
-    invoice = F.coalesce(F.pmod(F.xxhash64("line_id"), F.col("invoices")), F.lit(0).cast("bigint"))
-    named = _with_part(
-        numbered.join(oversized, "l_orderkey", "left").withColumn("invoice", invoice), goods
-    )
-    # Spread by order and invoice, not by order alone, which the joins' partitioning would allow.
-    invoices = (
-        named.repartition("l_orderkey", "invoice").groupBy("l_orderkey", "invoice").agg(collected)
-    )
-    totals = lines.groupBy("l_orderkey").agg(*_line_totals())
-    first = invoices.where("invoice = 0").select("l_orderkey", "itens")
-    # An order that stands in its table more than once has all its invoices as often.
-    continuations = (
-        invoices.where("invoice > 0")
-        .join(oversized, "l_orderkey")
-        .select("l_orderkey", "itens", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
-    )
-    return totals.join(first, "l_orderkey", "left"), continuations
+    columns = ["l_orderkey"]
+    if summed or listed:
+        columns += ["l_suppkey", "l_extendedprice", "l_discount", "l_tax"]
+    if listed:
+        columns += ["l_linenumber", "l_partkey", "l_quantity"]
+    return table(spark, sf_dir, "lineitem", *columns).withColumn(
+        "scan", F.spark_partition_id()).withColumn("line_id", F.monotonically_increasing_id())
 
 
-def _with_part(lines: DataFrame, goods: DataFrame | None) -> DataFrame:
-    """Lines with the name and list price of their part, null without `goods`."""
-    if goods is None:
-        return lines.selectExpr(
-            "*", "CAST(NULL AS STRING) AS p_name", "CAST(NULL AS DOUBLE) AS p_retailprice"
-        )
-    return lines.join(goods, F.col("l_partkey") == F.col("p_partkey"), "left")
+def _per_order(lines: DataFrame, summed: bool, *more: str) -> DataFrame:
+    """Number of lines and their totals for each order."""
+    return lines.groupBy("l_orderkey", *more).agg(
+        F.count("*").alias("n_lines"), *(_line_totals() if summed else ()))
+
+
+def _cells(lines: DataFrame, summed: bool) -> DataFrame:
+    """The same for each order and scan partition."""
+    return _per_order(lines, summed, "scan")
+
+
+def _merged(cells: DataFrame, summed: bool) -> DataFrame:
+    sums = ("n_lines", "sum_price", "sum_tax", "sum_discount") if summed else ("n_lines",)
+    return cells.groupBy("l_orderkey").agg(
+        *(F.sum(name).alias(name) for name in sums),
+        *([F.min("suppkey").alias("suppkey")] if summed else ()))
+
+
+def _invoice_lines(
+    lines: DataFrame, cells: DataFrame, goods: DataFrame, limit: int
+) -> DataFrame:
+    """(l_orderkey, invoice, itens): lines by their exact number in the order, `limit` on an invoice.
+
+    A line's number is its place among the order's lines of its scan partition, after all those of earlier
+    partitions. So a hot order is spread over as many tasks as partitions hold it,
+    and each of its invoices is collected by itself. A line of an unknown part has no name and price.
+    """
+    of_order = Window.partitionBy("l_orderkey")
+    earlier = of_order.orderBy("scan").rowsBetween(Window.unboundedPreceding, -1)
+    oversized = cells.select(
+        "l_orderkey", "scan", F.sum("n_lines").over(of_order).alias("all_lines"),
+        F.coalesce(F.sum("n_lines").over(earlier), F.lit(0)).alias("before"),
+    ).where(F.col("all_lines") > limit).drop("all_lines")
+    place = F.row_number().over(Window.partitionBy("l_orderkey", "scan").orderBy("line_id"))
+    numbered = lines.join(oversized, ["l_orderkey", "scan"], "left").withColumn("place", place)
+    invoice = F.floor((F.col("before") + F.col("place") - 1) / F.lit(limit))
+    named = numbered.withColumn("invoice", F.coalesce(invoice, F.lit(0))).join(
+        goods, F.col("l_partkey") == F.col("p_partkey"), "left")
+    # Spread by order and invoice, not by order alone, which the joins' partitioning would allow.
+    return named.repartition("l_orderkey", "invoice").groupBy("l_orderkey", "invoice").agg(
+        F.sort_array(F.collect_list(F.expr(_ITEM))).alias("itens"))
 
 
 _CENTS = "CAST(rint(l_extendedprice * 100) AS BIGINT)"
@@ -195,11 +174,12 @@ def _share(rate: str) -> str:
 
 
 def _line_totals() -> list[Column]:
+    """Totals in cents, so that sums of sums are exact."""
     return [
         F.min("l_suppkey").alias("suppkey"),
-        F.expr(f"sum({_CENTS}) / 100 AS sum_price"),
-        F.expr(f"sum({_share('l_tax')}) / 100 AS sum_tax"),
-        F.expr(f"sum({_share('l_discount')}) / 100 AS sum_discount"),
+        F.expr(f"sum({_CENTS}) AS sum_price"),
+        F.expr(f"sum({_share('l_tax')}) AS sum_tax"),
+        F.expr(f"sum({_share('l_discount')}) AS sum_discount"),
     ]
 
 
@@ -258,15 +238,15 @@ _ISSUER = """struct(
     s_state AS uf)"""
 
 _TOTALS = """struct(
-    sum_price AS valor_produtos,
-    o_totalprice AS valor_nota,
-    sum_tax AS valor_total_tributos,
-    sum_discount AS valor_desconto,
+    if(invoice = 0, sum_price / 100, NULL) AS valor_produtos,
+    if(invoice = 0, o_totalprice, NULL) AS valor_nota,
+    if(invoice = 0, sum_tax / 100, NULL) AS valor_total_tributos,
+    if(invoice = 0, sum_discount / 100, NULL) AS valor_desconto,
     0.0D AS valor_frete)"""
 
 _INVOICE_TOTAL = """struct(
     CAST(NULL AS DOUBLE) AS valor_produtos,
-    o_totalprice AS valor_nota,
+    if(invoice = 0, o_totalprice, NULL) AS valor_nota,
     CAST(NULL AS DOUBLE) AS valor_total_tributos,
     CAST(NULL AS DOUBLE) AS valor_desconto,
     0.0D AS valor_frete)"""

@@ -95,14 +95,12 @@ def test_query_on_skewed_tables(spark, skewed, name):
 
 
 @needs_tables
-@pytest.mark.parametrize("broadcast_max", [star_schema.BROADCAST_ORDERS_MAX, 0])
-def test_no_document_grows_with_its_order(spark, skewed, monkeypatch, broadcast_max):
-    """Oversized orders are split evenly, whichever way they are joined to their lines."""
-    monkeypatch.setattr(star_schema, "BROADCAST_ORDERS_MAX", broadcast_max)
+def test_no_document_grows_with_its_order(spark, skewed):
+    """Oversized orders are split by exact line numbers."""
     limit = 100
     docs = star_schema.order_documents(spark, skewed, ("itens",), lines_per_invoice=limit)
     sizes = docs.selectExpr("document.chave_nfe AS key", "size(document.itens) AS n").collect()
-    assert max(r.n for r in sizes) < 1.6 * limit
+    assert max(r.n for r in sizes) == limit
     con = database(skewed)
     # Lines of unknown parts are invoice lines like any other.
     expected = con.execute("""
@@ -118,3 +116,32 @@ def test_no_document_grows_with_its_order(spark, skewed, monkeypatch, broadcast_
         invoices[r.key] = invoices.get(r.key, 0) + 1
     assert lines == {key: n for key, n, _ in expected}
     assert invoices == {key: n for key, _, n in expected}
+
+
+@needs_tables
+@pytest.mark.parametrize("sections", [(), ("header",), ("totais",), ("emitente", "itens"), None])
+def test_the_same_invoices_whatever_is_read(spark, skewed, sections):
+    """Order 1 has 2,000 lines or so and order 2 has 1,500, in several copies."""
+    docs = star_schema.order_documents(spark, skewed, sections)
+    got = {r.source_file: r["count"] for r in docs.groupBy("source_file").count().collect()}
+    want = database(skewed).execute("""
+        SELECT 'nfe_' || o_orderkey || '.xml', CAST(sum(greatest(1, ceil(coalesce(n, 0) / 990.0))) AS BIGINT)
+        FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey
+        GROUP BY 1""").fetchall()
+    assert got == dict(want) and got["nfe_2.xml"] == 8
+
+
+@needs_tables
+def test_building_a_query_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    group = "building"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        for name, query in registered.queries().items():
+            query(spark, SF_DIR)
+        # Reading a Parquet schema is a job of one task; nothing else may run.
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+        stages = [tracker.getStageInfo(s) for j in jobs if j for s in j.stageIds]
+        assert all(s.numTasks == 1 for s in stages if s)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
