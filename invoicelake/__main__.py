@@ -12,10 +12,10 @@ from invoicelake.plans import jobs
 from invoicelake.plans.tables import TABLE_PATH, list_tables, open_tables, preview, row_counts
 from invoicelake.sources.messages import KafkaTopic, MessageLog
 
-# Failed files named on the screen; all of them are in the quarantine folder.
+# Failed files named on the screen; all of them are in the quarantine table.
 SHOWN_FAILURES = 100
 
-TABLES = (*contract.LAYER_TABLES, *contract.ANALYTICS_TABLES)
+TABLES = (*contract.LAYER_TABLES, *contract.ANALYTICS_TABLES, contract.QUARANTINE)
 
 
 def arguments(argv: list[str]) -> argparse.Namespace:
@@ -28,7 +28,7 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--limit", type=int, help="publish only the first files in path order")
     parser.add_argument("--db", default="nfe", help="database of the layer tables")
     parser.add_argument("--table-path", help="shared folder of the tables, for a catalog that ends with the process")
-    parser.add_argument("--quarantine-path", help="folder for the full list of unreadable files")
+    parser.add_argument("--quarantine-path", help="folder to which the list of unreadable files is added, too")
     parser.add_argument("--master", help="Spark master; left to spark-submit by default")
     parser.add_argument("--strict", action="store_true", help="drop unreadable messages")
     args = parser.parse_args(argv)
@@ -69,13 +69,14 @@ def main(argv: list[str]) -> int:
         open_tables(spark, args.db, TABLES)
     try:
         if args.job in ("publish", "run"):
-            summary = jobs.publish(spark, args.xml_dir, topic, args.limit)
+            summary = jobs.publish(spark, args.xml_dir, topic, args.limit, args.db)
             print(f"published: {summary.published}, failed: {summary.failed}")
             if summary.failed and args.quarantine_path:
                 summary.quarantine.write.mode("append").parquet(args.quarantine_path)
                 print(f"all failures: {args.quarantine_path}")
             if summary.failed > SHOWN_FAILURES:
-                print(f"the first {SHOWN_FAILURES} of {summary.failed} failures:")
+                print(f"the first {SHOWN_FAILURES} of {summary.failed} failures; all are in the table "
+                      f"{args.db}.{contract.QUARANTINE}:")
             for failed in summary.quarantine.orderBy("path").limit(SHOWN_FAILURES).collect():
                 print(f"  {failed.path}: {failed.error}")
         if args.job in ("layers", "run"):

@@ -112,6 +112,8 @@ ANALYTICS_TABLES = (
     ANALYTICS_TOP_QUANTIDADE, ANALYTICS_TRIBUTOS,
 )
 
+QUARANTINE = "quarantine_nfe_xml"
+
 MESSAGE_LOG_SCHEMA = (
     "topic string, partition int, offset bigint, timestamp timestamp, key binary, value binary"
 )

@@ -33,22 +33,31 @@ class PublishSummary:
 
 
 def publish(
-    spark: SparkSession, xml_dir: str, topic: Topic, limit: int | None = None
+    spark: SparkSession, xml_dir: str, topic: Topic, limit: int | None = None, db: str = "nfe"
 ) -> PublishSummary:
     """Parse all XML files below `xml_dir` and publish one message per readable file.
 
-    The files are parsed once into a staging copy, from which messages, counts and quarantine
-    are taken; unreadable files never stop the others.
+    The files are parsed once into a staging copy, readable and unreadable ones in folders of their
+    own, from which messages, counts and quarantine are taken. Unreadable files never stop the
+    others; all that the last publish met are in the table QUARANTINE of `db`, also if none could be read.
     """
     files = xml_files(spark, xml_dir, limit)
     if files.select("path").isEmpty():
         raise NothingToPublish(f"no XML file in {xml_dir}")
     with packed_small_files(spark):
-        parsed = staged(parse_invoices(files), f"parsed_{topic.topic}")
-    counts = parsed.agg(F.count("*").alias("files"), F.count("error").alias("failed")).first()
-    summary = PublishSummary(counts.files - counts.failed, counts.failed, quarantine(parsed))
+        readable = F.col("error").isNull().alias("readable")
+        parsed = staged(
+            parse_invoices(files).select("*", readable), f"parsed_{topic.topic}", "readable")
+    counts = parsed.agg(F.count("*").alias("files"), F.count_if("readable").alias("readable")).first()
+    create_database(spark, db)
+    failed = overwrite_table(
+        quarantine(parsed.where("NOT readable")), f"{db}.{contract.QUARANTINE}")
+    summary = PublishSummary(
+        counts.readable, failed, spark.table(f"{db}.{contract.QUARANTINE}"))
     if summary.published == 0:
-        raise NothingToPublish(f"none of {counts.files} XML files in {xml_dir} could be read")
+        raise NothingToPublish(
+            f"none of {counts.files} XML files in {xml_dir} could be read; see {db}.{contract.QUARANTINE}")
+    parsed = parsed.where("readable")
     topic.write(encode_messages(good_documents(parsed)))
     return summary
 
@@ -112,12 +121,9 @@ def _aggregate_tables(
         state: overwrite_table(gold.per_recipient_state(header), f"{db}.{state}"),
     }
     # Both rankings come from one aggregation of the invoice lines.
-    products = gold.per_product(spark.table(f"{db}.{contract.SILVER_ITEM}")).persist()
-    try:
-        for name, total in ((by_value, "valor_total"), (by_quantity, "quantidade_total")):
-            rows[name] = overwrite_table(gold.top_products(products, total), f"{db}.{name}")
-    finally:
-        products.unpersist()
+    products = staged(gold.per_product(spark.table(f"{db}.{contract.SILVER_ITEM}")), "products")
+    for name, total in ((by_value, "valor_total"), (by_quantity, "quantidade_total")):
+        rows[name] = overwrite_table(gold.top_products(products, total), f"{db}.{name}")
     return rows
 
 
@@ -125,4 +131,4 @@ def run_pipeline(
     spark: SparkSession, xml_dir: str, topic: Topic, db: str = "nfe", limit: int | None = None
 ) -> tuple[PublishSummary, dict[str, int]]:
     """Publish, then build the layers."""
-    return publish(spark, xml_dir, topic, limit), build_layers(spark, topic, db)
+    return publish(spark, xml_dir, topic, limit, db), build_layers(spark, topic, db)

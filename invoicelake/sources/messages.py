@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
 from invoicelake.contract import MESSAGE_LOG_SCHEMA
+from invoicelake.plans.tables import staged
+from invoicelake.sources import files
+
+# Offsets of a publish: more than its messages. There is room for eight million publishes.
+PUBLISH_OFFSETS = 1 << 40
+_TASK_BITS = 33  # of Spark's increasing ids, those that count within a task
 
 
 @dataclass(frozen=True)
@@ -55,8 +62,12 @@ class KafkaTopic:
 class MessageLog:
     """A topic kept as Parquet files with the columns of Spark's Kafka source.
 
-    Topics lie in folders of their own, so reading one does not touch the others. Messages of one key share a partition. Offsets are unique and grow from one publish to the
-    next; like a compacted topic's, they may have gaps.
+    Topics lie in folders of their own, so reading one does not touch the others. Messages of one key
+    share a partition. Offsets are unique and grow from one publish to the next; like a compacted topic's,
+    they may have gaps.
+
+    Every publish claims its range of offsets before it writes, by a file that only one publisher can
+    make. So publishers at the same time share no offset, and none has to read the log.
     """
 
     path: str
@@ -80,19 +91,38 @@ class MessageLog:
         return log.where(F.col("topic") == self.topic).select(*columns)
 
     def write(self, messages: DataFrame) -> None:
+        """Append (key, value) rows, numbered in the order of a copy that retries do not change."""
         spark = messages.sparkSession
-        last = self.read(spark).agg(F.max("offset")).first()[0]
-        base = 0 if last is None else last + 1
+        held = staged(messages.select(
+            "key", "value", F.monotonically_increasing_id().alias("id")), f"messages_{self.topic}")
+        task, place = F.shiftright("id", _TASK_BITS), F.col("id").bitwiseAND((1 << _TASK_BITS) - 1)
+        # One row for each task that wrote the copy: how many messages the tasks before it wrote.
+        earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+        before = held.groupBy(task.alias("task")).agg(F.count("*").alias("n")).select(
+            "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+        claim = self._claim(spark)
+        # In a folder of its own, as writers of one folder would remove each other's unfinished files.
+        folder = f"{self.path.rstrip('/')}/topic={quote(self.topic)}/{claim:010d}"
         (
-            messages.select(
-                F.lit(self.topic).alias("topic"),
+            held.withColumn("task", task).join(before, "task").select(
                 F.pmod(F.hash("key"), F.lit(self.partitions)).alias("partition"),
-                (F.lit(base) + F.monotonically_increasing_id()).alias("offset"),
+                (F.lit(claim * PUBLISH_OFFSETS) + F.col("before") + place).alias("offset"),
                 F.current_timestamp().alias("timestamp"),
                 F.col("key").cast("binary").alias("key"),
                 F.col("value").cast("binary").alias("value"),
             )
-            .write.mode("append")
-            .partitionBy("topic")
-            .parquet(self.path)
+            .write.parquet(folder)
         )
+
+    def _claim(self, spark: SparkSession) -> int:
+        """The number of this publish, which no other one has."""
+        folder = f"{self.path.rstrip('/')}/_claims/{quote(self.topic)}"
+        claimed = files.names(spark, folder)
+        if claimed:
+            number = int(claimed[-1]) + 1
+        else:  # none yet, or a log that was written without claims
+            last = self.read(spark).agg(F.max("offset")).first()[0]
+            number = 0 if last is None else last // PUBLISH_OFFSETS + 1
+        while not files.create_once(spark, f"{folder}/{number:010d}"):
+            number += 1
+        return number

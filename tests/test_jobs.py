@@ -4,6 +4,8 @@ import itertools
 import os
 import subprocess
 import sys
+from concurrent.futures import ThreadPoolExecutor
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,9 +13,9 @@ from pyspark.sql import functions as F
 from conftest import invoice
 from invoicelake import contract
 from invoicelake.__main__ import arguments, main
-from invoicelake.plans import jobs
+from invoicelake.plans import jobs, tables
 from invoicelake.plans.tables import list_tables, overwrite_table, row_counts, staged
-from invoicelake.sources.messages import KafkaTopic, MessageLog
+from invoicelake.sources.messages import PUBLISH_OFFSETS, KafkaTopic, MessageLog
 from invoicelake.sources.xml_files import limit_files, packed_small_files, xml_files
 from invoicelake.streaming.bronze import update_layers
 
@@ -116,7 +118,7 @@ def test_pipeline(spark, xml_dir, log, db):
         "bronze_nfe_json": 3, "silver_nfe_header": 3, "silver_nfe_item": 3, "gold_nfe_por_emitente": 1,
         "gold_nfe_por_uf_destino": 1, "gold_top_produtos_valor": 1, "gold_top_produtos_quantidade": 1,
     }
-    assert list_tables(spark, db) == sorted(contract.LAYER_TABLES)
+    assert list_tables(spark, db) == sorted((*contract.LAYER_TABLES, contract.QUARANTINE))
     keys = {r.message_key for r in spark.table(f"{db}.bronze_nfe_json").collect()}
     assert keys == {"A", "X", "n[1].xml"}
     assert spark.table(f"{db}.gold_nfe_por_emitente").first() == (None, None, 3, 6.6, 6.6, 0.9)
@@ -135,7 +137,8 @@ def test_pipeline(spark, xml_dir, log, db):
     assert spark.table(f"{db}.gold_nfe_por_emitente").first() == (None, None, 6, 13.2, 13.2, 1.8)
 
     jobs.build_analytics(spark, db)
-    assert list_tables(spark, db) == sorted(contract.LAYER_TABLES + contract.ANALYTICS_TABLES)
+    assert list_tables(spark, db) == sorted(
+        (*contract.LAYER_TABLES, *contract.ANALYTICS_TABLES, contract.QUARANTINE))
     for analytics, layer in (
         ("analytics_01_emitente", "gold_nfe_por_emitente"), ("analytics_02_uf_destino", "gold_nfe_por_uf_destino"),
         ("analytics_03_top_produtos_valor", "gold_top_produtos_valor"),
@@ -219,6 +222,69 @@ def test_overwrite_counts_rows(spark, db):
     assert spark.table(f"{db}.t").count() == 0
 
 
+def test_failed_write_leaves_the_table(spark, db):
+    spark.sql(f"CREATE DATABASE {db}")
+    name = f"{db}.t"
+    overwrite_table(spark.range(5), name)
+    reader = spark.table(name)
+    failing = spark.range(0, 1000, 1, 8).selectExpr("if(id = 900, raise_error('no'), id) AS id")
+    with pytest.raises(Exception, match="no"):
+        overwrite_table(failing, name)
+    assert spark.table(name).count() == 5
+    # Whoever read the version before can go on; the one before that and the failed one are gone.
+    assert overwrite_table(spark.range(7), name) == 7
+    assert (reader.count(), spark.table(name).count()) == (5, 7)
+    assert overwrite_table(spark.range(3), name) == 3
+    folder = os.path.dirname(spark.table(name).inputFiles()[0].removeprefix("file://"))
+    whole = [v for v in os.listdir(os.path.dirname(folder)) if not v.startswith(".")]
+    assert len(whole) == 2 and os.path.basename(folder) == max(whole)
+    # From the table itself, and with other columns.
+    assert overwrite_table(spark.table(name).selectExpr("id + 1 AS id"), name) == 3
+    assert overwrite_table(spark.sql("SELECT 'x' AS word"), name) == 1
+    assert spark.table(name).collect() == [("x",)]
+
+
+def test_quarantine_holds_every_bad_file(spark, tmp_path, log, db, capsys):
+    for i in range(250):
+        write(tmp_path / "in" / f"{i}.xml", "<a>" if i else "x")
+    publish = ["publish", "--xml-dir", str(tmp_path / "in"), "--topic", "t", "--log-path", log.path, "--db", db]
+    assert main(publish) == 1
+    assert spark.table(f"{db}.{contract.QUARANTINE}").count() == 250
+    write(tmp_path / "in" / "good.xml", invoice())
+    assert main(publish) == 0
+    out = capsys.readouterr().out
+    assert f"the first 100 of 250 failures; all are in the table {db}.{contract.QUARANTINE}" in out
+    bad = spark.table(f"{db}.{contract.QUARANTINE}")
+    assert bad.columns == ["path", "source_file", "error"] and bad.count() == 250
+
+
+def test_publishers_at_the_same_time_share_no_offset(spark, log):
+    messages = spark.range(0, 1000, 1, 5).selectExpr("CAST(id AS STRING) AS key", "'v' AS value").where("id <> 300")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda _: MessageLog(log.path, log.topic).write(messages), range(4)))
+    offsets = sorted(r.offset for r in log.read(spark).select("offset").collect())
+    assert offsets == [k * PUBLISH_OFFSETS + i for k in range(4) for i in range(999)]
+
+
+def test_log_without_claims_goes_on(spark, log):
+    old = spark.createDataFrame([(log.topic, 0, 5, None, b"k", b"v")], contract.MESSAGE_LOG_SCHEMA)
+    old.write.partitionBy("topic").parquet(log.path)
+    log.write(spark.sql("SELECT 'k' AS key, 'w' AS value"))
+    assert sorted(r.offset for r in log.read(spark).collect()) == [5, PUBLISH_OFFSETS]
+
+
+def test_staging_refuses_a_folder_of_one_machine(monkeypatch):
+    def session(master, **settings):
+        conf = SimpleNamespace(get=lambda key, default=None: settings.get(key.rsplit(".")[1], default))
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    monkeypatch.setattr(tables.files, "is_local", lambda *_: True)
+    with pytest.raises(ValueError, match="shared folder"):
+        tables.shared_folder(session("spark://host:1", sql="file:/warehouse"))
+    assert tables.shared_folder(session("local[4]", sql="file:/warehouse")) == "file:/warehouse/_staging"
+    assert tables.shared_folder(session("yarn", checkpoint="hdfs:/shared/")) == "hdfs:/shared"
+
+
 def test_stream_takes_over_each_message_once(spark, xml_dir, log, db, tmp_path):
     checkpoint = str(tmp_path / "checkpoint")
     jobs.publish(spark, xml_dir, log)
