@@ -9,9 +9,9 @@ exactly 0.8 exceeds that distance with probability 2e-5; more similar pairs far
 
 Equal sets are one node. Under a key with few nodes all pairs are candidates. Under a key with many,
 nodes are first compared with one node of the key, then with another, and links found so far are
-gathered into components; only nodes that are still in different components are then compared in
-pairs. So a large group of near copies costs some comparisons per member, and no pair is left out
-whose link could still matter. Candidates within the distance are confirmed on the full sets. Before
+gathered into components; nodes that are still in different components then meet by an exact prefix
+filter on their shingles. So a large group of near copies costs some comparisons per member, and no pair is
+left out whose link could still matter. Candidates within the distance are confirmed on the full sets. Before
 that they must pass an exact bound: each shingle of a set flips one of `PARITIES` bits, so two sets differ in at least as many
 shingles as their bits differ. It leaves no link out and stops most pairs of texts of usual length.
 """
@@ -23,7 +23,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from invoicelake.llm.byte_words import mixed, shingle_sets
 from invoicelake.llm.graph import components
@@ -130,19 +130,6 @@ def may_be_linked(percent: int, n_a: Column, n_b: Column, a: Column, b: Column)
     return (100 - percent) * (n_a + n_b) >= (100 + percent) * differ
 
 
-def first_meeting(key: Column, a: Column, b: Column) -> Column:
-    """Whether `key` is the first of the keys that two signatures share."""
-    slot = F.shiftright(key, 32).cast("int")
-    chunk = F.floor(slot / CHUNK).cast("int")
-    shared = F.lit(0)  # a bit for each chunk that differs in one slot at most
-    for c in range(CHUNKS):
-        near = differing(F.get(a, F.lit(c)), F.get(b, F.lit(c))) <= 1
-        shared = shared.bitwiseOR(F.when(near, F.lit(1 << c)).otherwise(F.lit(0)))
-    own = differing(F.get(a, chunk), F.get(b, chunk))
-    return (shared.bitwiseAND(-shared) == F.call_function("shiftleft", F.lit(1), chunk)) & (
-        (own == 1) | (slot % CHUNK == 0))
-
-
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,16 +208,12 @@ class _Links:
             .mapInArrow(_confirmed(self.percent), "a bigint, b bigint")
         )
 
-    def shared_sizes(self, members: DataFrame) -> DataFrame:
-        """(node, shared): how many shingles of a node also stand in another of `members` (node)."""
-        return (
-            self.sets.join(members, "node", "left_semi")
-            .mapInArrow(_each_shingle, "node bigint, shingle bigint")
-            .groupBy("shingle").agg(F.count("*").alias("nodes"), F.min("node").alias("node"))
-            .filter("nodes = 1").groupBy("node").agg(F.count("*").alias("private"))
-            .join(members, "node", "right").join(self.nodes.select("node", "n"), "node")
-            .select("node", (F.col("n") - F.coalesce("private", F.lit(0))).alias("shared"))
-        )
+    def postings(self, members: DataFrame) -> DataFrame:
+        """(node, shingle, nodes): every shingle of `members` (node), and how many of them have it."""
+        each = self.sets.join(members, "node", "left_semi").mapInArrow(
+            _each_shingle, "node bigint, shingle bigint").repartition("shingle")
+        common = each.groupBy("shingle").agg(F.count("*").alias("nodes"))
+        return each.join(common, "shingle")
 
 
 def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -280,8 +263,8 @@ def _members(docs: DataFrame, size: int, percent: int) -> DataFrame:
         ).filter("node_root <> root").select(
             F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         roots = _grown(roots, links.confirmed(links.near(again)))
-        roots = _grown(roots, links.confirmed(
-            stored(_still_apart(_in_components(many, roots), links))))
+        roots = _grown(roots, links.confirmed(links.near(
+            _still_apart(_in_components(many, roots), links))))
     links.close()
     members = nodes.join(roots, "node", "left").select(
         "print", F.coalesce("root", "node").alias("root"))
@@ -302,44 +285,45 @@ def _grown(roots: DataFrame, more: DataFrame) -> DataFrame:
         roots.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b"))))
 
 
-def _open(placed: DataFrame) -> DataFrame:
+def _open(placed: DataFrame, key: str) -> DataFrame:
     """The rows of the keys whose nodes are in more than one component."""
-    keys = placed.groupBy("key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
-    return placed.join(keys, "key", "left_semi")
+    keys = placed.groupBy(key).agg(
+        F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select(key)
+    return placed.join(keys, key, "left_semi")
 
 
 def _still_apart(placed: DataFrame, links: _Links) -> DataFrame:
-    """Pairs under a key whose nodes are in different components and close enough to be linked.
-
-    Keys all of whose nodes are in one component are done. Shingles that a node has for itself
-    among all nodes of the open keys bound what it can have in common with any of them: by this
-    alone most copies that are too far apart leave. Bits and distances are compared inside the join,
-    so only close pairs come out of it, each under the first of the keys that its nodes share.
+    """Pairs of nodes in different components that share a key and may be similar enough.
+
+    Keys all of whose nodes are in one component are done. The nodes of the others meet by an exact prefix
+    filter instead of in pairs: shingles are ordered by how many of these nodes have them, rare ones first. A set
+    of n shingles has at least t n in common with a larger set of similarity t, and 2t / (1 + t) n with one that
+    is not smaller; so the smaller set's first n - 2t / (1 + t) n + 1 shingles and the larger one's first
+    n - t n + 1 have one in common. Pages that share a template but not enough of it have only
+    shingles of their own there, and meet nobody.
     """
     percent = links.percent
-    undecided = stored(_open(placed).select("key", "node", "root"))
-    sizes = stored(links.shared_sizes(undecided.select("node").distinct()))
-    rows = stored(_open(
-        undecided.join(sizes, "node")
-        .join(links.nodes.select("node", "sig", "parity", "n"), "node")
-        .filter(100 * F.col("shared") >= percent * F.col("n"))
-    ))
-    side = lambda s: rows.select(
-        "key", F.col("node").alias(s), F.col("root").alias(f"root_{s}"),
-        F.col("sig").alias(f"sig_{s}"), F.col("parity").alias(f"parity_{s}"), F.col("n").alias(f"n_{s}"),
-        F.col("shared").alias(f"shared_{s}"))
-    a, b = side("a"), side("b")
-    common = F.least("shared_a", "shared_b")
-    close = (
-        (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
-        & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        & (100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))
-        & may_be_linked(percent, *map(F.col, ("n_a", "n_b", "parity_a", "parity_b")))
-        & (distance(F.col("sig_a"), F.col("sig_b")) <= DISTANCE)
-        & first_meeting(a["key"], F.col("sig_a"), F.col("sig_b"))
+    undecided = stored(
+        _open(placed.select("key", "node", "root"), "key").select("node", "root").distinct())
+    sized = undecided.join(links.nodes.select("node", "n"), "node")
+    rare_first = Window.partitionBy("node").orderBy("nodes", "shingle")
+    ranked = links.postings(undecided.select("node")).withColumn(
+        "rank", F.row_number().over(rare_first)).filter("nodes > 1").join(sized, "node")
+    # Of a set, how many first shingles are looked up by larger ones, and how many it looks up.
+    held = F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1
+    asked = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    prefixes = stored(_open(ranked.filter(F.col("rank") <= asked).select(
+        "shingle", "node", "root", "n", (F.col("rank") <= held).alias("held")), "shingle"))
+    side = lambda s: prefixes.select(
+        "shingle", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "n", "held")))
+    a, b = side("a").filter("held_a").alias("a"), side("b").alias("b")
+    meet = (
+        (F.col("a.shingle") == F.col("b.shingle")) & (F.col("root_a") != F.col("root_b"))
+        & ((F.col("n_a") < F.col("n_b")) | (F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b")))
+        & (100 * F.col("n_a") >= percent * F.col("n_b"))
     )
-    return a.join(b, close).select("a", "b")
+    return a.join(b, meet).select(
+        F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -382,9 +366,11 @@ def without_near_duplicates(
     stay = rows.filter("n > 0").groupBy("root").agg(F.min(ranked).alias("best")).select(
         F.col("best.id").alias("_id"), F.col("best.th").alias("_th"))
     empty = rows.filter("n = 0").select("id", "th").distinct()
-    hashed = docs.withColumn("_th2", F.xxhash64(F.col("text")))
-    whole = hashed.join(
-        empty.select(F.col("id").alias("_id"), F.col("th").alias("_th")),
-        F.expr(f"_th2 = _th AND `{key}` <=> _id"), "left_semi")
-    one = hashed.join(stay, F.expr(f"_th2 = _th AND `{key}` <=> _id")).dropDuplicates([key, "_th2"])
-    return one.select(*docs.columns).unionByName(whole.select(*docs.columns))
+    # The user's columns travel as one, so that no name of theirs meets one of ours.
+    carried = docs.select(F.struct("*").alias("doc")).select(
+        "doc", F.col(f"doc.`{key}`").alias("doc_key"), F.xxhash64("doc.text").alias("doc_th"))
+    same = F.expr("doc_th = _th AND doc_key <=> _id")
+    whole = carried.join(
+        empty.select(F.col("id").alias("_id"), F.col("th").alias("_th")), same, "left_semi")
+    one = carried.join(stay, same).dropDuplicates(["doc_key", "doc_th"])
+    return one.select("doc.*").unionByName(whole.select("doc.*"))

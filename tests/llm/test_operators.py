@@ -120,6 +120,28 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert {r.component_id for r in found.collect()} == {0}
 
 
+def test_pages_of_a_template_meet_nobody(spark):
+    """Alike in 0.72: many under each key, no link, and no pair is made of them."""
+    template = " ".join(f"t{j}" for j in range(100))
+    pages = [(i, template + " " + " ".join(f"p{i}w{j}" for j in range(19))) for i in range(600)]
+    pages += [(1000 + i, pages[i][1] + f" one{i}") for i in range(3)]
+    found = near_duplicates(spark.createDataFrame(pages, "doc_id bigint, text string"), 1)
+    assert {r.doc_id: r.component_id for r in found.collect()} == {
+        i: i - 1000 if i >= 1000 else i for i, _ in pages}
+
+
+def test_one_of_each_near_group_stays_whatever_columns_are_called(spark, docs):
+    names = ["_th2", "_th", "_id", "th", "n", "root", "sig", "node", "doc", "doc_key", "doc_th", "a.b"]
+    plain = docs.select("doc_id", "text")
+    clashing = plain.select("*", *(F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names))
+    left = without_near_duplicates(clashing, 2)
+    assert left.columns == clashing.columns
+    got = left.collect()
+    assert sorted(r.doc_id or -1 for r in got) == sorted(
+        r.doc_id or -1 for r in without_near_duplicates(plain, 2).collect())
+    assert all(r[n] == (None if r.doc_id is None else f"{n}{r.doc_id}") for r in got for n in names)
+
+
 def test_pairs_that_signatures_let_meet_are_all_confirmed(spark):
     texts = []
     for i in range(40):  # pairs at similarity 2/3
