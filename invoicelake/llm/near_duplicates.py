@@ -300,27 +300,35 @@ def _still_apart(placed: DataFrame, links: _Links) -> DataFrame:
     of n shingles has at least t n in common with a larger set of similarity t, and 2t / (1 + t) n with one that
     is not smaller; so the smaller set's first n - 2t / (1 + t) n + 1 shingles and the larger one's first
     n - t n + 1 have one in common. Pages that share a template but not enough of it have only
-    shingles of their own there, and meet nobody.
+    shingles of their own there, and meet nobody. Sizes and parity bits are compared where two meet.
     """
     percent = links.percent
     undecided = stored(
         _open(placed.select("key", "node", "root"), "key").select("node", "root").distinct())
-    sized = undecided.join(links.nodes.select("node", "n"), "node")
-    rare_first = Window.partitionBy("node").orderBy("nodes", "shingle")
-    ranked = links.postings(undecided.select("node")).withColumn(
-        "rank", F.row_number().over(rare_first)).filter("nodes > 1").join(sized, "node")
+    here = Window.partitionBy("node")
+    common = links.postings(undecided.select("node")).filter("nodes > 1").select(
+        "node", "shingle", F.count("*").over(here).alias("common"),
+        F.row_number().over(here.orderBy("nodes", "shingle")).alias("place"))
+    # Shingles that a node has for itself come before all others, and bound what it can have in common.
+    ranked = common.join(undecided, "node").join(links.nodes.select("node", "n", "parity"), "node").filter(
+        100 * F.col("common") >= percent * F.col("n")
+    ).withColumn("rank", F.col("n") - F.col("common") + F.col("place"))
     # Of a set, how many first shingles are looked up by larger ones, and how many it looks up.
     held = F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1
     asked = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
     prefixes = stored(_open(ranked.filter(F.col("rank") <= asked).select(
-        "shingle", "node", "root", "n", (F.col("rank") <= held).alias("held")), "shingle"))
+        "shingle", "node", "root", "n", "common", "parity", (F.col("rank") <= held).alias("held")
+    ), "shingle"))
     side = lambda s: prefixes.select(
-        "shingle", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "n", "held")))
+        "shingle", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "n", "common", "parity", "held")))
     a, b = side("a").filter("held_a").alias("a"), side("b").alias("b")
+    most = F.least("common_a", "common_b")
     meet = (
         (F.col("a.shingle") == F.col("b.shingle")) & (F.col("root_a") != F.col("root_b"))
         & ((F.col("n_a") < F.col("n_b")) | (F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b")))
         & (100 * F.col("n_a") >= percent * F.col("n_b"))
+        & (100 * most >= percent * (F.col("n_a") + F.col("n_b") - most))
+        & may_be_linked(percent, *map(F.col, ("n_a", "n_b", "parity_a", "parity_b")))
     )
     return a.join(b, meet).select(
         F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
