@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
-from invoicelake.functions.sums import exact_sum
+from invoicelake.functions.sums import exact_sum, merged_sum, partial_sum, sum_of
 
 ISSUER = ("emit_documento", "emit_nome")
 PRODUCT = ("codigo_produto", "descricao_produto")
@@ -56,3 +58,42 @@ def top_products_by_value(items: DataFrame) -> DataFrame:
 
 def top_products_by_quantity(items: DataFrame) -> DataFrame:
     return top_products(per_product(items), "quantidade_total")
+
+
+@dataclass(frozen=True)
+class Totals:
+    """A gold aggregation whose state can be kept and merged: keys, row count, and exact sums."""
+
+    keys: tuple[str, ...]
+    sums: tuple[tuple[str, str, int], ...]  # (result, summed column, decimal places)
+    count: str | None = None
+
+    def partial(self, rows: DataFrame) -> DataFrame:
+        """The state of some silver rows: keys, count and a struct for each sum."""
+        counts = [F.count("*").alias(self.count)] if self.count else []
+        return rows.groupBy(*self.keys).agg(
+            *counts, *(partial_sum(column, places).alias(name) for name, column, places in self.sums))
+
+    def merged(self, states: DataFrame) -> DataFrame:
+        """One state for each key from the states of several sets of rows."""
+        counts = [F.sum(self.count).alias(self.count)] if self.count else []
+        return states.groupBy(*self.keys).agg(
+            *counts, *(merged_sum(name).alias(name) for name, _, _ in self.sums))
+
+    def finished(self, state: DataFrame) -> DataFrame:
+        """The gold rows that the merged state stands for."""
+        counts = [self.count] if self.count else []
+        return state.select(
+            *self.keys, *counts, *(sum_of(name, places).alias(name) for name, _, places in self.sums))
+
+
+ISSUER_TOTALS = Totals(ISSUER, (
+    ("valor_total_notas", "valor_nota", 2),
+    ("valor_total_produtos", "valor_produtos", 2),
+    ("valor_total_tributos", "valor_total_tributos", 2),
+), "qtd_notas")
+STATE_TOTALS = Totals(("dest_uf",), (("valor_total_notas", "valor_nota", 2),), "qtd_notas")
+PRODUCT_TOTALS = Totals(PRODUCT, (
+    ("valor_total", "valor_produto", 2),
+    ("quantidade_total", "quantidade_comercial", 4),
+))

@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 from conftest import invoice
 from invoicelake import contract
 from invoicelake.__main__ import arguments, main
+from invoicelake.functions.sums import exact_sum
+from invoicelake.operators.gold import Totals
 from invoicelake.plans import jobs, tables
 from invoicelake.plans.tables import list_tables, overwrite_table, row_counts, staged
+from invoicelake.plans.totals import updated_totals
 from invoicelake.sources.messages import PUBLISH_OFFSETS, KafkaTopic, MessageLog
 from invoicelake.sources.xml_files import limit_files, packed_small_files, xml_files
 from invoicelake.streaming.bronze import update_layers
@@ -297,6 +300,60 @@ def test_stream_takes_over_each_message_once(spark, xml_dir, log, db, tmp_path):
     spark.sql(f"DROP DATABASE {db}_batch CASCADE")
 
 
+GOLD = (contract.GOLD_EMITENTE, contract.GOLD_UF_DESTINO, contract.GOLD_TOP_VALOR, contract.GOLD_TOP_QUANTIDADE)
+
+
+def test_stream_totals_equal_a_full_rebuild(spark, tmp_path, log, db):
+    checkpoint = str(tmp_path / "checkpoint")
+    for batch in range(3):
+        folder = tmp_path / f"in{batch}"
+        for i in range(6):
+            emit = f"<emit><CNPJ>{i % 2}</CNPJ><xNome>e</xNome></emit>" if i else ""
+            value = ["0.10", "0.20", "1e-5", "90071992547409.93", "", "-7"][(i + batch) % 6]
+            line = LINE.replace("<cProd>P", f"<cProd>P{i % 4}").replace("1.10", value)
+            write(folder / f"{i}.xml", invoice(
+                key=f"<chNFe>{batch}{i}</chNFe>", emit=emit, det=line * i, total=TOTAL.replace("2.20", value or "0")))
+        jobs.publish(spark, str(folder), log, db=db)
+        rows = update_layers(spark, log, db, checkpoint)
+        assert rows == {
+            name: n for name, n in jobs.build_layers(spark, log, f"{db}_full").items() if name != contract.BRONZE}
+        for table in GOLD:
+            whole, kept = spark.table(f"{db}_full.{table}"), spark.table(f"{db}.{table}")
+            assert kept.schema == whole.schema
+            assert sorted(map(str, kept.collect())) == sorted(map(str, whole.collect()))
+    # Nothing new: no version is written. Of the versions, two stay.
+    versions = sorted(os.listdir(f"{checkpoint}/totals/header"))
+    assert versions == ["0000000001", "0000000002"]
+    update_layers(spark, log, db, checkpoint)
+    assert sorted(os.listdir(f"{checkpoint}/totals/header")) == versions
+    spark.sql(f"DROP DATABASE {db}_full CASCADE")
+
+
+def test_totals_go_on_after_a_cut_and_start_anew_after_a_rebuild(spark, tmp_path, db):
+    tables.create_database(spark, db)
+    name, folder = f"{db}.rows", str(tmp_path / "totals")
+    wanted = Totals(("k",), (("total", "v", 2),), "n")
+
+    def totals():
+        return sorted(map(tuple, updated_totals(spark, name, (wanted,), folder)[0].collect()))
+
+    def expected():
+        return sorted(map(tuple, spark.table(name).groupBy("k").agg(
+            F.count("*").alias("n"), exact_sum("v").alias("total")).collect()))
+
+    rows = spark.sql("SELECT id % 3 AS k, id / 100D AS v FROM range(100)")
+    rows.limit(0).write.saveAsTable(name)
+    assert totals() == []
+    rows.write.insertInto(name)
+    write(tmp_path / "totals" / "0000000001" / "0" / "junk", "cut short")
+    assert totals() == expected()
+    rows.selectExpr("k", "if(k = 1, double('NaN'), v)").write.insertInto(name)
+    assert repr(totals()) == repr(expected())
+    spark.sql(f"TRUNCATE TABLE {name}")
+    rows.where("k < 2").write.insertInto(name)
+    assert totals() == expected()
+
+
 def test_command_line(spark, xml_dir, tmp_path, db, capsys):
     common = ["--topic", "t", "--log-path", str(tmp_path / "cli"), "--db", db]
     assert main(["run", "--xml-dir", xml_dir, *common]) == 0
