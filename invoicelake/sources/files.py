@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from py4j.java_gateway import JavaObject
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -29,6 +31,28 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern of the file system meets; none if there is no such path."""
+    fs, at = _located(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(at) or ()]
+
+
+def escaped(path: str) -> str:
+    """A pattern that only this path meets."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def below(spark: SparkSession, path: str, ending: str) -> list[str]:
+    """Paths of the files of a name in a folder, at any depth; of a file, itself."""
+    fs, at = _located(spark, path)
+    found, held = fs.listFiles(at, True), []
+    while found.hasNext():
+        file = found.next().getPath()
+        if file.getName().endswith(ending):
+            held.append(file.toString())
+    return held
+
+
 def is_local(spark: SparkSession, path: str) -> bool:
     """Whether the path is on the machine's own file system."""
     return _located(spark, path)[0].getUri().getScheme() == "file"

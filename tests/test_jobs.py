@@ -15,11 +15,12 @@ from invoicelake import contract
 from invoicelake.__main__ import arguments, main
 from invoicelake.functions.sums import exact_sum
 from invoicelake.operators.gold import Totals
+from invoicelake.operators.xml_parse import parse_invoices
 from invoicelake.plans import jobs, tables
 from invoicelake.plans.tables import list_tables, overwrite_table, row_counts, staged
 from invoicelake.plans.totals import updated_totals
 from invoicelake.sources.messages import PUBLISH_OFFSETS, KafkaTopic, MessageLog
-from invoicelake.sources.xml_files import limit_files, packed_small_files, xml_files
+from invoicelake.sources.xml_files import limit_files, packed_small_files, underscored_files, xml_files
 from invoicelake.streaming.bronze import update_layers
 
 _names = itertools.count()
@@ -90,22 +91,51 @@ def test_limited_read_opens_only_the_wanted_files(spark, xml_dir):
     assert scan.metrics().apply("numFiles").value() == 2
 
 
+def test_names_with_underscores_are_read(spark, xml_dir, tmp_path, log, db):
+    for name in ("_a b.xml", "sub dir/_%41.xml", "_d/_e/x.xml", "_d/.h/x.xml", ".h/_x.xml", "_d/y=1.xml", "_k=1/z.xml",
+                 "_n.txt"):
+        write(tmp_path / "xml" / name, invoice(key=f"<chNFe>{name}</chNFe>"))
+    write(tmp_path / "xml" / "_broken.xml", "<a>")
+    found = xml_files(spark, xml_dir)
+    every = sorted(["a.xml", "broken.xml", "sub dir/x 1.xml", "sub dir/deeper/n[1].xml", "_a b.xml", "sub dir/_%41.xml",
+                    "_d/_e/x.xml", "_d/y=1.xml", "_k=1/z.xml", "_broken.xml"])
+    assert [r.path for r in found.select("path").orderBy("path").collect()] == [f"file:{xml_dir}/{n}" for n in every]
+    read = {r.path: bytes(r.content) for r in found.collect()}
+    assert all(read[f"file:{xml_dir}/{n}"] == (tmp_path / "xml" / n).read_bytes() for n in every)
+    for limit in (1, 3, 5, 7, 10, 99):
+        assert sorted(r.path for r in xml_files(spark, xml_dir, limit).select("path").collect()) == [
+            f"file:{xml_dir}/{n}" for n in every[:limit]]
+    summary = jobs.publish(spark, xml_dir, log, db=db)
+    assert (summary.published, summary.failed) == (8, 2)
+    # One underscored file alone, in a folder with a pattern's characters in its name.
+    write(tmp_path / "o[1]{a}" / "_only.xml", invoice())
+    assert names(xml_files(spark, str(tmp_path / "o\\[1\\]\\{a\\}"))) == ["_only.xml"]
+
+
+def test_files_that_workers_cannot_open_are_unreadable(spark):
+    (row,) = underscored_files(spark, ["nowhere://x/_a.xml"]).collect()
+    assert row.path == "nowhere://x/_a.xml" and row.content is None
+    (row,) = parse_invoices(underscored_files(spark, ["file:/none/_a.xml"])).collect()
+    assert row.error == "invalid_encoding" and row.document is None
+
+
 def test_small_files_share_tasks(spark, tmp_path):
     for i in range(200):
         write(tmp_path / f"{i:03}.xml", invoice())
     key = "spark.sql.files.openCostInBytes"
-    before = spark.conf.get(key)
+    default = spark.conf.get(key)
     apart = xml_files(spark, str(tmp_path)).rdd.getNumPartitions()
     with packed_small_files(spark):
         packed = xml_files(spark, str(tmp_path)).rdd.getNumPartitions()
     assert packed <= spark.sparkContext.defaultParallelism + 1 < apart
-    assert spark.conf.get(key) == before
+    assert spark.conf.get(key) == default
     try:
-        spark.conf.set(key, "1m")
-        with packed_small_files(spark):
-            assert spark.conf.get(key) == "1m"
+        for own in ("1m", "4194304"):  # the default, if the user says so, is the user's setting, too
+            spark.conf.set(key, own)
+            with packed_small_files(spark):
+                assert spark.conf.get(key) == own
     finally:
-        spark.conf.set(key, before)
+        spark.conf.unset(key)
 
 
 def test_negative_limit(spark, xml_dir):
