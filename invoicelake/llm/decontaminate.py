@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from invoicelake.llm.shared import ALNUM_WORD, lower_ascii, named_apart, stored
+from invoicelake.llm.shared import ALNUM_WORD, lower_ascii, named_apart, numbered, restored, stored
 from invoicelake.operators.barrier import evaluate_once
 
 
@@ -42,10 +42,9 @@ def _with_words(docs: DataFrame, key: str) -> DataFrame:
 
 
 def phrases(items: DataFrame, rule: PhraseRule, item_key: str = "item_id") -> DataFrame:
-    """(_phrase, _items): each different phrase with the items it comes from."""
+    """(_phrase, _items): each different phrase with the ids of the items it comes from."""
     cut = evaluate_once(
-        items.filter(F.col(item_key).isNotNull()),
-        _item=F.col(item_key).cast("string"),
+        items, _item=F.col(item_key).cast("string"),
         _words=F.transform(phrase_words(F.col("text")), lower_ascii),
     )
     n = F.size("_words")
@@ -134,7 +133,8 @@ def decontaminate(
 
     A word is hit if it lies in an occurrence of a phrase; `items` are the ids, as sorted strings,
     of the items with a phrase in the document. Texts without words, null ones included, have no
-    hits; items without words have no phrase; items without an id are not searched. Repeated rows
+    hits; items without words have no phrase. Items without an id are searched as all others, so their
+    words are hit; having no id, they are in neither `items` nor `n_items`. Repeated rows
     get equal answers. An empty table gives an empty table, an empty benchmark no hits. Other
     columns pass through; names of added columns are refused.
     """
@@ -143,19 +143,20 @@ def decontaminate(
     added = {"n_words", "n_hit", "n_items", "items", "contaminated"}
     if added & set(docs.columns):
         raise ValueError(f"the table already has one of the columns {sorted(added)}")
-    docs_in = docs.withColumn("_doc", _document(key))
+    slim, names = numbered(docs, "text")
+    docs_in = slim.withColumn("_doc", _document(names[key]))
     candidates = find_phrases(docs, items, rule, 0, key, item_key).groupBy("_doc").agg(
         F.collect_set(F.struct("_start", "_phrase", "_items")).alias("_found")
     )
     joined = evaluate_once(
-        docs_in.join(candidates, "_doc", "left"), *docs.columns, "_found",
+        docs_in.join(candidates, "_doc", "left"), *names.values(), "_found",
         _words=phrase_words(F.col("text")),
     )
     # The text decides: terms between the intersected ones are compared here.
     sure = F.sort_array(F.filter("_found", lambda c: F.transform(F.slice(
         "_words", c["_start"] + 1, F.size(c["_phrase"])), lower_ascii) == c["_phrase"]))
     checked = evaluate_once(
-        joined, *docs.columns, n_words=F.size("_words").cast("long"),
+        joined, *names.values(), n_words=F.size("_words").cast("long"),
         _sure=F.when(F.col("_found").isNotNull(), sure),
     )
     covered = F.aggregate(
@@ -170,11 +171,11 @@ def decontaminate(
     items_hit = F.array_sort(F.array_distinct(F.flatten("_sure._items")))
     none = F.array().cast("array<string>")
     with_items = checked.select(
-        *docs.columns, "n_words",
+        *names.values(), "n_words",
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(items_hit, none).alias("items"),
     )
     return with_items.select(
-        *docs.columns, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        *restored(names), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         "items", (F.col("n_hit") > 0).alias("contaminated"),
     )

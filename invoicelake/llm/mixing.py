@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from invoicelake.llm.shared import BLANKS, named_apart, words
+from invoicelake.llm.shared import BLANKS, named_apart, numbered, restored, words
 
 CELL_DIGITS = 3  # hex digits of the key that cut the random order of each source into cells
 
@@ -79,9 +79,11 @@ def mix(
     added = {"size", "source_size", "target", "copies", "part", "taken"}
     if added & set(docs.columns):
         raise ValueError(f"the table already has one of the columns {sorted(added)}")
-    keyed = docs.select(
+    slim, names = numbered(docs, "text", "source")
+    id_ = names[key]
+    keyed = slim.select(
         "*", F.size(words(F.col("text"))).cast("long").alias("size"),
-        F.md5(F.concat_ws("/", F.lit(seed), F.col(key), F.col("text"))).alias("_key"),
+        F.md5(F.concat_ws("/", F.lit(seed), F.col(id_), F.col("text"))).alias("_key"),
         _name("source").alias("_name"),
     ).withColumn("_cell", F.substring("_key", 1, CELL_DIGITS))
     # Prefix sums in three steps: cells of the order, rows of a cell, and their sum. The cells of
@@ -96,7 +98,7 @@ def mix(
         targets(of_source, rule).withColumn("_name", _name("source")).drop("source"), "_name"
     )
     in_cell = Window.partitionBy("_name", "_cell").orderBy(
-        "_key", F.col(key).asc_nulls_last(), "size"
+        "_key", F.col(id_).asc_nulls_last(), "size"
     )
     placed = keyed.withColumn("_upto", F.sum("size").over(
         in_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -111,7 +113,7 @@ def mix(
         placed.withColumn("_epochs", epochs.cast("long"))
         .withColumn("_part", part.cast("long"))
         .select(
-            *docs.columns, "size", "source_size", "target",
+            *restored(names), "size", "source_size", "target",
             F.when(F.col("size") > 0, F.col("_epochs") + whole.cast("long"))
             .otherwise(F.lit(0).cast("long")).alias("copies"),
             F.when(whole, F.lit(0).cast("long")).otherwise(F.col("_part")).alias("part"),
@@ -140,7 +142,9 @@ def mixed_documents(
     With `whole` that last one is not cut but taken whole, so a source exceeds its target by less
     than one document. Documents without words are not part of a mix; the columns are those of `docs`.
     """
-    mixed = mix(docs, rule, seed, key)
+    named_apart(docs, key, "text", "source")
+    slim, names = numbered(docs, "text", "source")
+    mixed = mix(slim, rule, seed, names[key])
     if whole:
         mixed = mixed.withColumn("copies", F.col("copies") + (F.col("part") > 0).cast("long")).withColumn(
             "part", F.lit(0).cast("long"))
@@ -148,4 +152,4 @@ def mixed_documents(
     cut = F.when(
         F.col("part") > 0, F.array(first_words(F.col("text"), F.col("part").cast("int")))
     ).otherwise(F.array().cast("array<string>"))
-    return mixed.withColumn("text", F.explode(F.concat(texts, cut))).select(*docs.columns)
+    return mixed.withColumn("text", F.explode(F.concat(texts, cut))).select(*restored(names))

@@ -112,7 +112,7 @@ _LOWERED = (
 HITS = rf"""
 doc_words AS (SELECT row_number() OVER () AS rid, *, {_LOWERED} AS ws FROM docs),
 item_words AS (
-    SELECT item_id::VARCHAR AS item, {_LOWERED} AS ws FROM benchmark WHERE item_id IS NOT NULL
+    SELECT item_id::VARCHAR AS item, {_LOWERED} AS ws FROM benchmark
 ),
 phrases AS (
     SELECT item, array_to_string(ws[i:i + 9], ' ') AS phrase, len(ws[i:i + 9]) AS n
@@ -135,7 +135,7 @@ hit AS (
 ),
 items_hit AS (
     SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-    FROM (SELECT DISTINCT rid, item FROM found) GROUP BY rid
+    FROM (SELECT DISTINCT rid, item FROM found WHERE item IS NOT NULL) GROUP BY rid
 )
 """
 

@@ -17,7 +17,7 @@ from hashlib import blake2b
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from invoicelake.llm.shared import named_apart, stored
+from invoicelake.llm.shared import named_apart, numbered, restored, stored
 
 POINTS = 1 << 20
 VIRTUAL_NODES = 64
@@ -73,7 +73,8 @@ def shard_rows(
 
     `key` names the columns that place a row on the ring; rows of one point are ranked by all key
     columns, so equal rows are interchangeable and reruns agree. Null keys are a key like any other.
-    An empty table gives an empty table. Columns of `df` named `shard` or `slot` are refused.
+    An empty table gives an empty table. Columns of `df` named `shard` or `slot` are refused; all others pass
+    through, whatever they are called.
     Repeated rows all belong to one point: they are ranked together, so `key` should tell rows apart.
     """
     named_apart(df, *key)
@@ -81,8 +82,9 @@ def shard_rows(
         raise ValueError("the table already has a column shard or slot")
     spark = df.sparkSession
     # (point, rank in the point): one shuffle of the rows, which ring points spread evenly.
-    at_point = Window.partitionBy("_point").orderBy(*[F.col(c).asc_nulls_last() for c in key])
-    ranked = df.withColumn("_point", ring_point(*[F.col(c) for c in key]))
+    rows, names = numbered(df)
+    at_point = Window.partitionBy("_point").orderBy(*[F.col(names[c]).asc_nulls_last() for c in key])
+    ranked = rows.withColumn("_point", ring_point(*[F.col(names[c]) for c in key]))
     counts = stored(ranked.groupBy("_point").agg(F.count("*").alias("_rows")))
 
     nodes = ring(shards, virtual_nodes)
@@ -113,7 +115,7 @@ def shard_rows(
         ranked.join(placed, "_point")
         .withColumn("_piece", piece)
         .select(
-            *df.columns,
+            *restored(names),
             F.col("_piece.shard").alias("shard"),
             (F.col("_piece.slot") + rank - F.col("_piece.first")).alias("slot"),
         )

@@ -67,6 +67,19 @@ def utf8_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
+def numbered(df: DataFrame, *kept: str) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with its columns called c0, c1, ... save for `kept`, and the new name of each.
+
+    So no column of the user's can be taken for one that an operator makes. `restored` undoes it.
+    """
+    names = {c: c if c in kept else f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def restored(names: dict[str, str]) -> list[Column]:
+    return [F.col(new).alias(own) for own, new in names.items()]
+
+
 def named_apart(df: DataFrame, *wanted: str) -> None:
     """Refuses a table that lacks a column that an operator reads."""
     missing = [c for c in wanted if c not in df.columns]

@@ -351,8 +351,8 @@ def test_decontamination(spark, docs, nothing):
     items = spark.createDataFrame([(1, " ".join(item)), (2, "tiny"), (3, ""), (4, None), (None, "x")],
                                   "item_id bigint, text string")
     got = sorted((r.doc_id, r.n_words, r.n_hit, r.items) for r in decontaminate(table, items).collect())
-    assert got == [(1, 51, 11, ["1"]), (2, 40, 0, []), (3, 0, 0, []), (4, 9, 0, []), (5, 3, 1, ["2"]),
-                   (5, 3, 1, ["2"]), (6, 14, 14, ["1"])]
+    assert got == [(1, 51, 11, ["1"]), (2, 40, 0, []), (3, 0, 0, []), (4, 9, 0, []), (5, 3, 2, ["2"]),
+                   (5, 3, 2, ["2"]), (6, 14, 14, ["1"])]
     assert decontaminate(nothing, items).count() == 0
     assert decontaminate(docs, items.limit(0)).filter("contaminated").count() == 0
     # One word more in the middle: no phrase any more, but near one.
@@ -360,6 +360,30 @@ def test_decontamination(spark, docs, nothing):
     assert find_phrases(far, items.filter("item_id = 1"), slop=2).count() > 0
 
 
+def test_columns_pass_through_whatever_they_are_called(spark, docs):
+    """Extra columns called as the operators' own ones keep their values and change no result."""
+    items = spark.createDataFrame([("a", "one"), (None, "ab ab ab")], "item_id string, text string")
+    rule = LineRule(min_documents=2, share=0)
+    cases = {  # operator: the names it makes inside
+        lambda d: sharding.shard_rows(d, ["doc_id", "text"], 3):
+            "_point _rank _rows _node _order _before _pieces _piece first rows shift",
+        mix: "_key _name _cell _cell_size _cell_start _upto _epochs _part cap weight capped free_words free_weight",
+        lambda d: mixed_documents(d, whole=True): "_key _name _cell _epochs _part _upto",
+        lambda d: quality_rules(d, rule):
+            "_doc _host _line _n _raw _words _lines _windows _sorted _all _rows _removed _documents _with_line",
+        lambda d: without_frequent_lines(d, rule): "_doc _gone _host _line _words _removed",
+        lambda d: decontaminate(d, items): "_doc _words _found _sure _start _phrase _items _term _terms _at _count",
+    }
+    for operator, own in cases.items():
+        own = [*own.split(), "c0", "c1", "c2", "a.b"]
+        plain = operator(docs)
+        extra = operator(docs.select("*", *(F.concat_ws("/", F.lit(c), "doc_id").alias(c) for c in own)))
+        assert extra.columns[: len(docs.columns) + len(own)] == [*docs.columns, *own]
+        rows = extra.collect()
+        assert all(r[c] == (c if r.doc_id is None else f"{c}/{r.doc_id}") for r in rows for c in own)
+        assert sorted(map(str, extra.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
 def test_url_filter(spark):
     captures = spark.createDataFrame([
         (1, "https://a.bad.example/x", "2024-03-01"), (2, "http://u@BAD.example:80", "2024-01-01"),
