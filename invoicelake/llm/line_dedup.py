@@ -5,12 +5,14 @@ the other, near its own place. Every line is indexed by its segments under its l
 index of every length from its own down to t less with the substrings that may match there, at places
 that leave enough errors for the rest. Lines that meet are verified by a bit-parallel automaton on
 the band of 2 t + 1 diagonals. Distances are in characters (code points), and lines of every length
-take part: a line of t characters or less has empty segments, which match everywhere.
+take part. Segments of short lines would be a character or two, which too many lines have: two lines of
+SHORT characters or less meet if some characters, up to t of each, can be left out so that the same remains.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,10 @@ from invoicelake.llm.graph import components
 from invoicelake.llm.shared import BLANKS, named_apart, stored
 
 ERRORS = 2
+SHORT = 8  # characters of the lines that meet by what is left of them after deletions
+CUT = 512  # characters from which it pays to take off common ends
+LONG = 4096  # characters in which a pair must differ to be followed along its diagonals
+PADDED = 1 << 20  # characters of the pairs that go through the automaton at a time
 
 
 def segment(length: np.ndarray, i: int, errors: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,7 +53,9 @@ def _keys(errors: int, probe: bool):
                 chars, starts = character_starts(data, starts)
                 begin, length = starts[:-1], np.diff(starts)
                 line = lines[row : row + len(length)]
-                out = []
+                out = [_remains(data, chars, begin, length, line, errors)]
+                part = length > (SHORT if probe else SHORT - errors)  # a longer line asks for shorter ones
+                begin, length, line = begin[part], length[part], line[part]
                 for i in range(errors + 1):
                     if not probe:
                         at, size = segment(length, i, errors)
@@ -69,10 +77,33 @@ def _keys(errors: int, probe: bool):
     return run
 
 
+def _remains(data, chars, begin, length, line, errors):
+    """Keys of the short lines: what remains of each after up to `errors` deletions. They are odd."""
+    keys, rows = [np.zeros(0, np.uint64)], [line[:0]]
+    for size in range(1, SHORT + 1):
+        some = np.flatnonzero(length == size)
+        if not len(some):
+            continue
+        each = [span_hashes(data, chars[begin[some] + p], chars[begin[some] + p + 1]) for p in range(size)]
+        remains = []
+        for left in range(max(0, size - errors), size + 1):
+            for places in combinations(range(size), left):
+                key = np.full(len(some), left + 1, np.uint64)
+                for p in places:
+                    key = mixed(key * np.uint64(3) ^ each[p])
+                remains.append(key | np.uint64(1))
+        remains = np.sort(np.stack(remains), axis=0)
+        new = np.ones(remains.shape, bool)
+        new[1:] = remains[1:] != remains[:-1]
+        keys.append(remains[new])
+        rows.append(np.broadcast_to(line[some], remains.shape)[new])
+    return np.concatenate(keys).view(np.int64), np.concatenate(rows)
+
+
 def _rows(data, chars, begin, size, length, i, line):
     salt = mixed(length.astype(np.uint64) * np.uint64(64) + np.uint64(i))
     key = mixed(span_hashes(data, chars[begin], chars[begin + size]) ^ salt)
-    return key.view(np.int64), line
+    return (key & ~np.uint64(1)).view(np.int64), line
 
 
 def _characters(text: bytes) -> np.ndarray:
@@ -82,46 +113,107 @@ def _characters(text: bytes) -> np.ndarray:
     return np.frombuffer(points, np.int32)
 
 
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """How many characters two texts have in common at their beginning."""
+    n, at, step = min(len(x), len(y)), 0, 64
+    while at < n:
+        upto = min(at + step, n)
+        differ = x[at:upto] != y[at:upto]
+        if differ.any():
+            return at + int(differ.argmax())
+        at, step = upto, min(4 * step, PADDED)
+    return n
+
+
 def within(pairs: list[tuple[bytes, bytes]], errors: int) -> np.ndarray:
     """Whether each pair of UTF-8 texts is within `errors` edits of characters.
 
-    Bit d of a state says that the text read so far matches the other one up to d - errors more
-    characters; there is a state for each number of errors, and all pairs take a step together.
+    What a pair of over CUT characters has in common at both ends is taken off, which does not change
+    its distance. What is left goes through the automaton, many pairs at a time, up to PADDED characters with the padding;
+    pairs of which more than LONG characters are left are followed along their diagonals, alone.
     """
     out = np.zeros(len(pairs), dtype=bool)
     order = sorted(range(len(pairs)), key=lambda k: len(pairs[k][1]))
     for at in range(0, len(order), 512):
-        some = order[at : at + 512]
-        read = [(_characters(pairs[k][0]), _characters(pairs[k][1])) for k in some]
-        steps = max(len(y) for _, y in read)
-        a = np.zeros((len(some), steps + 3 * errors + 1), dtype=np.int32) - 1
-        b = np.zeros((len(some), steps), dtype=np.int32) - 2
-        for r, (x, y) in enumerate(read):
-            x = x[: steps + 2 * errors]
-            a[r, errors : errors + len(x)] = x
-            b[r, : len(y)] = y
-        gap = np.array([len(x) - len(y) for x, y in read])
-        ends = np.array([len(y) for _, y in read])
-        mask = (1 << (2 * errors + 1)) - 1
-        states = [np.full(len(some), ((1 << (e + 1)) - 1) << errors, np.int64) for e in range(errors + 1)]
-        good = (ends == 0) & (np.abs(gap) <= errors)
-        for j in range(steps):
-            match = np.zeros(len(some), dtype=np.int64)
-            for d in range(2 * errors + 1):
-                match |= (a[:, j + d] == b[:, j]).astype(np.int64) << d
-            new = [states[0] & match]
-            for e in range(1, errors + 1):
-                less = states[e - 1]
-                new.append(((states[e] & match) | less | (less >> 1) | (new[-1] << 1)) & mask)
-            states = new
-            done = ends == j + 1
-            if done.any():
-                hit = (states[errors] >> np.clip(gap + errors, 0, 2 * errors)) & 1
-                good |= done & (np.abs(gap) <= errors) & (hit == 1)
-        out[some] = good
+        cores = []
+        for k in order[at : at + 512]:
+            x, y = _characters(pairs[k][0]), _characters(pairs[k][1])
+            if abs(len(x) - len(y)) > errors:
+                continue
+            if len(y) > CUT:
+                same = _common(x, y)
+                x, y = x[same:], y[same:]
+                same = _common(x[::-1], y[::-1])
+                x, y = x[: len(x) - same], y[: len(y) - same]
+            if len(x) == 0 or len(y) == 0:
+                out[k] = max(len(x), len(y)) <= errors
+            elif len(y) > LONG:
+                out[k] = _along_diagonals(x, y, errors)
+            else:
+                cores.append((k, x, y))
+        cores.sort(key=lambda core: len(core[2]))
+        begin = 0
+        for end in range(1, len(cores) + 1):
+            if end == len(cores) or (end + 1 - begin) * len(cores[end][2]) > PADDED:
+                out[[k for k, _, _ in cores[begin:end]]] = _automaton([c[1:] for c in cores[begin:end]], errors)
+                begin = end
     return out
 
 
+def _along_diagonals(x: np.ndarray, y: np.ndarray, errors: int) -> bool:
+    """Whether two long texts are within `errors` edits: on each diagonal of the band, how far one can
+    get with so many edits, equal stretches being compared as a whole."""
+    goal = len(y) - len(x)
+    reach = {0: _common(x, y)}
+    for e in range(errors + 1):
+        if reach.get(goal) == len(x):
+            return True
+        further = {}
+        for d in range(-e - 1, e + 2):  # y is d characters ahead
+            tries = [reach[d] + 1] if d in reach else []
+            tries += [reach[d - 1]] if d - 1 in reach else []
+            tries += [reach[d + 1] + 1] if d + 1 in reach else []
+            i = min(max(tries, default=-1), len(x), len(y) - d)
+            if i >= 0 and i + d >= 0:
+                further[d] = i + _common(x[i:], y[i + d :])
+        reach = further
+    return False
+
+
+def _automaton(read: list[tuple[np.ndarray, np.ndarray]], errors: int) -> np.ndarray:
+    """The same for texts as characters, padded to the longest.
+
+    Bit d of a state says that the text read so far matches the other one up to d - errors more
+    characters; there is a state for each number of errors, and all pairs take a step together.
+    """
+    steps = max(len(y) for _, y in read)
+    a = np.zeros((len(read), steps + 3 * errors + 1), dtype=np.int32) - 1
+    b = np.zeros((len(read), steps), dtype=np.int32) - 2
+    for r, (x, y) in enumerate(read):
+        x = x[: steps + 2 * errors]
+        a[r, errors : errors + len(x)] = x
+        b[r, : len(y)] = y
+    gap = np.array([len(x) - len(y) for x, y in read])
+    ends = np.array([len(y) for _, y in read])
+    mask = (1 << (2 * errors + 1)) - 1
+    states = [np.full(len(read), ((1 << (e + 1)) - 1) << errors, np.int64) for e in range(errors + 1)]
+    good = (ends == 0) & (np.abs(gap) <= errors)
+    for j in range(steps):
+        match = np.zeros(len(read), dtype=np.int64)
+        for d in range(2 * errors + 1):
+            match |= (a[:, j + d] == b[:, j]).astype(np.int64) << d
+        new = [states[0] & match]
+        for e in range(1, errors + 1):
+            less = states[e - 1]
+            new.append(((states[e] & match) | less | (less >> 1) | (new[-1] << 1)) & mask)
+        states = new
+        done = ends == j + 1
+        if done.any():
+            hit = (states[errors] >> np.clip(gap + errors, 0, 2 * errors)) & 1
+            good |= done & (np.abs(gap) <= errors) & (hit == 1)
+    return good
+
+
 def _verified(errors: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,7 +233,8 @@ def line_links(docs: DataFrame, errors: int = ERRORS) -> DataFrame:
         .withColumn("node", F.monotonically_increasing_id()))
     keys = lambda probe, name: lines.select("node", "text").mapInArrow(
         _keys(errors, probe), "key bigint, node bigint").withColumnRenamed("node", name)
-    met = keys(False, "x").join(keys(True, "y"), "key").filter("x <> y")
+    # Short lines have the same keys on both sides, so each pair of them is taken one way round.
+    met = keys(False, "x").join(keys(True, "y"), "key").filter("x < y OR x > y AND key % 2 = 0")
     pairs = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     side = lambda node, name: lines.select(
         F.col("node").alias(node), F.col("line").alias(name), F.col("text").alias(f"t{name}"))

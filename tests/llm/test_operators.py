@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from hashlib import sha256
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("invoicelake.llm")
 
-from invoicelake.llm import quality, sharding, toxicity  # noqa: E402
+from invoicelake.llm import line_dedup as line_dedup_module, quality, sharding, toxicity  # noqa: E402
 from invoicelake.llm.byte_words import shingle_sets  # noqa: E402
 from invoicelake.llm.decontaminate import decontaminate, find_phrases  # noqa: E402
 from invoicelake.llm.graph import components  # noqa: E402
@@ -236,6 +237,55 @@ def edits(a, b):
     return row[-1]
 
 
+def test_edit_distance_of_long_pairs(monkeypatch):
+    rng = random.Random(3)
+    pairs = []
+    for _ in range(1500):
+        a = rng.choices("ab’", k=rng.randint(0, 24))
+        b = list(a)
+        for _ in range(rng.randint(0, 5)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 1)] = rng.choices("ab’", k=rng.randint(0, 1))
+        pairs.append(("".join(a).encode(), "".join(b).encode()))
+    for cut, long, padded in ((0, 0, 64), (0, 5, 64), (9, 12, 30), (99, 99, 64)):
+        monkeypatch.setattr(line_dedup_module, "CUT", cut)
+        monkeypatch.setattr(line_dedup_module, "LONG", long)
+        monkeypatch.setattr(line_dedup_module, "PADDED", padded)
+        for errors in (1, 2, 3):
+            assert list(within(pairs, errors)) == [edits(a.decode(), b.decode()) <= errors for a, b in pairs]
+
+
+def test_two_huge_lines_beside_short_ones_need_little_memory():
+    rng = random.Random(9)
+    huge = rng.randbytes(3_000_000).translate(bytes(97 + i % 26 for i in range(256)))
+    near = b"x" + huge[1:1_500_000] + huge[1_500_001:]
+    short = [(b"%04d" % i, b"%04d" % (i + 1)) for i in range(1000)]
+    tracemalloc.start()
+    got = within([(huge, near), *short, (huge, near[:-9] + b"aaaaaaaaa")], 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[0] and not got[-1] and peak < 100_000_000
+    assert list(got[1:-1]) == [edits(a, b) <= 2 for a, b in short]
+
+
+def test_short_lines_against_all_pairs(spark):
+    rng = random.Random(12)
+    lines = sorted({"".join(rng.choices("01é", k=rng.randint(1, 11))) for _ in range(300)})
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string").repartition(3)
+    texts = {r.line: r.text for r in table.select("text", F.xxhash64("text").alias("line")).collect()}
+    for errors in (1, 2):
+        got = sorted(tuple(sorted((texts[r.a], texts[r.b]))) for r in line_links(table, errors).collect())
+        assert got == [(a, b) for a in lines for b in lines if a < b and edits(a, b) <= errors]
+
+
+def test_many_page_numbers_finish(spark):
+    table = spark.range(6_000).selectExpr("id AS doc_id", "CAST(10000 + 4 * id AS STRING) AS text")
+    found = line_links(table)
+    degrees = found.select(F.explode(F.array("a", "b")).alias("line")).groupBy("line").count()
+    one = degrees.where(F.col("line") == F.xxhash64(F.lit("20000"))).first()["count"]
+    assert one == sum(edits("20000", str(n)) <= 2 for n in range(10000, 34000, 4)) - 1
+
+
 def test_line_links_against_all_pairs(spark):
     rng = random.Random(6)
     lines = {"".join(rng.choices("ab’字🙂", k=rng.randint(1, 9))) for _ in range(60)}
