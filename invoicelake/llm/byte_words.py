@@ -85,7 +85,12 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    sums, down = prefix_hashes(data)
+    return spans_of(prefix_hashes(data), begin, end)
+
+
+def spans_of(prefix: tuple[np.ndarray, np.ndarray], begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """`span_hashes` of data whose `prefix_hashes` are at hand, for several spans of the same data."""
+    sums, down = prefix
     return mixed((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
 
 

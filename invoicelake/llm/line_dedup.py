@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from invoicelake.llm.byte_words import mixed, span_hashes, text_slices
+from invoicelake.llm.byte_words import mixed, prefix_hashes, spans_of, text_slices
 from invoicelake.llm.graph import components
 from invoicelake.llm.shared import BLANKS, named_apart, stored
 
@@ -51,15 +51,16 @@ def _keys(errors: int, probe: bool):
             lines = batch.column("node").to_numpy()
             for row, data, starts in text_slices(batch.column("text")):
                 chars, starts = character_starts(data, starts)
+                sums = prefix_hashes(data)
                 begin, length = starts[:-1], np.diff(starts)
                 line = lines[row : row + len(length)]
-                out = [_remains(data, chars, begin, length, line, errors)]
+                out = [_remains(sums, chars, begin, length, line, errors)]
                 part = length > (SHORT if probe else SHORT - errors)  # a longer line asks for shorter ones
                 begin, length, line = begin[part], length[part], line[part]
                 for i in range(errors + 1):
                     if not probe:
                         at, size = segment(length, i, errors)
-                        out.append(_rows(data, chars, begin + at, size, length, i, line))
+                        out.append(_rows(sums, chars, begin + at, size, length, i, line))
                         continue
                     for less in range(errors + 1):
                         # Places that leave errors enough before and behind the segment.
@@ -68,7 +69,7 @@ def _keys(errors: int, probe: bool):
                         for shift in range(low, high + 1):
                             place = aim + shift
                             fits = (place >= 0) & (place + size <= length) & (length > less)
-                            out.append(_rows(data, chars, (begin + place)[fits], size[fits],
+                            out.append(_rows(sums, chars, (begin + place)[fits], size[fits],
                                              (length - less)[fits], i, line[fits]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c)) for c in zip(*out)],
@@ -77,14 +78,14 @@ def _keys(errors: int, probe: bool):
     return run
 
 
-def _remains(data, chars, begin, length, line, errors):
+def _remains(sums, chars, begin, length, line, errors):
     """Keys of the short lines: what remains of each after up to `errors` deletions. They are odd."""
     keys, rows = [np.zeros(0, np.uint64)], [line[:0]]
     for size in range(1, SHORT + 1):
         some = np.flatnonzero(length == size)
         if not len(some):
             continue
-        each = [span_hashes(data, chars[begin[some] + p], chars[begin[some] + p + 1]) for p in range(size)]
+        each = [spans_of(sums, chars[begin[some] + p], chars[begin[some] + p + 1]) for p in range(size)]
         remains = []
         for left in range(max(0, size - errors), size + 1):
             for places in combinations(range(size), left):
@@ -100,9 +101,9 @@ def _remains(data, chars, begin, length, line, errors):
     return np.concatenate(keys).view(np.int64), np.concatenate(rows)
 
 
-def _rows(data, chars, begin, size, length, i, line):
+def _rows(sums, chars, begin, size, length, i, line):
     salt = mixed(length.astype(np.uint64) * np.uint64(64) + np.uint64(i))
-    key = mixed(span_hashes(data, chars[begin], chars[begin + size]) ^ salt)
+    key = mixed(spans_of(sums, chars[begin], chars[begin + size]) ^ salt)
     return (key & ~np.uint64(1)).view(np.int64), line
 
 
