@@ -75,16 +75,17 @@ covered AS (
     GROUP BY rid
 ),
 line_rows AS (
-    SELECT rid, doc_id, source, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n,
+    SELECT rid, doc_id, source, text, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n,
            trim(regexp_replace(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
-    FROM (SELECT rid, doc_id, source, unnest(ls) AS l FROM docs)
+    FROM (SELECT rid, doc_id, source, text, unnest(ls) AS l FROM docs)
 ),
-hosts AS (SELECT source, count(*) AS documents FROM docs GROUP BY source),
+hosts AS (SELECT source, count(DISTINCT text) AS texts FROM docs GROUP BY source),
 frequent AS (
     SELECT source, line FROM line_rows JOIN hosts USING (source)
     GROUP BY source, line
-    HAVING count(DISTINCT rid) >= 20 AND count(DISTINCT rid) > any_value(documents) * 0.05::DOUBLE
+    HAVING count(DISTINCT text) >= 20
+        OR (count(DISTINCT text) >= 5 AND count(DISTINCT text) > any_value(texts) * 0.2::DOUBLE)
 ),
 removed AS (
     SELECT rid, sum(n)::BIGINT AS n FROM line_rows JOIN frequent USING (source, line) GROUP BY rid
@@ -161,12 +162,12 @@ WITH hosted AS (
     FROM pages
 ),
 asked AS (
-    SELECT rid, i, array_to_string(parts[i:], '.') AS domain
+    SELECT rid, array_to_string(parts[i:], '.') AS domain
     FROM (SELECT rid, string_split(host, '.') AS parts,
                  unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM hosted)
 ),
 turns AS (
-    SELECT domain, unnest(range(0, 4)) AS turn FROM (SELECT DISTINCT domain FROM asked WHERE i <= 2)
+    SELECT domain, unnest(range(0, 4)) AS turn FROM (SELECT DISTINCT domain FROM asked)
 ),
 entries AS (
     SELECT DISTINCT domain, turn % 2 = 0 AS listed,
@@ -175,12 +176,13 @@ entries AS (
     FROM turns WHERE {_number("'has ' || domain || ' ' || turn", 3)} = 0
 ),
 spans AS (
-    SELECT *, lead(dated) OVER (PARTITION BY domain ORDER BY dated, listed, reason) AS valid_to
+    SELECT *, lead(dated) OVER (PARTITION BY domain, reason ORDER BY dated, listed) AS valid_to
     FROM entries
 ),
 hits AS (
     SELECT a.rid, a.domain, s.reason,
-           row_number() OVER (PARTITION BY a.rid ORDER BY length(a.domain) DESC) AS place,
+           row_number() OVER (PARTITION BY a.rid
+                              ORDER BY length(a.domain) DESC, dated DESC, reason DESC) AS place,
            count(*) OVER (PARTITION BY a.rid) AS n_active
     FROM asked AS a JOIN hosted AS h USING (rid) JOIN spans AS s ON a.domain = s.domain
     WHERE listed AND fetched >= dated AND (valid_to IS NULL OR fetched < valid_to)

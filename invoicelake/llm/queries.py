@@ -75,21 +75,20 @@ def _number(text, most: int):
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages have no fetch time and come with no list; both are drawn from the tables' own values.
 
-    Every page was fetched on some day of 2024. Every domain above one of the hosts has up to four
-    entries in that year, putting it on the list and taking it off.
+    Every page was fetched on some day of 2024. Every host and every domain above it has up to four
+    entries in that year, each of one of three lists, which puts it on that list or takes it off.
     """
     pages = _table(spark, sf_dir, "pages")
     day = lambda x: F.date_add(F.lit("2024-01-01").cast("date"), _number(x, 366))
     captures = pages.select(
         "page_id", "url", day(F.concat(F.lit("fetch "), F.col("page_id"))).alias("fetched"))
-    domains = pages.select(
-        F.explode(F.slice(domains_of(host_of(F.col("url"))), 1, 2)).alias("domain")).distinct()
+    domains = pages.select(F.explode(domains_of(host_of(F.col("url")))).alias("domain")).distinct()
     turns = domains.select("domain", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("turn"))
     seed = F.concat_ws(" ", "domain", "turn")
     entries = turns.filter(_number(F.concat(F.lit("has "), seed), 3) == 0).select(
         "domain", (F.col("turn") % 2 == 0).alias("listed"), day(seed).alias("dated"),
-        F.concat(F.lit("list"), _number(F.concat(F.lit("why "), seed), 3)).alias("reason"))
-    return judged(captures, entries)
+        F.concat(F.lit("list"), _number(F.concat(F.lit("why "), seed), 3)).alias("list"))
+    return judged(captures, entries.withColumn("reason", F.col("list")))
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

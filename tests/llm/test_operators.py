@@ -379,7 +379,7 @@ def test_quality_rules(spark, docs, nothing):
         [(i, f"{words(random.Random(i), 60)}\nAll  rights reserved", "h") for i in range(30)]
         + [(50, "\n".join([footer] * 40), "h"), (51, None, None), (52, "a b c " * 40, "h")],
         "doc_id bigint, text string, source string")
-    rule = LineRule(min_documents=5, share=0.5)
+    rule = LineRule(min_documents=5)
     got = {r.doc_id: r for r in quality_rules(table, rule).collect()}
     assert all(got[i].kept and got[i].removed_words == 3 for i in range(30))
     assert got[50].n_dup_lines == 39 and not got[50].kept and got[50].removed_words == 120
@@ -390,6 +390,35 @@ def test_quality_rules(spark, docs, nothing):
     assert set(left) == set(range(30)) and "rights" not in "".join(left.values())
 
 
+def test_lines_are_frequent_by_count_and_by_share_only_in_small_hosts(spark):
+    """Against the rule in plain words: different texts are counted, copies once, hosts apart."""
+    rng = random.Random(21)
+    table, pool = [], [words(rng, 4) for _ in range(12)]
+    for host, size, lines in (("big", 150, 12), ("small", 14, 4), (None, 30, 12)):
+        for _ in range(size):
+            own = words(rng, 60) + "\n" + "\n".join(rng.sample(pool[:lines], rng.randint(0, 3)))
+            table += [(host, own)] * rng.choice([1, 1, 1, 25])
+    alone = words(rng, 60) + "\na line of copies only"
+    table += [("big", alone)] * 40 + [("big", None), ("big", ""), (None, None)]
+    having: dict[tuple, set] = {}
+    texts: dict[object, set] = {}
+    for host, text in table:
+        texts.setdefault(host, set()).add(text or "")
+        for line in (text or "").split("\n"):
+            having.setdefault((host, line), set()).add(text)
+    rule = LineRule(min_documents=20, min_in_small=4, share=0.25)
+    gone = {k for k, t in having.items()
+            if k[1] and (len(t) >= 20 or len(t) >= 4 and len(t) > 0.25 * len(texts[k[0]]))}
+    assert {"big", "small"} <= {h for h, _ in gone} and len(gone) < len(having)
+    want = sorted((str(h), t or "", sum(len(x.split()) for x in (t or "").split("\n") if (h, x) in gone))
+                  for h, t in table)
+    df = spark.createDataFrame(table, "source string, text string")
+    got = sorted((str(r.source), r.text or "", r.removed_words) for r in quality_rules(df, rule).collect())
+    assert got == want and ("big", alone, 0) in got
+    cleaned = sorted((str(r.source), r.text) for r in without_frequent_lines(df, rule).collect())
+    assert cleaned == sorted((str(h), "\n".join(x for x in t.split("\n") if (h, x) not in gone)) for h, t in table if t)
+
+
 def test_decontamination(spark, docs, nothing):
     rng = random.Random(8)
     item = words(rng, 14).split()
@@ -413,15 +442,15 @@ def test_decontamination(spark, docs, nothing):
 def test_columns_pass_through_whatever_they_are_called(spark, docs):
     """Extra columns called as the operators' own ones keep their values and change no result."""
     items = spark.createDataFrame([("a", "one"), (None, "ab ab ab")], "item_id string, text string")
-    rule = LineRule(min_documents=2, share=0)
+    rule = LineRule(min_documents=2)
     cases = {  # operator: the names it makes inside
         lambda d: sharding.shard_rows(d, ["doc_id", "text"], 3):
             "_point _rank _rows _node _order _before _pieces _piece first rows shift",
         mix: "_key _name _cell _cell_size _cell_start _upto _epochs _part cap weight capped free_words free_weight",
         lambda d: mixed_documents(d, whole=True): "_key _name _cell _epochs _part _upto",
         lambda d: quality_rules(d, rule):
-            "_doc _host _line _n _raw _words _lines _windows _sorted _all _rows _removed _documents _with_line",
-        lambda d: without_frequent_lines(d, rule): "_doc _gone _host _line _words _removed",
+            "_text _host _line _n _raw _words _lines _windows _sorted _all _rows _removed _texts _with_line",
+        lambda d: without_frequent_lines(d, rule): "_text _gone _host _line _words _removed",
         lambda d: decontaminate(d, items): "_doc _words _found _sure _start _phrase _items _term _terms _at _count",
     }
     for operator, own in cases.items():
