@@ -9,9 +9,11 @@ consecutive strings with one anchor form a family, known by its anchor's suffix.
    splitters), sorted in their buckets and compared with their neighbours. Runs that lie at a bucket's
    edge are compared across the boundary. A gram that stands once rules its family out; equal
    families are repeated as a whole.
-2. Only families that share a gram but differ go on, with their bytes: again range-partitioned by
-   leading bytes, all suffixes of a bucket are sorted by a multikey quicksort on eight-byte symbols, and
-   equal strings found. Again the runs at the edges are compared across boundaries.
+2. Only families that share a gram but differ go on, with their bytes, in parts of up to `PART` strings
+   cut at fixed distances from the anchor. Bytes that all strings of a part have in common are its core;
+   a core that stands once rules its part out. The others are again range-partitioned by leading bytes,
+   all suffixes of a bucket are sorted by a multikey quicksort on eight-byte symbols, and equal strings
+   found. Again the runs at the edges are compared across boundaries.
 
 Sort keys end with the document and place, so that a run of equal keys, as of a passage that a third
 of all texts share, is spread over many buckets.
@@ -31,6 +33,7 @@ from invoicelake.llm.shared import named_apart, stored
 
 LENGTH = 200
 GRAM = 64
+PART = 32
 _PLACE = np.uint64((1 << 24) - 1)  # low bits of a gram's hash that hold its place in the slice
 _DOC = "struct<key: string, text: bigint>"
 
@@ -82,7 +85,7 @@ def families(data: np.ndarray, starts: np.ndarray, length: int) -> dict[str, np.
     n = np.flatnonzero(ends) - first + 1
     at = anchor[first]
     return {
-        "row": row[first], "first": first, "n": n, "gram": grams[at],
+        "row": row[first], "first": first, "n": n, "ahead": at - first, "gram": grams[at],
         "lead": symbols(data, at),
         "span": span_hashes(data, first, first + n - 1 + length),
     }
@@ -112,10 +115,10 @@ def _all_families(length: int):
                         [
                             docs.take(pa.array(f["row"] + row)),
                             pa.array(f["first"] - starts[f["row"]] + offset),
-                            pa.array(f["n"]), _ordered(f["lead"]),
+                            pa.array(f["n"]), pa.array(f["ahead"], pa.int32()), _ordered(f["lead"]),
                             pa.array(f["gram"].view(np.int64)), pa.array(f["span"].view(np.int64)),
                         ],
-                        names=["_doc", "first", "n", "lead", "gram", "span"],
+                        names=["_doc", "first", "n", "ahead", "lead", "gram", "span"],
                     )
 
     return run
@@ -167,7 +170,7 @@ def _repeated_families(docs: DataFrame, length: int) -> DataFrame:
     """The families whose gram is repeated, with `state` 1 or 2 and `shown`."""
     found = stored(docs.mapInArrow(
         _all_families(length),
-        f"_doc {_DOC}, first bigint, n bigint, lead bigint, gram bigint, span bigint",
+        f"_doc {_DOC}, first bigint, n bigint, ahead int, lead bigint, gram bigint, span bigint",
     ))
     order = ["lead", "gram", "span", "_doc", "first"]
     compared = stored(
@@ -189,28 +192,63 @@ def _repeated_families(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _family_bytes(length: int):
+    """The bytes of the wanted families, and hashes of the cores of their parts, nearest to the anchor first."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, texts = batch.column("_doc"), batch.column("text").cast(pa.large_binary())
-            rows, first, n, lead, gram, held = [], [], [], [], [], []
-            for row, wanted in enumerate(batch.column("wanted")):
-                text = memoryview(texts[row].as_buffer())
-                for w in wanted.as_py():
-                    rows.append(row)
-                    first.append(w["first"])
-                    n.append(w["n"])
-                    lead.append(w["lead"])
-                    gram.append(w["gram"])
-                    held.append(bytes(text[w["first"] : w["first"] + w["n"] - 1 + length]))
-            yield pa.RecordBatch.from_arrays(
-                [docs.take(pa.array(rows, pa.int64())), pa.array(first, pa.int64()),
-                 pa.array(n, pa.int64()), pa.array(lead, pa.int64()), pa.array(gram, pa.int64()),
-                 pa.array(held, pa.binary())],
-                names=["_doc", "first", "n", "lead", "gram", "bytes"])
+            offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts)]
+            held = np.frombuffer(texts.buffers()[2], np.uint8)
+            wanted = batch.column("wanted")
+            row_of = np.repeat(np.arange(len(docs)), wanted.value_lengths().to_numpy())
+            fields = dict(zip(("first", "n", "ahead"), wanted.flatten().flatten()))
+            upto = np.cumsum(fields["n"].to_numpy() - 1 + length)
+            begin = 0
+            while begin < len(row_of):  # some SLICE_BYTES at a time
+                sofar = upto[begin - 1] if begin else 0
+                end = max(begin + 1, int(np.searchsorted(upto, sofar + SLICE_BYTES)))
+                some, rows = slice(begin, end), row_of[begin:end]
+                first, n, ahead = (fields[c].to_numpy()[some] for c in ("first", "n", "ahead"))
+                sizes = n - 1 + length
+                starts = np.cumsum(sizes) - sizes
+                data = held[np.repeat(offsets[rows] + first - starts, sizes) + np.arange(sizes.sum())]
+                last = (ahead - n + 1) // PART
+                parts = ahead // PART - last + 1
+                ends = np.cumsum(parts)
+                family = np.repeat(np.arange(len(parts)), parts)
+                part = last[family] + np.arange(len(family)) - (ends - parts)[family]
+                at = starts[family] + ahead[family] - PART * part
+                cores = span_hashes(data, at, at + length - PART + 1).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [docs.take(pa.array(rows)), pa.array(first), pa.array(n), pa.array(ahead, pa.int32()),
+                     pa.LargeBinaryArray.from_buffers(
+                         pa.large_binary(), len(n),
+                         [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)]
+                     ).cast(pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(cores))],
+                    names=["_doc", "first", "n", "ahead", "bytes", "cores"])
+                begin = end
 
     return run
 
 
+def _open_parts(families: DataFrame, length: int) -> DataFrame:
+    """(_doc, first, n, lead, core, bytes) of the parts whose core stands more than once."""
+    cores = families.select("_doc", "first", F.explode("cores").alias("core"))
+    repeated = cores.groupBy("core").agg(F.count("*").alias("_times")).filter("_times > 1")
+    kept = cores.join(repeated, "core", "left_semi").groupBy("_doc", "first").agg(
+        F.collect_set("core").alias("kept"))
+    part = F.expr(f"floor((ahead - n + 1) / {PART}) + at").cast("long")
+    return families.join(kept, ["_doc", "first"]).select(
+        "_doc", "first", "n", "ahead", "bytes", "kept", F.posexplode("cores").alias("at", "core")
+    ).filter(F.array_contains("kept", F.col("core"))).withColumn("part", part).withColumn(
+        "far", F.least("ahead", (F.col("part") + 1) * PART - 1)
+    ).withColumn("near", F.greatest(F.expr("ahead - n + 1"), F.col("part") * PART)).selectExpr(
+        "_doc", "first + ahead - far AS first", "far - near + 1 AS n",
+        f"substring(bytes, int(ahead - part * {PART} + 1), 8) AS lead", "core",
+        f"substring(bytes, int(ahead - far + 1), int(far - near + {length})) AS bytes")
+
+
 def multikey_groups(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """A number for each suffix, equal for suffixes that agree in their first `length` bytes.
 
@@ -244,10 +282,9 @@ def _equal_strings(length: int):
         table = _bucket(batches)
         if table is None:
             return
-        n, lead, gram = (table.column(c).to_numpy() for c in ("n", "lead", "gram"))
-        first = table.column("first").to_numpy()
+        first, n, core = (table.column(c).to_numpy() for c in ("first", "n", "core"))
         docs = table.column("_doc").combine_chunks()
-        run_of = np.cumsum(~_same_as_before(lead, gram))
+        run_of = np.cumsum(~_same_as_before(core))
         edges = np.flatnonzero(np.diff(run_of, append=run_of[-1] + 1)) + 1
         begin = 0
         while begin < len(n):  # whole runs, of about a million strings at a time
@@ -271,23 +308,23 @@ def _equal_strings(length: int):
             closes = again.copy()
             closes[:-1] &= ~again[1:] | (family[1:] != family[:-1])
             o, c = np.flatnonzero(opens), np.flatnonzero(closes)
-            yield _strings(docs, begin + family[o], place[o], place[c] + length, None, False)
+            yield _strings(docs, core, begin + family[o], place[o], place[c] + length, None, False)
             partners = np.unique(group, return_index=True)[1]
             partners = partners[edge[partners] & again[partners]]
             for e, alone in ((np.flatnonzero(edge & ~again), True), (partners, False)):
-                yield _strings(docs, begin + family[e], place[e], place[e] + length,
+                yield _strings(docs, core, begin + family[e], place[e], place[e] + length,
                                span_hashes(data, at[e], at[e] + length).view(np.int64), alone)
             begin = end
 
     return run
 
 
-def _strings(docs, rows, begin, end, hashes, alone: bool) -> pa.RecordBatch:
+def _strings(docs, core, rows, begin, end, hashes, alone: bool) -> pa.RecordBatch:
     hashed = pa.nulls(len(rows), pa.int64()) if hashes is None else pa.array(hashes, pa.int64())
     return pa.RecordBatch.from_arrays(
         [docs.take(pa.array(rows, pa.int64())), pa.array(begin, pa.int64()),
-         pa.array(end, pa.int64()), hashed, pa.array(np.full(len(rows), alone))],
-        names=["_doc", "begin", "end", "hash", "alone"])
+         pa.array(end, pa.int64()), pa.array(core[rows]), hashed, pa.array(np.full(len(rows), alone))],
+        names=["_doc", "begin", "end", "core", "hash", "alone"])
 
 
 def repeated_intervals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -299,18 +336,19 @@ def repeated_intervals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     open_grams = kept.filter("state = 1").select("lead", "gram").distinct()
     wanted = kept.filter("state = 1 OR shown").join(open_grams, ["lead", "gram"], "left_semi")
     per_doc = wanted.groupBy("_doc").agg(
-        F.collect_list(F.struct("first", "n", "lead", "gram")).alias("wanted"))
+        F.collect_list(F.struct("first", "n", "ahead")).alias("wanted"))
     with_bytes = stored(docs.join(per_doc, "_doc").mapInArrow(
         _family_bytes(length),
-        f"_doc {_DOC}, first bigint, n bigint, lead bigint, gram bigint, bytes binary"))
-    order = ["lead", "gram", "bytes", "_doc", "first"]
+        f"_doc {_DOC}, first bigint, n bigint, ahead int, bytes binary, cores array<bigint>"))
+    order = ["lead", "core", "bytes", "_doc", "first"]
     strings = stored(
-        with_bytes.repartitionByRange(*order).sortWithinPartitions(*order)
-        .mapInArrow(_equal_strings(length), f"_doc {_DOC}, begin bigint, end bigint, hash bigint, alone boolean"))
+        _open_parts(with_bytes, length).repartitionByRange(*order).sortWithinPartitions(*order)
+        .mapInArrow(_equal_strings(length),
+                    f"_doc {_DOC}, begin bigint, end bigint, core bigint, hash bigint, alone boolean"))
     singles = strings.filter("hash IS NOT NULL")
     across = singles.filter("alone").join(
-        singles.groupBy("hash").agg(F.count("*").alias("_times")).filter("_times > 1"), "hash",
-        "left_semi")
+        singles.groupBy("core", "hash").agg(F.count("*").alias("_times")).filter("_times > 1"),
+        ["core", "hash"], "left_semi")
     columns = ["_doc", "begin", "end"]
     return whole.unionByName(strings.filter("hash IS NULL").select(*columns)).unionByName(
         across.select(*columns))

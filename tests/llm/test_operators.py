@@ -78,6 +78,50 @@ def test_suffix_dedup_against_all_substrings(docs, nothing, rows):
     assert suffix_dedup(nothing).count() == 0
 
 
+@pytest.mark.parametrize("length, seed", [(200, 1), (72, 2), (111, 3)])
+def test_suffix_dedup_of_passages_in_many_contexts(spark, length, seed):
+    """Passages just under and over the length, whole and in part, many of them, over many buckets."""
+    rng = random.Random(seed)
+    passages = [words(rng, 90)[: length + d] for d in (-30, -3, -1, 0, 1, 2, 40, 300)]
+    texts = []
+    for i in range(220):
+        text = words(rng, rng.randint(0, 12))
+        for passage in rng.choices(passages, k=rng.randint(1, 3)):
+            a, b = sorted(rng.choice([(0, len(passage)), rng.choices(range(len(passage) + 1), k=2)]))
+            text += passage[a:b] + rng.choice(["", "é", " " + words(rng, 3)])
+        texts.append(text * rng.choice([1, 1, 1, 2]))
+    data = [t.encode() for t in texts]
+    seen: dict[bytes, int] = {}
+    for t in data:
+        for s in range(len(t) - length + 1):
+            seen[t[s : s + length]] = seen.get(t[s : s + length], 0) + 1
+    want = []
+    for i, t in enumerate(data):
+        gone = bytearray(len(t))
+        for s in range(len(t) - length + 1):
+            if seen[t[s : s + length]] > 1:
+                gone[s : s + length] = b"\1" * length
+        want.append((i, sha256(bytes(b for b, g in zip(t, gone) if not g)).hexdigest()))
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(7)
+        got = sorted((r.doc_id, r.kept_sha256) for r in suffix_dedup(table, length).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == want
+
+
+def test_suffix_dedup_of_a_text_of_several_slices(spark):
+    rng = random.Random(6)
+    text = rng.randbytes(2_600_000).hex()
+    at = (1 << 21) - 150  # over the end of a slice
+    table = spark.createDataFrame([(1, text), (2, f"- {text[at : at + 300]} -")], "doc_id int, text string")
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in suffix_dedup(table).select("doc_id", "spans").collect()}
+    assert got == {1: [(at, at + 300)], 2: [(2, 302)]}
+
+
 def test_near_duplicates_against_all_pairs(docs, nothing, rows):
     def shingles(text):
         w = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
