@@ -463,6 +463,21 @@ def test_lines_are_frequent_by_count_and_by_share_only_in_small_hosts(spark):
     assert cleaned == sorted((str(h), "\n".join(x for x in t.split("\n") if (h, x) not in gone)) for h, t in table if t)
 
 
+def test_quality_rules_judge_the_text_without_frequent_lines(spark):
+    """The lines are taken out by the rules themselves, which judge what is left."""
+    rng = random.Random(22)
+    few, many, menu = words(rng, 50), words(rng, 200), f" HOME\x0b{words(rng, 80)}  \t"
+    table = [(i, f"{many} {i}\n\n{menu}\nend {i}", "h") for i in range(6)]
+    table += [(10, f"{few}\n{menu.lower()}", "h"), (11, f"{few}\n{menu}", "other"), (12, None, "h")]
+    df = spark.createDataFrame(table, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in quality_rules(df, LineRule(min_documents=5)).collect()}
+    assert all(got[i].clean_text == f"{many} {i}\n\nend {i}" and got[i].kept for i in range(6))
+    assert got[10].clean_text == few and not got[10].base_failed and not got[10].kept
+    assert got[11].clean_text == got[11].text and got[11].kept and got[11].removed_words == 0
+    assert got[12].clean_text is None and got[12].removed_words == 0 and not got[12].kept
+    assert all(len((r.clean_text or "").split()) == r.n_words - r.removed_words for r in got.values())
+
+
 def test_decontamination(spark, docs, nothing):
     rng = random.Random(8)
     item = words(rng, 14).split()
