@@ -71,6 +71,20 @@ def test_xml_is_parsed_once(spark, wide):
     assert "PythonUDF" not in plan
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_only_lines_of_oversized_orders_are_numbered(spark, wide):
+    """The others are not sorted by place and are shuffled once, with the lines of their invoice."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(registered.q_xml_parse_items(spark, SF_DIR))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.split("Window")[0]
+    assert "LeftAnti" in lines and plan.count("Window [row_number()") == 1
+    shuffled = re.findall(r"Exchange hashpartitioning\((l_partkey|l_orderkey)#\d+L?, (\d+|invoice#\d+L?)", plan)
+    assert [key for key, other in shuffled if other.startswith("invoice")] == ["l_orderkey"]
+
+
 def test_gold_scans_are_narrow_and_combined_before_the_shuffle(spark, wide, tmp_path):
     schema = ", ".join(
         [f"{name} {'double' if name.startswith('valor') else 'string'}" for _, name in contract.header_columns()]
