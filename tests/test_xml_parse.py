@@ -1,10 +1,14 @@
 """Every branch of reading an invoice file, on small invented documents."""
 
 import math
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import NS, invoice
+from invoicelake.functions.text import literal
+from invoicelake.operators import xml_canonical
 from invoicelake.operators.xml_canonical import PLAIN
 
 DET = '<det nItem="1"><prod><cProd>P1</cProd><xProd>Um</xProd><vProd>{}</vProd></prod></det>'
@@ -278,6 +282,25 @@ def test_unusual_files(parse):
     assert (docs["mixed"].header.serie, docs["mixed"].header.natureza_operacao) == ("3", None)
 
 
+def test_one_pass_over_names_accepts_no_unusual_one(spark):
+    """What the quick test accepts has no unusual name by the full one, and it does accept usual files."""
+    one, full = (F.expr(f"body RLIKE {literal(p)}") for p in (
+        xml_canonical._NO_UNUSUAL_NAMES, xml_canonical._UNUSUAL_NAMES))
+    names = F.expr(f"regexp_extract_all(body, {literal(xml_canonical._NAMES)}, 1)")
+    known = F.expr(xml_canonical._array(xml_canonical.NODES + xml_canonical.LEAVES))
+    usual = invoice(ide="<nNF a='>'>1</nNF><serie/><serie a='1'/><other><deep x='2'>t</deep></other>",
+                    det="<det nItem='1'><prod><cProd>a</cProd></prod></det>" * 30000)
+    pieces = ["<NNF/>", "<nnf>1</nnf>", "<n:nNF>1</n:nNF>", "<nNF>1<x/></nNF>", "<nNF a='1'>1<x/></nNF>", "<x.y/>",
+              "<nNF>1</nNF>", "<NFE>", "<ide\n>", "<\u00e9/>", "<x-ide>", "<nNF/><x/>", "<PROD", "<ide a:b='1'><x/>"]
+    rng = random.Random(5)
+    texts = [usual] + ["".join(rng.choices(pieces, k=rng.randint(1, 4))) for _ in range(400)]
+    rows = spark.createDataFrame([(t,) for t in texts], "body string").select(
+        one.alias("quick"), F.concat(F.lit("<"), F.array_join(F.array_except(names, known), "<")).alias("body")
+    ).select("quick", full.alias("unusual")).collect()
+    assert rows[0].quick and 5 < sum(r.quick for r in rows) < 395
+    assert not [r for r in rows if r.quick and r.unusual]
+
+
 def test_usual_files_stay_in_the_jvm(spark):
     usual = [GOOD["full"], invoice(), UNUSUAL["signed"], GOOD["bare_root"]]
     texts = spark.createDataFrame([(t,) for t in usual + [UNUSUAL["lot"], UNUSUAL["mixed"], "<a", ""]], "body string")
