@@ -7,6 +7,8 @@ that leave enough errors for the rest. Lines that meet are verified by a bit-par
 the band of 2 t + 1 diagonals. Distances are in characters (code points), and lines of every length
 take part. Segments of short lines would be a character or two, which too many lines have: two lines of
 SHORT characters or less meet if some characters, up to t of each, can be left out so that the same remains.
+Many lines may share a passage and be far apart. An edit changes the numbers of characters of two classes at
+most, an insertion or deletion of one, so lines that meet go on only if few parities of these numbers differ.
 """
 
 from __future__ import annotations
@@ -27,6 +29,9 @@ SHORT = 8  # characters of the lines that meet by what is left of them after del
 CUT = 512  # characters from which it pays to take off common ends
 LONG = 4096  # characters in which a pair must differ to be followed along its diagonals
 PADDED = 1 << 20  # characters of the pairs that go through the automaton at a time
+CLASSES = 25  # classes of characters, by the last byte, whose parities stand in a key
+LOW = CLASSES + 1  # low bits of a key: one for a line that asks for shorter ones, then the parities
+_CLASS = np.uint64(2) << (np.arange(256, dtype=np.uint64) % np.uint64(CLASSES))
 
 
 def segment(length: np.ndarray, i: int, errors: int) -> tuple[np.ndarray, np.ndarray]:
@@ -44,23 +49,35 @@ def character_starts(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray,
     return at, np.searchsorted(at, starts)
 
 
+def parities(data: np.ndarray, chars: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each row a bit for each class of characters: whether their number is odd."""
+    last = data if len(chars) > len(data) else data[chars[1:] - 1]
+    out = np.bitwise_xor.reduceat(np.append(_CLASS[last], np.uint64(0)), starts[:-1])
+    out[starts[1:] == starts[:-1]] = 0
+    return out
+
+
 def _keys(errors: int, probe: bool):
-    """The keys under which a line is indexed or, with `probe`, looks for others."""
+    """The keys under which a line is indexed or, with `probe`, looks for others.
+
+    The upper 64 - LOW bits are a hash of what must be the same.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = batch.column("node").to_numpy()
+            lines = batch.column("line").to_numpy()
             for row, data, starts in text_slices(batch.column("text")):
                 chars, starts = character_starts(data, starts)
                 sums = prefix_hashes(data)
                 begin, length = starts[:-1], np.diff(starts)
                 line = lines[row : row + len(length)]
-                out = [_remains(sums, chars, begin, length, line, errors)]
+                odd = parities(data, chars, starts)
+                out = [_remains(sums, chars, begin, length, odd, line, errors)]
                 part = length > (SHORT if probe else SHORT - errors)  # a longer line asks for shorter ones
-                begin, length, line = begin[part], length[part], line[part]
+                begin, length, odd, line = begin[part], length[part], odd[part], line[part]
                 for i in range(errors + 1):
                     if not probe:
                         at, size = segment(length, i, errors)
-                        out.append(_rows(sums, chars, begin + at, size, length, i, line))
+                        out.append(_rows(sums, chars, begin + at, size, length, i, odd, line))
                         continue
                     for less in range(errors + 1):
                         # Places that leave errors enough before and behind the segment.
@@ -70,17 +87,21 @@ def _keys(errors: int, probe: bool):
                             place = aim + shift
                             fits = (place >= 0) & (place + size <= length) & (length > less)
                             out.append(_rows(sums, chars, (begin + place)[fits], size[fits],
-                                             (length - less)[fits], i, line[fits]))
+                                             (length - less)[fits], i, (odd | (less > 0))[fits], line[fits]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c)) for c in zip(*out)],
-                    names=["key", "node"])
+                    names=["key", "line"])
 
     return run
 
 
-def _remains(sums, chars, begin, length, line, errors):
-    """Keys of the short lines: what remains of each after up to `errors` deletions. They are odd."""
-    keys, rows = [np.zeros(0, np.uint64)], [line[:0]]
+def _key(same, odd):
+    return (same >> np.uint64(LOW) << np.uint64(LOW) | odd).view(np.int64)
+
+
+def _remains(sums, chars, begin, length, odd, line, errors):
+    """Keys of the short lines: what remains of each after up to `errors` deletions."""
+    keys, rows = [np.zeros(0, np.int64)], [line[:0]]
     for size in range(1, SHORT + 1):
         some = np.flatnonzero(length == size)
         if not len(some):
@@ -92,19 +113,18 @@ def _remains(sums, chars, begin, length, line, errors):
                 key = np.full(len(some), left + 1, np.uint64)
                 for p in places:
                     key = mixed(key * np.uint64(3) ^ each[p])
-                remains.append(key | np.uint64(1))
+                remains.append(key)
         remains = np.sort(np.stack(remains), axis=0)
         new = np.ones(remains.shape, bool)
         new[1:] = remains[1:] != remains[:-1]
-        keys.append(remains[new])
+        keys.append(_key(remains, odd[some])[new])
         rows.append(np.broadcast_to(line[some], remains.shape)[new])
-    return np.concatenate(keys).view(np.int64), np.concatenate(rows)
+    return np.concatenate(keys), np.concatenate(rows)
 
 
-def _rows(sums, chars, begin, size, length, i, line):
+def _rows(sums, chars, begin, size, length, i, odd, line):
     salt = mixed(length.astype(np.uint64) * np.uint64(64) + np.uint64(i))
-    key = mixed(spans_of(sums, chars[begin], chars[begin + size]) ^ salt)
-    return (key & ~np.uint64(1)).view(np.int64), line
+    return _key(mixed(spans_of(sums, chars[begin], chars[begin + size]) ^ salt), odd), line
 
 
 def _characters(text: bytes) -> np.ndarray:
@@ -227,21 +247,32 @@ def _verified(errors: int):
 
 def line_links(docs: DataFrame, errors: int = ERRORS) -> DataFrame:
     """(a, b): hashes of different lines within `errors` edits of each other."""
-    # Each line once, before its keys are made; stored with its number, which is short and which a
-    # repeated task cannot change.
-    lines = stored(
-        _lines(docs).select("line", "text").dropDuplicates(["line"])
-        .withColumn("node", F.monotonically_increasing_id()))
-    keys = lambda probe, name: lines.select("node", "text").mapInArrow(
-        _keys(errors, probe), "key bigint, node bigint").withColumnRenamed("node", name)
-    # Short lines have the same keys on both sides, so each pair of them is taken one way round.
-    met = keys(False, "x").join(keys(True, "y"), "key").filter("x < y OR x > y AND key % 2 = 0")
-    pairs = met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    side = lambda node, name: lines.select(
-        F.col("node").alias(node), F.col("line").alias(name), F.col("text").alias(f"t{name}"))
-    return stored(
-        pairs.join(side("x", "a"), "x").join(side("y", "b"), "y").select("a", "b", "ta", "tb")
-        .mapInArrow(_verified(errors), "a bigint, b bigint"))
+    return stored(_links(docs, errors))
+
+
+def _links(docs: DataFrame, errors: int) -> DataFrame:
+    # Each line once, known by its hash. The texts are shuffled by it this one time and not stored: keys
+    # and pairs all read the same exchange.
+    lines = _lines(docs).select("line", "text").dropDuplicates(["line"])
+    side = lambda name: lines.select(
+        F.col("line").alias(name), F.col("text").alias(f"t{name}"))
+    return (
+        _met(lines, errors).distinct().join(side("a"), "a").join(side("b"), "b")
+        .select("a", "b", "ta", "tb").mapInArrow(_verified(errors), "a bigint, b bigint"))
+
+
+def _met(lines: DataFrame, errors: int) -> DataFrame:
+    """(a, b): pairs of lines with a common key, some repeated."""
+    keys = lambda probe, name: lines.mapInArrow(
+        _keys(errors, probe), "key bigint, line bigint").withColumnsRenamed(
+        {"key": f"key_{name}", "line": name})
+    met = keys(False, "x").join(
+        keys(True, "y"), F.shiftright("key_x", LOW) == F.shiftright("key_y", LOW)
+    ).filter(f"bit_count((key_x ^ key_y) & {2 * ((1 << CLASSES) - 1)}) <= {2 * errors} - (key_y & 1)").filter(
+        # Lines of one length, and short lines, have the same keys on both sides: each pair of
+        # them is taken one way round.
+        "x < y OR key_y & 1 = 1")
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def _lines(docs: DataFrame, *keep: str) -> DataFrame:
@@ -266,18 +297,20 @@ def line_dedup(docs: DataFrame, errors: int = ERRORS, key: str = "doc_id") -> Da
     roots = components(links)
     degrees = links.select(F.explode(F.array("a", "b")).alias("line")).groupBy("line").agg(
         F.count("*").alias("links"))
-    places = _lines(slim, "id", "th").select("id", "th", "at", "line").distinct()
+    places = stored(_lines(slim, "id", "th").select("id", "th", "at", "line").distinct())
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "at")
-    # Lines without a near copy are their own class.
     near = degrees.join(roots.withColumnRenamed("node", "line"), "line")
-    # One value per line and class: a line that a third of all texts share is summed in parts.
-    first_place = places.groupBy("line").agg(F.min(order).alias("line_first"))
-    classed = first_place.join(near, "line", "left").withColumn(
-        "root", F.coalesce("root", "line"))
-    firsts = classed.groupBy("root").agg(F.min("line_first").alias("first"))
-    per_line = stored(classed.join(firsts, "root").select(
-        "line", "root", F.coalesce("links", F.lit(0)).alias("links"), "first"))
-    judged = places.join(per_line, "line").withColumn("kept", order == F.col("first"))
+    # One value per line and class: a line that a third of all texts share is summed in parts. A line
+    # that stands once and has no near copy stays, and is a class of its own; only the others go on.
+    shared = stored(
+        places.groupBy("line").agg(F.min(order).alias("line_first"), F.max(order).alias("line_last"))
+        .join(near, "line", "left").filter("links IS NOT NULL OR line_first <> line_last")
+        .select("line", F.coalesce("root", "line").alias("root"), "links", "line_first"))
+    firsts = shared.groupBy("root").agg(F.min("line_first").alias("first"))
+    per_line = shared.join(firsts, "root").select("line", "root", "links", "first")
+    judged = places.join(per_line, "line", "left").select(
+        "id", "th", "at", "line", F.coalesce("root", "line").alias("root"), F.coalesce("links", F.lit(0)).alias("links"),
+        F.coalesce(order == F.col("first"), F.lit(True)).alias("kept"))
     per_doc = judged.groupBy("id", "th").agg(
         F.count("*").alias("n_lines"), F.count_if(F.col("links") > 0).alias("n_linked"),
         F.sum("links").alias("n_links"), F.count_if(~F.col("kept")).alias("n_removed"),

@@ -6,6 +6,7 @@ import random
 import re
 import tracemalloc
 from hashlib import sha256
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 pytest.importorskip("invoicelake.llm")
 
 from invoicelake.llm import line_dedup as line_dedup_module, quality, sharding, toxicity  # noqa: E402
-from invoicelake.llm.byte_words import shingle_sets  # noqa: E402
+from invoicelake.llm.byte_words import shingle_sets, text_slices  # noqa: E402
 from invoicelake.llm.decontaminate import decontaminate, find_phrases  # noqa: E402
 from invoicelake.llm.graph import components  # noqa: E402
 from invoicelake.llm.line_dedup import line_dedup, line_links, within  # noqa: E402
@@ -351,6 +352,74 @@ def test_line_links_against_all_pairs(spark):
     assert found == {i: sum(a != b and edits(a, b) <= 2 for b in lines) for i, a in enumerate(lines)}
 
 
+def test_edits_change_few_parities():
+    rng = random.Random(8)
+    alphabet = "abcdefghijklmnopqrstuvwxyzéèß’字🙂"
+    for errors in (1, 2, 3):
+        for _ in range(300):
+            a = rng.choices(alphabet, k=rng.randint(1, 30))
+            b = list(a)
+            for _ in range(errors):
+                at = rng.randrange(len(b) + 1)
+                b[at : at + rng.randint(0, 1)] = rng.choices(alphabet, k=rng.randint(0, 1))
+            _, data, starts = next(text_slices(pa.array(["".join(a), "", "".join(b)])))
+            odd = line_dedup_module.parities(data, *line_dedup_module.character_starts(data, starts))
+            assert odd[1] == 0 and int(odd[0] ^ odd[2]).bit_count() <= 2 * errors
+            assert int(odd[0]) < 1 << line_dedup_module.LOW and odd[0] % 2 == 0
+
+
+def test_lines_that_share_a_passage_meet_only_if_they_are_alike(spark):
+    rng = random.Random(21)
+    passage = words(rng, 60)
+    lines = {passage + " " + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=60)) for _ in range(390)}
+    for line in sorted(lines)[:10]:
+        lines.add(line[:-5] + "!" + line[-4:])
+        lines.add("?" + line[:300] + line[301:])
+    lines = sorted(lines)
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string").repartition(3)
+    texts = {r.line: r.text for r in table.select("text", F.xxhash64("text").alias("line")).collect()}
+    pairs = [(a, b) for i, a in enumerate(lines) for b in lines[i + 1 :]]
+    near = within([(a.encode(), b.encode()) for a, b in pairs], 2)
+    got = sorted(tuple(sorted((texts[r.a], texts[r.b]))) for r in line_links(table).collect())
+    assert got == [pair for pair, good in zip(pairs, near) if good] and len(got) >= 20
+    distinct = table.select(F.xxhash64("text").alias("line"), "text")
+    assert line_dedup_module._met(distinct, 2).count() < len(pairs) / 20
+
+
+def test_first_of_a_class_without_ids_and_with_repeated_lines(spark):
+    line, near, other = "a line of some length that stands often", "a line of some length that stand often", "alone here, only once"
+    table = spark.createDataFrame(
+        [(None, line), (None, line + "\n" + other), (None, line), (7, "x y\n" + near + "\n" + near), (8, "x y"), (9, None)],
+        "doc_id bigint, text string").repartition(2)
+    got = sorted(map(tuple, line_dedup(table).select("doc_id", "n_lines", "n_linked", "n_links", "n_removed").collect()), key=str)
+    assert got == sorted([(None, 1, 1, 1, 1), (None, 2, 1, 1, 1), (7, 3, 2, 2, 1), (8, 1, 0, 0, 1), (9, 0, 0, 0, 0)], key=str)
+    kept = {(r.line, r["class"]): r.kept for r in line_dedup(table).filter("doc_id IS NULL AND n_lines = 2").selectExpr("inline(lines)").collect()}
+    assert sorted(kept.values()) == [False, True] and [a == b for (a, b), k in kept.items() if k] == [True]
+
+
+def test_texts_of_lines_are_shuffled_once_and_not_stored(spark):
+    rng = random.Random(22)
+    text = lambda: "\n".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=400)) for _ in range(20))
+    rows = [(i, text()) for i in range(149)]
+    rows.append((149, rows[0][1].replace("a", "", 1)))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    # Left to Spark, so small a table would be broadcast instead of shuffled.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = line_dedup_module._links(table, 2)
+        assert len(found.collect()) == 1
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_line = [x for x in plan.split("\n") if "hashpartitioning(line#" in x]
+    assert len([x for x in by_line if "ReusedExchange" not in x]) == 1 and "Reused" in plan
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    held = lambda: sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    before = held()
+    assert line_dedup(table).agg(F.sum("n_lines")).first()[0] == 3000
+    assert held() - before < sum(len(t) for _, t in rows) / 4
+
+
 def test_shards_differ_by_one_and_follow_the_ring(spark, docs, nothing):
     table = spark.range(1003).withColumn("payload", F.col("id") * 2)
     got = sharding.shard_rows(table, ["id"], 7).collect()
